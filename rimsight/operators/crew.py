@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rimsight.operators import ranking
@@ -37,8 +37,8 @@ def short_pair_name(signature: Column) -> Column:
 
 
 def crew_members(games: DataFrame) -> DataFrame:
-    """One row per game and non-blank official."""
-    return games.withColumn("official", F.explode("officials")).where(F.trim("official") != "")
+    """One row per game and different non-blank official."""
+    return games.withColumn("official", F.explode(F.array_distinct("officials"))).where(F.trim("official") != "")
 
 
 def crew_pairs(games: DataFrame) -> DataFrame:
@@ -137,9 +137,8 @@ def frequent_pairs(games: DataFrame, top_n: int = 20) -> DataFrame:
 
 
 def individual_means(games: DataFrame) -> DataFrame:
-    members = crew_members(with_totals(games)).select("game_id", "total_fouls", F.trim("official").alias("official"))
-    per_game = members.groupBy("official", "game_id").agg(F.first("total_fouls").alias("total_fouls"))
-    return per_game.groupBy("official").agg(F.avg("total_fouls").alias("mean_fouls"))
+    members = crew_members(clean_crew(with_totals(games)))
+    return members.groupBy("official").agg(F.avg("total_fouls").alias("mean_fouls"))
 
 
 def pair_against_individuals(games: DataFrame, profile: DataFrame) -> DataFrame:
@@ -264,8 +263,6 @@ def name_probe(games: DataFrame, targets: Sequence[str], similar: int = 5) -> Da
     low_t, low_n = F.lower("target"), F.lower("name")
     near = names.join(wanted, low_n.contains(low_t) | low_t.contains(low_n))
     missing = near.join(F.broadcast(exact.where(~F.col("found")).select("target")), "target", "left_semi")
-    from pyspark.sql import Window
-
     order = Window.partitionBy("target").orderBy("name")
     few = missing.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= similar)
     listed = few.groupBy("target").agg(F.array_join(F.array_sort(F.collect_list("name")), ", ").alias("similar"))
