@@ -105,7 +105,7 @@ def team_box(spark: SparkSession, d: str) -> DataFrame:
         F.sum((F.col("l_linestatus") == "O").cast("long")).alias("n_open"),
         F.sum((F.col("l_returnflag") == "A").cast("long")).alias("n_a"),
     )
-    # the two smallest (line, nation) of each game, combined before the shuffle
+    # a game has at most one row per nation, so its list is as short as the nation table
     row = F.struct("first_line", "team_id", *[c for c in stats.columns if c not in ("first_line", "team_id", "game_id")])
     one = stats.groupBy("game_id").agg(F.array_sort(F.collect_list(row)).alias("sides"))
     one = one.where(F.size("sides") >= 2).withColumn("sides", F.slice("sides", 1, 2))
@@ -125,7 +125,7 @@ def team_box(spark: SparkSession, d: str) -> DataFrame:
             (F.col("team_id") == F.col("winner")).alias("team_winner"),
             (F.col("price") / 1000).alias("team_score"),
             (2 * qty_("qty")).alias("field_goals_attempted"),
-            qty_("qty").alias("field_goals_made"),
+            (qty_("qty") * (1 - F.col("disc") / F.col("n"))).alias("field_goals_made"),
             qty_("red_qty").alias("three_point_field_goals_attempted"),
             (qty_("red_qty") / 2).alias("three_point_field_goals_made"),
             (100 * F.col("tax")).alias("free_throws_attempted"),
@@ -163,7 +163,7 @@ pair2 AS (SELECT *, first_value(team_id) OVER (PARTITION BY game_id ORDER BY rou
     FROM two WHERE rn <= 2 AND cnt >= 2),
 box AS (
   SELECT game_id, team_id, n_name AS team_short_display_name, team_id = winner AS team_winner,
-    price / 1000 AS team_score, 2 * qty AS field_goals_attempted, qty AS field_goals_made,
+    price / 1000 AS team_score, 2 * qty AS field_goals_attempted, qty * (1 - disc / n) AS field_goals_made,
     red_qty AS three_point_field_goals_attempted, red_qty / 2 AS three_point_field_goals_made,
     100 * tax AS free_throws_attempted, 80 * tax * (1 - disc / n) AS free_throws_made,
     CAST(n_open + 1 AS DOUBLE) AS offensive_rebounds, CAST(n + 2 AS DOUBLE) AS defensive_rebounds,
