@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from rimsight.plans import q_box, q_crew  # noqa: F401
+from rimsight.plans import q_box, q_careers, q_changes, q_crew, q_lookups  # noqa: F401
 from rimsight.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

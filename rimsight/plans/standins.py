@@ -172,3 +172,63 @@ box AS (
     CASE WHEN n_a = 4 THEN '--' ELSE printf('%.3f', price / 1000 * (n_a + 1) / 30) END AS fast_break_points
   FROM pair2 JOIN nation ON team_id = n_nationkey)
 """
+
+
+TITLES = {"1-URGENT": "Head Coach", "2-HIGH": "Associate Head Coach", "3-MEDIUM": "Assistant Coach"}
+AS_OF = 2002
+
+
+def first_supplier(spark: SparkSession, d: str) -> DataFrame:
+    """Supplier of each order's lowest-numbered line."""
+    place = F.struct("l_linenumber", "l_suppkey")
+    return lines(spark, d).groupBy("l_orderkey").agg(
+        F.min_by(F.struct("s_nationkey", "s_name"), place).alias("s")
+    ).select("l_orderkey", "s.s_nationkey", "s.s_name")
+
+
+def positions(spark: SparkSession, d: str) -> DataFrame:
+    """One career row per order: coach = customer, school = first supplier's nation."""
+    nation = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    title = F.lit("Staff")
+    for priority, name in reversed(TITLES.items()):
+        title = F.when(F.col("o_orderpriority") == priority, name).otherwise(title)
+    year, key = F.year("o_orderdate"), F.col("o_orderkey")
+    std = F.col("position_title_standardized")
+    raw = (
+        F.when(F.col("o_orderstatus") == "F", F.upper(std))
+        .when(F.col("o_orderstatus") == "P", F.concat(std, F.lit(" & Recruiting Coordinator")))
+        .otherwise(std)
+    )
+    return (
+        table(spark, d, "orders")
+        .join(first_supplier(spark, d), key == F.col("l_orderkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .withColumn("position_title_standardized", title)
+        .select(
+            F.concat(F.lit("Coach "), F.col("o_custkey").cast("string")).alias("coach"),
+            key.alias("seq"),
+            F.col("s_name").alias("college"),
+            F.col("n_name").alias("college_clean"),
+            raw.alias("title"),
+            std,
+            F.when(key % 97 != 0, year).alias("start_year"),
+            F.when(key % 7 != 0, (year + key % 4).cast("int")).alias("end_year"),
+            F.when(F.col("n_nationkey") % 2 == 0, "I").otherwise("II").alias("division"),
+            F.when(F.col("r_name") != "MIDDLE EAST", F.col("r_name")).alias("conference"),
+        )
+    )
+
+
+POS = """
+fs AS (SELECT l_orderkey, arg_min(s_nationkey, row(l_linenumber, l_suppkey)) AS nk, arg_min(s_name, row(l_linenumber, l_suppkey)) AS college
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1),
+pos0 AS (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN 'Head Coach' WHEN '2-HIGH' THEN 'Associate Head Coach'
+    WHEN '3-MEDIUM' THEN 'Assistant Coach' ELSE 'Staff' END AS std
+  FROM orders JOIN fs ON o_orderkey = l_orderkey JOIN nation ON nk = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+pos AS MATERIALIZED (SELECT 'Coach ' || o_custkey AS coach, o_orderkey AS seq, college, n_name AS college_clean,
+    CASE o_orderstatus WHEN 'F' THEN upper(std) WHEN 'P' THEN std || ' & Recruiting Coordinator' ELSE std END AS title,
+    std AS position_title_standardized, CASE WHEN o_orderkey % 97 <> 0 THEN year(o_orderdate) END AS start_year,
+    CASE WHEN o_orderkey % 7 <> 0 THEN year(o_orderdate) + o_orderkey % 4 END AS end_year,
+    CASE WHEN n_nationkey % 2 = 0 THEN 'I' ELSE 'II' END AS division,
+    CASE WHEN r_name <> 'MIDDLE EAST' THEN r_name END AS conference FROM pos0)
+"""
