@@ -93,19 +93,18 @@ def u2(spark, d):
     return snapshots(spark, d)[1].select("team", "status", "year").distinct()
 
 
-RAW8 = ["l_shipdate", "l_suppkey", "l_quantity", "l_linenumber", "l_partkey", "l_discount", "l_tax", "l_returnflag"]
 CREW8 = ["day", "l_quantity", "l_linenumber", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "half"]
-CREW8_SQL = """e AS (SELECT strftime(l_shipdate, '%Y-%m') AS day, l_quantity, l_linenumber, l_discount + 0.0 AS l_discount, l_tax + 0.0 AS l_tax,
+CREW8_SQL = """e AS (SELECT strftime(l_shipdate, '%Y') AS day, l_quantity, l_linenumber, l_discount > 0.05 AS l_discount, l_tax > 0.04 AS l_tax,
     l_returnflag, l_linestatus, l_suppkey % 2 AS half, l_orderkey * 1000000000 + l_partkey AS ord FROM lineitem)"""
 
 
 def crew8(spark, d):
     return table(spark, d, "lineitem").select(
-        F.date_format("l_shipdate", "yyyy-MM").alias("day"),
+        F.date_format("l_shipdate", "yyyy").alias("day"),
         "l_quantity",
         "l_linenumber",
-        (F.col("l_discount") + 0.0).alias("l_discount"),
-        (F.col("l_tax") + 0.0).alias("l_tax"),
+        (F.col("l_discount") > 0.05).alias("l_discount"),
+        (F.col("l_tax") > 0.04).alias("l_tax"),
         "l_returnflag",
         "l_linestatus",
         (F.col("l_suppkey") % 2).alias("half"),
@@ -116,7 +115,7 @@ def crew8(spark, d):
 @query(
     "u3_first_wins_dedupe",
     f"WITH {CREW8_SQL} SELECT {', '.join(CREW8)}, min(ord) AS ord FROM e GROUP BY ALL",
-    "l_quantity l_discount l_tax",
+    "l_quantity",
 )
 def u3(spark, d):
     return keyed.first_per_key(crew8(spark, d), CREW8, [F.col("ord")])
