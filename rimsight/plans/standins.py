@@ -232,3 +232,101 @@ pos AS MATERIALIZED (SELECT 'Coach ' || o_custkey AS coach, o_orderkey AS seq, c
     CASE WHEN n_nationkey % 2 = 0 THEN 'I' ELSE 'II' END AS division,
     CASE WHEN r_name <> 'MIDDLE EAST' THEN r_name END AS conference FROM pos0)
 """
+
+
+# texts of a side's totals from q (quantity), n (lines), r and a (flag R and A lines)
+TOTAL_TEXTS = {
+    "Fgam": ("{q}", "-", "{q2}"), "ShootingPercentage": ("{n}", "5.5%"), "Tpam": ("{r}", "-", "{n}"), "Tppercentage": ("{r}", "0.25%"),
+    "Ftma": ("{a}", "-", "{n}"), "Ftp": ("{a}", "1%"), "TotalRebounds": ("{n}",), "OffensiveRebounds": ("{r}",), "DefensiveRebounds": ("{a}",),
+    "Leads": ("{n}",), "TimeWithLead": ("0", "{n}", ":30"), "PercentLead": ("{n}", "%"), "LargestLead": ("{q}",),
+    "LargestLeadScores": ("{q}", "-", "{n}"), "LargestLeadTime": ("05:1", "{a}", " 2nd"), "Assists": ("{a}",), "Turnovers": ("{r}",),
+    "PointsFromBench": ("{q2}",), "Blocks": ("{a}",), "PointsOffFastBreak": ("{r}",), "Steals": ("{n}",), "PointsOffTurnovers": ("{r}",),
+    "PointsInPaint": ("{q}",), "PointsOffSecondChance": ("{a}",), "PersonalFouls": ("{q}",), "TechnicalFouls": ("{r}",),
+}
+
+
+def game_docs(spark: SparkSession, d: str) -> DataFrame:
+    """One nested document per order: lines are plays, odd lines the home side."""
+    odd = F.col("l_linenumber") % 2 == 1
+    side = F.when(odd, "HomeTeam").otherwise("VisitingTeam")
+    flag = F.col("l_returnflag")
+    play = F.struct(
+        F.when(flag == "A", "LAYUP").when(flag == "N", "TURNOVER").otherwise("REBOUND").alias("Type"),
+        F.when(F.col("l_linestatus") == "O", "GOOD").otherwise("MISS").alias("Action"),
+        F.col("l_linenumber").alias("Period"),
+        (F.col("l_quantity") * 10).cast("int").alias("ClockSeconds"),
+        (F.col("l_partkey") * 1000 + F.col("l_linenumber")).alias("Id"),
+        side.alias("Team"),
+        F.when(F.col("l_tax") > 0.02, F.struct(side.alias("Team"), (F.col("l_suppkey") % 56).cast("string").alias("UniformNumber"))).alias("Player"),
+    )
+    sums = {}
+    for name, here in (("home", odd), ("away", ~odd)):
+        sums[f"{name}_q"] = F.sum(F.when(here, F.col("l_quantity")).otherwise(0)).cast("int")
+        sums[f"{name}_n"] = F.count_if(here)
+        sums[f"{name}_r"] = F.count_if(here & (flag == "R"))
+        sums[f"{name}_a"] = F.count_if(here & (flag == "A"))
+    # an order has a handful of lines, so its list of plays is one small document
+    per_game = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(play)).alias("Plays"), *[c.alias(n) for n, c in sums.items()]
+    )
+
+    def totals(name: str):
+        parts = {k: F.col(f"{name}_{k}").cast("string") for k in "qnra"}
+        parts["q2"] = (F.col(f"{name}_q") * 2).cast("string")
+        pairs = []
+        for key, pieces in TOTAL_TEXTS.items():
+            text = F.concat(*[parts[p[1:-1]] if p.startswith("{") else F.lit(p) for p in pieces])
+            pairs += [F.lit(key), text]
+        return F.struct(F.struct(F.create_map(*pairs).alias("Values")).alias("Totals"))
+
+    def team(name: str, label):
+        q, n = F.col(f"{name}_q"), F.col(f"{name}_n").cast("int")
+        return F.struct(label.alias("Name"), q.alias("Score"), F.array(q - n, n).alias("PeriodScores"), F.array(n, n).alias("PeriodTimeouts"))
+
+    g = games(spark, d).join(per_game, F.col("game_id") == F.col("l_orderkey"))
+    officials = F.when(F.col("location") != "", F.array_join("officials", ",  ")).otherwise("")
+    home_key = F.regexp_extract("home", r"(\d+)", 1).cast("int")
+    leaders = F.create_map(F.lit("Points"), F.col("home"), F.lit("Rebounds"), F.col("visitor"))
+    return g.select(
+        home_key.alias("ncaa_id"),
+        F.col("game_id").cast("string").alias("game_id"),
+        F.struct(
+            F.col("date").alias("Date"), F.col("start_time").alias("StartTime"), F.col("location").alias("Location"),
+            officials.alias("Officials"), (F.col("home_q") * 100).alias("Attendance"),
+            team("home", F.col("home")).alias("HomeTeam"), team("away", F.col("visitor")).alias("VisitingTeam"),
+        ).alias("Game"),
+        F.struct(totals("home").alias("HomeTeam"), totals("away").alias("VisitingTeam")).alias("Stats"),
+        leaders.alias("Leaders"),
+        "Plays",
+    )
+
+
+DOCS = GAMES + """, side AS (SELECT l_orderkey, CAST(sum(CASE WHEN l_linenumber % 2 = 1 THEN l_quantity ELSE 0 END) AS BIGINT) AS home_q,
+    count(*) FILTER (l_linenumber % 2 = 1) AS home_n, count(*) FILTER (l_linenumber % 2 = 1 AND l_returnflag = 'R') AS home_r,
+    count(*) FILTER (l_linenumber % 2 = 1 AND l_returnflag = 'A') AS home_a,
+    CAST(sum(CASE WHEN l_linenumber % 2 = 0 THEN l_quantity ELSE 0 END) AS BIGINT) AS away_q,
+    count(*) FILTER (l_linenumber % 2 = 0) AS away_n, count(*) FILTER (l_linenumber % 2 = 0 AND l_returnflag = 'R') AS away_r,
+    count(*) FILTER (l_linenumber % 2 = 0 AND l_returnflag = 'A') AS away_a FROM lineitem GROUP BY 1),
+doc AS (SELECT * FROM games JOIN side ON game_id = l_orderkey),
+plays AS (SELECT CAST(regexp_extract(home, '[0-9]+') AS BIGINT) AS ncaa_id, CAST(game_id AS VARCHAR) AS game_id, date,
+    CASE WHEN l_linenumber % 2 = 1 THEN home ELSE visitor END AS team, CASE WHEN l_linenumber % 2 = 1 THEN visitor ELSE home END AS opponent,
+    CASE l_returnflag WHEN 'A' THEN 'LAYUP' WHEN 'N' THEN 'TURNOVER' ELSE 'REBOUND' END AS type,
+    CASE WHEN l_linestatus = 'O' THEN 'GOOD' ELSE 'MISS' END AS action, CAST(l_linenumber AS BIGINT) AS period,
+    CAST(l_quantity * 10 AS BIGINT) AS seconds, CASE WHEN l_tax > 0.02 THEN CAST(l_suppkey % 56 AS VARCHAR) END AS uniform,
+    l_partkey * 1000 + l_linenumber AS play_id
+  FROM lineitem JOIN games ON l_orderkey = game_id)
+"""
+
+
+def event_plays(spark: SparkSession, d: str) -> DataFrame:
+    """Events as plays: team = user modulus, action by value."""
+    return table(spark, d, "events").select(
+        F.col("event_id").alias("play_id"),
+        (F.col("user_id") % 25).alias("ncaa_id"),
+        F.concat(F.lit("Team "), (F.col("user_id") % 25).cast("string")).alias("team"),
+        F.col("event_type").alias("type"),
+        F.when(F.col("value") >= 20, "GOOD").otherwise("MISS").alias("action"),
+        (F.floor(F.hour("ts") / 6) + 1).alias("period"),
+        F.col("value"),
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+    )
