@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rimsight.functions.dates import portal_date
-from rimsight.functions.strings import first_match, map_values, squish, strip
+from rimsight.functions.strings import first_match, let, map_values, squish, strip
 from rimsight.functions.titles import transfer_history
 
 # fixed values: label patterns in the order they are removed, any case
@@ -104,11 +104,15 @@ def without_labels(text: Column) -> Column:
     out = text
     for pattern in LABEL_PATTERNS:
         out = strip(F.regexp_replace(out, f"(?i){pattern}", ""))
-    words = F.split(strip(out), r"\s+")
+    return let(out, _one_name)
+
+
+def _one_name(text: Column) -> Column:
+    words = F.split(strip(text), r"\s+")
     half = F.floor(F.size(words) / 2).cast("int")
     front = F.slice(words, 1, half)
     twice = (F.size(words) >= 4) & (front == F.slice(words, half + 1, half))
-    return F.when(twice, F.array_join(front, " ")).otherwise(out)
+    return F.when(twice, F.array_join(front, " ")).otherwise(text)
 
 
 def clean(text: Column) -> Column:
@@ -126,6 +130,10 @@ def height(text: Column) -> Column:
 
 
 def position(text: Column) -> Column:
+    return let(text, _position)
+
+
+def _position(text: Column) -> Column:
     upper = F.upper(text)
     word = F.when(upper.contains("GUARD"), "G").when(upper.contains("FORWARD"), "F").when(upper.contains("CENTER"), "C")
     code = F.regexp_extract(text, POSITION_PATTERN, 1)
@@ -134,7 +142,7 @@ def position(text: Column) -> Column:
 
 def class_name(text: Column) -> Column:
     """Full class name of an abbreviation; other text passes unchanged."""
-    return map_values(strip(text), CLASS_NAMES, text)
+    return let(text, lambda t: map_values(strip(t), CLASS_NAMES, t))
 
 
 def recode_class(text: Column, default: Column) -> Column:
@@ -152,7 +160,10 @@ def header_field(header: Column) -> Column:
 
 def town_parts(text: Column) -> Column:
     """Hometown, high school and previous school from one combined cell."""
-    t = squish(F.regexp_replace(F.coalesce(text, F.lit("")), SOCIAL_TAIL, ""))
+    return let(squish(F.regexp_replace(F.coalesce(text, F.lit("")), SOCIAL_TAIL, "")), _town_parts)
+
+
+def _town_parts(t: Column) -> Column:
     parts = F.transform(F.split(t, " / "), strip)
     blank = F.lit("")
 
@@ -209,11 +220,17 @@ def player_line(bold: Column, line: Column) -> Column:
     """One transfer entry: name, height, year, position, hometown, portal date, history."""
     name = strip(F.substring_index(strip(F.regexp_replace(strip(bold), "^•+", "")), ",", 1))
     text = F.regexp_replace(squish(line), r"^[•\s]+", "")
-    brace = F.regexp_extract(text, r"\{([^}]+)\}", 1)
+    return let(name, lambda n: let(text, lambda t: let(_after_name(n, t), lambda rest: _player(n, t, rest))))
+
+
+def _after_name(name: Column, text: Column) -> Column:
     lead = strip(F.substring_index(text, "{", 1))
-    after_name = strip(F.regexp_replace(F.substr(lead, F.length(name) + 1), "^,+", ""))
-    rest = F.when(lead.startswith(name), after_name).otherwise(lead)
-    rest = strip(F.regexp_replace(rest, r"\s*→.*$", ""))
+    cut = strip(F.regexp_replace(F.substr(lead, F.length(name) + 1), "^,+", ""))
+    return strip(F.regexp_replace(F.when(lead.startswith(name), cut).otherwise(lead), r"\s*→.*$", ""))
+
+
+def _player(name: Column, text: Column, rest: Column) -> Column:
+    brace = F.regexp_extract(text, r"\{([^}]+)\}", 1)
     hit = rest.rlike(PLAYER_LINE)
     matched = F.regexp_replace(F.regexp_extract(rest, PLAYER_LINE, 0), r"\s+$", "")
     tail = strip(F.regexp_replace(F.substr(rest, F.length(matched) + 1), "^,+", ""))
@@ -224,7 +241,7 @@ def player_line(bold: Column, line: Column) -> Column:
         F.when(hit, F.regexp_extract(rest, PLAYER_LINE, 1)).alias("height"),
         F.when(hit, squish(F.regexp_extract(rest, PLAYER_LINE, 2))).alias("year"),
         F.when(hit, strip(F.regexp_extract(rest, PLAYER_LINE, 3))).alias("position"),
-        F.when(hit & (tail != ""), tail).alias("hometown"),
+        F.when(hit, F.nullif(tail, F.lit(""))).alias("hometown"),
         portal_date(brace).alias("entered_portal"),
         transfer_history(brace).alias("transfer_history"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +26,16 @@ def join_key(value: Column | str, transliterate: bool = True) -> Column:
     return F.regexp_replace(F.lower(text), "[^a-z0-9]", "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def first_filled(*values: Column) -> Column:
+    """The first value that is neither missing nor empty, else ''."""
+    return F.coalesce(F.get(F.filter(F.array(*values), lambda v: v != ""), F.lit(0)), F.lit(""))
+
+
 def strip(value: Column | str) -> Column:
     """Whitespace off both ends, line breaks included."""
     return F.regexp_replace(_column(value), r"^\s+|\s+$", "")
@@ -106,5 +118,9 @@ def map_values(value: Column, table: dict[str, str], default: Column | None = No
 
 def first_match(value: Column, patterns: list[str], group: int = 1) -> Column:
     """The group of the first pattern that matches, else ''."""
-    hits = [F.when(value.rlike(p), F.regexp_extract(value, p, group)) for p in patterns]
-    return F.coalesce(*hits, F.lit(""))
+
+    def tried(text: Column) -> Column:
+        hits = [F.when(text.rlike(p), F.regexp_extract(text, p, group)) for p in patterns]
+        return F.coalesce(*hits, F.lit(""))
+
+    return let(value, tried)

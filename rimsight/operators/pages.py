@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rimsight.functions import html as h
 from rimsight.functions import roster, titles
 from rimsight.functions.dates import month_name_date, season_spellings
-from rimsight.functions.strings import squish, strip
+from rimsight.functions.strings import first_filled, let, squish, strip
 from rimsight.functions.urls import absolute
 from rimsight.operators.keyed import first_per_key
 
@@ -211,41 +211,54 @@ def labelled_cards(pages: DataFrame) -> DataFrame:
 
 
 def _class_text(card: Column, names: Sequence[str]) -> Column:
-    """Cleaned text of the first class that gives any, screen-reader text removed."""
-    plain = F.regexp_replace(card, rf"(?is)<span\s[^>]*{h.class_pattern('sr-only')}[^>]*>.*?</span>", "")
-    tried = [F.nullif(roster.clean(h.text_of(h.by_class(plain, n))), F.lit("")) for n in names]
-    return F.coalesce(*tried, F.lit(""))
+    """Cleaned text of the first class that gives any."""
+    tried = F.array(*[h.by_class(card, n) for n in names])
+    cleaned = F.transform(tried, lambda x: roster.clean(h.text_of(x)))
+    return F.coalesce(F.get(F.filter(cleaned, lambda x: x != ""), F.lit(0)), F.lit(""))
 
 
-def player_cards(pages: DataFrame) -> DataFrame:
-    """Players from repeating cards, each field from an ordered list of classes."""
-    rows = pages.select("page_id", "url", F.explode(h.cards(F.col("html"), PLAYER_CARDS)).alias("card"))
-    card, link = F.col("card"), h.first_link(F.col("card"))
-    rows = rows.withColumn("link", link).where(~F.col("link").contains("/coaches/") & ~F.col("link").contains("/staff/"))
+def _without_screen_reader(card: Column) -> Column:
+    return F.regexp_replace(card, rf"(?is)<span\s[^>]*{h.class_pattern('sr-only')}[^>]*>.*?</span>", "")
+
+
+def _player(card: Column) -> Column:
     nested = F.regexp_extract(h.by_class(card, "sidearm-roster-player-name"), r"(?is)<a\s[^>]*>(.*?)</a>", 1)
     label = roster.aria_name(F.regexp_extract(card, r'(?is)<a\s[^>]*aria-label="([^"]*)"', 1))
-    name = F.coalesce(
-        F.nullif(roster.clean(h.text_of(nested)), F.lit("")),
-        F.nullif(_class_text(card, ["sidearm-roster-player-name", "sidearm-roster-player-name-link", "name"]), F.lit("")),
-        label,
-    )
+    plain = _class_text(card, ["sidearm-roster-player-name", "sidearm-roster-player-name-link", "name"])
     fields = {f: _class_text(card, names) for f, names in PLAYER_FIELDS.items()}
     fields["academic_year"] = roster.class_name(fields["academic_year"])
-    fields["position"] = F.when(fields["position"] == "", "").otherwise(roster.position(fields["position"]))
-    built = rows.select("page_id", name.alias("name"), *[c.alias(f) for f, c in fields.items()], absolute(F.col("url"), F.col("link")).alias("url"))
-    return built.where((F.col("name") != "") & ~F.col("name").contains("Instagram"))
+    fields["position"] = let(fields["position"], lambda p: F.when(p == "", "").otherwise(roster.position(p)))
+    name = first_filled(roster.clean(h.text_of(nested)), plain, label)
+    return F.struct(name.alias("name"), *[c.alias(f) for f, c in fields.items()], h.first_link(card).alias("link"))
+
+
+def player_cards(pages: DataFrame) -> DataFrame:
+    """Players from repeating cards, each field from an ordered list of classes.
+
+    Cards are read and judged inside one array, so each field is computed once.
+    """
+    cards = F.transform(h.cards(F.col("html"), PLAYER_CARDS), _without_screen_reader)
+    kept = F.filter(
+        F.transform(cards, _player),
+        lambda p: (p["name"] != "") & ~p["name"].contains("Instagram") & ~p["link"].contains("/coaches/") & ~p["link"].contains("/staff/"),
+    )
+    rows = pages.select("page_id", F.col("url").alias("_base"), F.inline(kept))
+    return rows.select("page_id", "name", *PLAYER_FIELDS, absolute(F.col("_base"), F.col("link")).alias("url"))
+
+
+def _coach(card: Column) -> Column:
+    tags = [roster.clean(h.text_of(F.get(h.inner(card, t), F.lit(0)))) for t in ("h3", "h4", "a")]
+    name = first_filled(_class_text(card, COACH_NAMES), *tags)
+    fields = [_class_text(card, names).alias(f) for f, names in COACH_FIELDS.items()]
+    return F.struct(name.alias("name"), *fields, h.first_link(card).alias("link"))
 
 
 def coach_cards(pages: DataFrame) -> DataFrame:
     """Coaches from repeating cards, one per address, name and title in any case."""
-    rows = pages.select("page_id", "url", F.posexplode(h.cards(F.col("html"), COACH_CARDS)).alias("at", "card"))
-    card = F.col("card")
-    rows = rows.where(~h.text_of(card, " ").contains("Jersey Number"))
-    tags = [F.nullif(roster.clean(h.text_of(F.get(h.inner(card, t), F.lit(0)))), F.lit("")) for t in ("h3", "h4", "a")]
-    name = F.coalesce(F.nullif(_class_text(card, COACH_NAMES), F.lit("")), *tags, F.lit(""))
-    fields = [_class_text(card, names).alias(f) for f, names in COACH_FIELDS.items()]
-    built = rows.select("page_id", "at", name.alias("name"), *fields, absolute(F.col("url"), h.first_link(card)).alias("url"))
-    built = built.where(F.col("name") != "")
+    staff = F.filter(h.cards(F.col("html"), COACH_CARDS), lambda c: ~h.text_of(c, " ").contains("Jersey Number"))
+    kept = F.filter(F.transform(staff, lambda c: _coach(_without_screen_reader(c))), lambda p: p["name"] != "")
+    rows = pages.select("page_id", F.col("url").alias("_base"), F.posexplode(kept).alias("at", "p"))
+    built = rows.select("page_id", "at", "p.name", *[f"p.{f}" for f in COACH_FIELDS], absolute(F.col("_base"), F.col("p.link")).alias("url"))
     keys = {"_u": F.lower("url"), "_n": F.lower("name"), "_t": F.lower("title")}
     return first_per_key(built.withColumns(keys), ["page_id", *keys], [F.col("at")]).drop("at", *keys)
 
@@ -267,22 +280,27 @@ def coach_table_rows(pages: DataFrame) -> DataFrame:
     opened = pages.withColumn("_headed", headed != "")
     opened = opened.withColumn("_table", F.coalesce(F.nullif(headed, F.lit("")), F.nullif(general, F.lit("")), any_table))
     _, rows = _shape(F.col("_table"))
-    rows = opened.where(F.col("_table").isNotNull()).withColumn("_row", F.explode(rows)).withColumn("_cells", h.row_cells(F.col("_row")))
-    rows = rows.withColumn("_texts", F.transform("_cells", lambda c: roster.clean(h.text_of(c)))).where(F.size("_cells") >= 2)
-    whole = F.lower(F.array_join("_texts", " "))
-    mentions = F.lit(False)
-    for word in COACH_ROWS:
-        mentions = mentions | whole.contains(word)
-    rows = rows.where(F.col("_headed") | mentions)
-    link = F.regexp_extract("_row", r"(?is)(<a(?:\s[^>]*)?>.*?</a>)", 1)
-    is_title = lambda t: F.lower(t).rlike("|".join(COACH_WORDS))
-    built = rows.select(
-        "page_id",
-        F.when(link != "", roster.clean(h.text_of(link))).otherwise(F.col("_texts")[0]).alias("name"),
-        F.coalesce(F.get(F.filter("_texts", is_title), F.lit(0)), F.lit("")).alias("title"),
-        F.when(link != "", absolute(F.col("url"), h.first_link(F.col("_row")))).otherwise(F.col("url")).alias("url"),
-    )
-    return built.where((F.col("name") != "") & (F.col("title") != ""))
+    rows = opened.where(F.col("_table").isNotNull()).select("page_id", "url", "_headed", F.explode(rows).alias("_row"))
+    read = F.transform(F.array("_row"), _coach_row)
+    good = F.filter(read, lambda r: (r["cells"] >= 2) & (F.col("_headed") | r["mentions"]) & (r["name"] != "") & (r["title"] != ""))
+    named = rows.select("page_id", F.col("url").alias("_base"), F.inline(good))
+    link = F.when(F.col("linked"), absolute(F.col("_base"), F.col("link"))).otherwise(F.col("_base"))
+    return named.select("page_id", "name", "title", link.alias("url"))
+
+
+def _coach_row(row: Column) -> Column:
+    texts = F.transform(h.row_cells(row), lambda c: roster.clean(h.text_of(c)))
+    anchor = F.regexp_extract(row, r"(?is)(<a(?:\s[^>]*)?>.*?</a>)", 1)
+
+    def read(cells: Column) -> Column:
+        title = F.get(F.filter(cells, lambda t: F.lower(t).rlike("|".join(COACH_WORDS))), F.lit(0))
+        name = F.when(anchor != "", roster.clean(h.text_of(anchor))).otherwise(F.get(cells, F.lit(0)))
+        return F.struct(
+            F.size(cells).alias("cells"), F.lower(F.array_join(cells, " ")).rlike("|".join(COACH_ROWS)).alias("mentions"), name.alias("name"),
+            F.coalesce(title, F.lit("")).alias("title"), (anchor != "").alias("linked"), h.first_link(row).alias("link"),
+        )
+
+    return let(texts, read)
 
 
 def carry(df: DataFrame, page: Sequence[str], at: str, marker: Column, value: Column, out: str) -> DataFrame:
