@@ -217,7 +217,8 @@ def pair_chemistry(games: DataFrame, min_games: int = 8) -> DataFrame:
         .where(F.col("games_worked") >= min_games)
         .withColumn("chemistry_score", F.col("foul_variance") + F.col("home_visitor_balance") * 2)
     )
-    order = [F.col("chemistry_score"), F.col("official_1"), F.col("official_2")]
+    # scores equal to nine places are ties: sums in another order differ past that
+    order = [F.round("chemistry_score", 9), F.col("official_1"), F.col("official_2")]
     ranked = ranking.number_rows(scores, order, "chemistry_rank")
     return ranked.select(_signature(), *ranked.columns)
 

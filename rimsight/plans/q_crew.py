@@ -161,7 +161,7 @@ CHEMISTRY = (
 @query(
     "a9_pair_chemistry",
     f"""WITH {CHEMISTRY} SELECT {SIG}, *,
-      row_number() OVER (ORDER BY chemistry_score, official_1, official_2) AS chemistry_rank FROM c""",
+      row_number() OVER (ORDER BY round(chemistry_score, 9), official_1, official_2) AS chemistry_rank FROM c""",
     "avg_fouls foul_variance foul_range home_visitor_balance std_fouls chemistry_score",
 )
 def a9(spark, d):

@@ -96,11 +96,11 @@ def team_box(spark: SparkSession, d: str) -> DataFrame:
     red = F.col("l_returnflag") == "R"
     stats = lines(spark, d).groupBy(F.col("l_orderkey").alias("game_id"), F.col("s_nationkey").alias("team_id")).agg(
         F.min("l_linenumber").alias("first_line"),
-        F.sum("l_extendedprice").alias("price"),
+        F.round(F.sum("l_extendedprice"), 2).alias("price"),
         F.sum(qty).alias("qty"),
         F.sum(F.when(red, qty).otherwise(0)).alias("red_qty"),
-        F.sum("l_tax").alias("tax"),
-        F.sum("l_discount").alias("disc"),
+        F.round(F.sum("l_tax"), 2).alias("tax"),
+        F.round(F.sum("l_discount"), 2).alias("disc"),
         F.count(F.lit(1)).alias("n"),
         F.sum((F.col("l_linestatus") == "O").cast("long")).alias("n_open"),
         F.sum((F.col("l_returnflag") == "A").cast("long")).alias("n_a"),
@@ -109,7 +109,7 @@ def team_box(spark: SparkSession, d: str) -> DataFrame:
     row = F.struct("first_line", "team_id", *[c for c in stats.columns if c not in ("first_line", "team_id", "game_id")])
     one = stats.groupBy("game_id").agg(F.array_sort(F.collect_list(row)).alias("sides"))
     one = one.where(F.size("sides") >= 2).withColumn("sides", F.slice("sides", 1, 2))
-    price = [F.round(F.element_at("sides", i)["price"], 2) for i in (1, 2)]
+    price = [F.element_at("sides", i)["price"] for i in (1, 2)]
     key = [F.element_at("sides", i)["team_id"] for i in (1, 2)]
     first_wins = (price[0] > price[1]) | ((price[0] == price[1]) & (key[0] < key[1]))
     winner = F.when(first_wins, key[0]).otherwise(key[1])
@@ -135,15 +135,21 @@ def team_box(spark: SparkSession, d: str) -> DataFrame:
             (F.col("n") + F.col("n_a")).cast("double").alias("turnovers"),
             F.col("n").cast("double").alias("assists"),
             F.when(F.col("n_a") == 3, "n/a")
-            .otherwise(F.format_string("%.3f", F.col("price") / 1000 * (F.col("n_open") + 1) / 20))
+            .otherwise(share_text(F.col("n_open"), 2_000_000))
             .alias("points_in_paint"),
             F.when(F.col("n_a") == 4, "--")
-            .otherwise(F.format_string("%.3f", F.col("price") / 1000 * (F.col("n_a") + 1) / 30))
+            .otherwise(share_text(F.col("n_a"), 3_000_000))
             .alias("fast_break_points"),
         )
     )
 
 
+def share_text(count, divisor: int):
+    """A whole number of points as text, by whole-number arithmetic on cents."""
+    cents = F.round(F.col("price") * 100).cast("long") * (count + 1)
+    return F.floor(cents / divisor).cast("string")
+
+
 def qty_(name: str):
     return F.col(name).cast("double")
 
@@ -152,14 +158,14 @@ BOX = """
 lnb AS (SELECT l.*, s_nationkey FROM lineitem l JOIN supplier ON l_suppkey = s_suppkey),
 side AS (
   SELECT l_orderkey AS game_id, s_nationkey AS team_id, min(l_linenumber) AS first_line,
-    sum(l_extendedprice) AS price, sum(l_quantity) AS qty,
+    round(sum(l_extendedprice), 2) AS price, sum(l_quantity) AS qty,
     sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS red_qty,
-    sum(l_tax) AS tax, sum(l_discount) AS disc, count(*) AS n,
+    round(sum(l_tax), 2) AS tax, round(sum(l_discount), 2) AS disc, count(*) AS n,
     count(*) FILTER (l_linestatus = 'O') AS n_open, count(*) FILTER (l_returnflag = 'A') AS n_a
   FROM lnb GROUP BY 1, 2),
 two AS (SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY first_line, team_id) AS rn,
     count(*) OVER (PARTITION BY game_id) AS cnt FROM side),
-pair2 AS (SELECT *, first_value(team_id) OVER (PARTITION BY game_id ORDER BY round(price, 2) DESC, team_id) AS winner
+pair2 AS (SELECT *, first_value(team_id) OVER (PARTITION BY game_id ORDER BY price DESC, team_id) AS winner
     FROM two WHERE rn <= 2 AND cnt >= 2),
 box AS (
   SELECT game_id, team_id, n_name AS team_short_display_name, team_id = winner AS team_winner,
@@ -168,8 +174,8 @@ box AS (
     100 * tax AS free_throws_attempted, 80 * tax * (1 - disc / n) AS free_throws_made,
     CAST(n_open + 1 AS DOUBLE) AS offensive_rebounds, CAST(n + 2 AS DOUBLE) AS defensive_rebounds,
     CAST(n + n_a AS DOUBLE) AS turnovers, CAST(n AS DOUBLE) AS assists,
-    CASE WHEN n_a = 3 THEN 'n/a' ELSE printf('%.3f', price / 1000 * (n_open + 1) / 20) END AS points_in_paint,
-    CASE WHEN n_a = 4 THEN '--' ELSE printf('%.3f', price / 1000 * (n_a + 1) / 30) END AS fast_break_points
+    CASE WHEN n_a = 3 THEN 'n/a' ELSE CAST(CAST(round(price * 100) AS BIGINT) * (n_open + 1) // 2000000 AS VARCHAR) END AS points_in_paint,
+    CASE WHEN n_a = 4 THEN '--' ELSE CAST(CAST(round(price * 100) AS BIGINT) * (n_a + 1) // 3000000 AS VARCHAR) END AS fast_break_points
   FROM pair2 JOIN nation ON team_id = n_nationkey)
 """
 
