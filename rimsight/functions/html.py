@@ -74,7 +74,9 @@ def has_class(html: Column, tag: str, name: str) -> Column:
 def by_class(fragment: Column, name: str) -> Column:
     """Inner HTML of the first element with the class, null if there is none."""
     pattern = rf"(?is)<([a-z][a-z0-9]*)\s[^>]*{class_pattern(name)}[^>]*>(.*?)</\1>"
-    return F.get(F.regexp_extract_all(fragment, F.lit(pattern), F.lit(2)), F.lit(0))
+    # the plain searches spare the pattern on fragments that cannot match
+    possible = fragment.contains(f'"{name}') | fragment.contains(f" {name}")
+    return F.when(possible, F.get(F.regexp_extract_all(fragment, F.lit(pattern), F.lit(2)), F.lit(0)))
 
 
 def cards(html: Column, names: Sequence[str]) -> Column:

@@ -101,10 +101,16 @@ UNWANTED_HEADERS = ["Social", "Pronounciation", "Pronouns"]
 
 def without_labels(text: Column) -> Column:
     """Field labels removed, then an exactly repeated full name collapsed."""
+    return let(let(text, _unlabelled), _one_name)
+
+
+def _unlabelled(text: Column) -> Column:
     out = text
     for pattern in LABEL_PATTERNS:
         out = strip(F.regexp_replace(out, f"(?i){pattern}", ""))
-    return let(out, _one_name)
+    # every label has a colon, a slash or is the word itself
+    labelled = text.contains(":") | text.contains("/") | F.lower(text).contains("hometown")
+    return F.when(labelled, out).otherwise(strip(text))
 
 
 def _one_name(text: Column) -> Column:

@@ -38,7 +38,7 @@ def first_filled(*values: Column) -> Column:
 
 def strip(value: Column | str) -> Column:
     """Whitespace off both ends, line breaks included."""
-    return F.regexp_replace(_column(value), r"^\s+|\s+$", "")
+    return F.btrim(_column(value), F.lit(" \t\n\x0b\f\r"))
 
 
 def squish(value: Column | str) -> Column:

@@ -305,13 +305,22 @@ def scale_sensitivity(assigned: DataFrame, scales: Sequence[float] = SCALES, k:
     return summed.select("team_id", "team_short_display_name", *out)
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson correlation over rows where both are known; null without spread.
+
+    The built-in aggregate divides by zero there, which ANSI mode raises on.
+    """
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation of every two columns, long form."""
     ranked = df
     for c in columns:
         ranked = hold(ranking.average_rank(ranked, c, f"_rank_{c}"))
     pairs = [(a, b) for a in columns for b in columns]
-    wide = ranked.agg(*[F.corr(f"_rank_{a}", f"_rank_{b}").alias(f"{a}~{b}") for a, b in pairs])
+    wide = ranked.agg(*[correlation(f"_rank_{a}", f"_rank_{b}").alias(f"{a}~{b}") for a, b in pairs])
     rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}~{b}`").alias("rho")) for a, b in pairs]
     return wide.select(F.inline(F.array(*rows)))
 
@@ -370,7 +379,7 @@ def variation_composites(profiles: DataFrame) -> DataFrame:
 
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson correlation of each pair over rows where both are known."""
-    wide = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
     return wide.select(F.inline(F.array(*rows)))
 
@@ -415,7 +424,7 @@ def first_component(df: DataFrame, keys: Sequence[str], features: Sequence[str],
         F.count(F.lit(1)).alias("_n"),
         F.array(*[F.avg(f) for f in features]).alias("_mean"),
         F.array(*[F.stddev_samp(f) for f in features]).alias("_sd"),
-        F.array(*[F.corr(features[i], features[j]) for i, j in upper]).alias("_corr"),
+        F.array(*[correlation(features[i], features[j]) for i, j in upper]).alias("_corr"),
     )
 
     @F.pandas_udf("array<double>")

@@ -251,6 +251,7 @@ def head_flow(moves: DataFrame) -> DataFrame:
 def position_duration(positions: DataFrame, as_of: int = 2025) -> DataFrame:
     years = F.coalesce("end_year", F.lit(as_of)) - F.col("start_year")
     rows = division_one(positions).withColumn("years_in_position", years)
+    # the exact median counts different values, and years are a short range of whole numbers
     return rows.groupBy("position_title_standardized").agg(
         F.count(F.lit(1)).alias("n_positions"),
         F.avg("years_in_position").alias("avg_duration"),

@@ -40,6 +40,16 @@ COACH_WORDS = ["coach", "director", "coordinator"]
 COACH_ROWS = ["head coach", "assistant coach", "director", "coordinator"]
 
 
+def _each(pages: DataFrame, rows: Column) -> DataFrame:
+    """One row per struct of a costly array.
+
+    A plain ``inline`` makes the optimizer test the array's size first and so
+    compute it twice; the outer form does not, and empty arrays are dropped after.
+    """
+    out = pages.select("page_id", F.col("url").alias("_base"), F.inline_outer(rows))
+    return out.where(F.col("link").isNotNull())
+
+
 def season_shown(html: Column, season: Column, need_roster: Column, start_only: Column | None = None) -> Column:
     """Any heading with a spelling of the season and, for players, the word roster."""
     spellings = season_spellings(season, start_only)
@@ -72,38 +82,60 @@ def _shape(table: Column) -> tuple[Column, Column]:
 
 
 def table_rows(pages: DataFrame) -> DataFrame:
-    """Player rows of the first table: hidden cells dropped, short rows skipped."""
+    """Player rows of the first table: hidden cells dropped, short rows skipped.
+
+    Each table is shaped once and its rows are read inside one array.
+    """
     table = F.get(h.blocks(F.col("html"), "table"), F.lit(0))
-    headers, rows = _shape(F.col("_table"))
-    opened = pages.withColumn("_table", table).where(F.col("_table").isNotNull())
-    opened = opened.withColumn("_fields", F.transform(headers, roster.header_field)).withColumn("_row", F.explode(rows))
-    cells = F.filter(h.row_cells(F.col("_row")), h.cell_is_visible)
-    kept = opened.withColumn("_cells", cells).where(F.size("_cells") >= F.size("_fields"))
-    kept = kept.withColumn("_cells", F.transform("_cells", lambda c: roster.clean(h.text_of(c))))
-    zipped = F.arrays_zip(F.col("_fields").alias("f"), F.slice("_cells", 1, F.size("_fields")).alias("c"))
-    kept = kept.withColumn("_zip", zipped)
-
-    def field(name: str) -> Column:
-        hits = F.filter("_zip", lambda z: z["f"] == name)
-        return F.coalesce(F.try_element_at(hits, F.lit(-1))["c"], F.lit(""))
-
-    town = roster.town_parts(field("town"))
-    named = kept.withColumn("_town", town)
+
+    def read(t: Column) -> Column:
+        headers, rows = _shape(t)
+        return let(F.transform(headers, roster.header_field), lambda fields: _kept_rows(fields, rows))
+
+    opened = _each(pages, let(table, read))
     split = F.col("_town.hometown") != ""
-    return named.select(
+    previous = F.when(F.col("_town.previous_school") != "", F.col("_town.previous_school")).otherwise(F.col("previous_school"))
+    return opened.select(
         "page_id",
-        field("jersey").alias("jersey"),
-        field("name").alias("name"),
-        field("position").alias("position"),
-        field("height").alias("height"),
-        roster.class_name(field("academic_year")).alias("academic_year"),
-        F.when(split, F.col("_town.hometown")).otherwise(field("hometown")).alias("hometown"),
-        F.when(split, F.col("_town.high_school")).otherwise(field("high_school")).alias("high_school"),
-        F.when(F.col("_town.previous_school") != "", F.col("_town.previous_school")).otherwise(field("previous_school")).alias("previous_school"),
-        absolute(F.col("url"), h.first_link(F.col("_row"))).alias("url"),
+        "jersey",
+        "name",
+        "position",
+        "height",
+        "academic_year",
+        F.when(split, F.col("_town.hometown")).otherwise(F.col("hometown")).alias("hometown"),
+        F.when(split, F.col("_town.high_school")).otherwise(F.col("high_school")).alias("high_school"),
+        previous.alias("previous_school"),
+        absolute(F.col("_base"), F.col("link")).alias("url"),
     )
 
 
+def _kept_rows(fields: Column, rows: Column) -> Column:
+    """Long enough rows as structs of cleaned fields; the last of equal headers wins."""
+
+    def wanted(name: str) -> Column:
+        return F.size(fields) + 1 - F.array_position(F.reverse(fields), name)
+
+    def read(row: Column) -> Column:
+        def build(cells: Column) -> Column:
+            def field(name: str) -> Column:
+                at = wanted(name).cast("int")
+                cell = F.when(F.array_contains(fields, name), roster.clean(h.text_of(F.get(cells, at - 1))))
+                return F.coalesce(cell, F.lit(""))
+
+            names = ["jersey", "name", "position", "height", "hometown", "high_school", "previous_school"]
+            return F.struct(
+                *[field(n).alias(n) for n in names],
+                roster.class_name(field("academic_year")).alias("academic_year"),
+                roster.town_parts(field("town")).alias("_town"),
+                h.first_link(row).alias("link"),
+            )
+
+        cells = F.filter(h.row_cells(row), h.cell_is_visible)
+        return let(cells, lambda c: F.when(F.size(c) >= F.size(fields), build(c)))
+
+    return F.array_compact(F.transform(rows, read))
+
+
 def page_links(pages: DataFrame, pattern: str) -> DataFrame:
     """Links matching a pattern: text, full address and numeric tail."""
     rows = pages.select("page_id", "url", F.explode(h.links(F.col("html"), pattern)).alias("a"))
@@ -212,7 +244,7 @@ def labelled_cards(pages: DataFrame) -> DataFrame:
 
 def _class_text(card: Column, names: Sequence[str]) -> Column:
     """Cleaned text of the first class that gives any."""
-    tried = F.array(*[h.by_class(card, n) for n in names])
+    tried = F.array_compact(F.array(*[h.by_class(card, n) for n in names]))
     cleaned = F.transform(tried, lambda x: roster.clean(h.text_of(x)))
     return F.coalesce(F.get(F.filter(cleaned, lambda x: x != ""), F.lit(0)), F.lit(""))
 
@@ -242,7 +274,7 @@ def player_cards(pages: DataFrame) -> DataFrame:
         F.transform(cards, _player),
         lambda p: (p["name"] != "") & ~p["name"].contains("Instagram") & ~p["link"].contains("/coaches/") & ~p["link"].contains("/staff/"),
     )
-    rows = pages.select("page_id", F.col("url").alias("_base"), F.inline(kept))
+    rows = _each(pages, kept)
     return rows.select("page_id", "name", *PLAYER_FIELDS, absolute(F.col("_base"), F.col("link")).alias("url"))
 
 
@@ -257,7 +289,7 @@ def coach_cards(pages: DataFrame) -> DataFrame:
     """Coaches from repeating cards, one per address, name and title in any case."""
     staff = F.filter(h.cards(F.col("html"), COACH_CARDS), lambda c: ~h.text_of(c, " ").contains("Jersey Number"))
     kept = F.filter(F.transform(staff, lambda c: _coach(_without_screen_reader(c))), lambda p: p["name"] != "")
-    rows = pages.select("page_id", F.col("url").alias("_base"), F.posexplode(kept).alias("at", "p"))
+    rows = pages.select("page_id", F.col("url").alias("_base"), F.posexplode_outer(kept).alias("at", "p")).where(F.col("at").isNotNull())
     built = rows.select("page_id", "at", "p.name", *[f"p.{f}" for f in COACH_FIELDS], absolute(F.col("_base"), F.col("p.link")).alias("url"))
     keys = {"_u": F.lower("url"), "_n": F.lower("name"), "_t": F.lower("title")}
     return first_per_key(built.withColumns(keys), ["page_id", *keys], [F.col("at")]).drop("at", *keys)
@@ -283,7 +315,7 @@ def coach_table_rows(pages: DataFrame) -> DataFrame:
     rows = opened.where(F.col("_table").isNotNull()).select("page_id", "url", "_headed", F.explode(rows).alias("_row"))
     read = F.transform(F.array("_row"), _coach_row)
     good = F.filter(read, lambda r: (r["cells"] >= 2) & (F.col("_headed") | r["mentions"]) & (r["name"] != "") & (r["title"] != ""))
-    named = rows.select("page_id", F.col("url").alias("_base"), F.inline(good))
+    named = _each(rows, good)
     link = F.when(F.col("linked"), absolute(F.col("_base"), F.col("link"))).otherwise(F.col("_base"))
     return named.select("page_id", "name", "title", link.alias("url"))
 

@@ -22,14 +22,14 @@ def z_score(df: DataFrame, column: str, out: str, flat: float | None = None) ->
     return df.crossJoin(F.broadcast(stats)).withColumn(out, z).drop("_m", "_s")
 
 
-def average_rank(df: DataFrame, column: str, out: str, descending: bool = False) -> DataFrame:
-    """Rank from 1 over all rows, ties sharing their mean position.
+def _value_positions(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
+    """Each different value with its count and the number of rows before it.
 
     Values are counted first, so a value held by a third of the rows is one
     row. Distinct values are cut into ``BUCKETS`` ranges at approximate
     quantiles; each range is summed on its own task and the ranges before it
     come from a table of at most ``BUCKETS`` rows. The cuts only balance the
-    work: the rank is exact wherever they fall.
+    work: positions are exact wherever they fall.
     """
     value = F.col(column)
     counts = df.where(value.isNotNull()).groupBy(value.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
@@ -48,15 +48,39 @@ def average_rank(df: DataFrame, column: str, out: str, descending: bool = False)
         .alias("_before"),
     )
     inside = Window.partitionBy("_b").orderBy(order("_v")).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = placed.join(F.broadcast(before), "_b").select(
-        "_v",
-        (
-            F.coalesce("_before", F.lit(0))
-            + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-            + (F.col("_n") + 1) / 2
-        ).alias(out),
+    zero = F.lit(0)
+    return placed.join(F.broadcast(before), "_b").select(
+        "_v", "_n", (F.coalesce("_before", zero) + F.coalesce(F.sum("_n").over(inside), zero)).alias("_at")
     )
-    return df.join(ranks, value == F.col("_v"), "left").drop("_v")
+
+
+def average_rank(df: DataFrame, column: str, out: str, descending: bool = False) -> DataFrame:
+    """Rank from 1 over all rows, ties sharing their mean position."""
+    places = _value_positions(df, column, descending)
+    ranks = places.select("_v", (F.col("_at") + (F.col("_n") + 1) / 2).alias(out))
+    return df.join(ranks, F.col(column) == F.col("_v"), "left").drop("_v")
+
+
+def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
+    """Exact quantiles by linear interpolation, one row per share.
+
+    The values at the two neighbouring positions are looked up in the counted
+    values; the built-in exact aggregate would gather them all in one task.
+    """
+    places = hold(_value_positions(df, column))
+    total = places.agg(F.sum("_n").alias("_all"))
+    wanted = F.array(*[F.lit(float(q)) for q in shares])
+    asked = places.crossJoin(F.broadcast(total)).withColumn("q", F.explode(wanted))
+    spot = (F.col("_all") - 1) * F.col("q")
+    low, end = F.floor(spot), F.col("_at") + F.col("_n")
+    has_low = (F.col("_at") <= low) & (low < end)
+    has_high = (F.col("_at") <= F.ceil(spot)) & (F.ceil(spot) < end)
+    near = asked.where(has_low | has_high)
+    return near.groupBy("q").agg(
+        F.max(F.when(has_low, F.col("_v"))).alias("_low"),
+        F.max(F.when(has_high, F.col("_v"))).alias("_high"),
+        F.max(spot - low).alias("_part"),
+    ).select("q", (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias("value"))
 
 
 def percentile(df: DataFrame, column: str, out: str) -> DataFrame:

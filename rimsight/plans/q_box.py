@@ -697,12 +697,26 @@ def t7(spark, d):
 
 @query(
     "t9_reference_lines",
-    f"""WITH {COMBINED} SELECT median(entropy_norm) AS med, quantile_cont(entropy_norm, 0.05) AS q05,
-      quantile_cont(entropy_norm, 0.92) AS q92, median(spread_score) AS spread_med FROM combined""",
-    "med q05 q92 spread_med",
+    f"""WITH {COMBINED}, c AS (SELECT entropy_norm, spread_score FROM combined), q(q) AS (VALUES (0.05::DOUBLE), (0.5::DOUBLE), (0.92::DOUBLE))
+    SELECT 'entropy_norm' AS metric, q, CASE q WHEN 0.05 THEN (SELECT quantile_cont(entropy_norm, 0.05) FROM c) WHEN 0.5 THEN (SELECT median(entropy_norm) FROM c)
+      ELSE (SELECT quantile_cont(entropy_norm, 0.92) FROM c) END AS value FROM q
+    UNION ALL SELECT 'spread_score', q, CASE q WHEN 0.05 THEN (SELECT quantile_cont(spread_score, 0.05) FROM c) WHEN 0.5 THEN (SELECT median(spread_score) FROM c)
+      ELSE (SELECT quantile_cont(spread_score, 0.92) FROM c) END FROM q""",
+    "q value",
 )
 def t9(spark, d):
-    teams = arch.team_archetypes(assigned(spark, d))
-    q = F.percentile("entropy_norm", F.array(F.lit(0.5), F.lit(0.05), F.lit(0.92)))
-    table = teams.agg(q.alias("q"), F.percentile("spread_score", F.lit(0.5)).alias("spread_med"))
-    return table.select(F.col("q")[0].alias("med"), F.col("q")[1].alias("q05"), F.col("q")[2].alias("q92"), "spread_med")
+    teams = hold(arch.team_archetypes(assigned(spark, d)))
+    parts = [
+        ranking.quantiles(teams, m, [0.05, 0.5, 0.92]).select(F.lit(m).alias("metric"), "q", "value") for m in ("entropy_norm", "spread_score")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "t9_price_quantiles",
+    """SELECT q, CASE q WHEN 0.05 THEN (SELECT quantile_cont(o_totalprice, 0.05) FROM orders) WHEN 0.5 THEN (SELECT median(o_totalprice) FROM orders)
+      ELSE (SELECT quantile_cont(o_totalprice, 0.92) FROM orders) END AS value FROM (VALUES (0.05::DOUBLE), (0.5::DOUBLE), (0.92::DOUBLE)) t(q)""",
+    "q value",
+)
+def t9_prices(spark, d):
+    return ranking.quantiles(spark.read.parquet(f"{d}/orders.parquet"), "o_totalprice", [0.05, 0.5, 0.92])

@@ -91,10 +91,15 @@ def a22(spark, d):
     return table.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= 10).drop("_r")
 
 
+def schools(spark, d):
+    """Positions by single suppliers as schools, so schools multiply with the data."""
+    return positions(spark, d).withColumn("college_clean", F.col("college"))
+
+
 LINKS = (
     BEFORE
     + f""", d1hc AS (SELECT DISTINCT coach FROM pos WHERE division = 'I' AND position_title_standardized = 'Head Coach'),
-links AS MATERIALIZED (SELECT DISTINCT a.coach, h.coach AS hc_name, a.college_clean FROM pos a JOIN pos h ON a.college_clean = h.college_clean
+links AS MATERIALIZED (SELECT DISTINCT a.coach, h.coach AS hc_name, a.college AS college_clean FROM pos a JOIN pos h ON a.college = h.college
   AND a.coach <> h.coach AND a.start_year <= coalesce(h.end_year, {AS_OF}) AND coalesce(a.end_year, {AS_OF}) >= h.start_year
   WHERE a.division = 'I' AND h.division = 'I' AND h.position_title_standardized = 'Head Coach' AND a.{ASSIST}),
 men AS (SELECT hc_name AS mentor, count(*) AS proteges_who_became_hc FROM links WHERE coach IN (SELECT coach FROM d1hc) GROUP BY 1)"""
@@ -103,12 +108,12 @@ men AS (SELECT hc_name AS mentor, count(*) AS proteges_who_became_hc FROM links
 
 @query("j6_mentor_overlap", f"WITH {LINKS} SELECT * FROM links")
 def j6(spark, d):
-    return careers.mentor_links(positions(spark, d), AS_OF)
+    return careers.mentor_links(schools(spark, d), AS_OF)
 
 
 @query("a23_mentors", f"WITH {LINKS} SELECT * FROM men ORDER BY proteges_who_became_hc DESC, mentor LIMIT 20")
 def a23(spark, d):
-    table = hold(positions(spark, d))
+    table = hold(schools(spark, d))
     people = careers.mentors(careers.mentor_links(table, AS_OF), table)
     return people.orderBy(F.desc("proteges_who_became_hc"), "mentor").limit(20)
 
@@ -120,7 +125,7 @@ def a23(spark, d):
     WHERE hc_name IN (SELECT mentor FROM top) AND coach IN (SELECT coach FROM d1hc)""",
 )
 def a23_edges(spark, d):
-    table = hold(positions(spark, d))
+    table = hold(schools(spark, d))
     return careers.mentor_edges(hold(careers.mentor_links(table, AS_OF)), table, 15)
 
 
