@@ -314,15 +314,12 @@ def correlation(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rank correlation of every two columns, long form."""
-    ranked = df
-    for c in columns:
-        ranked = hold(ranking.average_rank(ranked, c, f"_rank_{c}"))
-    pairs = [(a, b) for a in columns for b in columns]
-    wide = ranked.agg(*[correlation(f"_rank_{a}", f"_rank_{b}").alias(f"{a}~{b}") for a, b in pairs])
-    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}~{b}`").alias("rho")) for a, b in pairs]
-    return wide.select(F.inline(F.array(*rows)))
+def spearman(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Rank correlation of every two columns, long form; all columns ranked in one pass."""
+    long = hold(to_long(df, [key], {c: [F.col(c)] for c in columns}, ["value"]))
+    ranked = ranking.average_rank(long, "value", "rank", within=["feature"])
+    wide = ranked.groupBy(key).agg(*[F.max(F.when(F.col("feature") == c, F.col("rank"))).alias(c) for c in columns])
+    return correlations(wide, [(a, b) for a in columns for b in columns]).withColumnRenamed("r", "rho")
 
 
 def rank_movement(sensitivity: DataFrame, tight: str, loose: str) -> DataFrame:

@@ -22,43 +22,44 @@ def z_score(df: DataFrame, column: str, out: str, flat: float | None = None) ->
     return df.crossJoin(F.broadcast(stats)).withColumn(out, z).drop("_m", "_s")
 
 
-def _value_positions(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
+def _value_positions(df: DataFrame, column: str, descending: bool = False, within: Sequence[str] = ()) -> DataFrame:
     """Each different value with its count and the number of rows before it.
 
     Values are counted first, so a value held by a third of the rows is one
     row. Distinct values are cut into ``BUCKETS`` ranges at approximate
     quantiles; each range is summed on its own task and the ranges before it
     come from a table of at most ``BUCKETS`` rows. The cuts only balance the
-    work: positions are exact wherever they fall.
+    work: positions are exact wherever they fall. ``within`` columns have few
+    values (the columns of a matrix), each positioned on its own.
     """
+    keys = list(within)
     value = F.col(column)
-    counts = df.where(value.isNotNull()).groupBy(value.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    cuts = counts.agg(
+    counts = df.where(value.isNotNull()).groupBy(*keys, value.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    cuts = counts.groupBy(*keys).agg(
         F.percentile_approx("_v", [i / BUCKETS for i in range(1, BUCKETS)], 2000).alias("_cuts")
     )
-    placed = counts.crossJoin(F.broadcast(cuts)).select(
-        "_v", "_n", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_b")
-    )
+    cut = counts.join(F.broadcast(cuts), keys) if keys else counts.crossJoin(F.broadcast(cuts))
+    placed = cut.select(*keys, "_v", "_n", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_b"))
     order = F.desc if descending else F.asc
-    before = placed.groupBy("_b").agg(F.sum("_n").alias("_size"))
-    before = before.select(
-        "_b",
-        F.sum("_size")
-        .over(Window.orderBy(order("_b")).rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_before"),
-    )
-    inside = Window.partitionBy("_b").orderBy(order("_v")).rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("_size"))
+    sooner = Window.partitionBy(*keys).orderBy(order("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    before = before.select(*keys, "_b", F.sum("_size").over(sooner).alias("_before"))
+    inside = Window.partitionBy(*keys, "_b").orderBy(order("_v")).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0)
-    return placed.join(F.broadcast(before), "_b").select(
-        "_v", "_n", (F.coalesce("_before", zero) + F.coalesce(F.sum("_n").over(inside), zero)).alias("_at")
+    return placed.join(F.broadcast(before), [*keys, "_b"]).select(
+        *keys, "_v", "_n", (F.coalesce("_before", zero) + F.coalesce(F.sum("_n").over(inside), zero)).alias("_at")
     )
 
 
-def average_rank(df: DataFrame, column: str, out: str, descending: bool = False) -> DataFrame:
+def average_rank(df: DataFrame, column: str, out: str, descending: bool = False, within: Sequence[str] = ()) -> DataFrame:
     """Rank from 1 over all rows, ties sharing their mean position."""
-    places = _value_positions(df, column, descending)
-    ranks = places.select("_v", (F.col("_at") + (F.col("_n") + 1) / 2).alias(out))
-    return df.join(ranks, F.col(column) == F.col("_v"), "left").drop("_v")
+    places = _value_positions(df, column, descending, within)
+    keys = [F.col(k).alias(f"_g{i}") for i, k in enumerate(within)]
+    ranks = places.select(*keys, "_v", (F.col("_at") + (F.col("_n") + 1) / 2).alias(out))
+    same = F.col(column) == F.col("_v")
+    for i, k in enumerate(within):
+        same = same & (F.col(k) == F.col(f"_g{i}"))
+    return df.join(ranks, same, "left").drop("_v", *[f"_g{i}" for i in range(len(within))])
 
 
 def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:

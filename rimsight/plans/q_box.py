@@ -428,7 +428,7 @@ def _avg_rank(column, order=""):
     "rho",
 )
 def m15(spark, d):
-    return arch.spearman(hold(arch.scale_sensitivity(assigned(spark, d))), SCALE_COLUMNS)
+    return arch.spearman(arch.scale_sensitivity(assigned(spark, d)), "team_id", SCALE_COLUMNS)
 
 
 MOVE = SENS + f""", mv AS (SELECT *, {_avg_rank('scale_5', 'DESC')} AS rank_tight, {_avg_rank('"scale_Inf"', 'DESC')} AS rank_unweight FROM sens)"""

@@ -185,11 +185,16 @@ AS_OF = 2002
 
 
 def first_supplier(spark: SparkSession, d: str) -> DataFrame:
-    """Supplier of each order's lowest-numbered line."""
-    place = F.struct("l_linenumber", "l_suppkey")
-    return lines(spark, d).groupBy("l_orderkey").agg(
-        F.min_by(F.struct("s_nationkey", "s_name"), place).alias("s")
-    ).select("l_orderkey", "s.s_nationkey", "s.s_name")
+    """Supplier of each order's lowest-numbered line.
+
+    Line and supplier number are packed into one long, whose minimum is a hash
+    aggregate; suppliers are joined to orders, not to their lines.
+    """
+    packed = F.min(F.col("l_linenumber").cast("long") * (1 << 48) + F.col("l_suppkey"))
+    first = table(spark, d, "lineitem").groupBy("l_orderkey").agg(packed.alias("p"))
+    sup = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    named = first.withColumn("s_suppkey", F.col("p").bitwiseAND(F.lit((1 << 48) - 1)))
+    return named.join(sup, "s_suppkey").select("l_orderkey", "s_nationkey", "s_name")
 
 
 def positions(spark: SparkSession, d: str) -> DataFrame:

@@ -86,3 +86,10 @@ def test_quantiles_match_numpy_with_ties(spark):
     pdf = hot_values(4001)
     got = {r.q: r.value for r in ranking.quantiles(spark.createDataFrame(pdf), "v", [0.0, 0.05, 0.5, 0.92, 1.0]).collect()}
     assert len(got) == 5 and all(abs(got[q] - np.quantile(pdf["v"], q)) < 1e-9 for q in got)
+
+
+def test_average_rank_within_columns(spark):
+    pdf = pd.concat([hot_values(900).assign(g=g, v=lambda d, g=g: d.v * g) for g in (1, -1)], ignore_index=True)
+    got = ranking.average_rank(spark.createDataFrame(pdf), "v", "r", within=["g"]).toPandas().sort_values(["g", "id"])
+    want = pdf.assign(r=pdf.groupby("g").v.rank()).sort_values(["g", "id"])
+    assert np.allclose(got.r.to_numpy(), want.r.to_numpy())
