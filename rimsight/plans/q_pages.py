@@ -223,9 +223,9 @@ def h9(spark, d):
     row = F.concat(
         F.lit("<h2>"), status, F.lit("</h2><ul><li>no school yet</li></ul><h3>School "), text("l_suppkey"), school, F.lit("</h3><ul><li><strong>Coach "), text("l_partkey"),
         F.lit("</strong>"), F.when(F.col("l_returnflag") == "A", " resigned").otherwise(" <i>named</i> coach"), F.lit(" (March "), text("l_linenumber"),
-        F.lit(', 2024 ) <a href="https://wbbblog.com/x"></a><a href="https://a.edu/'), text("l_partkey"), F.lit('"></a></li></ul>'),
+        F.lit(', 2024 ) <a href="https://blog.example.com/x"></a><a href="https://a.edu/'), text("l_partkey"), F.lit('"></a></li></ul>'),
     )
-    return pages.sectioned_list(line_pages(spark, d, row), "wbbblog.com")
+    return pages.sectioned_list(line_pages(spark, d, row), "blog.example.com")
 
 
 @query(

@@ -404,7 +404,7 @@ def f28(spark, d):
 
 
 LINKS = [
-    '<a href="https://wbbblog.com/1">x</a> <a class="k" href="https://a.edu/pr', '<a href="https://b.edu/', '<a href="https://wbbblog.com/2',
+    '<a href="https://blog.example.com/1">x</a> <a class="k" href="https://a.edu/pr', '<a href="https://b.edu/', '<a href="https://blog.example.com/2',
     '<p>none',
 ]
 
@@ -412,11 +412,11 @@ LINKS = [
 @query(
     "f29_external_link",
     f"""WITH {texts(LINKS, "o_custkey || " + quoted('">y</a>'))} SELECT o_orderkey,
-      list_filter(regexp_extract_all(t, '<a\\s[^>]*href="([^"]*)"', 1), lambda u: NOT contains(u, 'wbbblog.com'))[1] AS link FROM x""",
+      list_filter(regexp_extract_all(t, '<a\\s[^>]*href="([^"]*)"', 1), lambda u: NOT contains(u, 'blog.example.com'))[1] AS link FROM x""",
 )
 def f29(spark, d):
     x = with_text(spark, d, LINKS, F.concat(F.col("o_custkey").cast("string"), F.lit('">y</a>')))
-    return x.select(KEY, titles.external_link(F.col("t"), "wbbblog.com").alias("link"))
+    return x.select(KEY, titles.external_link(F.col("t"), "blog.example.com").alias("link"))
 
 
 BRACES = ["entered portal ", "Entered  Portal ", "ENTERED PORTAL "]
