@@ -128,7 +128,8 @@ TEAM_DOUBLES = "entropy entropy_norm hhi dominance_ratio hhi_norm spread_score v
 
 
 def features(spark, d):
-    return hold(bx.game_features(bx.with_opponent(team_box(spark, d))))
+    # held first: both sides of the self-join then read one small table, not the lines twice
+    return hold(bx.game_features(bx.with_opponent(hold(team_box(spark, d)))))
 
 
 def wins(spark, d):
