@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rimsight.llm import words as W
 from rimsight.llm.columns import doc_key
 from rimsight.llm.shared import held, ship_package
+from rimsight.llm.sieve import passes, sieve_of
 
 WINDOW = 10
 GRAM = 5
@@ -39,10 +40,6 @@ def _window(hashes: np.ndarray, size: int) -> np.ndarray:
     return W.grams(hashes, size)[: max(0, len(hashes) - size + 1)].view(np.int64)
 
 
-def _sieve(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (keys.astype(np.uint64) % np.uint64(bits)).astype(np.int64)
-
-
 def benchmark_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """One row per fingerprint and per window that holds it: length, fingerprint, before, window hash, item.
 
@@ -99,8 +96,7 @@ def document_prints(docs: DataFrame, sizes: list[int], sieve: bytes, window: int
                     g, span = (gram, window - gram + 1) if size == window else (size, 1)
                     places = winnow(hashes, texts, g, span)
                     prints = W.grams(hashes, g).view(np.int64)[places]
-                    slot = _sieve(prints.view(np.uint64), len(marks) * 8)
-                    passed = (marks[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+                    passed = passes(marks, np.mod(prints, len(marks) * 8))
                     places, prints = places[passed], prints[passed]
                     windows = _window(hashes, size)
                     for before in range(size - g + 1):
@@ -139,18 +135,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     spark = docs.sparkSession
     ship_package(spark)
     known = held(benchmark_windows(items, window, gram), "benchmark-windows")
-    slots = known.select("size", F.pmod(F.col("print"), F.lit(SIEVE_BITS)).alias("slot")).distinct()
-    marks = np.zeros(SIEVE_BITS // 8, np.uint8)
-    sizes = set()
-    # each task folds its slots into bytes of the sieve: at most SIEVE_BITS / 8 rows come back
-    folded = slots.groupBy((F.col("slot") / 8).cast("long").alias("byte")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1), (F.col("slot") % 8).cast("int"))).alias("bits"),
-        F.collect_set("size").alias("sizes"),
-    )
-    for batch in folded.toPandas().itertuples():
-        marks[batch.byte] |= batch.bits
-        sizes.update(int(x) for x in batch.sizes)
-    found = held(document_prints(docs, sorted(sizes), marks.tobytes(), window, gram), "document-prints")
+    sieve = sieve_of(known, F.pmod(F.col("print"), F.lit(SIEVE_BITS)), SIEVE_BITS)
+    sizes = sorted(r["size"] for r in known.select("size").distinct().collect())  # at most ``window`` lengths
+    found = held(document_prints(docs, sizes, sieve, window, gram), "document-prints")
     rows = found.select(doc_key("doc_id").alias("doc"), "text_hash", F.explode("prints").alias("p")).select("doc", "text_hash", "p.*")
     hits = rows.join(known, ["size", "print", "before", "window"]).select("doc", "text_hash", "size", "start", "item")
     items_of = hits.select("doc", "text_hash", "item").distinct().groupBy("doc", "text_hash").agg(F.sort_array(F.collect_list("item")).alias("items"))
@@ -182,10 +169,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents without a word hit, with all their columns."""
-    marks = contamination(docs, items).filter(F.col("n_hit") > 0).select(
-        doc_key("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")
-    ).distinct()
-    left = docs.alias("d")
-    same = (doc_key("d.doc_id") == F.col("m.__doc")) & (F.xxhash64(F.lit(7), "d.text") == F.col("m.__hash"))
-    return left.join(marks.alias("m"), same, "left_anti")
+    """Documents without a word hit, with all their columns; the text is judged whole."""
+    hit = contamination(docs, items).filter(F.col("n_hit") > 0)
+    marks = hit.select(doc_key("doc_id").alias("hit_doc"), F.col("text_hash").alias("hit_hash")).distinct()
+    same = (doc_key("d.doc_id") == F.col("m.hit_doc")) & (F.xxhash64(F.lit(7), F.col("d.text")) == F.col("m.hit_hash"))
+    return docs.alias("d").join(marks.alias("m").hint("shuffle_hash"), same, "left_anti")

@@ -15,10 +15,11 @@ from rimsight.llm import words as W
 from rimsight.llm.columns import doc_key
 from rimsight.llm.components import components
 from rimsight.llm.shared import held, ship_package
+from rimsight.llm.sieve import bits_for, passes, sieve_of
 
 GRAM = 5
 BAND = 1.7  # sizes of one band differ by no more than this factor
-SIEVE_BITS = 1 << 26
+MOST_BITS = 1 << 28  # of the sieve that picks the sets to count
 GROUP = 1024  # members of a signature's group that are compared at a time
 
 # Jaccard 0.8: sets of a and b elements link when they differ in no more than (a + b) / 9 elements,
@@ -172,20 +173,17 @@ def signature_rows(docs: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc, h1, h2 and the set of the documents wanted, picked with a sieve of fixed size."""
+    """doc, h1, h2 and the set of the documents wanted, picked with a sieve of bounded size."""
     spark = docs.sparkSession
-    byte = F.pmod(F.xxhash64("doc"), F.lit(SIEVE_BITS))
-    marks = np.zeros(SIEVE_BITS // 8, np.uint8)
-    folded_bits = wanted.select((byte / 8).cast("long").alias("byte"), F.call_function("shiftleft", F.lit(1), (byte % 8).cast("int")).alias("bit"))
-    for r in folded_bits.groupBy("byte").agg(F.bit_or("bit").alias("bits")).toLocalIterator():  # at most SIEVE_BITS / 8 rows
-        marks[r["byte"]] |= r["bits"]
-    shared = spark.sparkContext.broadcast(marks.tobytes())
+    bits = bits_for(wanted.count(), MOST_BITS)
+    slot = F.pmod(F.xxhash64("doc"), F.lit(bits))
+    shared = spark.sparkContext.broadcast(sieve_of(wanted, slot, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             slot = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((sieve[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
+            batch = batch.filter(pa.array(passes(sieve, slot)))
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
                 sets, ends = shingle_sets(part.column(1))
@@ -198,7 +196,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     [part.column(0), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(blobs, pa.binary())], ["doc", "h1", "h2", "elements"]
                 )
 
-    rows = _rows(docs).select("doc", "text", byte.alias("slot"))
+    rows = _rows(docs).select("doc", "text", slot.alias("slot"))
     return rows.mapInArrow(run, "doc long, h1 long, h2 long, elements binary")
 
 
