@@ -11,7 +11,7 @@ _HEAD = struct.Struct("<QQBxxxxxxx")
 
 
 class EliasFano:
-    """n values below a bound in about n * (2 + log2(bound / n)) bits.
+    """n values up to a bound in about n * (2 + log2(bound / n)) bits.
 
     Low bits stand side by side; high parts are a bit string with a one for each value. Every
     SAMPLE-th one's place is kept as a 32-bit number, so ``select`` reads a short stretch.
@@ -25,7 +25,7 @@ class EliasFano:
     def encode(cls, values: np.ndarray) -> EliasFano:
         values = np.asarray(values, np.uint64)
         n = len(values)
-        bound = int(values[-1]) + 1 if n else 0
+        bound = int(values[-1]) if n else 0
         made = cls(n, bound, np.zeros(0, np.uint8), np.zeros(0, np.uint8), np.zeros(0, np.uint32))
         if not n:
             return made

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rimsight.llm import words as W
-from rimsight.llm.columns import doc_key, fresh
+from rimsight.llm.columns import doc_key
 from rimsight.llm.shared import held, ship_package
 from rimsight.llm.sieve import bits_for, passes, sieve_of
 
@@ -285,20 +285,23 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
     return settled.unionByName(copies).unionByName(_settle(contexts))
 
 
-def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a number for each different (id, text), in order of ids; the id itself where ids do not repeat."""
-    keys = docs.select(doc_key("doc_id").alias("doc"), F.xxhash64(F.lit(7), F.coalesce("text", F.lit(""))).alias("hash")).distinct()
-    twice = keys.groupBy("doc").count().filter("count > 1")
-    if twice.isEmpty():
-        return docs.withColumn(name, doc_key("doc_id"))
-    ordered = held(keys.repartitionByRange("doc", "hash").withColumn("part", F.spark_partition_id()), "ids")
+def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` (doc_id, text) with doc, a number for each different id and text in order of ids; and each such text once.
+
+    The number is the id itself where no id repeats.
+    """
+    hashed = docs.withColumns({"key": doc_key("doc_id"), "hash": F.xxhash64(F.lit(7), F.col("text"))})
+    if hashed.groupBy("key").count().filter("count > 1").isEmpty():
+        rows = docs.withColumn("doc", doc_key("doc_id"))
+        return rows, rows
+    keys = hashed.select("key", "hash").distinct()
+    ordered = held(keys.repartitionByRange("key", "hash").withColumn("part", F.spark_partition_id()), "ids")
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
     parts = ordered.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("ahead"))
-    local = F.row_number().over(Window.partitionBy("part").orderBy("doc", "hash"))
-    number = ordered.withColumn("local", local).join(parts, "part").select("doc", "hash", (F.col("local") + F.col("ahead")).alias(name))
-    doc, hashed = fresh(docs.withColumn(name, F.lit(0)), "doc", "hash")
-    left = docs.withColumns({doc: doc_key("doc_id"), hashed: F.xxhash64(F.lit(7), F.coalesce("text", F.lit("")))})
-    return left.join(number.withColumnsRenamed({"doc": doc, "hash": hashed}), [doc, hashed]).drop(doc, hashed)
+    local = F.row_number().over(Window.partitionBy("part").orderBy("key", "hash"))
+    number = ordered.withColumn("local", local).join(parts, "part").select("key", "hash", (F.col("local") + F.col("ahead")).alias("doc"))
+    rows = hashed.join(number, ["key", "hash"]).select("doc_id", "text", "doc")
+    return rows, rows.dropDuplicates(["doc"])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -311,8 +314,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     and all come back as it does. All strings are judged on the input.
     """
     ship_package(docs.sparkSession)
-    rows = numbered(docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), "doc")
-    runs = repeated_runs(rows.select("doc", "text")).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    rows, texts = numbered(docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
+    runs = repeated_runs(texts.select("doc", "text")).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     joined = rows.join(runs.hint("shuffle_hash"), "doc", "left").select("doc_id", "text", "runs")
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 

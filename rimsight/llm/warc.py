@@ -106,30 +106,22 @@ def read_archive(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
         raise ValueError(f"{uri} does not start with a dictionary frame")
     shared = _dictionary(zstandard.ZstdDecompressor().decompress(file.read(size)))
     opener = zstandard.ZstdDecompressor(dict_data=shared) if shared else zstandard.ZstdDecompressor()
-    stream, buffer = opener.stream_reader(file, read_across_frames=True, read_size=1 << 20), bytearray()
-
-    def more() -> bool:
-        chunk = stream.read(1 << 18)
-        buffer.extend(chunk)
-        return bool(chunk)
-
-    while True:
-        while (head := buffer.find(b"\r\n\r\n")) < 0:
-            if not more():
-                if buffer:
-                    raise ValueError(f"{uri} ends within a record")
-                return
-        version, *lines = bytes(buffer[:head]).decode().split("\r\n")
-        if version != "WARC/1.1":
-            raise ValueError(f"{uri} has no record where one should start")
-        headers = {k.lower(): v for k, v in (x.split(": ", 1) for x in lines)}
-        end = head + 4 + int(headers["content-length"])
-        while len(buffer) < end + 4:
-            if not more():
+    rest = file.read(1 << 20)
+    while rest:
+        frame, made = opener.decompressobj(), []
+        while not frame.eof:
+            if not rest:
                 raise ValueError(f"{uri} ends within a record")
-        block = bytes(buffer[head + 4 : end])
-        del buffer[: end + 4]
-        yield headers, block
+            made.append(frame.decompress(rest))
+            rest = frame.unused_data if frame.eof else file.read(1 << 20)
+        rest = rest or file.read(1 << 20)
+        head, _, body = b"".join(made).partition(b"\r\n\r\n")
+        version, *lines = head.decode().split("\r\n")
+        headers = {k.lower(): v for k, v in (x.split(": ", 1) for x in lines)}
+        size = int(headers.get("content-length", -1))
+        if version != "WARC/1.1" or body[size:] != b"\r\n\r\n":
+            raise ValueError(f"{uri} holds a frame that is no record")
+        yield headers, body[:size]
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:

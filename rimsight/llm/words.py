@@ -130,7 +130,7 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k words from each place on; the last k - 1 places of a text mean nothing."""
     n = len(hashes)
     out = hashes.copy()
-    for j in range(1, k):
+    for j in range(1, min(k, n)):
         out *= _STEP
         out[: n - j] += hashes[j:]
     return mix(out)
