@@ -172,8 +172,9 @@ def test_suffix_dedup_awkward(awkward, no_docs):
 
 
 def test_suffix_dedup_repeated_id(spark):
-    text = "".join(random.Random(1).choice("abcdefgh") for _ in range(150))
-    docs = spark.createDataFrame([(1, text), (1, text + "".join(random.Random(2).choice("abcdefgh") for _ in range(120))), (1, text), (2, text)], "doc_id long, text string")
+    rng = random.Random(1)
+    text, more = ("".join(rng.choice("abcdefgh") for _ in range(n)) for n in (150, 120))
+    docs = spark.createDataFrame([(1, text), (1, text + more), (1, text), (2, text)], "doc_id long, text string")
     got = suffix_dedup.without_repeats(docs).withColumn("n", F.size("spans")).collect()
     assert sorted((r["doc_id"], r["n_bytes"], r["n"]) for r in got)[-1] == (2, 150, 1)
     first = [r for r in got if r["doc_id"] == 1]
