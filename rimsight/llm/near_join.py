@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +20,7 @@ GRAM = 5
 BAND = 1.7  # sizes of one band differ by no more than this factor
 MOST_BITS = 1 << 28  # of the sieve that picks the sets to count
 GROUP = 1024  # members of a signature's group that are compared at a time
+CHUNK_ROWS = 40_000
 
 # Jaccard 0.8: sets of a and b elements link when they differ in no more than (a + b) / 9 elements,
 # so b lies between 0.8 a and 1.25 a.
@@ -245,24 +245,69 @@ def _across(members: DataFrame) -> DataFrame:
         "*", F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / GROUP).cast("int"))).alias("other")
     ).select("sig", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc", "n", "label", "sketch")
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
-        out = []
-        left = group[group["block"] == low] if low != high else group
-        right = group[group["block"] == high] if low != high else group
-        size = int(min(group["sketch"].map(len)))
-        n_r, doc_r, label_r = right["n"].to_numpy(), right["doc"].to_numpy(), right["label"].to_numpy()
-        bits_r = np.stack([folded(s, size) for s in right["sketch"]])
-        for doc, n, label, sketch in zip(left["doc"], left["n"], left["label"], left["sketch"]):
-            apart = (label_r != label) & (5 * np.minimum(n, n_r) >= 4 * np.maximum(n, n_r))
-            if low == high:
-                apart &= doc_r > doc
-            at = np.flatnonzero(apart)
-            far = _ONES[bits_r[at] ^ folded(sketch, size)].sum(axis=1, dtype=np.int64)
-            out += [(min(doc, d), max(doc, d)) for d in doc_r[at[9 * far <= n + n_r[at]]]]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    return met.groupBy("sig", "low", "high").applyInPandas(compare, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        n = 0
+        for batch in batches:
+            waiting.append(batch)
+            n += len(batch)
+            if n < CHUNK_ROWS:
+                continue
+            rows = pa.Table.from_batches(waiting)
+            sig, low, high = (rows.column(c).to_numpy() for c in ("sig", "low", "high"))
+            last = (sig == sig[-1]) & (low == low[-1]) & (high == high[-1])  # this group may go on
+            cut = int(np.argmax(last))
+            if cut:
+                yield plausible_pairs(rows.slice(0, cut))
+                waiting, n = rows.slice(cut).to_batches(), len(rows) - cut
+        if n:
+            yield plausible_pairs(pa.Table.from_batches(waiting))
+
+    dealt = met.repartition("sig", "low", "high").sortWithinPartitions("sig", "low", "high", "block", "doc")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def plausible_pairs(rows: pa.Table) -> pa.RecordBatch:
+    """Pairs within the groups of rows (sorted by group) that differ in label and that sizes and sketches allow.
+
+    In a group of one block all rows meet, in a group of two the rows of one block those of
+    the other. Pairs are made a distance in the order at a time, for all groups together.
+    """
+    sig, low, high, block, doc, n, label = (rows.column(c).to_numpy() for c in ("sig", "low", "high", "block", "doc", "n", "label"))
+    total = len(sig)
+    new = np.ones(total, bool)
+    new[1:] = (sig[1:] != sig[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    first = np.flatnonzero(new)
+    end = np.repeat(np.append(first[1:], total), np.diff(np.append(first, total)))
+    sketches = rows.column("sketch").to_pylist()
+    sizes = np.fromiter(map(len, sketches), np.int64, total)
+    tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for size in np.unique(sizes).tolist():
+        use = np.flatnonzero(sizes >= size)
+        place = np.zeros(total, np.int64)
+        place[use] = np.arange(len(use))
+        tables[size] = (place, np.stack([folded(sketches[k], size) for k in use.tolist()]).view(np.uint64))
+    found = [np.zeros((0, 2), np.int64)]
+    active, apart = np.arange(total), 0
+    while len(active):
+        apart += 1
+        active = active[active + apart < end[active]]
+        i, j = active, active + apart
+        open_ = (label[i] != label[j]) & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
+        open_ &= (low[i] == high[i]) | (block[i] != block[j])
+        i, j = i[open_], j[open_]
+        least = np.minimum(sizes[i], sizes[j])
+        for size in np.unique(least).tolist():
+            place, bits = tables[size]
+            own = least == size
+            p, q = i[own], j[own]
+            for at in range(0, len(p), 65536):
+                x, y = p[at : at + 65536], q[at : at + 65536]
+                far = np.bitwise_count(bits[place[x]] ^ bits[place[y]]).sum(axis=1, dtype=np.int64)
+                kept = 9 * far <= n[x] + n[y]
+                found.append(np.stack([np.minimum(doc[x], doc[y])[kept], np.maximum(doc[x], doc[y])[kept]], axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 def classes(docs: DataFrame) -> DataFrame:
