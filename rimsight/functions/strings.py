@@ -8,16 +8,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # fixed values: accented Latin letters and the plain letters they join as
-ACCENTED = "àáâãäåāăąçćčďđèéêëēėęěğìíîïīłñńňòóôõöøōőřśşšťțùúûüūůűýÿźżžÀÁÂÃÄÅÇČÈÉÊËĚÌÍÎÏŁÑÒÓÔÕÖØŘŚŠŤÙÚÛÜŮÝŹŻŽ"
-PLAIN = "aaaaaaaaacccddeeeeeeeegiiiiilnnnoooooooorsssttuuuuuuuyyzzzAAAAAACCEEEEEIIIILNOOOOOORSSTUUUUUYZZZ"
+ACCENTED = "àáâãäåāăąçćčďđðèéêëēėęěğìíîïīłñńňòóôõöøōőřśşšťțùúûüūůűýÿźżžÀÁÂÃÄÅÇČÈÉÊËĚÌÍÎÏŁÑÒÓÔÕÖØŘŚŠŤÙÚÛÜŮÝŹŻŽ"
+PLAIN = "aaaaaaaaacccdddeeeeeeeegiiiiilnnnoooooooorsssttuuuuuuuyyzzzAAAAAACCEEEEEIIIILNOOOOOORSSTUUUUUYZZZ"
 
 
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+# fixed values: letters that join as two
+DOUBLE = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "Æ": "AE", "Œ": "OE", "Þ": "TH", "ẞ": "SS"}
+
+
 def to_ascii(value: Column | str) -> Column:
-    return F.translate(_column(value), ACCENTED, PLAIN)
+    text = _column(value)
+    for letter, plain in DOUBLE.items():
+        text = F.replace(text, F.lit(letter), F.lit(plain))
+    return F.translate(text, ACCENTED, PLAIN)
 
 
 def join_key(value: Column | str, transliterate: bool = True) -> Column:
@@ -68,7 +75,7 @@ def competition_slug(name: Column, year: Column) -> Column:
 def title_case(value: Column | str) -> Column:
     """Capital after every non-letter, the rest lower (O'Brien, not O'brien)."""
     runs = F.regexp_extract_all(_column(value), F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    cased = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 10000))))
+    cased = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substr(r, F.lit(2)))))
     return F.array_join(cased, "")
 
 

@@ -131,7 +131,7 @@ def pair_counts(games: DataFrame) -> DataFrame:
     return pairs.groupBy("official_1", "official_2").agg(F.count(F.lit(1)).alias("games_together"))
 
 
-def frequent_pairs(games: DataFrame, top_n: int = 20) -> DataFrame:
+def frequent_pairs(games: DataFrame, top_n: int | None = 20) -> DataFrame:
     top = pair_counts(games).orderBy(F.desc("games_together"), "official_1", "official_2").limit(top_n)
     return top.select(_signature(), "official_1", "official_2", "games_together")
 
@@ -223,13 +223,14 @@ def pair_chemistry(games: DataFrame, min_games: int = 8) -> DataFrame:
     return ranked.select(_signature(), *ranked.columns)
 
 
-def pair_network(games: DataFrame, min_games: int = 5, top_n: int = 1000) -> DataFrame:
-    """Partners per official among the most frequent pairs.
+def pair_network(games: DataFrame, min_games: int = 5, top_n: int | None = None) -> DataFrame:
+    """Partners per official among all pairs with enough games.
 
-    The list is cut to ``top_n`` before the minimum applies; half the summed
-    games, rounded down, is the official's total.
+    With ``top_n`` only the most frequent pairs count; half the summed games,
+    rounded down, is the official's total.
     """
-    pairs = frequent_pairs(games, top_n).where(F.col("games_together") >= min_games)
+    pairs = pair_counts(games) if top_n is None else frequent_pairs(games, top_n)
+    pairs = pairs.where(F.col("games_together") >= min_games)
     ends = pairs.select(
         F.inline(
             F.array(

@@ -267,7 +267,7 @@ def m7(spark, d):
 
 @query(
     "m7_icc_embeddings",
-    """WITH e AS (SELECT label, unnest(embedding[1:4]) AS x, unnest(['d0', 'd1', 'd2', 'd3']) AS feature FROM embeddings),
+    """WITH e AS (SELECT label, unnest(embedding) AS x, 'd' || (generate_subscripts(embedding, 1) - 1) AS feature FROM embeddings),
     grp AS (SELECT feature, label, count(*) AS n, avg(CAST(x AS DOUBLE)) AS m, var_pop(CAST(x AS DOUBLE)) * count(*) AS ss FROM e GROUP BY 1, 2),
     gm AS (SELECT feature, sum(n * m) / sum(n) AS g FROM grp GROUP BY 1),
     ms AS (SELECT feature, sum(n * pow(m - g, 2)) / (count(*) - 1) AS msb, sum(ss) / (sum(n) - count(*)) AS msw,
@@ -278,8 +278,9 @@ def m7(spark, d):
 )
 def m7_embeddings(spark, d):
     table = spark.read.parquet(f"{d}/embeddings.parquet")
-    wide = table.select("label", *[F.col("embedding")[i].cast("double").alias(f"d{i}") for i in range(4)])
-    return bx.icc_table(wide, [f"d{i}" for i in range(4)], "label")
+    dims = table.agg(F.max(F.size("embedding"))).first()[0]
+    wide = table.select("label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"d{i}") for i in range(dims)])
+    return bx.icc_table(wide, [f"d{i}" for i in range(dims)], "label")
 
 
 Z = [f"z_{f}" for f in RES]

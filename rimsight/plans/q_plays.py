@@ -207,11 +207,11 @@ def a15(spark, d):
 @query(
     "a15_outcome_pivot_by_type",
     f"""WITH {EVENT_PLAYS} SELECT type AS team, count(*) FILTER (action = 'GOOD') AS "GOOD", count(*) FILTER (action = 'MISS') AS "MISS", count(*) AS total,
-      count(*) FILTER (action = 'MISS') / count(*) AS pct_miss FROM ep WHERE k < 50 GROUP BY 1""",
+      count(*) FILTER (action = 'MISS') / count(*) AS pct_miss FROM ep GROUP BY 1""",
     "pct_miss",
 )
 def a15_type(spark, d):
-    rows = event_plays(spark, d).where("k < 50").select(F.col("type").alias("team"), "action")
+    rows = event_plays(spark, d).select(F.col("type").alias("team"), "action")
     return plays.outcome_pivot(rows)
 
 

@@ -48,12 +48,12 @@ def f3(spark, d):
     return x.select(KEY, strings.team_slug(F.col("o_custkey"), F.col("t")).alias("slug"))
 
 
-ACCENTS = ["San José State", "Université Laval", "Müller & Söhne", "ÑANDÚ Tech", "plain 99"]
+ACCENTS = ["San José State", "Université Laval", "Müller & Söhne", "ÑANDÚ Tech", "plain 99", "Straße Æthel", "Þór œuvre"]
 
 
 @query(
     "f4_join_key",
-    f"""WITH {texts(ACCENTS, CUST_SQL)} SELECT o_orderkey, regexp_replace(lower(strip_accents(t)), '[^a-z0-9]', '', 'g') AS k,
+    f"""WITH {texts(ACCENTS, CUST_SQL)} SELECT o_orderkey, regexp_replace(lower(strip_accents(replace(replace(replace(replace(t, 'ß', 'ss'), 'Æ', 'AE'), 'Þ', 'TH'), 'œ', 'oe'))), '[^a-z0-9]', '', 'g') AS k,
       regexp_replace(lower(t), '[^a-z0-9]', '', 'g') AS k_plain FROM x""",
 )
 def f4(spark, d):

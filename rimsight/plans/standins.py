@@ -91,11 +91,12 @@ games AS (
 
 
 def team_box(spark: SparkSession, d: str) -> DataFrame:
-    """Two rows per order: its first two supplier nations as teams."""
+    """Two rows per order: odd lines are the home team's, even lines the visitors', named after the first one's nation."""
     qty = F.col("l_quantity")
     red = F.col("l_returnflag") == "R"
-    stats = lines(spark, d).groupBy(F.col("l_orderkey").alias("game_id"), F.col("s_nationkey").alias("team_id")).agg(
-        F.min("l_linenumber").alias("first_line"),
+    # odd lines are the home side's, even lines the visitors'; every line counts
+    side = (F.col("l_linenumber") % 2).alias("home")
+    stats = lines(spark, d).groupBy(F.col("l_orderkey").alias("game_id"), side).agg(
         F.round(F.sum("l_extendedprice"), 2).alias("price"),
         F.sum(qty).alias("qty"),
         F.sum(F.when(red, qty).otherwise(0)).alias("red_qty"),
@@ -104,20 +105,19 @@ def team_box(spark: SparkSession, d: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum((F.col("l_linestatus") == "O").cast("long")).alias("n_open"),
         F.sum((F.col("l_returnflag") == "A").cast("long")).alias("n_a"),
+        F.min(F.struct("l_linenumber", "s_nationkey"))["s_nationkey"].alias("nation"),
     )
-    # a game has at most one row per nation, so its list is as short as the nation table
-    row = F.struct("first_line", "team_id", *[c for c in stats.columns if c not in ("first_line", "team_id", "game_id")])
-    one = stats.groupBy("game_id").agg(F.array_sort(F.collect_list(row)).alias("sides"))
-    one = one.where(F.size("sides") >= 2).withColumn("sides", F.slice("sides", 1, 2))
-    price = [F.element_at("sides", i)["price"] for i in (1, 2)]
-    key = [F.element_at("sides", i)["team_id"] for i in (1, 2)]
-    first_wins = (price[0] > price[1]) | ((price[0] == price[1]) & (key[0] < key[1]))
-    winner = F.when(first_wins, key[0]).otherwise(key[1])
+    # the home team is the first odd line's nation, the visitors the first even line's or, if that is the same, the next
+    own = F.struct("price", "nation")
+    ends = stats.groupBy("game_id").agg(F.max(F.when(F.col("home") == 1, own)).alias("h"), F.max(F.when(F.col("home") == 0, own)).alias("v"))
+    h, v = F.col("h.nation"), F.col("v.nation")
+    away = F.when(h == v, (v + 1) % 25).otherwise(v)
+    first_wins = F.col("v.price").isNull() | (F.col("h.price") > F.col("v.price")) | ((F.col("h.price") == F.col("v.price")) & (h < away))
+    named = ends.select("game_id", h.alias("home_id"), away.alias("away_id"), F.when(first_wins, h).otherwise(away).alias("winner"))
+    one = stats.join(named, "game_id").withColumn("team_id", F.when(F.col("home") == 1, F.col("home_id")).otherwise(F.col("away_id")))
     nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("team_short_display_name"))
     return (
-        one.withColumn("winner", winner)
-        .select("game_id", "winner", F.inline("sides"))
-        .join(nation, "team_id")
+        one.join(nation, "team_id")
         .select(
             "game_id",
             "team_id",
@@ -157,16 +157,17 @@ def qty_(name: str):
 BOX = """
 lnb AS (SELECT l.*, s_nationkey FROM lineitem l JOIN supplier ON l_suppkey = s_suppkey),
 side AS (
-  SELECT l_orderkey AS game_id, s_nationkey AS team_id, min(l_linenumber) AS first_line,
+  SELECT l_orderkey AS game_id, l_linenumber % 2 AS home, arg_min(s_nationkey, l_linenumber * 100 + s_nationkey) AS nation,
     round(sum(l_extendedprice), 2) AS price, sum(l_quantity) AS qty,
     sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS red_qty,
     round(sum(l_tax), 2) AS tax, round(sum(l_discount), 2) AS disc, count(*) AS n,
     count(*) FILTER (l_linestatus = 'O') AS n_open, count(*) FILTER (l_returnflag = 'A') AS n_a
   FROM lnb GROUP BY 1, 2),
-two AS (SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY first_line, team_id) AS rn,
-    count(*) OVER (PARTITION BY game_id) AS cnt FROM side),
-pair2 AS (SELECT *, first_value(team_id) OVER (PARTITION BY game_id ORDER BY price DESC, team_id) AS winner
-    FROM two WHERE rn <= 2 AND cnt >= 2),
+ends AS (SELECT game_id, max(nation) FILTER (home = 1) AS h, max(nation) FILTER (home = 0) AS v0,
+    max(price) FILTER (home = 1) AS hp, max(price) FILTER (home = 0) AS vp FROM side GROUP BY 1),
+away AS (SELECT *, CASE WHEN h = v0 THEN (v0 + 1) % 25 ELSE v0 END AS v FROM ends),
+pair2 AS (SELECT side.*, CASE WHEN home = 1 THEN h ELSE v END AS team_id,
+    CASE WHEN vp IS NULL OR hp > vp OR (hp = vp AND h < v) THEN h ELSE v END AS winner FROM side JOIN away USING (game_id)),
 box AS (
   SELECT game_id, team_id, n_name AS team_short_display_name, team_id = winner AS team_winner,
     price / 1000 AS team_score, 2 * qty AS field_goals_attempted, qty * (1 - disc / n) AS field_goals_made,

@@ -37,8 +37,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     current = sc.getCheckpointDir()
     if current is None:
-        current = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        sc.setCheckpointDir(current)
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         current = sc.getCheckpointDir()
     return current
 

@@ -181,17 +181,28 @@ def game_list(flat: DataFrame, default_year: str = "2025") -> DataFrame:
 RATING_COLUMNS = ["rank", "program", "network", "time", "duration", "rating", "viewers"]
 
 
-def daily_ratings(rows: DataFrame, kept: int = 150, wide: int = 17) -> DataFrame:
-    """Last rows of each day (``date``, ``pos``, ``cells``) as seven columns.
+def daily_ratings(rows: DataFrame, kept: int | None = None, wide: int = 17) -> DataFrame:
+    """Rows of each day (``date``, ``pos``, ``cells``) as seven text columns.
 
-    Wide rows keep their first six cells and the last. Whole numbers are cast
-    where they can be. The row-number filter trims each task before the shuffle.
+    Wide rows keep their first six cells and the last. Every cell after the first is also
+    given as a whole number where it is one (``..._int``, else null). ``kept`` drops all but
+    the last rows of a day; the row-number filter trims each task before the shuffle.
     """
     from pyspark.sql import Window
 
-    order = Window.partitionBy("date").orderBy(F.desc("pos"))
-    last = rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= kept)
+    if kept is not None:
+        order = Window.partitionBy("date").orderBy(F.desc("pos"))
+        rows = rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= kept)
     cells = F.when(F.size("cells") == wide, F.concat(F.slice("cells", 1, 6), F.slice("cells", wide, 1))).otherwise(F.col("cells"))
-    shaped = last.withColumn("cells", cells)
-    columns = [F.col("cells")[i].alias(c) for i, c in enumerate(RATING_COLUMNS)]
-    return shaped.select(*columns, "date").withColumn("rank", F.col("rank").try_cast("int"))
+    shaped = rows.withColumn("cells", cells)
+    columns = [F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(RATING_COLUMNS)]
+    whole = [F.expr(f"try_cast(trim({c}) AS bigint)").alias(f"{c}_int") for c in RATING_COLUMNS[1:]]
+    return shaped.select(*columns, "date").select("*", *whole)
+
+
+def read_rating_days(spark: SparkSession, path: str, wide: int = 17) -> DataFrame:
+    """Day files of table rows (header, then cells) as date, pos and cells; the date is in the file's name."""
+    names = [f"c{i}" for i in range(wide)]
+    read = spark.read.csv(path, schema=", ".join(["pos long", *(f"{c} string" for c in names)]), header=True, escape='"')
+    day = F.regexp_extract(F.input_file_name(), r"(\d{4}-\d{2}-\d{2})", 1)
+    return read.select(day.alias("date"), "pos", F.array_compact(F.array(*names)).alias("cells"))
