@@ -53,30 +53,47 @@ class PieceEncoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces, many in one text between blanks, and tell them apart by their places in it."""
+        for at in range(0, len(pieces), 4096):
+            part = pieces[at : at + 4096]
+            made = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            raw = np.array(made.ids, "<u4").tobytes()
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            upto = np.searchsorted([start for start, _ in made.offsets], ends, "left") * 4
+            before = 0
+            for piece, after in zip(part, upto.tolist()):
+                self.kept[piece] = raw[before:after]
+                before = after
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        cut: list[list[str] | None] = []
+        if len(self.kept) > _KEPT:
+            self.kept.clear()
+        known, cut, new = self.kept.get, [], {}
         for text in texts:
-            plain = self.by_piece and _PLAIN.fullmatch(text) and not any(s in text for s in self.specials)
-            cut.append(_PIECES.findall(text.lower()) if plain else None)
-        wanted = set()
-        for pieces in cut:
-            wanted.update(pieces or ())
-        kept = self.kept
-        new = [p for p in wanted if p not in kept]
-        if len(kept) + len(new) > _KEPT:
-            kept.clear()
-            new = list(wanted)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for piece, made in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                kept[piece] = np.array(made.ids, "<u4").tobytes()
-        return [
-            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            if pieces is None
-            else b"".join(map(kept.__getitem__, pieces))
-            for text, pieces in zip(texts, cut)
-        ]
+            if not (self.by_piece and _PLAIN.fullmatch(text)) or any(s in text for s in self.specials):
+                cut.append(None)
+                continue
+            pieces = _PIECES.findall(text.lower())
+            found = list(map(known, pieces))
+            gaps, at = [], -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                gaps.append((at, pieces[at]))
+                new[pieces[at]] = None
+            cut.append((found, gaps))
+        self._learn(list(new))
+        out = []
+        for text, done in zip(texts, cut):
+            if done is None:
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            found, gaps = done
+            for at, piece in gaps:
+                found[at] = self.kept[piece]
+            out.append(b"".join(found))
+        return out
 
 
 class ShardWriter:
