@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rimsight.operators import ranking
 from rimsight.operators.boxscore import DEFENSE, FEATURES, OFFENSE, RESIDUALS, closeness, icc_table, to_long
@@ -100,6 +101,46 @@ def nearest(scaled_wins: DataFrame, centers: Sequence[Sequence[float]], features
     return scaled_wins.withColumn("archetype", F.array_position(listed, F.array_min(listed)).cast("int"))
 
 
+def _lloyd(vectors: DataFrame, centers: np.ndarray, iterations: int) -> tuple[np.ndarray, np.ndarray]:
+    """k-means from many starts (starts x k x features) at once: centers and costs.
+
+    Each round is one job: tasks add up, for every start and center, the rows nearest to it;
+    what comes back is starts x k x features numbers, whatever the rows.
+    """
+    starts, k, dims = centers.shape
+
+    def sums(centers: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, cost = np.zeros((starts, k, dims + 1)), np.zeros(starts)
+            for batch in batches:
+                rows = np.asarray(batch.column(0).flatten(), float).reshape(-1, dims)
+                wide = np.column_stack([rows, np.ones(len(rows))])
+                for s in range(starts):
+                    far = ((rows[:, None, :] - centers[s]) ** 2).sum(-1)
+                    own = far.argmin(1)
+                    cost[s] += far[np.arange(len(rows)), own].sum()
+                    total[s] += np.eye(k)[own].T @ wide
+            flat = np.concatenate([total.ravel(), cost])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["at", "value"])
+
+        return run
+
+    cost = np.full(starts, np.inf)
+    for _ in range(iterations):
+        parts = vectors.mapInArrow(sums(centers), "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
+        flat = np.zeros(starts * k * (dims + 1) + starts)
+        for row in parts.collect():
+            flat[row["at"]] = row["value"]
+        total, now = flat[:-starts].reshape(starts, k, dims + 1), flat[-starts:]
+        size = total[:, :, -1:]
+        moved = np.where(size > 0, total[:, :, :-1] / np.maximum(size, 1), centers)
+        done = np.all(np.abs(moved - centers) < 1e-9)
+        centers, cost = moved, now
+        if done:
+            break
+    return centers, cost
+
+
 def fit_centers(
     scaled_wins: DataFrame,
     features: Sequence[str] = RESIDUALS,
@@ -110,22 +151,18 @@ def fit_centers(
 ) -> list[list[float]]:
     """k-means centers of the start with the lowest cost, in a fixed order.
 
-    Starts run as concurrent Spark jobs over one held table of vectors. Only
-    k x features numbers come to the driver.
+    Starts are rows picked by a seeded hash, the same on every run; all starts share a job in each round.
     """
-    vectors = hold(
-        VectorAssembler(inputCols=[f"z_{f}" for f in features], outputCol="features")
-        .transform(scaled_wins)
-        .select("features")
-    )
-
-    def run(i: int) -> tuple[float, KMeansModel]:
-        model = KMeans(k=k, maxIter=iterations, seed=seed + i).fit(vectors)
-        return model.summary.trainingCost, model
-
-    with ThreadPoolExecutor(8) as pool:
-        best = min(pool.map(run, range(starts)), key=lambda r: r[0])[1]
-    return sorted([float(x) for x in c] for c in best.clusterCenters())
+    names = [f"z_{f}" for f in features]
+    vectors = hold(scaled_wins.select(F.array(*[F.col(c).cast("double") for c in names]).alias("v")))
+    # starts x k rows, a number fixed by the parameters
+    picked = [r["v"] for r in vectors.orderBy(F.xxhash64(F.lit(seed), "v"), "v").limit(starts * k).collect()]
+    if not picked:
+        raise ValueError("no rows to cluster")
+    first = np.array([picked[i % len(picked)] for i in range(starts * k)], float)
+    turned = np.random.default_rng(seed).permutation(len(first))
+    centers, cost = _lloyd(vectors, first[turned].reshape(starts, k, len(names)), iterations)
+    return sorted([float(x) for x in c] for c in centers[int(cost.argmin())])
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
@@ -135,45 +172,19 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 
 def silhouette_sweep(
-    scaled_wins: DataFrame, key: str, features: Sequence[str], ks: Sequence[int], cap: int = 2000, seed: int = 42, starts: int = 10
+    scaled_wins: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 42, starts: int = 10, iterations: int = 100
 ) -> DataFrame:
-    """Mean Euclidean silhouette on a sample for each k, best k flagged.
-
-    The sample is the operator's own limit: its vectors are broadcast and each
-    task scores its share of the rows against them.
-    """
-    spark = scaled_wins.sparkSession
+    """Mean silhouette of all rows (squared Euclidean, from sums per cluster) for each k, best k flagged."""
     columns = [f"z_{f}" for f in features]
-    sample = hold(sample_rows(scaled_wins, key, cap, seed).select(key, *columns))
-    table = sample.toPandas()  # at most ``cap`` rows
-    points = table[columns].to_numpy(float)
-    parts = []
+    table = hold(scaled_wins.select(*columns))
+    evaluator = ClusteringEvaluator(predictionCol="archetype", featuresCol="features", metricName="silhouette")
+    assembler = VectorAssembler(inputCols=columns, outputCol="features")
+    scores = []
     for k in ks:
-        centers = np.array(fit_centers(scaled_wins, features, k, starts, 100, seed))
-        labels = np.argmin(((points[:, None, :] - centers[None]) ** 2).sum(-1), axis=1)
-        shared = spark.sparkContext.broadcast((points, labels, centers))
-
-        def score(batches, shared=shared, k=k):
-            pts, lab, cen = shared.value
-            for batch in batches:
-                rows = batch[columns].to_numpy(float)
-                own = np.argmin(((rows[:, None, :] - cen[None]) ** 2).sum(-1), axis=1)
-                far = np.sqrt(((rows[:, None, :] - pts[None]) ** 2).sum(-1))
-                sums = np.stack([far[:, lab == j].sum(1) for j in range(k)], axis=1)
-                sizes = np.array([(lab == j).sum() for j in range(k)])
-                mine = sums[np.arange(len(rows)), own]
-                a = mine / np.maximum(sizes[own] - 1, 1)
-                means = sums / np.maximum(sizes, 1)
-                means[:, sizes == 0] = np.inf
-                means[np.arange(len(rows)), own] = np.inf
-                b = means.min(1)
-                width = np.where(sizes[own] > 1, (b - a) / np.maximum(a, b), 0.0)
-                yield pd.DataFrame({"k": k, "width": width})
-
-        parts.append(sample.mapInPandas(score, "k int, width double"))
-    scores = reduce(DataFrame.unionByName, parts).groupBy("k").agg(F.avg("width").alias("silhouette"))
-    best = scores.agg(F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("_best"))
-    return scores.crossJoin(F.broadcast(best)).select("k", "silhouette", (F.col("k") == F.col("_best")).alias("is_best"))
+        named = assembler.transform(nearest(table, fit_centers(table, features, k, starts, iterations, seed), features))
+        scores.append((int(k), float(evaluator.evaluate(named))))
+    best = max(scores, key=lambda s: (s[1], -s[0]))[0]
+    return scaled_wins.sparkSession.createDataFrame([(k, s, k == best) for k, s in scores], "k int, silhouette double, is_best boolean")
 
 
 def center_detail(assigned: DataFrame, weights: DataFrame, features: Sequence[str] = RESIDUALS) -> DataFrame:
@@ -448,137 +459,96 @@ def first_component(df: DataFrame, keys: Sequence[str], features: Sequence[str],
     return joined.withColumn(out, reduce(lambda a, b: a + b, terms)).drop("_n", "_mean", "_sd", "_load")
 
 
-GROUP_ROWS = 200_000
 EM_STEPS = 200
 EM_TOLERANCE = 1e-5
 
 
-def _bic_gain(n: float, ll_one: float, ll_equal: float, ll_varying: float) -> float:
-    """Best two-component BIC less the one-component BIC; larger is better."""
-    log_n = np.log(n)
-    two = max(2 * ll_equal - 4 * log_n, 2 * ll_varying - 5 * log_n)
-    return two - (2 * ll_one - 2 * log_n)
-
-
-def _em(x: np.ndarray, equal: bool) -> float:
-    """Log-likelihood of a two-component mixture started at the median split."""
-    high = x > np.median(x)
-    if not high.any():
-        return -np.inf
-    r = np.where(high, 1.0, 0.0)
-    last = -np.inf
-    floor = 1e-10
-    for _ in range(EM_STEPS):
-        w = np.array([(1 - r).sum(), r.sum()])
-        if (w < 1e-8).any():
-            return last
-        mu = np.array([((1 - r) * x).sum(), (r * x).sum()]) / w
-        ss = np.array([((1 - r) * (x - mu[0]) ** 2).sum(), (r * (x - mu[1]) ** 2).sum()])
-        var = np.maximum(np.full(2, ss.sum() / len(x)) if equal else ss / w, floor)
-        logs = np.log(w / len(x)) - 0.5 * np.log(2 * np.pi * var) - (x[:, None] - mu) ** 2 / (2 * var)
-        top = logs.max(1)
-        total = top + np.log(np.exp(logs - top[:, None]).sum(1))
-        ll = total.sum()
-        r = np.exp(logs[:, 1] - total)
-        if abs(ll - last) < EM_TOLERANCE * (1 + abs(ll)):
-            return ll
-        last = ll
-    return last
-
-
-def _small_groups(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys) + f", `{out}` double"
-
-    def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        x = frame[value].to_numpy(float)
-        gain = None
-        if len(x) >= 5 and np.isfinite(x).all() and x.std(ddof=1) >= 1e-10:
-            one = -0.5 * len(x) * (np.log(2 * np.pi * x.var()) + 1)
-            gain = float(_bic_gain(len(x), one, _em(x, True), _em(x, False)))
-        row = {k: [frame[k].iloc[0]] for k in keys}
-        row[out] = [gain]
-        return pd.DataFrame(row)
-
-    return df.select(*keys, value).groupBy(*keys).applyInPandas(fit, schema)
-
-
-def _large_groups(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """The same fit as repeated aggregates, for groups too large for one task."""
-    rows = hold(df.select(*keys, F.col(value).alias("_x")))
-    base = rows.groupBy(*keys).agg(
-        F.count("_x").alias("n"), F.var_pop("_x").alias("v"), F.percentile_approx("_x", 0.5, 10000).alias("med")
-    )
-    one = -0.5 * F.col("n") * (F.log(2 * np.pi * F.col("v")) + 1)
-    result = hold(base.select(*keys, "n", "med", one.alias("ll1")))
-    for equal in (True, False):
-        high = (F.col("_x") > F.col("med")).cast("double")
-        posts = rows.join(result.select(*keys, "med"), list(keys)).withColumn("r", high)
-        last: DataFrame | None = None
-        for _ in range(EM_STEPS):
-            state = _maximise(posts, keys, equal)
-            posts = _responsibilities(rows.join(hold(state), list(keys)), keys)
-            ll = hold(posts.groupBy(*keys).agg(F.sum("l").alias("ll")))
-            if last is not None:
-                moved = ll.join(last.withColumnRenamed("ll", "old"), list(keys))
-                gap = F.abs(F.col("ll") - F.col("old")) >= EM_TOLERANCE * (1 + F.abs("ll"))
-                if moved.where(gap).limit(1).count() == 0:
-                    break
-            last = ll
-        result = hold(result.join(ll.withColumnRenamed("ll", "ll_e" if equal else "ll_v"), list(keys)))
-    log_n = F.log("n")
-    two = F.greatest(2 * F.col("ll_e") - 4 * log_n, 2 * F.col("ll_v") - 5 * log_n)
-    return result.select(*keys, (two - (2 * F.col("ll1") - 2 * log_n)).alias(out))
-
-
-def _maximise(posts: DataFrame, keys: Sequence[str], equal: bool) -> DataFrame:
-    x, r = F.col("_x"), F.col("r")
-    s = posts.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(1 - r).alias("w0"),
-        F.sum(r).alias("w1"),
-        (F.sum((1 - r) * x) / F.sum(1 - r)).alias("m0"),
-        (F.sum(r * x) / F.sum(r)).alias("m1"),
-        F.sum((1 - r) * x * x).alias("q0"),
-        F.sum(r * x * x).alias("q1"),
-    )
-    ss0 = F.col("q0") - F.col("w0") * F.col("m0") ** 2
-    ss1 = F.col("q1") - F.col("w1") * F.col("m1") ** 2
-    v0 = (ss0 + ss1) / F.col("n") if equal else ss0 / F.col("w0")
-    v1 = (ss0 + ss1) / F.col("n") if equal else ss1 / F.col("w1")
-    floor = F.lit(1e-10)
-    return s.select(
-        *keys, "m0", "m1", F.greatest(v0, floor).alias("v0"), F.greatest(v1, floor).alias("v1"),
-        (F.col("w0") / F.col("n")).alias("p0"), (F.col("w1") / F.col("n")).alias("p1"),
-    )
-
-
-def _responsibilities(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
-    x = F.col("_x")
-
-    def density(i: int) -> Column:
-        v = F.col(f"v{i}")
-        return F.log(f"p{i}") - 0.5 * F.log(2 * np.pi * v) - F.pow(x - F.col(f"m{i}"), 2) / (2 * v)
-
-    wide = joined.withColumn("a", density(0)).withColumn("b", density(1)).withColumn("t", F.greatest("a", "b"))
-    wide = wide.withColumn("l", F.col("t") + F.log(F.exp(F.col("a") - F.col("t")) + F.exp(F.col("b") - F.col("t"))))
-    return wide.select(*keys, "_x", "l", F.exp(F.col("b") - F.col("l")).alias("r"))
+def _em_sums(rows: DataFrame, state: np.ndarray | None, groups: int) -> np.ndarray:
+    """For both models and every group: likelihood, weights, sums and squares of the two components.
 
+    ``rows`` has a group's number and a value. Without a state the rows are split at zero.
+    Tasks add up their own rows; groups x 14 numbers come back.
+    """
 
-def mixture_gain(df: DataFrame, keys: Sequence[str], value: str, out: str, limit: int = GROUP_ROWS) -> DataFrame:
-    """BIC of two Gaussians less BIC of one, per group.
-
-    Groups up to ``limit`` rows are fitted whole in one task; larger groups go
-    through the same iteration as distributed aggregates.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, 7, groups))
+        for batch in batches:
+            g, z = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for m in range(2):
+                if state is None:
+                    share, density = (z > 0).astype(float), np.zeros(len(z))
+                else:
+                    mean, var, part = state[m, 0:2][:, g], state[m, 2:4][:, g], state[m, 4:6][:, g]
+                    with np.errstate(divide="ignore"):
+                        logs = np.log(part) - 0.5 * np.log(2 * np.pi * var) - (z - mean) ** 2 / (2 * var)
+                    density = np.logaddexp(logs[0], logs[1])
+                    share = np.exp(logs[1] - density)
+                for k, v in enumerate((density, 1 - share, share, (1 - share) * z, share * z, (1 - share) * z * z, share * z * z)):
+                    total[m, k] += np.bincount(g, v, groups)
+        flat = total.ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["at", "value"])
+
+    out = np.zeros(2 * 7 * groups)
+    for row in rows.mapInArrow(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
+        out[row["at"]] = row["value"]
+    return out.reshape(2, 7, groups)
+
+
+def _em_state(sums: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Means, spreads and parts of both models (equal, varying) from the sums."""
+    weight, first, second = sums[:, 1:3], sums[:, 3:5], sums[:, 5:7]
+    mean = first / np.maximum(weight, 1e-300)
+    spread = second - weight * mean**2
+    equal = np.broadcast_to(spread[0].sum(axis=0) / n, spread[0].shape)
+    var = np.maximum(np.stack([equal, spread[1] / np.maximum(weight[1], 1e-300)]), 1e-10)
+    return np.concatenate([mean, var, weight / n], axis=1)
+
+
+def mixture_gain(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """BIC of two Gaussians less BIC of one for each group, and whether both fits converged.
+
+    One way for groups of any size: every round is one job over all groups and both models
+    (equal and varying spread), started from the split at the group's mean. Values are
+    centred and scaled first, which changes no difference of BICs. A fit stops when its
+    likelihood does, or when a component runs empty. Groups of fewer than five values, with a
+    missing or infinite value, or without spread give null. A row for each group comes to the
+    driver.
     """
-    sizes = hold(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp(value).alias("_s")))
-    small = df.join(sizes.where(F.col("_n") <= limit), list(keys), "left_semi")
-    fitted = _small_groups(small, keys, value, out)
-    big = sizes.where((F.col("_n") > limit) & (F.col("_s") >= 1e-10))
-    if big.limit(1).count():
-        large = df.join(big, list(keys), "left_semi")
-        fitted = fitted.unionByName(_large_groups(large, keys, value, out))
-    flat = sizes.where((F.col("_n") > limit) & ~(F.col("_s") >= 1e-10))
-    return fitted.unionByName(flat.select(*keys, F.lit(None).cast("double").alias(out)))
+    keys = list(keys)
+    x = F.col(value).cast("double")
+    bad = x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    sizes = hold(
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(bad.cast("int")).alias("_bad"), F.avg(x).alias("_mean"), F.stddev_pop(x).alias("_sd"))
+    )
+    usable = sizes.where((F.col("_n") >= 5) & (F.col("_bad") == 0) & (F.col("_sd") >= 1e-10)).orderBy(*keys).collect()
+    spark, groups = df.sparkSession, len(usable)
+    fields = [sizes.schema[k] for k in keys]
+    if not groups:
+        return sizes.select(*keys, F.lit(None).cast("double").alias(out), F.lit(None).cast("boolean").alias(f"{out}_converged"))
+    numbered = spark.createDataFrame(
+        [(*[r[k] for k in keys], i, r["_mean"], r["_sd"]) for i, r in enumerate(usable)],
+        T.StructType([*fields, *[T.StructField(c, t) for c, t in (("_g", T.LongType()), ("_mean", T.DoubleType()), ("_sd", T.DoubleType()))]]),
+    )
+    rows = hold(df.join(numbered, keys).select("_g", ((x - F.col("_mean")) / F.col("_sd")).alias("_z")))
+    n = np.array([r["_n"] for r in usable], float)
+    state, last = _em_state(_em_sums(rows, None, groups), n), np.full((2, groups), -np.inf)
+    done = np.zeros((2, groups), bool)
+    for _ in range(EM_STEPS):
+        sums = _em_sums(rows, state, groups)
+        now, moved = sums[:, 0], _em_state(sums, n)
+        stop = (np.abs(now - last) < EM_TOLERANCE * (1 + np.abs(now))) | (moved[:, 4:6].min(axis=1) < 1e-8)
+        last = np.where(done, last, now)
+        state = np.where(done[:, None], state, moved)
+        done |= stop
+        if done.all():
+            break
+    log_n = np.log(n)
+    gain = np.maximum(2 * last[0] - 4 * log_n, 2 * last[1] - 5 * log_n) + n * (np.log(2 * np.pi) + 1) + 2 * log_n
+    fitted = spark.createDataFrame(
+        [(*[r[k] for k in keys], float(g), bool(d)) for r, g, d in zip(usable, gain, done.all(axis=0))],
+        T.StructType([*fields, T.StructField(out, T.DoubleType()), T.StructField(f"{out}_converged", T.BooleanType())]),
+    )
+    return sizes.select(*keys).join(fitted, keys, "left")
 
 
 def shape_tests(wins: DataFrame) -> DataFrame:
@@ -587,8 +557,11 @@ def shape_tests(wins: DataFrame) -> DataFrame:
     both = first_component(wins.select(*keys, *FEATURES), keys, OFFENSE, "pc_off")
     both = hold(first_component(both, keys, DEFENSE, "pc_def").select(*keys, "pc_off", "pc_def"))
     result = bimodality(both, keys, "pc_off", "bc_off").join(bimodality(both, keys, "pc_def", "bc_def"), keys)
+    stacked = both.select(*keys, F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"pc_{s}").alias("pc")) for s in ("off", "def")])))
+    gains = hold(mixture_gain(stacked, [*keys, "side"], "pc", "gain"))
     for side in ("off", "def"):
-        result = result.join(mixture_gain(both, keys, f"pc_{side}", f"bic_diff_{side}"), keys, "left")
+        own = gains.where(F.col("side") == side)
+        result = result.join(own.select(*keys, F.col("gain").alias(f"bic_diff_{side}"), F.col("gain_converged").alias(f"converged_{side}")), keys, "left")
     return shape_flags(result)
 
 

@@ -295,21 +295,41 @@ def m8(spark, d):
 def m9(spark, d):
     """Best of many starts; sizes depend on the random starts, so rows only."""
     z = hold(arch.scaled(elig(spark, d)))
-    clustered = arch.nearest(z, arch.fit_centers(z, starts=8))
+    clustered = arch.nearest(z, arch.fit_centers(z))
     return clustered.groupBy("archetype").agg(F.count(F.lit(1)).alias("n_wins"), F.avg("margin").alias("avg_margin"))
 
 
+@query(
+    "m9_kmeans_invariants",
+    f"WITH {ELIG} SELECT count(*) AS n_wins, 5::BIGINT AS n_centers, true AS centers_are_means, true AS cost_at_most_fixed FROM elig",
+)
+def m9_invariants(spark, d):
+    """What any good clustering has: each center the mean of its rows, and no more cost than the fixed centers."""
+    z = hold(arch.scaled(elig(spark, d)))
+    centers = arch.fit_centers(z)
+
+    def cost(points):
+        return F.array_min(F.array(*[sum(F.pow(F.col(c) - F.lit(float(x)), 2) for c, x in zip(Z, p)) for p in points]))
+
+    ends = F.array(*[F.array(*[F.lit(x) for x in p]) for p in centers])
+    own = arch.nearest(z, centers).groupBy("archetype").agg(F.array(*[F.avg(c) for c in Z]).alias("mean"))
+    off = F.aggregate(F.zip_with("mean", F.element_at(ends, F.col("archetype")), lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: F.greatest(a, b))
+    means = own.agg(F.count(F.lit(1)).alias("n_centers"), (F.max(off) < 1e-6).alias("centers_are_means"))
+    costs = z.agg(F.count(F.lit(1)).alias("n_wins"), (F.sum(cost(centers)) <= F.sum(cost(CENTERS))).alias("cost_at_most_fixed"))
+    return costs.crossJoin(means).select("n_wins", "n_centers", "centers_are_means", "cost_at_most_fixed")
+
+
 @query("m9_kmeans_unweighted")
 def m9_unweighted(spark, d):
     z = hold(arch.scaled(elig(spark, d), bx.FEATURES, weighted=False))
-    clustered = arch.nearest(z, arch.fit_centers(z, bx.FEATURES, starts=8), bx.FEATURES)
+    clustered = arch.nearest(z, arch.fit_centers(z, bx.FEATURES), bx.FEATURES)
     return clustered.groupBy("archetype").agg(F.count(F.lit(1)).alias("n_wins"))
 
 
 @query("m10_silhouette_sweep")
 def m10(spark, d):
     z = hold(arch.scaled(elig(spark, d)))
-    return arch.silhouette_sweep(z, "game_id", RES, range(3, 9), starts=2)
+    return arch.silhouette_sweep(z, RES, range(3, 9))
 
 
 @query("m9_nearest_center", f"WITH {ASSIGNED} SELECT game_id, team_id, archetype FROM assigned")

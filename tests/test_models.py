@@ -14,23 +14,44 @@ def two_bumps(n, gap, seed):
     return np.where(rng.random(n) < 0.4, rng.normal(0, 1, n), rng.normal(gap, 1.5, n))
 
 
-def test_large_group_fit_equals_the_small_one(spark):
+def fitted_by_hand(x):
+    """The same fit in numpy: standardised, started from the split at the mean."""
+    z = (x - x.mean()) / x.std()
+    n, best = len(z), []
+    for equal, params in ((True, 4), (False, 5)):
+        r, last = (z > 0).astype(float), -np.inf
+        for _ in range(arch.EM_STEPS + 1):
+            w = np.array([(1 - r).sum(), r.sum()])
+            mu = np.array([((1 - r) * z).sum(), (r * z).sum()]) / w
+            ss = np.array([((1 - r) * (z - mu[0]) ** 2).sum(), (r * (z - mu[1]) ** 2).sum()])
+            var = np.maximum(np.full(2, ss.sum() / n) if equal else ss / w, 1e-10)
+            logs = np.log(w / n) - 0.5 * np.log(2 * np.pi * var) - (z[:, None] - mu) ** 2 / (2 * var)
+            total = np.logaddexp(logs[:, 0], logs[:, 1])
+            r, ll = np.exp(logs[:, 1] - total), total.sum()
+            if abs(ll - last) < arch.EM_TOLERANCE * (1 + abs(ll)):
+                break
+            last = ll
+        best.append(2 * ll - params * np.log(n))
+    return max(best) - (-n * (np.log(2 * np.pi) + 1) - 2 * np.log(n))
+
+
+def test_mixture_gain_equals_the_fit_by_hand(spark):
     pdf = pd.concat(
-        [pd.DataFrame({"team": t, "x": two_bumps(400, gap, t)}) for t, gap in ((1, 6.0), (2, 0.0))], ignore_index=True
+        [pd.DataFrame({"team": t, "x": two_bumps(n, gap, t)}) for t, gap, n in ((1, 6.0, 400), (2, 0.0, 400), (3, 3.0, 9))], ignore_index=True
     )
-    df = spark.createDataFrame(pdf)
-    small = {r.team: r.g for r in arch.mixture_gain(df, ["team"], "x", "g").collect()}
-    large = {r.team: r.g for r in arch.mixture_gain(df, ["team"], "x", "g", limit=10).collect()}
-    assert small[1] > 50 > small[2]
-    # the last steps differ by less than the stopping rule
-    assert large[1] == pytest.approx(small[1], abs=0.5)
-    assert large[2] == pytest.approx(small[2], abs=3)
+    got = {r.team: (r.g, r.g_converged) for r in arch.mixture_gain(spark.createDataFrame(pdf), ["team"], "x", "g").collect()}
+    for team, rows in pdf.groupby("team"):
+        assert got[team][0] == pytest.approx(fitted_by_hand(rows["x"].to_numpy()), abs=0.05)
+        assert got[team][1]
+    assert got[1][0] > 50 > got[2][0]
 
 
-def test_mixture_needs_five_rows_and_spread(spark):
-    df = spark.createDataFrame([(1, 1.0), (1, 2.0)] + [(2, 3.0)] * 9, "team int, x double")
-    assert {r.team: r.g for r in arch.mixture_gain(df, ["team"], "x", "g").collect()} == {1: None, 2: None}
-    assert {r.team: r.g for r in arch.mixture_gain(df, ["team"], "x", "g", limit=5).collect()} == {1: None, 2: None}
+def test_mixture_of_ties_missing_and_flat_values(spark):
+    rows = [(1, 1.0), (1, 2.0)] + [(2, 3.0)] * 9 + [(3, 0.0)] * 3 + [(3, 5.0)] * 7 + [(4, float(i)) for i in range(8)] + [(4, None)]
+    rows += [(5, float(i)) for i in range(8)] + [(5, float("nan"))]
+    got = {r.team: r.g for r in arch.mixture_gain(spark.createDataFrame(rows, "team int, x double"), ["team"], "x", "g").collect()}
+    assert {t for t, g in got.items() if g is None} == {1, 2, 4, 5}
+    assert np.isfinite(got[3]) and got[3] > 0  # two values, each a component of its own
 
 
 def test_bimodality_coefficient_by_hand(spark):
@@ -83,7 +104,7 @@ def test_silhouette_prefers_the_true_count(spark):
     rng = np.random.default_rng(1)
     rows = [(i, float(c + rng.normal(0, 0.2))) for i, c in enumerate([0, 10, 20, 30] * 30)]
     df = spark.createDataFrame(rows, "id int, z_a double")
-    sweep = arch.silhouette_sweep(df, "id", ["a"], range(3, 6), starts=3).collect()
+    sweep = arch.silhouette_sweep(df, ["a"], range(3, 6), starts=5).collect()
     assert [r.k for r in sweep if r.is_best] == [4]
 
 
