@@ -78,10 +78,12 @@ def production_leaders(by_title: DataFrame, n: int = 10) -> DataFrame:
 
 
 def ladders(positions: DataFrame) -> DataFrame:
-    """Per coach: titles held before the first head job and the last of them."""
+    """Per coach: titles held before the first head job in order, how many, and the last; a career is a short list."""
+    held = F.array_sort(F.collect_list(F.struct("start_year", "seq", F.col("position_title_standardized").alias("title"))))
     return apprentice_rows(positions).groupBy("coach").agg(
         F.count(F.lit(1)).alias("n_positions"),
         F.max_by("position_title_standardized", F.struct("start_year", "seq")).alias("final_position"),
+        F.array_join(F.transform(held, lambda x: x["title"]), " → ").alias("positions_held"),
     )
 
 

@@ -11,11 +11,12 @@ from rimsight.functions.strings import clock_seconds, made_attempted, name_list,
 from rimsight.operators.keyed import last_per_key
 
 _SIDE = "struct<Name:string,Score:int,PeriodScores:array<int>,PeriodTimeouts:array<int>>"
-_TOTALS = "struct<Totals:struct<Values:map<string,string>>>"
+_VALUES = "struct<Values:map<string,string>>"
+_TOTALS = f"struct<Totals:{_VALUES},PlayerGroups:struct<Players:struct<Values:array<map<string,string>>>>,PeriodStats:array<{_VALUES}>>"
 GAME_SCHEMA = (
     f"ncaa_id int, game_id string, Game struct<Date:string,StartTime:string,Location:string,Officials:string,"
     f"Attendance:int,HomeTeam:{_SIDE},VisitingTeam:{_SIDE}>, Stats struct<HomeTeam:{_TOTALS},VisitingTeam:{_TOTALS}>, "
-    "Leaders map<string,string>, Plays array<struct<Type:string,Action:string,Period:int,ClockSeconds:int,Id:bigint,Team:string,"
+    "Leaders struct<HomeTeam:map<string,string>,VisitingTeam:map<string,string>>, Plays array<struct<Type:string,Action:string,Period:int,ClockSeconds:int,Id:bigint,Team:string,"
     "Player:struct<Team:string,UniformNumber:string>>>"
 )
 WMT_SCHEMA = (
@@ -23,7 +24,11 @@ WMT_SCHEMA = (
     "actions:struct<data:array<struct<school_id:bigint,action:struct<play_action_sub_type:string,name_tabular:string,"
     "play_successful:boolean,period_number:int,play_time:string,id:bigint>>>>>"
 )
-LEADERS = ["Points", "Rebounds", "Assists", "Steals", "Blocks", "Minutes", "Fouls"]
+# fixed values: categories of a side's leaders and their columns
+LEADERS = {
+    "Points": "points", "Rebounds": "rebounds", "Assists": "assists", "Blocks": "blocks", "Steals": "steals",
+    "Personal Fouls": "fouls", "Efficiency": "efficiency", "Usage Percentage": "usage_percent",
+}
 
 # fixed values: kind of cell, total's key, output column(s)
 TOTALS = [
@@ -178,10 +183,31 @@ def game_record(docs: DataFrame) -> DataFrame:
         "ncaa_id", "game_id", F.col("Game.Date").alias("date"), F.col("Game.StartTime").alias("start_time"),
         F.col("Game.Location").alias("location"), F.array_join(name_list("Game.Officials"), "|").alias("officials"),
         F.col("Game.Attendance").alias("attendance"), *side("HomeTeam", "home"), *side("VisitingTeam", "visitor"),
-        *[F.try_element_at("Leaders", F.lit(k)).alias(f"leader_{k.lower()}") for k in LEADERS], F.size("Plays").alias("plays"),
+        *[
+            F.try_element_at(f"Leaders.{s}", F.lit(k)).alias(f"{p}_leader_{c}")
+            for s, p in (("HomeTeam", "home"), ("VisitingTeam", "visitor"))
+            for k, c in LEADERS.items()
+        ],
+        F.size("Plays").alias("plays"),
     )
 
 
+def player_rows(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per player of each side with the named values of the player's box score (null where absent)."""
+    return _value_rows(docs, lambda s: F.col(f"Stats.{s}.PlayerGroups.Players.Values"), keys)
+
+
+def period_rows(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per period of each side with the named values of the side's period statistics."""
+    return _value_rows(docs, lambda s: F.transform(f"Stats.{s}.PeriodStats", lambda x: x["Values"]), keys)
+
+
+def _value_rows(docs: DataFrame, values, keys: Sequence[str]) -> DataFrame:
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"Game.{s}.Name").alias("team"), values(s).alias("v")) for s in ("HomeTeam", "VisitingTeam")])
+    each = docs.select("ncaa_id", "game_id", F.inline(sides)).select("*", F.posexplode("v").alias("number", "row")).drop("v")
+    return each.select("ncaa_id", "game_id", "side", "team", (F.col("number") + 1).alias("number"), *[F.try_element_at("row", F.lit(k)).alias(k) for k in keys])
+
+
 def people_of(docs: DataFrame, people: str, key: str, order: str) -> DataFrame:
     """People inside team documents (``t.tid``, ``t.<people>``), one row per person, last document wins."""
     rows = docs.select(F.col("t.tid").alias("team_id"), order, F.explode(f"t.{people}").alias("p")).select("team_id", order, "p.*")

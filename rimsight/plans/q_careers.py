@@ -61,7 +61,7 @@ LADDER = BEFORE + """, lad AS (SELECT coach, count(*) AS n_positions, arg_max(po
   string_agg(position_title_standardized, ' → ' ORDER BY start_year, seq) AS pathway FROM app GROUP BY 1)"""
 
 
-@query("a21_career_ladders", f"WITH {LADDER} SELECT coach, n_positions, final_position FROM lad")
+@query("a21_career_ladders", f"WITH {LADDER} SELECT coach, n_positions, final_position, pathway AS positions_held FROM lad")
 def a21(spark, d):
     return careers.ladders(positions(spark, d))
 

@@ -127,11 +127,40 @@ def s6(spark, d):
     f"""WITH {DOCS} SELECT CAST(regexp_extract(home, '[0-9]+') AS BIGINT) AS ncaa_id, CAST(game_id AS VARCHAR) AS game_id, date, start_time, location,
       CASE WHEN location <> '' THEN array_to_string(officials, '|') ELSE '' END AS officials, home_q * 100 AS attendance, home, home_q AS home_score,
       (home_q - home_n) || '-' || home_n AS home_periods, 2 * home_n AS home_timeouts, visitor, away_q AS visitor_score, (away_q - away_n) || '-' || away_n AS visitor_periods,
-      2 * away_n AS visitor_timeouts, home AS leader_points, visitor AS leader_rebounds, home_n + away_n AS plays FROM doc""",
+      2 * away_n AS visitor_timeouts, """
+    + ", ".join(
+        f"{team} || ' {k}' AS {side}_leader_{c}" if k in ("Points", "Rebounds", "Personal Fouls", "Usage Percentage") else f"CAST(NULL AS VARCHAR) AS {side}_leader_{c}"
+        for side, team in (("home", "home"), ("visitor", "visitor"))
+        for k, c in plays.LEADERS.items()
+    )
+    + ", home_n + away_n AS plays FROM doc",
 )
 def s7(spark, d):
-    record = plays.game_record(game_tree(spark, d))
-    return record.drop(*[f"leader_{k.lower()}" for k in plays.LEADERS if k not in ("Points", "Rebounds")])
+    return plays.game_record(game_tree(spark, d))
+
+
+SIDES_SQL = """(SELECT *, home AS team, 'HomeTeam' AS side, home_q AS q, home_n AS n, 1 AS odd FROM doc
+    UNION ALL SELECT *, visitor, 'VisitingTeam', away_q, away_n, 0 FROM doc)"""
+
+
+@query(
+    "s7_player_rows",
+    f"""WITH {DOCS} SELECT CAST(regexp_extract(home, '[0-9]+') AS BIGINT) AS ncaa_id, CAST(game_id AS VARCHAR) AS game_id, side, team,
+      row_number() OVER (PARTITION BY game_id, side ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS number,
+      CAST(l_suppkey % 56 AS VARCHAR) AS "UniformNumber", CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS "Points", CAST(NULL AS VARCHAR) AS "Assists"
+    FROM {SIDES_SQL} d JOIN lineitem l ON l.l_orderkey = d.game_id AND l_linenumber % 2 = odd""",
+)
+def s7_players(spark, d):
+    return plays.player_rows(game_tree(spark, d), ["UniformNumber", "Points", "Assists"])
+
+
+@query(
+    "s7_period_rows",
+    f"""WITH {DOCS} SELECT CAST(regexp_extract(home, '[0-9]+') AS BIGINT) AS ncaa_id, CAST(game_id AS VARCHAR) AS game_id, side, team, number,
+      CAST(CASE number WHEN 1 THEN q - n ELSE n END AS VARCHAR) AS "Points" FROM {SIDES_SQL}, (VALUES (1::BIGINT), (2)) p(number)""",
+)
+def s7_periods(spark, d):
+    return plays.period_rows(game_tree(spark, d), ["Points"])
 
 
 FEED_SQL = {

@@ -191,18 +191,19 @@ def j7(spark, d):
 
 @query(
     "j8_strict_double_lookup",
-    """SELECT o_orderkey AS game_id, CAST(year(o_orderdate) AS BIGINT) AS year, o_custkey AS team_1_id, c_mktsegment AS team_1_region,
-      CAST(c_nationkey AS BIGINT) AS team_1_seed, o_custkey AS team_2_id, c_mktsegment AS team_2_region, CAST(c_nationkey AS BIGINT) AS team_2_seed
-    FROM orders JOIN customer ON o_custkey = c_custkey""",
+    """SELECT o_orderkey AS game_id, CAST(year(o_orderdate) AS BIGINT) AS year, o_custkey AS team_1_id, a.c_mktsegment AS team_1_region,
+      CAST(a.c_nationkey AS BIGINT) AS team_1_seed, b.c_custkey AS team_2_id, b.c_mktsegment AS team_2_region, CAST(b.c_nationkey AS BIGINT) AS team_2_seed
+    FROM orders JOIN customer a ON o_custkey = a.c_custkey JOIN customer b ON b.c_custkey = CASE WHEN o_custkey > 1 THEN o_custkey - 1 ELSE 2 END""",
 )
 def j8(spark, d):
     orders = table(spark, d, "orders").select(
         F.col("o_orderkey").alias("game_id"),
         F.year("o_orderdate").alias("year"),
         F.col("o_custkey").alias("team_1_id"),
-        F.col("o_custkey").alias("team_2_id"),
+        F.when(F.col("o_custkey") > 1, F.col("o_custkey") - 1).otherwise(2).alias("team_2_id"),
     )
-    years = orders.select("year", F.col("team_1_id").alias("team_id"), F.col("game_id").alias("ord"))
+    sides = F.array("team_1_id", "team_2_id")
+    years = orders.select("year", F.explode(sides).alias("team_id"), F.col("game_id").alias("ord"))
     seeds = table(spark, d, "customer").select(
         F.col("c_custkey").alias("team_id"), F.col("c_mktsegment").alias("region"), F.col("c_nationkey").alias("seed")
     )

@@ -277,6 +277,10 @@ def game_docs(spark: SparkSession, d: str) -> DataFrame:
         sums[f"{name}_n"] = F.count_if(here)
         sums[f"{name}_r"] = F.count_if(here & (flag == "R"))
         sums[f"{name}_a"] = F.count_if(here & (flag == "A"))
+    for name, here in (("home", odd), ("away", ~odd)):
+        listed = F.collect_list(F.when(here, F.struct(F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity"))))
+        sums[f"{name}_players"] = F.transform(F.array_sort(listed), lambda x: F.create_map(
+            F.lit("UniformNumber"), (x["l_suppkey"] % 56).cast("string"), F.lit("Points"), x["l_quantity"].cast("int").cast("string")))
     # an order has a handful of lines, so its list of plays is one small document
     per_game = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(play)).alias("Plays"), *[c.alias(n) for n, c in sums.items()]
@@ -289,7 +293,10 @@ def game_docs(spark: SparkSession, d: str) -> DataFrame:
         for key, pieces in TOTAL_TEXTS.items():
             text = F.concat(*[parts[p[1:-1]] if p.startswith("{") else F.lit(p) for p in pieces])
             pairs += [F.lit(key), text]
-        return F.struct(F.struct(F.create_map(*pairs).alias("Values")).alias("Totals"))
+        n, q = F.col(f"{name}_n"), F.col(f"{name}_q")
+        halves = [F.struct(F.create_map(F.lit("Points"), x.cast("string")).alias("Values")) for x in (q - n, n)]
+        players = F.struct(F.struct(F.col(f"{name}_players").alias("Values")).alias("Players")).alias("PlayerGroups")
+        return F.struct(F.struct(F.create_map(*pairs).alias("Values")).alias("Totals"), players, F.array(*halves).alias("PeriodStats"))
 
     def team(name: str, label):
         q, n = F.col(f"{name}_q"), F.col(f"{name}_n").cast("int")
@@ -298,7 +305,11 @@ def game_docs(spark: SparkSession, d: str) -> DataFrame:
     g = games(spark, d).join(per_game, F.col("game_id") == F.col("l_orderkey"))
     officials = F.when(F.col("location") != "", F.array_join("officials", ",  ")).otherwise("")
     home_key = F.regexp_extract("home", r"(\d+)", 1).cast("int")
-    leaders = F.create_map(F.lit("Points"), F.col("home"), F.lit("Rebounds"), F.col("visitor"))
+    named = lambda team, k: F.concat(team, F.lit(f" {k}"))
+    leaders = F.struct(*[
+        F.create_map(*[x for k in ("Points", "Rebounds", "Personal Fouls", "Usage Percentage") for x in (F.lit(k), named(F.col(team), k))]).alias(s)
+        for s, team in (("HomeTeam", "home"), ("VisitingTeam", "visitor"))
+    ])
     return g.select(
         home_key.alias("ncaa_id"),
         F.col("game_id").cast("string").alias("game_id"),
