@@ -310,3 +310,18 @@ def nest_positions(positions: DataFrame) -> DataFrame:
     )
     listed = positions.groupBy("coach").agg(F.array_sort(F.collect_list(entry)).alias("positions"))
     return listed.withColumn("positions", F.transform("positions", lambda p: p.dropFields("seq")))
+
+
+# fixed values: marks of a school entry that is none of the association's
+FLAGGED_SCHOOL = "NON_NCAA|AAU|High School|Professional"
+
+
+def unmapped_titles(rows: DataFrame, raw: str, mapped: str) -> DataFrame:
+    """Raw titles that were mapped to nothing or to Other, with their counts."""
+    gap = F.col(mapped).isNull() | (F.col(mapped) == "Other")
+    return rows.where(gap).groupBy(raw).agg(F.count(F.lit(1)).alias("n"))
+
+
+def flagged_schools(rows: DataFrame, school: str, pattern: str = FLAGGED_SCHOOL) -> DataFrame:
+    """School entries that look like no member school, with their counts."""
+    return rows.where(F.col(school).rlike(pattern)).groupBy(school).agg(F.count(F.lit(1)).alias("n"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from rimsight.operators import crew, ranking
 from rimsight.plans.registry import query
 from rimsight.plans.standins import GAMES, games
-from rimsight.session import hold
+from rimsight.session import hold, scratch_path
+from rimsight.sinks import writers
+from rimsight.sources import readers
 
 TEAMS = [f"NATION_{i}" for i in range(0, 25, 2)]
 TEAM_SQL = ", ".join(f"'{t}'" for t in TEAMS)
@@ -267,6 +269,19 @@ def k5(spark, d):
     return crew.official_days(games(spark, d)).orderBy("date", "start_time", "location", "official")
 
 
+@query(
+    "k5_official_days_export",
+    f"""WITH {MEMBERS} SELECT DISTINCT CAST(date AS VARCHAR) AS date, start_time, location, official FROM members
+    WHERE trim(location) <> '' AND trim(official) <> ''""",
+)
+def k5_export(spark, d):
+    """The sorted export as files with fixed fields, read back."""
+    path = scratch_path(spark, "official-days")
+    fields = ["date", "start_time", "location", "official"]
+    writers.write_csv(crew.official_days(games(spark, d)).orderBy(*fields), path, fields)
+    return readers.read_csv_rows(spark, path, ", ".join(f"{c} string" for c in fields), "official")
+
+
 @query(
     "t6_sort_date_time",
     f"""WITH {MEMBERS}, days AS (SELECT DISTINCT date, start_time, location, official FROM members WHERE trim(location) <> '')

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rimsight.functions import dates, roster, strings, titles, urls
-from rimsight.operators import bios
+from rimsight.operators import bios, careers
 from rimsight.plans.registry import query
 from rimsight.plans.sqltext import (
     case_sql, chain_sql, first_sql, ordered_sql, pick, pick_sql, quoted, squish_sql, strip_sql,
@@ -569,6 +569,28 @@ def f40(spark, d):
     return with_text(spark, d, JOBS).select(KEY, F.col("t").alias("title"), titles.standard_title(F.col("t")).alias("standard"))
 
 
+@query(
+    "a34_unmapped_titles",
+    f"""WITH {texts(JOBS)}, y AS (SELECT t AS title, {TITLE_SQL_STD} AS standard FROM x)
+    SELECT title, count(*) AS n FROM y WHERE standard IS NULL OR standard = 'Other' GROUP BY 1""",
+)
+def a34_titles(spark, d):
+    rows = with_text(spark, d, JOBS).select(F.col("t").alias("title"), titles.standard_title(F.col("t")).alias("standard"))
+    return careers.unmapped_titles(rows, "title", "standard")
+
+
+ENTRIES = ["NON_NCAA", "Lincoln High School", "AAU Comets", "Professional (overseas)", "Ohio State", "High Point"]
+
+
+@query(
+    "a34_flagged_schools",
+    f"""WITH {texts(ENTRIES)} SELECT t AS school, count(*) AS n FROM x
+    WHERE regexp_matches(t, 'NON_NCAA|AAU|High School|Professional') GROUP BY 1""",
+)
+def a34_schools(spark, d):
+    return careers.flagged_schools(with_text(spark, d, ENTRIES).select(F.col("t").alias("school")), "school")
+
+
 @query(
     "f41_role_components",
     f"""WITH {texts(JOBS)}, y AS (SELECT o_orderkey, unnest(list_filter(list_transform(string_split_regex(t, {quoted(titles.ROLE_SEPARATOR)}), lambda r: {strip_sql('r')}),
