@@ -467,7 +467,7 @@ def _em_sums(rows: DataFrame, state: np.ndarray | None, groups: int) -> np.ndarr
     """For both models and every group: likelihood, weights, sums and squares of the two components.
 
     ``rows`` has a group's number and a value. Without a state the rows are split at zero.
-    Tasks add up their own rows; groups x 14 numbers come back.
+    Tasks add up their own rows; groups x 14 numbers come back from each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -485,13 +485,13 @@ def _em_sums(rows: DataFrame, state: np.ndarray | None, groups: int) -> np.ndarr
                     share = np.exp(logs[1] - density)
                 for k, v in enumerate((density, 1 - share, share, (1 - share) * z, share * z, (1 - share) * z * z, share * z * z)):
                     total[m, k] += np.bincount(g, v, groups)
-        flat = total.ravel()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["at", "value"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
-    out = np.zeros(2 * 7 * groups)
-    for row in rows.mapInArrow(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
-        out[row["at"]] = row["value"]
-    return out.reshape(2, 7, groups)
+    # one stage a round: tasks' sums are added here as they come
+    out = np.zeros((2, 7, groups))
+    for row in rows.mapInArrow(run, "sums binary").collect():
+        out += np.frombuffer(row["sums"]).reshape(out.shape)
+    return out
 
 
 def _em_state(sums: np.ndarray, n: np.ndarray) -> np.ndarray:
