@@ -23,8 +23,10 @@ MAGIC = b"TOKSHRD1"
 _TRAILER = struct.Struct("<QQQQQ")
 
 # Texts of these characters alone are cut into the tokenizer's own pieces below: what it puts
-# into lower case, and what its pattern tells apart, is plain for them.
-_PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-įı-ɏ]*")
+# into lower case, and what its pattern tells apart, is plain for them. Left out are the letters
+# up to ɏ whose lower case is no letter of the pieces' class, such as Ɓ, Ɔ and Ə.
+_LETTERS = [c for c in map(chr, range(0xC0, 0x250)) if re.fullmatch(r"[a-zß-öø-ɏ]", c.lower())]
+_PLAIN = re.compile(rf"[\t\n\r -~{''.join(_LETTERS)}]*")
 _PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ɏ]+|[0-9]|[^\sa-zß-öø-ɏ0-9]+", re.ASCII)
 _KEPT = 700_000
 

@@ -42,6 +42,13 @@ def test_pieces_encode_as_whole_texts():
         assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_every_latin_letter_inside_a_word():
+    encoder = token_files.PieceEncoder(word_tokenizer())
+    texts = [f"{c}arna D{c}I s{c}" for c in map(chr, range(0xC0, 0x250))]
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_token_files_awkward(spark, awkward, no_docs, tmp_path):
     shards = token_files.write_shards(awkward, f"{tmp_path}/a", word_tokenizer())
     got = sorted(map(tuple, token_files.read_shards(shards).collect()), key=lambda r: r[1])
