@@ -184,7 +184,8 @@ def repeated_starts(sure: np.ndarray, doc: np.ndarray, lo: np.ndarray, hi: np.nd
     left = np.zeros((n, REACH), np.uint8)
     owner, place = W.segments(before)
     left[owner, place] = flat[(begin + before)[owner] - 1 - place]
-    order = np.lexsort((_ranks(right), sure))
+    # by length last: a short context stands before those that continue it, with NUL bytes too
+    order = np.lexsort((after, _ranks(right), sure))
     # bytes in common with the phrase before in this order; none across groups
     same = right[order[1:]] == right[order[:-1]]
     common = np.where(same.all(axis=1), LENGTH, (~same).argmax(axis=1))

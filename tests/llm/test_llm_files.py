@@ -148,6 +148,13 @@ def test_suffix_dedup_random(spark, monkeypatch):
     assert removed(docs) == brute.repeats([r[:2] for r in rows])
 
 
+def test_suffix_dedup_short_context_among_nuls():
+    contexts = [b"\0" * 100, b"x" * 60 + b"\0" * 40, b"\0" * 101]
+    doc, lo, hi, trigger = (np.array(c) for c in ([1, 2, 3], [0, 0, 0], [0, 0, 1], [0, 60, 0]))
+    out = suffix_dedup.repeated_starts(np.zeros(3, np.int64), doc, lo, hi, trigger, contexts)
+    assert out[:, 0].tolist() == [False, False, True]
+
+
 def test_suffix_dedup_pieces_of_long_texts(monkeypatch):
     rng = np.random.default_rng(4)
     data = rng.integers(97, 100, 3000).astype(np.uint8)
