@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,6 +24,8 @@ PIECE = 1 << 18
 MOST_BITS = 1 << 28
 CONTEXT = LENGTH + REACH
 CHUNK_ROWS = 60_000
+GROUP_ROWS = 60_000  # phrases of a group that one task settles at once; larger groups go start by start
+STARTS_ROWS = 4_000  # phrases of larger groups whose starts are written out together
 
 _LOW48 = np.uint64((1 << 48) - 1)
 _U64 = np.uint64
@@ -260,6 +263,55 @@ def _settle(contexts: DataFrame) -> DataFrame:
     return contexts.repartition("sure").sortWithinPartitions("sure").mapInArrow(run, "doc long, lo int, hi int")
 
 
+def _settle_starts(contexts: DataFrame) -> DataFrame:
+    """As ``_settle``, for groups of any size: equal strings meet, not the phrases of a group.
+
+    What repeats among phrases that a task has at hand is settled there; of the other starts
+    each is a row with its bytes, sorted by them, and all but the first of equal ones repeat.
+    """
+
+    def write_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), STARTS_ROWS):
+                rows = batch.slice(at, STARTS_ROWS)
+                doc, lo, hi, trigger, sure = (rows.column(rows.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in ("doc", "lo", "hi", "trigger", "sure"))
+                contexts = rows.column(rows.schema.get_field_index("context")).to_pylist()
+                marks = repeated_starts(sure, doc, lo, hi, trigger, contexts)
+                owner, a = np.nonzero(marks)
+                start = trigger[owner] - a
+                doc_r, lo_r, hi_r = joined_runs(doc[owner], start, start)
+                owner, place = W.segments(hi - lo + 1)
+                open_ = ~marks[owner, (trigger - lo)[owner] - place]
+                owner, place = owner[open_], place[open_]
+                size = np.fromiter(map(len, contexts), np.int64, len(rows))
+                first = (np.cumsum(size) - size)[owner] + place
+                flat = np.frombuffer(b"".join(contexts), np.uint8)
+                strings = sliding_window_view(flat, LENGTH)[first].tobytes()
+                bounds = (np.arange(len(owner) + 1) * LENGTH).astype(np.int32)
+                raw = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(strings)])
+                for d, x, y, bytes_ in ((doc_r, lo_r, hi_r, pa.nulls(len(doc_r), pa.binary())), (doc[owner], lo[owner] + place, lo[owner] + place, raw)):
+                    yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(x, pa.int32()), pa.array(y, pa.int32()), bytes_], ["doc", "lo", "hi", "string"])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            settled = batch.column(3).is_null().to_numpy(zero_copy_only=False)
+            rows = batch.filter(pa.array(~settled))
+            again = np.zeros(len(rows), bool)
+            if len(rows):
+                strings = np.frombuffer(b"".join(rows.column(3).to_pylist()), np.uint8).reshape(len(rows), LENGTH)
+                again[0] = last == strings[0].tobytes()
+                again[1:] = (strings[1:] == strings[:-1]).all(axis=1)
+                last = strings[-1].tobytes()
+            gone = pa.concat_batches([batch.filter(pa.array(settled)), rows.filter(pa.array(again))])
+            doc, lo, hi = joined_runs(*(gone.column(c).to_numpy().astype(np.int64) for c in range(3)))
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], ["doc", "lo", "hi"])
+
+    starts = contexts.mapInArrow(write_out, "doc long, lo int, hi int, string binary")
+    spread = F.when(F.col("string").isNull(), F.xxhash64("doc")).otherwise(F.xxhash64("string"))
+    return starts.repartition(spread).sortWithinPartitions("string", "doc", "lo").mapInArrow(mark, "doc long, lo int, hi int")
+
+
 def repeated_runs(rows: DataFrame) -> DataFrame:
     """doc, lo, hi: runs of starts whose string of LENGTH bytes also starts earlier.
 
@@ -272,18 +324,26 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
     place = F.struct("doc", "trigger", "lo")
     grouped = parsed.filter("sure is not null").repartition("sure")
     met = grouped.withColumns({"first": F.min(place).over(same)}).withColumns(
-        {"n": F.count("*").over(group), "mixed": F.min("whole").over(group) != F.max("whole").over(group)}
+        {
+            "n": F.count("*").over(group),
+            "mixed": F.min("whole").over(group) != F.max("whole").over(group),
+            "large": F.count(F.when(place == F.col("first"), 1)).over(group) > GROUP_ROWS,
+        }
     )
     repeated = held(
-        met.filter("n > 1").select("doc", "lo", "hi", "trigger", "sure", "whole", (place != F.col("first")).alias("again"), "mixed"), "repeated"
+        met.filter("n > 1").select("doc", "lo", "hi", "trigger", "sure", "whole", (place != F.col("first")).alias("again"), "mixed", "large"), "repeated"
     )
     copies = repeated.filter("again").select("doc", "lo", "hi")
-    wanted = repeated.filter("mixed and not again").select("doc", "lo", "hi", "trigger", "sure", "whole")
-    bits = bits_for(wanted.count(), MOST_BITS)
-    sieve = sieve_of(wanted, _slot(F.col("doc"), F.col("trigger"), bits), bits)
+    out = settled.unionByName(copies)
+    mixed = repeated.filter("mixed and not again")
     keys = ["doc", "lo", "hi", "trigger", "sure", "whole"]
-    contexts = _contexts(rows, sieve, bits).join(wanted, keys, "left_semi")
-    return settled.unionByName(copies).unionByName(_settle(contexts))
+    for r in mixed.groupBy("large").count().collect():  # two rows at most
+        wanted = mixed.filter(F.col("large") == r["large"]).select(*keys)
+        bits = bits_for(r["count"], MOST_BITS)
+        sieve = sieve_of(wanted, _slot(F.col("doc"), F.col("trigger"), bits), bits)
+        contexts = _contexts(rows, sieve, bits).join(wanted, keys, "left_semi")
+        out = out.unionByName((_settle_starts if r["large"] else _settle)(contexts))
+    return out
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

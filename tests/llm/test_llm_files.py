@@ -148,6 +148,28 @@ def test_suffix_dedup_random(spark, monkeypatch):
     assert removed(docs) == brute.repeats([r[:2] for r in rows])
 
 
+def test_suffix_dedup_group_of_any_size(spark, monkeypatch):
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcd ") for _ in range(300))
+    rows = []
+    for i in range(120):  # one passage in different surroundings, some of them shared
+        around = ["".join(random.Random(rng.randrange(60)).choice("xyz\0") for _ in range(90)) for _ in range(2)]
+        rows.append((i, around[0][rng.randrange(80) :] + base + around[1][: rng.randrange(90)]))
+    monkeypatch.setattr(suffix_dedup, "GROUP_ROWS", 10)
+    monkeypatch.setattr(suffix_dedup, "STARTS_ROWS", 7)
+    sizes = []
+    settle = suffix_dedup._settle
+
+    def small(contexts):
+        sizes.extend(r["count"] for r in contexts.groupBy("sure").count().collect())
+        return settle(contexts)
+
+    monkeypatch.setattr(suffix_dedup, "_settle", small)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert removed(docs) == brute.repeats(rows)
+    assert max(sizes, default=0) <= 10
+
+
 def test_suffix_dedup_short_context_among_nuls():
     contexts = [b"\0" * 100, b"x" * 60 + b"\0" * 40, b"\0" * 101]
     doc, lo, hi, trigger = (np.array(c) for c in ([1, 2, 3], [0, 0, 0], [0, 0, 1], [0, 60, 0]))
