@@ -40,11 +40,12 @@ def _window(hashes: np.ndarray, size: int) -> np.ndarray:
     return W.grams(hashes, size)[: max(0, len(hashes) - size + 1)].view(np.int64)
 
 
-def benchmark_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def benchmark_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM, unnamed: bool = False) -> DataFrame:
     """One row per fingerprint and per window that holds it: length, fingerprint, before, window hash, item.
 
     An item of fewer words than ``window``, but not none, is one window of its own length;
     its fingerprint is the gram of all its words. Null texts and items without words give none.
+    Items without an id have windows only if ``unnamed``; their item is null.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,7 +72,7 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW, gram: int = GRAM)
 
     rows = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
     schema = "size int, print long, before int, window long, item string"
-    return rows.mapInArrow(run, schema).filter(F.col("item").isNotNull()).distinct()
+    return (rows if unnamed else rows.filter(F.col("item").isNotNull())).mapInArrow(run, schema).distinct()
 
 
 def document_prints(docs: DataFrame, sizes: list[int], sieve: bytes, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -121,7 +122,7 @@ def document_prints(docs: DataFrame, sizes: list[int], sieve: bytes, window: int
     return rows.mapInArrow(run, schema)
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM, unnamed: bool = False) -> DataFrame:
     """One row per document row: doc_id, text_hash, n_words, hit spans, words hit, items found.
 
     A document word is hit when it lies in an occurrence of any ``window`` words in a row of a
@@ -130,11 +131,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     The benchmark's fingerprints go into a sieve of fixed size (``SIEVE_BITS``), which is all
     that is broadcast; fingerprints that pass it meet the benchmark in a shuffled join. A
     larger benchmark only lets more through. Null texts have no words; a null doc_id is kept;
-    rows with equal id and text give equal results.
+    rows with equal id and text give equal results. Items without an id (null) count only if
+    ``unnamed``: their words are hit, and the list of items leaves them out.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    known = held(benchmark_windows(items, window, gram), "benchmark-windows")
+    known = held(benchmark_windows(items, window, gram, unnamed), "benchmark-windows")
     sieve = sieve_of(known, F.pmod(F.col("print"), F.lit(SIEVE_BITS)), SIEVE_BITS)
     sizes = sorted(r["size"] for r in known.select("size").distinct().collect())  # at most ``window`` lengths
     found = held(document_prints(docs, sizes, sieve, window, gram), "document-prints")
@@ -168,9 +170,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     )
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents without a word hit, with all their columns; the text is judged whole."""
-    hit = contamination(docs, items).filter(F.col("n_hit") > 0)
+def clean(docs: DataFrame, items: DataFrame, unnamed: bool = False) -> DataFrame:
+    """Documents without a word hit, with all their columns; the text is judged whole, ``unnamed`` as in ``contamination``."""
+    hit = contamination(docs, items, unnamed=unnamed).filter(F.col("n_hit") > 0)
     marks = hit.select(doc_key("doc_id").alias("hit_doc"), F.col("text_hash").alias("hit_hash")).distinct()
     same = (doc_key("d.doc_id") == F.col("m.hit_doc")) & (F.xxhash64(F.lit(7), F.col("d.text")) == F.col("m.hit_hash"))
     return docs.alias("d").join(marks.alias("m").hint("shuffle_hash"), same, "left_anti")

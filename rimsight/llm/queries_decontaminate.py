@@ -31,7 +31,7 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 def op6_decontaminate(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    return decontaminate.contamination(docs, items).select(
+    return decontaminate.contamination(docs, items, unnamed=True).select(
         "doc_id",
         "n_words",
         "n_hit",

@@ -93,6 +93,22 @@ def test_decontaminate_awkward(spark, awkward):
     assert sorted(map(str, pairs(clean))) == sorted(str(p) for p, w in zip(pairs(awkward), brute.leaks(pairs(awkward), items)) if not w[2])
 
 
+def test_decontaminate_items_without_id(spark, tmp_path):
+    import corpus_pipeline
+    from rimsight.llm.queries_decontaminate import op6_decontaminate
+
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text), (2, text[:26]), (3, "end " + text[-45:])], "doc_id long, text string")
+    items = spark.createDataFrame([(None, text), (5, text[-45:]), (None, "of its own")], "item_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in op6_decontaminate(spark, str(tmp_path)).collect()}
+    assert got == {1: (30, 30, 1, True), 2: (9, 0, 0, False), 3: (13, 12, 1, True)}
+    only = spark.createDataFrame([(None, text)], "item_id long, text string")
+    only.write.mode("overwrite").parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r["doc_id"] for r in corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_decontaminate_empty(spark, awkward, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(no_docs, none).collect() == []
