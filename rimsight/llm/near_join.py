@@ -21,6 +21,8 @@ BAND = 1.7  # sizes of one band differ by no more than this factor
 MOST_BITS = 1 << 28  # of the sieve that picks the sets to count
 GROUP = 1024  # members of a signature's group that are compared at a time
 CHUNK_ROWS = 40_000
+LEAST = 4  # elements of the smallest set that links with one not equal to it
+SMALL = 8  # sets of up to so many elements have signatures of the whole set and of all but one element
 
 # Jaccard 0.8: sets of a and b elements link when they differ in no more than (a + b) / 9 elements,
 # so b lies between 0.8 a and 1.25 a.
@@ -67,15 +69,20 @@ def signatures(sets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     number is a signature. An empty part counts only for sets with so few filled parts that
     a partner might share none of those. A set whose partners may lie in the next band has
     that band's signatures too.
+
+    Sets of fewer than ``SMALL`` elements would mostly share empty parts. They link with sets
+    of at most ``SMALL`` and differ from those in one element at most, so both have the sum of
+    all elements, and the sums of all but one, as signatures instead; sets of ``SMALL`` have
+    both kinds.
     """
     sizes = np.diff(ends)
     band, top = bands(sizes)
-    owners, found = [], []
+    owners, found = _small_signatures(sets, sizes)
     for ahead in (0, 1):
         group = band + ahead
         limit = top if not ahead else upper(group)
         # into the next band only where 1.25 times the size reaches it
-        member = (sizes > 0) & ((ahead == 0) | (5 * sizes >= 4 * top))
+        member = (sizes >= SMALL) & ((ahead == 0) | (5 * sizes >= 4 * top))
         parts = np.where(member, partitions(limit), 0)
         base = np.cumsum(parts) - parts
         owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -96,6 +103,19 @@ def signatures(sets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(owners), np.concatenate(found)
 
 
+def _small_signatures(sets: np.ndarray, sizes: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Owners and signatures of sets of up to ``SMALL`` elements: all elements, all but one."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    inside = sizes[owner] <= SMALL
+    owner, values = owner[inside], W.mix(sets[inside] ^ np.uint64(0xD1B54A32D192ED03))
+    sums = np.zeros(len(sizes), np.uint64)
+    np.add.at(sums, owner, values)
+    whole = np.flatnonzero((sizes > 0) & (sizes <= SMALL))
+    part = sizes[owner] >= LEAST
+    owner, less = owner[part], (sums[owner] - values)[part]
+    return [whole, owner], [(W.mix(x) >> np.uint64(16)).view(np.int64) for x in (sums[whole], less)]
+
+
 def sketch_bits(size: int) -> int:
     """Bits of a parity sketch: some four times the elements that linked sets can differ in."""
     return 1 << max(7, min(16, (8 * size // 9).bit_length()))
@@ -150,7 +170,7 @@ def describe(docs: DataFrame) -> DataFrame:
 
 
 def signature_rows(docs: DataFrame) -> DataFrame:
-    """sig and doc for every signature; of equal sets that one task sees only the first."""
+    """sig and doc for every signature of sets that may link with others; of equal sets that one task sees only the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -166,7 +186,7 @@ def signature_rows(docs: DataFrame) -> DataFrame:
                     if h not in seen:
                         seen.add(h)
                         new[k] = True
-                kept = new[owner]
+                kept = (new & (np.diff(ends) >= LEAST))[owner]  # smaller sets link only with equal ones, which are one class
                 yield pa.RecordBatch.from_arrays([pa.array(sig[kept]), pa.array(ids[at : at + 256][owner[kept]])], ["sig", "doc"])
 
     return _rows(docs).mapInArrow(run, "sig long, doc long")
@@ -315,7 +335,8 @@ def classes(docs: DataFrame) -> DataFrame:
 
     Documents link when the Jaccard similarity of their word-5-gram sets is 0.8 or more; a
     component is all that links reach. Equal sets are one representative, the smallest id.
-    Every linked pair of representatives shares a signature. In each signature's group all
+    Every linked pair of representatives shares a signature; sets of fewer than four
+    elements link only with equal ones and have none. In each signature's group all
     are first held against the smallest member; after that, pairs of the group that are not
     yet connected are held against each other. Parity sketches drop pairs that provably
     differ too much; whatever they leave is counted exactly, so no link is lost, and no

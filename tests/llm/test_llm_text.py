@@ -69,6 +69,28 @@ def test_linked_sets_share_a_signature():
         assert near_join.may_link(near_join.parity_sketch(a), near_join.parity_sketch(b), len(a), len(b))
 
 
+def test_short_texts_share_no_signatures(spark):
+    rows = [(n * 1000 + i, " ".join(f"w{n}x{i}y{k}" for k in range(n))) for n in range(1, 12) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = near_join.signature_rows(docs).groupBy("sig").count()
+    assert found.filter("count > 1").count() == 0
+    assert not near_join.signature_rows(docs.filter("doc_id < 7900")).count()
+
+
+def test_small_linked_sets_share_a_signature():
+    rng = np.random.default_rng(2)
+    for size in range(1, 14):
+        for other in range(size, 18):
+            for common in range(1, size + 1):
+                if 100 * common < 80 * (size + other - common):
+                    continue
+                for _ in range(40):
+                    pool = rng.integers(0, 2**63, size + other, dtype=np.uint64)
+                    a, b = np.sort(pool[:size]), np.sort(pool[size - common : size - common + other])
+                    owner, sig = near_join.signatures(np.concatenate([a, b]), np.array([0, size, size + other]))
+                    assert set(sig[owner == 0].tolist()) & set(sig[owner == 1].tolist()), (size, other, common)
+
+
 def test_near_join_empty(no_docs):
     assert near_join.classes(no_docs).collect() == []
 
