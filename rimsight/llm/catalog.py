@@ -7,6 +7,7 @@ from rimsight.llm import (  # noqa: F401
     queries_near,
     queries_quality,
     queries_ranked,
+    queries_repair,
     queries_search,
     queries_suffix,
     queries_tokens,
