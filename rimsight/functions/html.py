@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,18 +44,6 @@ def inner(html: Column, tag: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"), F.lit(1))
 
 
-def attribute(fragment: Column, name: str) -> Column:
-    """First value of an attribute, '' if absent."""
-    return F.regexp_extract(fragment, rf'(?is)\s{name}="([^"]*)"', 1)
-
-
-def links(html: Column, pattern: str) -> Column:
-    """Array of (href, text) of the links whose address matches the pattern."""
-    anchors = F.regexp_extract_all(html, F.lit(r"(?is)(<a\s[^>]*>.*?</a>)"), F.lit(1))
-    pairs = F.transform(anchors, lambda a: F.struct(attribute(a, "href").alias("href"), strip(text_of(a)).alias("text")))
-    return F.filter(pairs, lambda p: p["href"].rlike(pattern))
-
-
 def first_link(fragment: Column) -> Column:
     return F.regexp_extract(fragment, r'(?is)<a\s[^>]*href="([^"]*)"', 1)
 
@@ -69,50 +55,3 @@ def headings(html: Column) -> Column:
 
 def has_class(html: Column, tag: str, name: str) -> Column:
     return html.rlike(rf"(?is)<{tag}\s[^>]*{class_pattern(name)}")
-
-
-def by_class(fragment: Column, name: str) -> Column:
-    """Inner HTML of the first element with the class, null if there is none."""
-    pattern = rf"(?is)<([a-z][a-z0-9]*)\s[^>]*{class_pattern(name)}[^>]*>(.*?)</\1>"
-    # the plain searches spare the pattern on fragments that cannot match
-    possible = fragment.contains(f'"{name}') | fragment.contains(f" {name}")
-    return F.when(possible, F.get(F.regexp_extract_all(fragment, F.lit(pattern), F.lit(2)), F.lit(0)))
-
-
-def cards(html: Column, names: Sequence[str]) -> Column:
-    """Fragments of the first card class that occurs, each up to the next card."""
-    found = []
-    for name in names:
-        parts = F.split(html, rf"(?is)<[a-z][a-z0-9]*\s[^>]*{class_pattern(name)}[^>]*>")
-        found.append(F.when(F.size(parts) > 1, F.slice(parts, 2, F.size(parts))))
-    return F.coalesce(*found, F.array().cast("array<string>"))
-
-
-def list_field(fragment: Column, label: str) -> Column:
-    """Value of the first ``Label: value`` list item, '' if absent."""
-    items = F.transform(inner(fragment, "li"), lambda t: squish(text_of(t, " ")))
-    hit = F.get(F.filter(items, lambda t: t.startswith(f"{label}:") | t.startswith(f"{label} :")), F.lit(0))
-    return F.coalesce(strip(F.regexp_replace(hit, rf"{label} ?:", "")), F.lit(""))
-
-
-def input_value(html: Column, form: str, field: str) -> Column:
-    """Value of an input inside a form, both found by element id; null if absent."""
-    body = F.regexp_extract(html, rf'(?is)<form\s[^>]*id="{form}"[^>]*>(.*?)</form>', 1)
-    tag = F.regexp_extract(body, rf'(?is)(<input\s[^>]*id="{field}"[^>]*>)', 1)
-    return F.when(tag.rlike(r'(?is)\svalue="'), attribute(tag, "value"))
-
-
-# fixed values: responsive classes of table cells
-SHOWN_AGAIN = ["d-md-table-cell", "d-lg-table-cell", "d-xl-table-cell", "d-md-block", "d-lg-block", "d-xl-block"]
-HIDDEN_WIDE = ["d-md-none", "d-lg-none", "d-xl-none"]
-
-
-def cell_is_visible(cell: Column) -> Column:
-    """Whether a cell shows on a desktop."""
-    names = F.split(F.regexp_extract(cell, r'(?is)^<t[dh]\s[^>]*class="([^"]*)"', 1), r"\s+")
-    any_of = lambda wanted: F.arrays_overlap(names, F.array(*[F.lit(w) for w in wanted]))
-    return F.when(F.array_contains(names, "d-none"), any_of(SHOWN_AGAIN)).otherwise(~any_of(HIDDEN_WIDE))
-
-
-def row_cells(row: Column) -> Column:
-    return F.regexp_extract_all(row, F.lit(r"(?is)(<t[dh](?:\s[^>]*)?>.*?</t[dh]>)"), F.lit(1))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,7 +37,8 @@ JERSEY_PATTERNS = [r"Jersey Number (\d+)", r"#(\d{1,2})\b", r"\b(\d{1,2})\s+\w"]
 HEIGHT_PATTERNS = [r"(\d+'\s*\d+\")", r"(\d+[′']\s*\d+[″\"])", r"Height:\s*([^,\n]+)"]
 POSITION_PATTERN = r"\b([A-Z]{1,2}(?:/[A-Z]{1,2})?)\b"
 SOCIAL_TAIL = r"\s*(Instagram|Twitter|Opens in a new window).*$"
-BIO_TAIL = r"\s*(Full Bio|Instagram|Twitter|Opens in a new window).*$"
+BIO_WORDS = ["Full Bio", "Instagram", "Twitter", "Opens in a new window"]
+BIO_TAIL = rf"\s*({'|'.join(BIO_WORDS)}).*$"
 CITY_STATE = r"^(.+?),\s*([A-Z][a-z]+\.?|[A-Z]{2})\s+(.*)"
 COLLEGE_WORDS = ["University", "College", "State", "Tech"]
 
@@ -101,20 +104,20 @@ UNWANTED_HEADERS = ["Social", "Pronounciation", "Pronouns"]
 
 def without_labels(text: Column) -> Column:
     """Field labels removed, then an exactly repeated full name collapsed."""
-    return let(let(text, _unlabelled), _one_name)
+    return let(let(text, _unlabelled), lambda t: _one_name(t, r"\s+"))
 
 
 def _unlabelled(text: Column) -> Column:
     out = text
     for pattern in LABEL_PATTERNS:
         out = strip(F.regexp_replace(out, f"(?i){pattern}", ""))
-    # every label has a colon, a slash or is the word itself
-    labelled = text.contains(":") | text.contains("/") | F.lower(text).contains("hometown")
-    return F.when(labelled, out).otherwise(strip(text))
+    # every label has a colon, a slash or is the word itself; only a text with a label goes through all of them
+    possible = text.contains(":") | text.contains("/") | F.lower(text).contains("hometown")
+    return F.when(possible & text.rlike(f"(?i){'|'.join(LABEL_PATTERNS)}"), out).otherwise(strip(text))
 
 
-def _one_name(text: Column) -> Column:
-    words = F.split(strip(text), r"\s+")
+def _one_name(text: Column, blank: str) -> Column:
+    words = F.split(strip(text), blank)
     half = F.floor(F.size(words) / 2).cast("int")
     front = F.slice(words, 1, half)
     twice = (F.size(words) >= 4) & (front == F.slice(words, half + 1, half))
@@ -123,8 +126,13 @@ def _one_name(text: Column) -> Column:
 
 def clean(text: Column) -> Column:
     """Whitespace squeezed, link captions cut, labels removed; missing as ''."""
-    cut = F.regexp_replace(squish(F.coalesce(text, F.lit(""))), BIO_TAIL, "")
-    return without_labels(cut)
+
+    def cut(squeezed: Column) -> Column:
+        captioned = reduce(lambda a, b: a | b, [squeezed.contains(word) for word in BIO_WORDS])
+        return F.when(captioned, F.regexp_replace(squeezed, BIO_TAIL, "")).otherwise(squeezed)
+
+    squeezed = let(squish(F.coalesce(text, F.lit(""))), cut)
+    return let(let(squeezed, _unlabelled), lambda t: F.when(t.contains(" "), _one_name(t, " ")).otherwise(t))
 
 
 def jersey(text: Column) -> Column:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rimsight.functions import html as h
+from rimsight.functions import markup as m
 from rimsight.functions import roster, titles
 from rimsight.functions.dates import month_name_date, season_spellings
-from rimsight.functions.strings import first_filled, let, squish, strip
+from rimsight.functions.strings import let, squish, strip
 from rimsight.functions.urls import absolute
 from rimsight.operators.keyed import first_per_key
 
@@ -36,6 +38,9 @@ COACH_FIELDS = {
     "alma_mater": ["sidearm-roster-coach-college", "sidearm-roster-coach-alma-mater"],
 }
 COACH_NAMES = ["sidearm-roster-coach-name", "sidearm-roster-staff-name", "s-person-details__personal-single-line"]
+# fixed values: where cards are looked for first
+PLAYER_PANELS, PLAYER_LIST = ["cardPanel", "listPanel", "tablePanel"], "sidearm-roster-players"
+COACH_PANELS, COACH_LIST = ["coaching-staff", "roster-staff"], "sidearm-roster-coaches"
 COACH_WORDS = ["coach", "director", "coordinator"]
 COACH_ROWS = ["head coach", "assistant coach", "director", "coordinator"]
 
@@ -68,31 +73,52 @@ def is_sidearm(html: Column) -> Column:
     )
 
 
-def _shape(table: Column) -> tuple[Column, Column]:
-    """Headers and row fragments of one table."""
-    head = F.get(h.inner(table, "thead"), F.lit(0))
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr(?:\s[^>]*)?>(.*?)</tr>"), F.lit(1))
-    first = F.transform(h.row_cells(F.get(rows, F.lit(0))), lambda c: strip(h.text_of(c)))
-    named = F.when(head.isNotNull(), F.transform(h.inner(head, "th"), lambda c: strip(h.text_of(c)))).otherwise(first)
-    filled = F.transform(named, lambda x: F.when(x == "", "_empty_").otherwise(x))
-    headers = F.filter(filled, lambda x: ~x.isin(*roster.UNWANTED_HEADERS))
-    body = F.get(h.inner(table, "tbody"), F.lit(0))
-    body_rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr(?:\s[^>]*)?>(.*?)</tr>"), F.lit(1))
-    return headers, F.when(body.isNotNull(), body_rows).otherwise(F.slice(rows, 2, F.greatest(F.size(rows), F.lit(1))))
+# fixed values: responsive classes of table cells
+SHOWN_AGAIN = ["d-md-table-cell", "d-lg-table-cell", "d-xl-table-cell", "d-md-block", "d-lg-block", "d-xl-block"]
+HIDDEN_WIDE = ["d-md-none", "d-lg-none", "d-xl-none"]
+
+
+def _shows(classes: str) -> bool:
+    """Whether a cell shows on a desktop."""
+    names = set(classes.split())
+    return not names.isdisjoint(SHOWN_AGAIN) if "d-none" in names else names.isdisjoint(HIDDEN_WIDE)
+
+
+def _shape(page: m.Page, table: int) -> tuple[list[str], list[int]]:
+    """Headers and body rows of one table; tables inside its cells are not its own."""
+    rows = page.rows(table)
+    head, body = (page.first([k for k in page.tagged(tag, table) if page.scope[k] == table]) for tag in ("thead", "tbody"))
+    if head is not None:
+        nested = page.tagged("table", head)
+        cells = [c for c in page.tagged("th", head) if not any(page.inside(c, t) for t in nested)]
+    else:
+        cells = page.cells(rows[0]) if rows else []
+    named = [(page.text_of(c) or "").strip() or "_empty_" for c in cells]
+    inner = rows[1:] if body is None else [r for r in rows if page.inside(r, body)]
+    return [n for n in named if n not in roster.UNWANTED_HEADERS], inner
+
+
+_TABLE = "struct<headers:array<string>,rows:array<struct<cells:array<string>,link:string>>>"
+
+
+def _first_table(page: m.Page) -> dict | None:
+    table = page.first(page.tagged("table"))
+    if table is None:
+        return None
+    headers, rows = _shape(page, table)
+    shown = lambda row: [page.text_of(c) for c in page.cells(row) if _shows(page.attrs[c].get("class", ""))]
+    return {"headers": headers, "rows": [{"cells": shown(r), "link": page.href(r)} for r in rows]}
 
 
 def table_rows(pages: DataFrame) -> DataFrame:
     """Player rows of the first table: hidden cells dropped, short rows skipped.
 
-    Each table is shaped once and its rows are read inside one array.
+    Tables, rows and cells nest: a cell's text holds that of a table inside it, and that
+    table's rows are no rows of the outer one. Quotes of both kinds and all entities are read.
     """
-    table = F.get(h.blocks(F.col("html"), "table"), F.lit(0))
-
-    def read(t: Column) -> Column:
-        headers, rows = _shape(t)
-        return let(F.transform(headers, roster.header_field), lambda fields: _kept_rows(fields, rows))
-
-    opened = _each(pages, let(table, read))
+    found = m.parsed(pages, ["page_id", "url"], _TABLE, _first_table)
+    rows = let(F.transform("found.headers", roster.header_field), lambda fields: _kept_rows(fields, F.col("found.rows")))
+    opened = _each(found, rows)
     split = F.col("_town.hometown") != ""
     previous = F.when(F.col("_town.previous_school") != "", F.col("_town.previous_school")).otherwise(F.col("previous_school"))
     return opened.select(
@@ -116,10 +142,9 @@ def _kept_rows(fields: Column, rows: Column) -> Column:
         return F.size(fields) + 1 - F.array_position(F.reverse(fields), name)
 
     def read(row: Column) -> Column:
-        def build(cells: Column) -> Column:
+        def build(texts: Column) -> Column:
             def field(name: str) -> Column:
-                at = wanted(name).cast("int")
-                cell = F.when(F.array_contains(fields, name), roster.clean(h.text_of(F.get(cells, at - 1))))
+                cell = F.when(F.array_contains(fields, name), F.get(texts, wanted(name).cast("int") - 1))
                 return F.coalesce(cell, F.lit(""))
 
             names = ["jersey", "name", "position", "height", "hometown", "high_school", "previous_school"]
@@ -127,18 +152,24 @@ def _kept_rows(fields: Column, rows: Column) -> Column:
                 *[field(n).alias(n) for n in names],
                 roster.class_name(field("academic_year")).alias("academic_year"),
                 roster.town_parts(field("town")).alias("_town"),
-                h.first_link(row).alias("link"),
+                row["link"].alias("link"),
             )
 
-        cells = F.filter(h.row_cells(row), h.cell_is_visible)
-        return let(cells, lambda c: F.when(F.size(c) >= F.size(fields), build(c)))
+        return F.when(F.size(row["cells"]) >= F.size(fields), let(F.transform(row["cells"], roster.clean), build))
 
     return F.array_compact(F.transform(rows, read))
 
 
 def page_links(pages: DataFrame, pattern: str) -> DataFrame:
     """Links matching a pattern: text, full address and numeric tail."""
-    rows = pages.select("page_id", "url", F.explode(h.links(F.col("html"), pattern)).alias("a"))
+    test = re.compile(pattern)
+
+    def links(page: m.Page) -> list[dict]:
+        named = [(page.attrs[a].get("href"), a) for a in page.tagged("a")]
+        return [{"href": href, "text": page.text_of(a, everything=True).strip()} for href, a in named if href is not None and test.search(href)]
+
+    found = m.parsed(pages, ["page_id", "url"], "array<struct<href:string,text:string>>", links)
+    rows = found.select("page_id", "url", F.explode("found").alias("a"))
     return rows.select(
         "page_id",
         F.col("a.text").alias("text"),
@@ -147,6 +178,29 @@ def page_links(pages: DataFrame, pattern: str) -> DataFrame:
     )
 
 
+def list_fields(pages: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Values of the first ``Label: value`` list items, one column for each name of ``labels``, '' if absent."""
+
+    def value(items: Column, label: str) -> Column:
+        hit = F.get(F.filter(items, lambda t: t.startswith(f"{label}:") | t.startswith(f"{label} :")), F.lit(0))
+        return F.coalesce(strip(F.regexp_replace(hit, rf"{label} ?:", "")), F.lit(""))
+
+    found = m.parsed(pages, ["page_id"], "array<string>", lambda page: [page.text_of(k, " ", everything=True) for k in page.tagged("li")])
+    squeezed = found.select("page_id", F.transform("found", squish).alias("items"))
+    return squeezed.select("page_id", *[value(F.col("items"), t).alias(n) for n, t in labels.items()])
+
+
+def hidden_value(pages: DataFrame, form: str, field: str) -> DataFrame:
+    """page_id and the value of an input inside a form, both found by element id; null if absent."""
+
+    def read(page: m.Page) -> str | None:
+        forms = [k for k in page.tagged("form") if page.attrs[k].get("id") == form]
+        found = [k for k in page.tagged("input", forms[0]) if page.attrs[k].get("id") == field] if forms else []
+        return page.attrs[found[0]].get("value") if found else None
+
+    return m.parsed(pages, ["page_id"], "string", read).withColumnRenamed("found", "value")
+
+
 def match_id(html: Column) -> Column:
     """Game id from a full-statistics link, else the first match path in the page."""
     anchor = F.regexp_extract(html, r'(?is)<a\s[^>]*href="[^"]*wmt\.games[^"]*/stats/match/full/(?:[^"]*/)?([^"/]+)"', 1)
@@ -220,9 +274,12 @@ def indexed_rows(pages: DataFrame) -> DataFrame:
 
 def labelled_cards(pages: DataFrame) -> DataFrame:
     """Players from the text between a card's labels; links to coaches and staff skipped."""
-    rows = pages.select("page_id", "url", F.explode(h.cards(F.col("html"), ["s-person-card"])).alias("card"))
-    link, text = h.first_link(F.col("card")), h.text_of(F.col("card"))
-    rows = rows.withColumn("link", link).withColumn("t", text)
+
+    def read(page: m.Page) -> list[dict]:
+        return [{"link": page.href(c), "t": page.text_of(c, everything=True)} for c in page.classed("s-person-card")]
+
+    found = m.parsed(pages, ["page_id", "url"], "array<struct<link:string,t:string>>", read)
+    rows = found.select("page_id", "url", F.inline("found"))
     rows = rows.where(F.col("link").contains("/roster/") & ~F.col("link").contains("/coaches/") & ~F.col("link").contains("/staff/"))
 
     def between(pattern: str) -> Column:
@@ -242,54 +299,128 @@ def labelled_cards(pages: DataFrame) -> DataFrame:
     ).where(F.length("name") > 2)
 
 
-def _class_text(card: Column, names: Sequence[str]) -> Column:
-    """Cleaned text of the first class that gives any."""
-    tried = F.array_compact(F.array(*[h.by_class(card, n) for n in names]))
-    cleaned = F.transform(tried, lambda x: roster.clean(h.text_of(x)))
-    return F.coalesce(F.get(F.filter(cleaned, lambda x: x != ""), F.lit(0)), F.lit(""))
+_PLAYER_CLASSES = ["name", *[c for names in PLAYER_FIELDS.values() for c in names]]
+_COACH_CLASSES = [*COACH_NAMES, *[c for names in COACH_FIELDS.values() for c in names]]
+_CARDS = "array<struct<names:array<string>,texts:array<string>,bold:string,label:string,link:string>>"
+
+
+def _card_list(page: m.Page, panels: Sequence[str], container: str, classes: Sequence[str]) -> list[int]:
+    """Elements of the first card class that occurs in the first panel, else the first container, else the page."""
+    within = page.by_id(*panels)
+    if within is None:
+        within = page.first(page.classed(container))
+    return next((found for c in classes if (found := page.classed(c, within))), [])
+
+
+def _class_texts(page: m.Page, card: int, classes: Sequence[str]) -> list[str | None]:
+    return [page.text_of(page.first(page.classed(c, card))) for c in classes]
+
+
+def _player_names(page: m.Page, card: int) -> list[str | None]:
+    """Texts a name is taken from: in the name's element the link inside a heading or to the roster, then the whole."""
 
+    def headed(a: int) -> bool:
+        return any(page.inside(a, h3) for h3 in page.tagged("h3", card))
 
-def _without_screen_reader(card: Column) -> Column:
-    return F.regexp_replace(card, rf"(?is)<span\s[^>]*{h.class_pattern('sr-only')}[^>]*>.*?</span>", "")
+    out = []
+    for name in ("sidearm-roster-player-name", None, "sidearm-roster-player-name-link"):
+        own = card if name is None else page.first(page.classed(name, card))
+        if own is not None:
+            wanted = [a for a in page.tagged("a", own) if headed(a) or name and "/roster/" in page.attrs[a].get("href", "")]
+            out += [page.text_of(page.first(wanted)), page.text_of(own) if name else None]
+    return [t for t in out if t is not None]
+
+
+def _player_cards(page: m.Page) -> list[dict]:
+    cards = _card_list(page, PLAYER_PANELS, PLAYER_LIST, PLAYER_CARDS)
+    if not cards:  # list items around a text wrapper
+        parents = [page.scope[k] for k in page.classed("text-wrapper") if page.tag[k] == "div"]
+        cards = [k for k in parents if k >= 0 and page.tag[k] == "li"]
+    out = []
+    for card in cards:
+        position = page.first(page.classed("sidearm-roster-player-position", card))
+        bold = page.first(page.classed("text-bold", position)) if position is not None else None
+        links = page.tagged("a", card)
+        out.append({
+            "names": _player_names(page, card), "texts": _class_texts(page, card, _PLAYER_CLASSES), "bold": page.text_of(bold),
+            "label": page.attrs[links[0]].get("aria-label") if links else None, "link": page.href(card),
+        })
+    return out
+
+
+def _coach_cards(page: m.Page) -> list[dict]:
+    out = []
+    for card in _card_list(page, COACH_PANELS, COACH_LIST, COACH_CARDS):
+        if "Jersey Number" not in page.text_of(card, " ", everything=True):
+            texts = _class_texts(page, card, _COACH_CLASSES)
+            tags = [page.text_of(page.first(page.tagged(t, card))) for t in ("h3", "h4", "a")]
+            names = [t for t in [*texts[: len(COACH_NAMES)], *tags] if t is not None][:1]
+            out.append({"names": names, "texts": texts, "bold": None, "label": None, "link": page.href(card)})
+    return out
+
+
+def _cleaned(texts: Column) -> Column:
+    return F.transform(texts, lambda t: F.when(t.isNotNull(), roster.clean(t)))
+
+
+def _filled(value: Column) -> Column:
+    return let(value, lambda v: F.when(v != "", v))
+
+
+def _first_of(texts: Column, test: Callable[[Column], Column]) -> Column:
+    return F.coalesce(F.get(F.filter(texts, test), F.lit(0)), F.lit(""))
+
+
+def _of_classes(texts: Column, every: Sequence[str], names: Sequence[str], test: Callable[[Column], Column]) -> Column:
+    """The first text among some classes that passes, else ''."""
+    return _first_of(F.array(*[F.get(texts, F.lit(every.index(n))) for n in names]), test)
 
 
 def _player(card: Column) -> Column:
-    nested = F.regexp_extract(h.by_class(card, "sidearm-roster-player-name"), r"(?is)<a\s[^>]*>(.*?)</a>", 1)
-    label = roster.aria_name(F.regexp_extract(card, r'(?is)<a\s[^>]*aria-label="([^"]*)"', 1))
-    plain = _class_text(card, ["sidearm-roster-player-name", "sidearm-roster-player-name-link", "name"])
-    fields = {f: _class_text(card, names) for f, names in PLAYER_FIELDS.items()}
-    fields["academic_year"] = roster.class_name(fields["academic_year"])
-    fields["position"] = let(fields["position"], lambda p: F.when(p == "", "").otherwise(roster.position(p)))
-    name = first_filled(roster.clean(h.text_of(nested)), plain, label)
-    return F.struct(name.alias("name"), *[c.alias(f) for f, c in fields.items()], h.first_link(card).alias("link"))
+    def read(texts: Column) -> Column:
+        fields = {f: _of_classes(texts, _PLAYER_CLASSES, own, lambda t: t != "") for f, own in PLAYER_FIELDS.items()}
+        fields["academic_year"] = roster.class_name(fields["academic_year"])
+        # a position and a height may share their element, then the position is the bold part
+        bold = _filled(F.get(_cleaned(F.array(card["bold"])), F.lit(0)))
+        fields["position"] = let(F.coalesce(bold, fields["position"]), lambda p: F.when(p == "", "").otherwise(roster.position(p)))
+        named = _filled(_first_of(_cleaned(card["names"]), lambda t: t != ""))
+        name = F.coalesce(named, _filled(F.get(texts, F.lit(0))), roster.aria_name(card["label"]), F.lit(""))
+        return F.struct(name.alias("name"), *[c.alias(f) for f, c in fields.items()], card["link"].alias("link"))
+
+    return let(_cleaned(card["texts"]), read)
 
 
 def player_cards(pages: DataFrame) -> DataFrame:
     """Players from repeating cards, each field from an ordered list of classes.
 
-    Cards are read and judged inside one array, so each field is computed once.
+    Cards are looked for in the roster's panel or list if the page has one, else in the whole
+    page; without any card class, list items around a text wrapper are the cards. A card may
+    hold elements nested in any depth.
     """
-    cards = F.transform(h.cards(F.col("html"), PLAYER_CARDS), _without_screen_reader)
+    found = m.parsed(pages, ["page_id", "url"], _CARDS, _player_cards)
     kept = F.filter(
-        F.transform(cards, _player),
+        F.transform("found", _player),
         lambda p: (p["name"] != "") & ~p["name"].contains("Instagram") & ~p["link"].contains("/coaches/") & ~p["link"].contains("/staff/"),
     )
-    rows = _each(pages, kept)
+    rows = _each(found, kept)
     return rows.select("page_id", "name", *PLAYER_FIELDS, absolute(F.col("_base"), F.col("link")).alias("url"))
 
 
 def _coach(card: Column) -> Column:
-    tags = [roster.clean(h.text_of(F.get(h.inner(card, t), F.lit(0)))) for t in ("h3", "h4", "a")]
-    name = first_filled(_class_text(card, COACH_NAMES), *tags)
-    fields = [_class_text(card, names).alias(f) for f, names in COACH_FIELDS.items()]
-    return F.struct(name.alias("name"), *fields, h.first_link(card).alias("link"))
+    """Fields of a coach's card: each from the first of its elements that the card has, filled or not."""
+
+    def read(texts: Column) -> Column:
+        fields = [_of_classes(texts, _COACH_CLASSES, names, lambda t: t.isNotNull()).alias(f) for f, names in COACH_FIELDS.items()]
+        return F.struct(_first_of(_cleaned(card["names"]), lambda t: t.isNotNull()).alias("name"), *fields, card["link"].alias("link"))
+
+    return let(_cleaned(card["texts"]), read)
 
 
 def coach_cards(pages: DataFrame) -> DataFrame:
     """Coaches from repeating cards, one per address, name and title in any case."""
-    staff = F.filter(h.cards(F.col("html"), COACH_CARDS), lambda c: ~h.text_of(c, " ").contains("Jersey Number"))
-    kept = F.filter(F.transform(staff, lambda c: _coach(_without_screen_reader(c))), lambda p: p["name"] != "")
-    rows = pages.select("page_id", F.col("url").alias("_base"), F.posexplode_outer(kept).alias("at", "p")).where(F.col("at").isNotNull())
+    found = m.parsed(pages, ["page_id", "url"], _CARDS, _coach_cards)
+    kept = F.filter(F.transform("found", _coach), lambda p: p["name"] != "")
+    rows = found.select("page_id", F.col("url").alias("_base"), F.posexplode_outer(kept).alias("at", "p")).where(F.col("at").isNotNull())
     built = rows.select("page_id", "at", "p.name", *[f"p.{f}" for f in COACH_FIELDS], absolute(F.col("_base"), F.col("p.link")).alias("url"))
     keys = {"_u": F.lower("url"), "_n": F.lower("name"), "_t": F.lower("title")}
     return first_per_key(built.withColumns(keys), ["page_id", *keys], [F.col("at")]).drop("at", *keys)
@@ -304,35 +435,49 @@ def coach_as_roster(coaches: DataFrame, team: str, season: Column) -> DataFrame:
     )
 
 
+_STAFF = "array<struct<headed:boolean,rows:array<struct<cells:array<string>,name:string,link:string>>>>"
+
+
+def _staff_tables(page: m.Page) -> list[dict]:
+    """The table after each coach heading, then the main one."""
+    headings = sorted(k for tag in ("h2", "h3", "h4") for k in page.tagged(tag) if "coach" in page.text_of(k, everything=True).lower())
+    tables = [(True, page.after("table", k)) for k in headings]
+    named = [k for k in page.tagged("table") if page.attrs[k].get("id") == "players-table__general"]
+    tables.append((False, page.first(named or page.tagged("table"))))
+
+    def row(r: int) -> dict:
+        links = page.tagged("a", r)
+        name = page.text_of(links[0]) if links else None
+        return {"cells": [page.text_of(c) for c in page.cells(r)], "name": name, "link": page.attrs[links[0]].get("href", "") if links else None}
+
+    return [{"headed": headed, "rows": [row(r) for r in _shape(page, t)[1]]} for headed, t in tables if t is not None]
+
+
 def coach_table_rows(pages: DataFrame) -> DataFrame:
-    """Coaches from the first table after a coach heading, else from rows that mention one."""
-    headed = F.regexp_extract("html", r"(?is)<(h[2-4])(?:\s[^>]*)?>[^<]*coach[^<]*</\1>.*?(<table(?:\s[^>]*)?>.*?</table>)", 2)
-    general = F.regexp_extract("html", r'(?is)(<table\s[^>]*id="players-table__general"[^>]*>.*?</table>)', 1)
-    any_table = F.get(h.blocks(F.col("html"), "table"), F.lit(0))
-    opened = pages.withColumn("_headed", headed != "")
-    opened = opened.withColumn("_table", F.coalesce(F.nullif(headed, F.lit("")), F.nullif(general, F.lit("")), any_table))
-    _, rows = _shape(F.col("_table"))
-    rows = opened.where(F.col("_table").isNotNull()).select("page_id", "url", "_headed", F.explode(rows).alias("_row"))
-    read = F.transform(F.array("_row"), _coach_row)
-    good = F.filter(read, lambda r: (r["cells"] >= 2) & (F.col("_headed") | r["mentions"]) & (r["name"] != "") & (r["title"] != ""))
-    named = _each(rows, good)
+    """Coaches from the first table after a coach heading that gives any, else from rows of the main table that mention one."""
+
+    def coaches(table: Column) -> Column:
+        return F.filter(
+            F.transform(table["rows"], _coach_row),
+            lambda r: (r["cells"] >= 2) & (table["headed"] | r["mentions"]) & (r["name"] != "") & (r["title"] != ""),
+        )
+
+    found = m.parsed(pages, ["page_id", "url"], _STAFF, _staff_tables)
+    named = _each(found, F.get(F.filter(F.transform("found", coaches), lambda rows: F.size(rows) > 0), F.lit(0)))
     link = F.when(F.col("linked"), absolute(F.col("_base"), F.col("link"))).otherwise(F.col("_base"))
     return named.select("page_id", "name", "title", link.alias("url"))
 
 
 def _coach_row(row: Column) -> Column:
-    texts = F.transform(h.row_cells(row), lambda c: roster.clean(h.text_of(c)))
-    anchor = F.regexp_extract(row, r"(?is)(<a(?:\s[^>]*)?>.*?</a>)", 1)
-
     def read(cells: Column) -> Column:
         title = F.get(F.filter(cells, lambda t: F.lower(t).rlike("|".join(COACH_WORDS))), F.lit(0))
-        name = F.when(anchor != "", roster.clean(h.text_of(anchor))).otherwise(F.get(cells, F.lit(0)))
+        name = F.coalesce(F.get(_cleaned(F.array(row["name"])), F.lit(0)), F.get(cells, F.lit(0)))
         return F.struct(
             F.size(cells).alias("cells"), F.lower(F.array_join(cells, " ")).rlike("|".join(COACH_ROWS)).alias("mentions"), name.alias("name"),
-            F.coalesce(title, F.lit("")).alias("title"), (anchor != "").alias("linked"), h.first_link(row).alias("link"),
+            F.coalesce(title, F.lit("")).alias("title"), row["link"].isNotNull().alias("linked"), F.coalesce(row["link"], F.lit("")).alias("link"),
         )
 
-    return let(texts, read)
+    return let(_cleaned(row["cells"]), read)
 
 
 def carry(df: DataFrame, page: Sequence[str], at: str, marker: Column, value: Column, out: str) -> DataFrame:
@@ -347,10 +492,28 @@ def carry(df: DataFrame, page: Sequence[str], at: str, marker: Column, value: Co
 
 
 def sectioned_list(pages: DataFrame, blog: str) -> DataFrame:
-    """Coaching changes: status from h2, school from h3, one row per list item."""
-    parts = pages.select("page_id", F.posexplode(h.blocks(F.col("html"), "h2", "h3", "ul")).alias("at", "b"))
-    tag = F.lower(F.regexp_extract("b", r"(?i)^<(h2|h3|ul)", 1))
-    parts = parts.withColumn("tag", tag).withColumn("t", strip(h.text_of(F.col("b"))))
+    """Coaching changes: status from h2, school from h3, one row per item of a list.
+
+    A list inside an item is a list of its own, and its text is part of the item's.
+    """
+
+    def item(page: m.Page, li: int) -> dict:
+        links = [page.attrs[a]["href"] for a in page.tagged("a", li) if blog not in page.attrs[a].get("href", blog)]
+        coach = (page.text_of(page.first(page.tagged("strong", li))) or "").strip()
+        return {"text": page.text_of(li, " "), "coach": coach, "url": links[0] if links else None}
+
+    def read(page: m.Page) -> list[dict]:
+        out = []
+        for k in sorted([*page.tagged("h2"), *page.tagged("h3"), *page.tagged("ul")]):
+            if page.tag[k] == "ul":
+                own = [li for li in page.tagged("li", k) if page.scope[li] == k]
+                out.append({"at": k, "tag": "ul", "t": None, "items": [item(page, li) for li in own]})
+            else:
+                out.append({"at": k, "tag": page.tag[k], "t": page.text_of(k).strip(), "items": None})
+        return out
+
+    kind = "array<struct<at:int,tag:string,t:string,items:array<struct<text:string,coach:string,url:string>>>>"
+    parts = m.parsed(pages, ["page_id"], kind, read).select("page_id", F.inline("found"))
     heading = F.upper("t")
     status = F.when(heading.contains("JOBS OPEN"), "Jobs Open").when(heading.contains("JOBS FILLED"), "Jobs Filled")
     is_h2, is_h3 = F.col("tag") == "h2", F.col("tag") == "h3"
@@ -359,18 +522,18 @@ def sectioned_list(pages: DataFrame, blog: str) -> DataFrame:
     rows = carry(parts, ["page_id"], "at", is_h2, status, "status")
     rows = carry(rows, ["page_id"], "at", is_h2 | is_h3, place, "place")
     rows = rows.where((F.col("tag") == "ul") & F.col("status").isNotNull() & F.col("place").isNotNull())
-    items = rows.select("page_id", "status", "place", F.explode(h.inner(F.col("b"), "li")).alias("li"))
-    text = F.regexp_replace(squish(h.text_of(F.col("li"), " ")), r"\s+([).,;])", "$1")
-    return items.withColumn("text", text).select(
+    entries = rows.select("page_id", "status", "place", F.inline("items"))
+    entries = entries.withColumn("text", F.regexp_replace(squish("text"), r"\s+([).,;])", "$1"))
+    return entries.select(
         "page_id",
         "status",
         "place.school",
         "place.conference",
-        strip(h.text_of(F.get(h.inner(F.col("li"), "strong"), F.lit(0)))).alias("coach"),
+        "coach",
         titles.role_of_post(F.col("text")).alias("role"),
         "text",
         month_name_date(F.col("text")).alias("date"),
-        titles.external_link(F.col("li"), blog).alias("url"),
+        "url",
     )
 
 

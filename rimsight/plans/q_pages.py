@@ -102,8 +102,8 @@ def h6(spark, d):
     n = F.col("page_id").cast("string")
     town = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<li><b>Hometown:</b> Town "), n, F.lit("</li>"))).otherwise("<li>My Hometown: x</li>")
     tail = F.concat(F.lit("<ul>"), town, F.lit('<li class="k">Height: 6-'), (F.col("page_id") % 10).cast("string"), F.lit("</li></ul>"))
-    html = F.concat("html", tail)
-    return table(spark, d, "pages").select("page_id", h.list_field(html, "Hometown").alias("hometown"), h.list_field(html, "Height").alias("height"))
+    made = table(spark, d, "pages").select("page_id", F.concat("html", tail).alias("html"))
+    return pages.list_fields(made, {"hometown": "Hometown", "height": "Height"})
 
 
 @query(
@@ -125,8 +125,8 @@ def h12(spark, d):
     n = F.col("page_id").cast("string")
     kinds = ['<form id="sit_stat_form_id" x="1"><input type="hidden" id="stats_player_seq_field_id" value="id', '<form id="other"><input id="stats_player_seq_field_id" value="id', '<form id="sit_stat_form_id"><input id="else" value="id']
     tail = F.concat(pick("page_id", kinds), n, F.lit('"></form>'))
-    value = h.input_value(F.concat("html", tail), "sit_stat_form_id", "stats_player_seq_field_id")
-    return table(spark, d, "pages").select("page_id", value.alias("master_id"))
+    made = table(spark, d, "pages").select("page_id", F.concat("html", tail).alias("html"))
+    return pages.hidden_value(made, "sit_stat_form_id", "stats_player_seq_field_id").withColumnRenamed("value", "master_id")
 
 
 @query("h14_history_team_id", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'w' || page_id ELSE '' END AS master_team_id, CAST(2000 + page_id % 20 AS VARCHAR) AS year, CAST(page_id % 3 + 1 AS VARCHAR) AS division FROM pages")
@@ -373,3 +373,148 @@ def h17_main(spark, d):
     title = F.when(F.col("l_returnflag") == "A", "Assistant Coach").when(F.col("l_returnflag") == "R", "Coach on leave").otherwise("Guard")
     row = F.concat(F.lit("<tr><td>Kay "), text("l_suppkey"), F.lit("</td><td>"), title, F.lit("</td></tr>"))
     return pages.coach_table_rows(line_pages(spark, d, row, "<table><tr><th>Name</th><th>Title</th></tr>", "</table>"))
+
+
+# The same rows inside elements that nest, with quotes of both kinds and entities.
+
+NESTED_HEAD = (
+    "<!-- <table><tr><th>no</th></tr></table> --><script>var t = '<table><tr><td>x</td></tr></table>';</script><TABLE class='r'><thead><tr><th>No.<th>Name</th><th>Pos.</th>"
+    "<th>Hometown</th></tr></thead><tbody>"
+)
+
+
+@query(
+    "h3_nested_tables",
+    """SELECT l_orderkey AS page_id, CAST(l_linenumber AS VARCHAR) AS jersey, 'Zoë P' || chr(39) || l_suppkey || ' & co' AS name, l_returnflag AS position, '' AS height, '' AS academic_year,
+      'Town' || l_partkey || ' (a > b)' AS hometown, '' AS high_school, '' AS previous_school, 'https://t.edu/roster/p/' || l_partkey || '?a=1&b=2' AS url FROM lineitem""",
+)
+def h3_nested(spark, d):
+    row = F.concat(
+        F.lit("<tr title='a > b'><td>"), text("l_linenumber"), F.lit("</td><td data-x=\"it's\"><a href='/roster/p/"), text("l_partkey"), F.lit("?a=1&amp;b=2'>Zo&euml; P&#39;"), text("l_suppkey"),
+        F.lit(" &#x26; co</a><td>"), F.col("l_returnflag"), F.lit("</td><td>Town"), text("l_partkey"),
+        F.lit("<table><tr><td> (a &gt; b)</td></tr></table></td></tr>"),
+    )
+    return pages.table_rows(line_pages(spark, d, row, NESTED_HEAD, "</tbody></TABLE><table><tr><td>other</td></tr></table>"))
+
+
+@query(
+    "h4_quoted_links",
+    "SELECT page_id, 'A & ' || page_id AS text, 'https://stats.org/teams/' || page_id AS link, CAST(page_id AS VARCHAR) AS link_id FROM pages",
+)
+def h4_quoted(spark, d):
+    n = F.col("page_id").cast("string")
+    quotes = F.concat(pick("page_id", ["<a href='", "<A class=k HREF = '", '<a title="<a>" href=\'']), F.lit("https://stats.org/teams/"), n, F.lit("'><i>A</i> &amp; "), n, F.lit("</a>"))
+    made = table(spark, d, "pages").select("page_id", "url", F.concat("html", quotes).alias("html"))
+    return pages.page_links(made, r"/teams/\d+")
+
+
+@query(
+    "h9_nested_lists",
+    """SELECT l_orderkey AS page_id, 'Jobs Open' AS status, 'School ' || l_suppkey AS school, '' AS conference, part AS coach, role, part || body AS text, CAST(NULL AS VARCHAR) AS date, url FROM
+      (SELECT *, unnest([{'part': 'Coach ' || l_partkey, 'role': 'departed', 'body': ' resigned after Assistant ' || l_linenumber || ' left', 'url': 'https://a.edu/' || l_partkey},
+        {'part': 'Assistant ' || l_linenumber, 'role': 'departed', 'body': ' left', 'url': 'https://b.edu/1'}], recursive := true) FROM lineitem)""",
+)
+def h9_nested(spark, d):
+    row = F.concat(
+        F.lit("<h2>Jobs Open</h2><h3>School "), text("l_suppkey"), F.lit("</h3><ul class='x'><li><strong>Coach "), text("l_partkey"), F.lit("</strong> resigned <a href='https://a.edu/"), text("l_partkey"),
+        F.lit("'></a>after<ul><li><strong>Assistant "), text("l_linenumber"), F.lit("</strong> left<a href=https://b.edu/1></a></ul></ul>"),
+    )
+    return pages.sectioned_list(line_pages(spark, d, row), "blog.example.com")
+
+
+@query(
+    "h13_nested_cards",
+    """SELECT l_orderkey AS page_id, 'Ana ' || l_suppkey AS name, CAST(l_linenumber AS VARCHAR) AS jersey, 'F' AS position, '6-1' AS height, '' AS academic_year, 'Erie, PA' AS hometown,
+      'HS ' || l_partkey AS high_school, '' AS previous_school, 'https://t.edu/roster/' || l_partkey AS url FROM lineitem""",
+)
+def h13_nested(spark, d):
+    row = F.concat(
+        F.lit("<div class='player-card'><div><div class='name'><div><span>Ana</span></div><div> "), text("l_suppkey"), F.lit("</div></div></div><div class='a sidearm-roster-player-position'><div>"
+              "<span class='text-bold'>Forward</span></div><div><div class='height'>6-1</div></div></div><a href='/roster/"), text("l_partkey"),
+        F.lit("'><span class='sidearm-roster-player-jersey-number'><span><span class='sr-only'>Jersey <i>Number</i> </span>"), text("l_linenumber"),
+        F.lit("</span></span></a><ul><li class='hometown'><ul><li>Erie,&nbsp;PA</li></ul></li><li class='high-school'><div><div>HS</div> "), text("l_partkey"), F.lit("</div></li></ul></div>"),
+    )
+    side = "<div class='player-card'><span class='name'>Not in the panel</span></div><div id='cardPanel'>"
+    return pages.player_cards(line_pages(spark, d, row, side, "</div>"))
+
+
+@query(
+    "h13_coach_titles",
+    """SELECT l_orderkey AS page_id, 'Kay ' || l_suppkey AS name, 'Coach ' || l_linenumber AS title, '' AS experience, 'State & Tech' AS alma_mater, 'https://t.edu/coaches/' || l_partkey AS url
+    FROM lineitem WHERE l_returnflag <> 'N'""",
+)
+def h13_titles(spark, d):
+    kind = F.when(F.col("l_returnflag") == "N", "<b class='sr-only'>Jersey Number</b>").otherwise("")
+    row = F.concat(
+        F.lit("<div class='s-person-card--list'><div class='s-person-details__personal-single-line'><div>Kay</div> <div>"), text("l_suppkey"), F.lit("</div></div>"), kind,
+        F.lit("<p class='title'>Coach <b>"), text("l_linenumber"), F.lit("</b></p><p class='sidearm-roster-coach-college'>State &amp; Tech</p><a href='/coaches/"), text("l_partkey"), F.lit("'>x</a></div>"),
+    )
+    return pages.coach_cards(line_pages(spark, d, row))
+
+
+@query(
+    "h17_nested_coach_table",
+    """SELECT l_orderkey AS page_id, 'Kay ' || l_suppkey AS name, 'Head Coach' || l_linenumber AS title, 'https://t.edu/c/' || l_partkey AS url FROM lineitem""",
+)
+def h17_nested(spark, d):
+    row = F.concat(
+        F.lit("<tr><td><div><a href='/c/"), text("l_partkey"), F.lit("'>Kay "), text("l_suppkey"), F.lit("</a></div></td><td><table><tr><td>Head Coach"), text("l_linenumber"), F.lit("</td></tr></table></td></tr>")
+    )
+    head = "<h2>Coaches of old</h2><table><tr><td>a</td></tr></table><h3><span>Our <b>Coaching</b> Staff</span></h3><table><tr><th>Name</th><th>Title</th></tr>"
+    return pages.coach_table_rows(line_pages(spark, d, row, head, "</table>"))
+
+
+@query(
+    "w11_carried_values",
+    """SELECT l_orderkey AS page_id, 'School ' || l_suppkey AS school, 'item ' || l_linenumber AS text, CASE l_returnflag WHEN 'A' THEN 'Jobs Open' ELSE 'Jobs Filled' END AS status
+    FROM lineitem WHERE l_returnflag <> 'N'""",
+)
+def w11_values(spark, d):
+    status = F.when(F.col("l_returnflag") == "N", "Other").when(F.col("l_returnflag") == "A", "Jobs open").otherwise("JOBS FILLED 2024")
+    row = F.concat(F.lit("<h2>"), status, F.lit("</h2><h3>School "), text("l_suppkey"), F.lit("</h3><p>between</p><ul><li>item "), text("l_linenumber"), F.lit("</li></ul>"))
+    return pages.sectioned_list(line_pages(spark, d, row), "b").select("page_id", "school", "text", "status")
+
+
+def _plain_pages(spark, d):
+    return table(spark, d, "pages").select("page_id", "url", "html")
+
+
+@query(
+    "h1_season_on_given_pages",
+    """WITH t AS (SELECT page_id, unnest(list_concat(regexp_extract_all(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1>', 1), regexp_extract_all(html, '(?is)<h2(?:\s[^>]*)?>(.*?)</h2>', 1),
+        regexp_extract_all(html, '(?is)<title(?:\s[^>]*)?>(.*?)</title>', 1))) AS h FROM pages)
+    SELECT pages.page_id, coalesce(bool_or(contains(h, '2024-25') OR contains(h, '2024 - 2025') OR contains(h, '2024-2025')), FALSE) AS shown FROM pages LEFT JOIN t USING (page_id) GROUP BY 1""",
+)
+def h1_given(spark, d):
+    return _plain_pages(spark, d).select("page_id", pages.season_shown(F.col("html"), F.lit("2024-25"), F.lit(False)).alias("shown"))
+
+
+@query(
+    "h2_platform_of_given_pages",
+    """SELECT page_id, regexp_matches(html, '(?is)class="[^"]*sidearm') AS is_sidearm FROM pages""",
+)
+def h2_given(spark, d):
+    return _plain_pages(spark, d).select("page_id", pages.is_sidearm(F.col("html")).alias("is_sidearm"))
+
+
+@query(
+    "h5_game_id_on_given_pages",
+    """SELECT page_id, nullif(regexp_extract(html, '/stats/match/(?:full/)?(\d+)', 1), '') AS match_id FROM pages""",
+)
+def h5_given(spark, d):
+    return _plain_pages(spark, d).select("page_id", pages.match_id(F.col("html")).alias("match_id"))
+
+
+@query(
+    "h6_list_items_of_given_pages",
+    f"""WITH li AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<li(?:\s[^>]*)?>(.*?)</li>', 1)) AS t, generate_subscripts(regexp_extract_all(html, '(?is)<li(?:\s[^>]*)?>(.*?)</li>', 1), 1) AS i FROM pages),
+    v AS (SELECT page_id, i, {squish_sql(text_sql('t', ' '))} AS t FROM li)
+    SELECT pages.page_id, coalesce(arg_min(regexp_replace(t, '^Home ?: *', ''), i) FILTER (regexp_matches(t, '^Home ?:')), '') AS home FROM pages LEFT JOIN v USING (page_id) GROUP BY 1""",
+)
+def h6_given(spark, d):
+    return pages.list_fields(_plain_pages(spark, d), {"home": "Home"})
+
+
+@query("h12_hidden_value_of_given_pages", "SELECT page_id, CAST(NULL AS VARCHAR) AS value FROM pages WHERE NOT contains(html, 'sit_stat_form_id')")
+def h12_given(spark, d):
+    return pages.hidden_value(_plain_pages(spark, d), "sit_stat_form_id", "stats_player_seq_field_id")
