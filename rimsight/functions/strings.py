@@ -2,29 +2,54 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: accented Latin letters and the plain letters they join as
-ACCENTED = "àáâãäåāăąçćčďđðèéêëēėęěğìíîïīłñńňòóôõöøōőřśşšťțùúûüūůűýÿźżžÀÁÂÃÄÅÇČÈÉÊËĚÌÍÎÏŁÑÒÓÔÕÖØŘŚŠŤÙÚÛÜŮÝŹŻŽ"
-PLAIN = "aaaaaaaaacccdddeeeeeeeegiiiiilnnnoooooooorsssttuuuuuuuyyzzzAAAAAACCEEEEEIIIILNOOOOOORSSTUUUUUYZZZ"
+# fixed values: Latin letters that join as others, beyond those made of a base letter and marks
+SPECIAL = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d", "ı": "i", "ſ": "s", "ŋ": "n", "ĸ": "k", "ẞ": "SS", "Æ": "AE", "Œ": "OE", "Þ": "TH", "Ð": "D", "Ŋ": "N"}
+
+
+def latin_letters() -> dict[str, str]:
+    """Letters of U+00C0 to U+024F and the plain ones they join as.
+
+    What a letter decomposes to, else the letter its name says it is a variant of (stroke, hook).
+    """
+    found = {}
+    for code in range(0xC0, 0x250):
+        letter = chr(code)
+        plain = "".join(c for c in unicodedata.normalize("NFKD", letter) if c.isascii() and c.isalpha())
+        named = re.fullmatch(r"LATIN (CAPITAL|SMALL) LETTER ([A-Z]) WITH .*", unicodedata.name(letter, ""))
+        if not plain and named:
+            plain = named[2] if named[1] == "CAPITAL" else named[2].lower()
+        if plain:
+            found[letter] = plain
+    return {**found, **SPECIAL}
+
+
+LETTERS = latin_letters()
+ACCENTED = "".join(k for k, v in LETTERS.items() if len(v) == 1)
+PLAIN = "".join(v for v in LETTERS.values() if len(v) == 1)
+DOUBLE = {k: v for k, v in LETTERS.items() if len(v) > 1}
 
 
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-# fixed values: letters that join as two
-DOUBLE = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "Æ": "AE", "Œ": "OE", "Þ": "TH", "ẞ": "SS"}
+def to_ascii(value: Column | str) -> Column:
+    """Accents and Latin letter variants replaced; text of one byte a letter passes at once."""
 
+    def replaced(text: Column) -> Column:
+        out = text
+        for letter, plain in DOUBLE.items():
+            out = F.replace(out, F.lit(letter), F.lit(plain))
+        return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(F.translate(out, ACCENTED, PLAIN))
 
-def to_ascii(value: Column | str) -> Column:
-    text = _column(value)
-    for letter, plain in DOUBLE.items():
-        text = F.replace(text, F.lit(letter), F.lit(plain))
-    return F.translate(text, ACCENTED, PLAIN)
+    return let(_column(value), replaced)
 
 
 def join_key(value: Column | str, transliterate: bool = True) -> Column:

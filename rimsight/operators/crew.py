@@ -132,7 +132,9 @@ def pair_counts(games: DataFrame) -> DataFrame:
 
 
 def frequent_pairs(games: DataFrame, top_n: int | None = 20) -> DataFrame:
-    top = pair_counts(games).orderBy(F.desc("games_together"), "official_1", "official_2").limit(top_n)
+    """The pairs with most games together; all of them without a limit."""
+    ordered = pair_counts(games).orderBy(F.desc("games_together"), "official_1", "official_2")
+    top = ordered if top_n is None else ordered.limit(top_n)
     return top.select(_signature(), "official_1", "official_2", "games_together")
 
 

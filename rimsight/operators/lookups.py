@@ -95,22 +95,20 @@ def by_normal_name(left: DataFrame, right: DataFrame, left_key: Column, right_ke
     return a.join(b, "_key", how).drop("_key")
 
 
-class MissingMatch(ValueError):
-    """A strict lookup found rows without a match."""
-
-
 def strict_sides(games: DataFrame, history: DataFrame, order: str) -> DataFrame:
-    """Region and seed of both teams by (year, team); any miss is an error."""
-    first = first_per_key(history, ["year", "team_id"], [F.col(order)]).drop(order)
+    """Region and seed of both teams by (year, team); a miss fails the job that reads it, naming year and team."""
+    first = first_per_key(history, ["year", "team_id"], [F.col(order)]).drop(order).withColumn("_known", F.lit(True))
     out = games
     for side in ("team_1", "team_2"):
         named = first.select(
-            "year", F.col("team_id").alias(f"{side}_id"), F.col("region").alias(f"{side}_region"), F.col("seed").alias(f"{side}_seed")
+            "year", F.col("team_id").alias(f"{side}_id"), F.struct("region", "seed").alias("_found"), "_known"
+        )
+        missing = F.raise_error(F.concat(F.lit("no history for "), F.to_json(F.struct("year", f"{side}_id"))))
+        joined = out.join(named, ["year", f"{side}_id"], "left")
+        found = F.when(F.col("_known"), F.col("_found")).otherwise(missing.cast(joined.schema["_found"].dataType))
+        out = joined.withColumn("_found", found).select(
+            *out.columns, F.col("_found.region").alias(f"{side}_region"), F.col("_found.seed").alias(f"{side}_seed")
         )
-        missed = games.join(named, ["year", f"{side}_id"], "left_anti").select("year", f"{side}_id").limit(1).collect()
-        if missed:
-            raise MissingMatch(f"no history for {missed[0].asDict()}")
-        out = out.join(named, ["year", f"{side}_id"])
     return out
 
 

@@ -215,25 +215,28 @@ def p11(spark, d):
     return readers.game_list(feed(spark, d))
 
 
-RATINGS_SQL = """WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d') AS date, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY event_id DESC) AS r FROM events)
-    SELECT CASE WHEN event_type = 'error' THEN 'T' ELSE '' END || user_id AS rank, event_type AS program, 'N' || user_id AS network, '8p' AS time, '60' AS duration, '0.5' AS rating,
-      CASE WHEN event_type = 'view' THEN '1,234' ELSE CAST(event_id AS VARCHAR) END AS viewers, date, CAST(NULL AS BIGINT) AS program_int, CAST(NULL AS BIGINT) AS network_int,
-      CAST(NULL AS BIGINT) AS time_int, 60::BIGINT AS duration_int, CAST(NULL AS BIGINT) AS rating_int, CASE WHEN event_type <> 'view' THEN event_id END AS viewers_int FROM e"""
+RATINGS_SQL = """WITH e AS (SELECT *, day(ts) % 4 = 0 AS wide, strftime(ts, '%Y-%m-%d') AS date, row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY event_id DESC) AS r FROM events)
+    SELECT CASE WHEN event_type = 'error' THEN 'T' ELSE '' END || user_id AS rank, event_type AS program, CASE WHEN user_id % 5 = 0 THEN '' ELSE 'N' || user_id END AS network,
+      CASE WHEN event_type = 'click' THEN '' ELSE '8p' END AS time, '60' AS duration, '0.5' AS rating,
+      CASE WHEN wide THEN '1,234' WHEN user_id % 7 = 0 THEN '' ELSE CAST(event_id AS VARCHAR) END AS viewers, date, CAST(NULL AS BIGINT) AS program_int, CAST(NULL AS BIGINT) AS network_int,
+      CAST(NULL AS BIGINT) AS time_int, 60::BIGINT AS duration_int, CAST(NULL AS BIGINT) AS rating_int, CASE WHEN NOT wide AND user_id % 7 > 0 THEN event_id END AS viewers_int FROM e"""
 
 
 def rating_days(spark, d):
-    """One file of cells for each day, written and read back; a day of ``view`` rows has the wide table."""
+    """One file of cells for each day, written and read back; every fourth day of a month has the wide table, cells may be blank."""
     who = F.col("user_id").cast("string")
     rank = F.when(F.col("event_type") == "error", F.concat(F.lit("T"), who)).otherwise(who)
-    six = [rank, F.col("event_type"), F.concat(F.lit("N"), who), F.lit("8p"), F.lit("60"), F.lit("0.5")]
-    is_wide = F.col("event_type") == "view"
-    later = [F.when(is_wide, F.lit(f"x{i}")).otherwise(F.col("event_id").cast("string") if i == 0 else F.lit(None)) for i in range(10)]
-    cells = [*six, *later, F.when(is_wide, F.lit("1,234"))]
+    network = F.when(F.col("user_id") % 5 == 0, "").otherwise(F.concat(F.lit("N"), who))
+    six = [rank, F.col("event_type"), network, F.when(F.col("event_type") == "click", "").otherwise("8p"), F.lit("60"), F.lit("0.5")]
+    narrow = [*six, F.when(F.col("user_id") % 7 == 0, "").otherwise(F.col("event_id").cast("string"))]
+    wide = [*six, *[F.when(F.col("user_id") % 3 == i % 3, "").otherwise(f"x{i}") for i in range(10)], F.lit("1,234")]
     path = scratch_path(spark, "ratings")
-    rows = table(spark, d, "events").select(
-        F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_id").alias("pos"), *[c.alias(f"c{i}") for i, c in enumerate(cells)]
-    )
-    rows.write.partitionBy("day").csv(path, header=True, escape='"')
+    is_wide = F.dayofmonth("ts") % 4 == 0
+    for cells, kept in ((narrow, ~is_wide), (wide, is_wide)):
+        rows = table(spark, d, "events").where(kept).select(
+            F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_id").alias("pos"), *[c.alias(f"c{i}") for i, c in enumerate(cells)]
+        )
+        rows.write.mode("append").partitionBy("day").csv(path, header=True, escape='"')
     return readers.read_rating_days(spark, path)
 
 

@@ -14,15 +14,18 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 PLACES = 6
+# Rounding moved off the middle between two results, where most natural ties lie (halves, quarters, short decimals):
+# sums taken in another order differ in their last bits, and must not round to different sides there.
+SHIFT = 0.1353352832 * 10**-PLACES
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Doubles to six places and whole numbers to long, as the SQL side gives them."""
+    """Doubles to six places (see SHIFT) and whole numbers to long, as the SQL side gives them."""
     out = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            column = F.round(column.cast("double"), PLACES) + F.lit(0.0)
+            column = F.round(column.cast("double") + F.lit(SHIFT), PLACES) + F.lit(0.0)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             column = column.cast("long")
         elif isinstance(field.dataType, T.DateType):
@@ -53,5 +56,5 @@ def query(name: str, sql: str | None = None, doubles: str = ""):
 def rounded(sql: str, doubles: list[str]) -> str:
     if not doubles:
         return sql
-    swaps = ", ".join(f"round(CAST({c} AS DOUBLE), {PLACES}) + 0.0::DOUBLE AS {c}" for c in doubles)
+    swaps = ", ".join(f"round(CAST({c} AS DOUBLE) + {SHIFT!r}::DOUBLE, {PLACES}) + 0.0::DOUBLE AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({swaps}) FROM ({sql})"

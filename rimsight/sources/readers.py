@@ -201,8 +201,14 @@ def daily_ratings(rows: DataFrame, kept: int | None = None, wide: int = 17) -> D
 
 
 def read_rating_days(spark: SparkSession, path: str, wide: int = 17) -> DataFrame:
-    """Day files of table rows (header, then cells) as date, pos and cells; the date is in the file's name."""
+    """Day files of table rows (header, then cells) as date, pos and cells; the date is in the file's name.
+
+    A day has as many cells as its header names; blank cells keep their place as ''.
+    """
     names = [f"c{i}" for i in range(wide)]
-    read = spark.read.csv(path, schema=", ".join(["pos long", *(f"{c} string" for c in names)]), header=True, escape='"')
-    day = F.regexp_extract(F.input_file_name(), r"(\d{4}-\d{2}-\d{2})", 1)
-    return read.select(day.alias("date"), "pos", F.array_compact(F.array(*names)).alias("cells"))
+    day = F.regexp_extract(F.input_file_name(), r"(\d{4}-\d{2}-\d{2})", 1).alias("date")
+    read = spark.read.csv(path, schema=", ".join(["pos long", *(f"{c} string" for c in names)]), header=True, escape='"', enforceSchema=True)
+    rows = read.select(day, "pos", F.array(*[F.coalesce(c, F.lit("")) for c in names]).alias("cells"))
+    heads = spark.read.text(path).where(F.col("value").startswith("pos,")).select(day, (F.size(F.split("value", ",")) - 1).alias("width"))
+    widths = heads.groupBy("date").agg(F.max("width").alias("width"))
+    return rows.join(widths, "date").select("date", "pos", F.slice("cells", F.lit(1), F.col("width")).alias("cells"))

@@ -84,3 +84,16 @@ def test_unknown_season_is_an_error(spark):
     assert [r.team for r in plays.without_files(counts, "2024-25").collect()] == ["A"]
     with pytest.raises(ValueError):
         plays.without_files(counts, "1999-00")
+
+
+def test_rating_days_keep_blank_cells(spark, tmp_path):
+    for day, head, rows in (
+        ("2019-03-22", 7, ["1,Show,NBC,,60,0.5,900", "2,,,,,,"]),
+        ("2020-08-06", 17, ["1,Show,,8p,60,0.5,a,,b,,,,,,,,77"]),
+    ):
+        (tmp_path / f"{day}.csv").write_text("\n".join([",".join(["pos", *(f"c{i}" for i in range(head))]), *(f"{k},{r}" for k, r in enumerate(rows))]) + "\n")
+    got = {(r["date"], r["rank"]): r for r in readers.daily_ratings(readers.read_rating_days(spark, str(tmp_path))).collect()}
+    first = got["2019-03-22", "1"]
+    assert (first["network"], first["time"], first["duration"], first["viewers"], first["viewers_int"]) == ("NBC", "", "60", "900", 900)
+    assert (got["2019-03-22", "2"]["program"], got["2019-03-22", "2"]["viewers"]) == ("", "")
+    assert (got["2020-08-06", "1"]["network"], got["2020-08-06", "1"]["viewers"]) == ("", "77")
