@@ -229,7 +229,7 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return both.repartitionByRange(*keys).sortWithinPartitions(*keys, F.col("text").isNull())
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
+def _blocks(rows: DataFrame, block_rows: int) -> DataFrame:
     kind = rows.schema["conv_id"].dataType.simpleString()
     names = _BLOCK_SCHEMA.format(id=kind)
 
@@ -254,7 +254,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
                 before = key if row["text"] is not None else None
                 for _ in range(copies):
                     current.add(row["turn"], row["role"], row["text"], row["blank"])
-                    if len(current.steps) >= BLOCK_ROWS or current.chars >= BLOCK_CHARS:
+                    if len(current.steps) >= block_rows or current.chars >= BLOCK_CHARS:
                         done.append(current.row(conv, part, seq))
                         current, seq = _Run(), seq + 1
                 if len(done) >= 256:
@@ -313,10 +313,10 @@ def _decided(blocks: DataFrame) -> DataFrame:
     return narrow.mapInArrow(run, f"conv_id {kind}, part int, seq long, enter int, audit string, cost long")
 
 
-def _solved(conversations: DataFrame) -> DataFrame:
+def _solved(conversations: DataFrame, block_rows: int) -> DataFrame:
     """Blocks in conversation order, each after its decision, all blocks of a conversation in one task's stream."""
     ship_package(conversations.sparkSession)
-    blocks = held(_blocks(conversations), "conversation-blocks")
+    blocks = held(_blocks(conversations, block_rows), "conversation-blocks")
     decided = held(_decided(blocks), "conversation-edits")
     both = blocks.drop("width", "weights").unionByName(decided, allowMissingColumns=True)
     return both.repartition("conv_id").sortWithinPartitions("conv_id", "part", "seq", F.col("enter").isNull())
@@ -333,7 +333,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, dict, lis
                     yield row, decision, messages(row["items"], decision["enter"], decision["audit"]), batch.schema.field("conv_id").type
 
 
-def repaired(conversations: DataFrame) -> DataFrame:
+def repaired(conversations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """conv_id, n (from 0), role and text of every message of the repaired conversations."""
     kind = conversations.schema["conv_id"].dataType.simpleString()
 
@@ -349,10 +349,10 @@ def repaired(conversations: DataFrame) -> DataFrame:
             )
             n += size
 
-    return _solved(conversations).mapInArrow(run, f"conv_id {kind}, n long, role string, text string")
+    return _solved(conversations, block_rows).mapInArrow(run, f"conv_id {kind}, n long, role string, text string")
 
 
-def reports(conversations: DataFrame) -> DataFrame:
+def reports(conversations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row for each conversation: faults, cost, audit and digest of the repaired messages.
 
     Reads conv_id, turn, role and text. Rows are taken by turn (nulls first), those of one
@@ -413,4 +413,4 @@ def reports(conversations: DataFrame) -> DataFrame:
             yield packed(id_type)
 
     types = {"conv_id": kind, "audit": "string", "repaired_sha256": "string"}
-    return _solved(conversations).mapInArrow(run, ", ".join(f"{c} {types.get(c, 'long')}" for c in out))
+    return _solved(conversations, block_rows).mapInArrow(run, ", ".join(f"{c} {types.get(c, 'long')}" for c in out))
