@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from rimsight.operators import changes, keyed
 from rimsight.plans.registry import query
 from rimsight.plans.standins import table
+from rimsight.session import scratch_path
+from rimsight.streaming import upsert
 
 # two overlapping snapshots: everything before a late day, everything from an early day on
 LATE, EARLY = "2001-01-01", "1996-01-01"
@@ -167,6 +169,22 @@ def k3(spark, d):
     return keyed.upsert(current, incoming, ["id"], "batch")
 
 
+@query(
+    "k3_incremental_upsert",
+    f"""WITH {SNAP}, b AS (SELECT *, 0 AS batch FROM old UNION ALL SELECT id, team, name, 'Moved', year, day, 1 FROM new WHERE id % 97 = 0)
+    SELECT id, arg_max(team, batch) AS team, arg_max(status, batch) AS status FROM b GROUP BY 1""",
+)
+def k3_incremental(spark, d):
+    """A whole snapshot, then a batch that touches some of the table's key buckets."""
+    old, new = snapshots(spark, d)
+    path = scratch_path(spark, "upserts")
+    apply = upsert.upsert_batch(path, ["id"], "day", buckets=32)
+    columns = ["id", "team", "status", "day"]
+    apply(old.select(*columns), 0)
+    apply(new.where("id % 97 = 0").withColumn("status", F.lit("Moved")).select(*columns), 1)
+    return upsert.current(spark, path).select("id", "team", "status")
+
+
 @query(
     "k3_composite_key_upsert",
     f"""WITH {SNAP}, b AS (SELECT team, status, year, day, id FROM old UNION ALL SELECT team, status, year, day, id FROM new)

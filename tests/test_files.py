@@ -59,7 +59,7 @@ def test_streaming_upsert_over_two_runs(spark, tmp_path):
     upsert.upsert_stream(stream(), table, ["id"], "ord", marks).awaitTermination()
     assert {(r.id, r.v) for r in upsert.current(spark, table).collect()} == {(1, "a"), (2, "c"), (3, "d")}
     # a batch whose write never finished is not read
-    os.makedirs(f"{table}/version=99")
+    os.makedirs(f"{table}/manifest/version=99")
     assert upsert.current(spark, table).count() == 3
 
 
@@ -97,3 +97,39 @@ def test_rating_days_keep_blank_cells(spark, tmp_path):
     assert (first["network"], first["time"], first["duration"], first["viewers"], first["viewers_int"]) == ("NBC", "", "60", "900", 900)
     assert (got["2019-03-22", "2"]["program"], got["2019-03-22", "2"]["viewers"]) == ("", "")
     assert (got["2020-08-06", "1"]["network"], got["2020-08-06", "1"]["viewers"]) == ("", "77")
+
+
+def _files(table):
+    return {os.path.relpath(os.path.join(folder, name), table) for folder, _, names in os.walk(f"{table}/data") for name in names if name.endswith(".parquet")}
+
+
+def test_upsert_writes_only_the_buckets_it_touches(spark, tmp_path):
+    table = str(tmp_path / "t")
+    apply = upsert.upsert_batch(table, ["id"], "ord", buckets=16, keep=1)
+    schema = "id long, v string, ord int"
+    apply(spark.createDataFrame([(i, "a", 1) for i in range(400)], schema), 0)
+    first = _files(table)
+    assert len(first) == 16
+    bucket = spark.range(7, 8).select(upsert.bucket_of(["id"], 16)).first()[0]
+    apply(spark.createDataFrame([(7, "b", 1), (7, "c", 2)] + [(7, "hot", 0)] * 50, schema), 1)
+    second = _files(table)
+    assert {f for f in first - second} == {f for f in first if f"bucket={bucket}/" in f}  # the old copy of the bucket is removed
+    assert all(f"version=1/bucket={bucket}/" in f for f in second - first) and len(second) == 16
+    rows = {r.id: r.v for r in upsert.current(spark, table).collect()}
+    assert len(rows) == 400 and rows[7] == "c" and sorted(os.listdir(f"{table}/manifest")) == ["version=1"]
+
+
+def test_upsert_survives_a_batch_cut_short_and_new_columns(spark, tmp_path):
+    table = str(tmp_path / "t")
+    apply = upsert.upsert_batch(table, ["id", "team"], "ord", buckets=4)
+    schema = "id long, team string, v string, ord int"
+    apply(spark.createDataFrame([(i, None if i % 2 else "x", "a", 1) for i in range(20)], schema), 0)
+    # data of batch 1 were written, its manifest was not
+    spark.createDataFrame([(1, "junk")], "id long, v string").write.parquet(f"{table}/data/version=1/bucket=0")
+    assert {r.v for r in upsert.current(spark, table).collect()} == {"a"}
+    apply(spark.createDataFrame([(1, None, "b", 1, True)], schema + ", more boolean"), 1)
+    rows = {(r.id, r.team): (r.v, r.more) for r in upsert.current(spark, table).collect()}
+    assert len(rows) == 20 and rows[1, None] == ("b", True) and rows[0, "x"] == ("a", None)
+    before = _files(table)
+    apply(spark.createDataFrame([], schema), 2)
+    assert _files(table) <= before and upsert.current(spark, table).count() == 20
