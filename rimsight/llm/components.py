@@ -1,4 +1,4 @@
-"""Connected components of an edge table by repeated contraction."""
+"""Connected components of an edge table by alternating stars."""
 
 from __future__ import annotations
 
@@ -11,27 +11,25 @@ from rimsight.llm.shared import held
 def components(edges: DataFrame) -> DataFrame:
     """node and label (the smallest node of its component) for every node of an edge.
 
-    ``edges`` has long columns a and b; repeated edges and loops do no harm. In each round
-    every node is merged into the one among itself and its neighbours whose hash of the round
-    is least, so chains shrink by a constant share whatever the order of their ids. A node
-    with very many neighbours only takes part in a minimum and in joins that Spark can split.
+    ``edges`` has long columns a and b; repeated edges and loops do no harm. A round joins
+    every node's larger neighbours to the least node near it, then every node's smaller
+    neighbours likewise, and is one written table. A star is done in one round, a chain
+    shrinks by a constant share; it ends when a round changes nothing. A node with very many
+    neighbours only takes part in minima, which are combined before the shuffle, and in joins
+    with one row for each node, which Spark splits.
     """
-    left = held(edges.filter("a <> b").select("a", "b").distinct(), "edges")
-    names = held(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node")), "labels")
-    turn = 0
-    while not left.isEmpty():
-        turn += 1
-        both = left.select("a", "b").union(left.select(F.col("b"), F.col("a")))
-        rank = F.struct(F.xxhash64(F.lit(turn), F.col("b")).alias("h"), F.col("b").alias("to"))
-        own = F.struct(F.xxhash64(F.lit(turn), F.col("a")).alias("h"), F.col("a").alias("to"))
-        moved = held(both.groupBy("a").agg(F.min(F.least(rank, own))["to"].alias("to")), "moved")
-        to_a = moved.select(F.col("a"), F.col("to").alias("na"))
-        to_b = moved.select(F.col("a").alias("b"), F.col("to").alias("nb"))
-        left = held(
-            left.join(to_a, "a").join(to_b, "b").filter("na <> nb").select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(),
-            "edges",
-        )
-        after = moved.select(F.col("a").alias("label"), "to")
-        names = held(names.join(after, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
-    least = names.groupBy("label").agg(F.min("node").alias("least"))
-    return names.join(least, "label").select("node", F.col("least").alias("label"))
+    tree = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    tree, before = held(tree, "edges"), None
+    while True:
+        now = tree.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("mark")).first()
+        if now == before or not now["n"]:
+            break
+        before = now
+        near = tree.select(F.col("b").alias("u"), F.col("a").alias("v")).union(tree.select("a", "b"))
+        low = near.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("b"), F.least("u", "v").alias("to"))
+        large = tree.join(low, "b").select("a", F.col("to").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("to"))
+        small = large.join(least, "a").filter("b <> to").select(F.col("b").alias("a"), F.col("to").alias("b"))
+        tree = held(small.union(least.select("a", F.col("to").alias("b"))).distinct(), "edges")
+    roots = tree.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
+    return tree.select(F.col("a").alias("node"), F.col("b").alias("label")).union(roots)

@@ -368,25 +368,28 @@ def classes(docs: DataFrame) -> DataFrame:
     labels = held(components(links), "labelled")
     # what the first round left open, one pair for each two components, then the rest
     for last in (False, True):
-        named = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-        mixed = named.withColumns({"l1": F.min("label").over(by_sig), "l2": F.max("label").over(by_sig)}).filter("l1 <> l2").drop("l1", "l2")
         if not last:
+            named = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+            mixed = named.withColumns({"l1": F.min("label").over(by_sig), "l2": F.max("label").over(by_sig)}).filter("l1 <> l2").drop("l1", "l2")
             left = held(_across(mixed.join(known.select("doc", "n", "sketch"), "doc")).join(first.select("a", "b"), ["a", "b"], "left_anti"), "open")
-        if left.isEmpty():
-            break
         ends = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
         apart = left.join(ends, "a", "left").join(ends.select(F.col("a").alias("b"), F.col("la").alias("lb")), "b", "left")
         apart = apart.withColumns({"la": F.coalesce("la", "a"), "lb": F.coalesce("lb", "b")}).filter("la <> lb")
         if not last:
             sides = apart.withColumns({"lo": F.least("la", "lb"), "hi": F.greatest("la", "lb")})
-            chosen = sides.groupBy("lo", "hi").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+            chosen = sides.groupBy("lo", "hi").agg(F.min(F.struct("a", "b", "la", "lb")).alias("p")).select("p.*")
         else:
-            chosen = apart.select("a", "b")
-        chosen = held(chosen, "pairs")
+            chosen = apart
+        chosen = held(chosen.select("a", "b", "la", "lb"), "pairs")
         if chosen.isEmpty():
             break
-        links = held(links.union(verified(docs, chosen, known)), "links")
-        labels = held(components(links), "labelled")
+        # only the components that the new links join are named anew
+        met = verified(docs, chosen.select("a", "b"), known).join(chosen, ["a", "b"]).select(F.col("la").alias("a"), F.col("lb").alias("b"))
+        moved = components(met)
+        ends = chosen.select(F.explode(F.array("la", "lb")).alias("node")).distinct()
+        every = labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label")))
+        after = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
+        labels = held(every.join(after, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labelled")
     of_rep = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("doc", F.coalesce("label", "rep").alias("label"))
     of_doc = of_rep.groupBy("doc").agg(F.min("label").alias("label"))
     return rows.select("doc", "n").join(of_doc, "doc", "left").select("doc", "n", F.coalesce("label", "doc").alias("component"))
