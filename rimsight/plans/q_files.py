@@ -10,8 +10,8 @@ from rimsight.plans.registry import query
 from rimsight.plans.sqltext import case_sql, quoted
 from rimsight.plans.standins import DOCS, GAMES, POS, game_docs, games, positions, table
 from rimsight.session import scratch_path
-from rimsight.sinks import writers
-from rimsight.sources import readers
+from rimsight.sinks import tables, writers
+from rimsight.sources import readers, units
 from rimsight.streaming import upsert
 
 
@@ -122,6 +122,35 @@ def s6(spark, d):
     return game_tree(spark, d).select("game_id", "slug", "season")
 
 
+@query("s6_listed_tree", f"WITH {GAMES} SELECT {TREE_KEYS} FROM games")
+def s6_listed(spark, d):
+    """The same tree by a source that plans its tasks from the listing."""
+    path = scratch_path(spark, "tree")
+    year = F.substring("Game.Date", 1, 4).cast("int")
+    season = F.concat(year.cast("string"), F.lit("-"), F.lpad(((year + 1) % 100).cast("string"), 2, "0"))
+    docs = game_docs(spark, d).withColumn("slug", F.concat_ws("-", F.col("ncaa_id").cast("string"), F.lower("Game.HomeTeam.Name"))).withColumn("season", season)
+    docs.write.partitionBy("slug", "season").json(path)
+    return units.game_units(spark, path, plays.GAME_SCHEMA).select("game_id", "slug", "season")
+
+
+@query(
+    "s5_line_positions",
+    """SELECT lower(substr(o_orderpriority, 1, 1)) || '_account' AS account_name, count(*) AS lines, count(DISTINCT o_orderkey) AS ids, true AS places_are_whole
+    FROM orders WHERE o_orderpriority <> '3-MEDIUM' GROUP BY 1""",
+)
+def s5_positions(spark, d):
+    """Every line of every account's files with its place; places run from 0 without gaps."""
+    path = scratch_path(spark, "s5")
+    priority = F.col("o_orderpriority")
+    name = F.when(priority == "3-MEDIUM", "teams").otherwise(F.concat(F.lower(F.substring(priority, 1, 1)), F.lit("_account")))
+    table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), name.alias("account")).write.partitionBy("account").json(path)
+    files = units.account_units(spark, path, "id long").groupBy("account_name", "path").agg(
+        F.count(F.lit(1)).alias("lines"), F.countDistinct("id").alias("ids"), (F.max("line") + 1).alias("top"), F.countDistinct("line").alias("places")
+    )
+    whole = F.min((F.col("top") == F.col("lines")) & (F.col("places") == F.col("lines")))
+    return files.groupBy("account_name").agg(F.sum("lines").alias("lines"), F.sum("ids").alias("ids"), whole.alias("places_are_whole"))
+
+
 @query(
     "s7_game_record",
     f"""WITH {DOCS} SELECT CAST(regexp_extract(home, '[0-9]+') AS BIGINT) AS ncaa_id, CAST(game_id AS VARCHAR) AS game_id, date, start_time, location,
@@ -288,19 +317,23 @@ def coach_docs(spark, d):
     return doc(1, "Old").unionByName(doc(2, "New"))
 
 
-@query(
-    "k4_child_tables",
-    """SELECT 'positions' AS kind, 'u' || c_custkey AS url, 'New' AS detail, count(*) AS n FROM customer, generate_series(1, c_nationkey % 3) GROUP BY 1, 2, 3
+K4_SQL = """SELECT 'positions' AS kind, 'u' || c_custkey AS url, 'New' AS detail, count(*) AS n FROM customer, generate_series(1, c_nationkey % 3) GROUP BY 1, 2, 3
     UNION ALL SELECT 'education', 'u' || c_custkey, c_mktsegment, 1 FROM customer
     UNION ALL SELECT 'playing_career', 'u' || c_custkey, 'New', 1 FROM customer WHERE c_nationkey > 10
-    UNION ALL SELECT 'coaches', 'u' || c_custkey, c_name, 1 FROM customer""",
-)
+    UNION ALL SELECT 'coaches', 'u' || c_custkey, c_name, 1 FROM customer"""
+
+
+@query("k4_child_tables", K4_SQL)
 def k4(spark, d):
     path = scratch_path(spark, "k4")
     writers.write_child_tables(coach_docs(spark, d), "batch", path)
+    return child_rows(lambda kind: spark.read.parquet(f"{path}/{kind}"))
+
+
+def child_rows(read):
     parts = []
     for kind, key, detail in (("positions", "coach_url", "title"), ("education", "coach_url", "college"), ("playing_career", "coach_url", "team"), ("coaches", "url", "name")):
-        rows = spark.read.parquet(f"{path}/{kind}")
+        rows = read(kind)
         parts.append(rows.groupBy(F.lit(kind).alias("kind"), F.col(key).alias("url"), F.col(detail).alias("detail")).agg(F.count(F.lit(1)).alias("n")))
     out = parts[0]
     for p in parts[1:]:
@@ -308,6 +341,14 @@ def k4(spark, d):
     return out
 
 
+@query("k4_tables_at_once", K4_SQL)
+def k4_at_once(spark, d):
+    """All child tables in one pass over the documents, visible together."""
+    path = scratch_path(spark, "k4")
+    tables.write_tables(tables.coach_tables(coach_docs(spark, d), "batch"), path)
+    return child_rows(lambda kind: tables.read_table(spark, path, kind))
+
+
 @query(
     "k3_streaming_upsert",
     """SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY 1""",
