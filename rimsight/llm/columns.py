@@ -22,9 +22,12 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(swapped)
 
 
+NO_ID = -(2**63)
+
+
 def doc_key(column: str) -> Column:
     """The id as a sortable number: a null id counts as one document before all others."""
-    return F.coalesce(F.col(column).cast("long"), F.lit(-(2**63)))
+    return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
 
 
 def fresh(df: DataFrame, *wanted: str) -> list[str]:

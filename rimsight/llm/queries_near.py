@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rimsight.llm import near_join
-from rimsight.llm.columns import NOT_BLANK
+from rimsight.llm.columns import NO_ID, NOT_BLANK
 from rimsight.llm.registry import query
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -26,6 +26,8 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 @query("op5_near_join", NEAR_SQL)
 def op5_near_join(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return near_join.classes(docs).select(
-        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
-    )
+
+    def known(key):  # a null id is sorted before all others and null again here
+        return F.when(F.col(key) != NO_ID, F.col(key))
+
+    return near_join.classes(docs).select(known("doc").alias("doc_id"), F.col("n").alias("n_shingles"), known("component").alias("component_id"))

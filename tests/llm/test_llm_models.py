@@ -191,3 +191,41 @@ def test_near_join_of_repeated_ids(spark):
     got = sorted((r["doc"], r["n"], r["component"]) for r in near_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     low = -(2**63)
     assert got == sorted([(5, 26, 3), (5, 26, 3), (3, 26, 3), (9, 26, 3), (9, 26, 3), (low, 1, low), (low, 0, low)])
+
+
+def test_pipeline_stages_of_awkward_rows(spark, tmp_path, awkward):
+    """Nulls, repeats and columns named as the stages name theirs."""
+    folder = str(tmp_path)
+    clashing = awkward.selectExpr("*", "'a' AS toxicity_score", "1 AS kept_doc", "2 AS KEPT", "'t' AS scored_text")
+    spark.createDataFrame([(i * 3, 1, i % 2) for i in range(9)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(None, "nothing of this kind")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, clashing, folder)
+        assert made.columns == clashing.columns, name
+        assert made.count() > 0
+    near = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, clashing, folder)
+    ids = [r["doc_id"] for r in near.collect()]
+    rows = [(i, t) for i, t in ((r["doc_id"], r["text"]) for r in awkward.collect())]
+    want = {i for i, _, c in brute.near([(-(2**63) if i is None else i, t) for i, t in rows]) if i == c}
+    assert {-(2**63) if i is None else i for i in ids} == want
+    assert dict(corpus_pipeline.STAGES)["token_output"](spark, clashing, folder).count() == clashing.count()
+
+
+def test_near_join_query_gives_null_ids_back(spark, tmp_path):
+    from rimsight.llm.queries_near import op5_near_join
+
+    text = " ".join(f"w{i}" for i in range(20))
+    spark.createDataFrame([(None, text), (4, text), (5, "x")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(map(tuple, op5_near_join(spark, str(tmp_path)).collect()), key=repr) == sorted([(None, 16, None), (4, 16, None), (5, 1, 5)], key=repr)
+
+
+def test_components_of_stars_chains_and_loops(spark):
+    from rimsight.llm.components import components
+
+    star = [(1000, i) for i in range(1, 300)]
+    chain = [(2000 + i, 2001 + i) for i in range(70)]
+    odd = [(5000, 5000), (6000, 6001), (6001, 6000), (-7, 7), (7, 8)]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(star + chain + odd, "a long, b long")).collect()}
+    assert all(got[i] == 1 for i in (1, 299, 1000)) and all(got[2000 + i] == 2000 for i in range(71))
+    assert 5000 not in got and got[6001] == 6000 and got[8] == -7
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
