@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -237,37 +238,49 @@ def embedded_rows(pages: DataFrame, coaches: bool = False) -> DataFrame:
 
 
 def indexed_rows(pages: DataFrame) -> DataFrame:
-    """People in a page state whose objects hold positions of other elements."""
-    state = F.regexp_extract("html", r'(?is)<script\s[^>]*id="__NUXT_DATA__"[^>]*>(.*?)</script>', 1)
+    """People in a page state whose objects hold positions of other elements.
+
+    Positions are resolved inside one expression over the state's array, so a page sends on
+    its people, not a copy of its state for each object.
+    """
+    state = F.regexp_extract("html", r"""(?is)<script\s[^>]*id=["']?__NUXT_DATA__["']?[^>]*>(.*?)</script>""", 1)
     parsed = pages.select("page_id", F.from_json(state, "array<string>").alias("s"))
-    rows = parsed.select("page_id", "s", F.explode("s").alias("o")).where(F.col("o").startswith("{"))
+    names = {
+        "first": "firstName", "last": "lastName", "jersey": "jerseyNumber", "short": "positionShort", "long": "positionLong", "year": "academicYearLong",
+        "year_short": "academicYearShort", "feet": "heightFeet", "inches": "heightInches", "hometown": "hometown", "high_school": "highSchool", "previous_school": "previousSchool",
+    }
+    falsy = ["0", "", "null", "false"]
+
+    def person(fields: Column) -> Column:
+        def value(name: str) -> Column:
+            def seen(raw: Column) -> Column:
+                at = raw.try_cast("int")
+                found = F.get("s", at)
+                kept = F.when(found.isNull() | found.isin("", "15", "21"), "").otherwise(found)
+                return F.coalesce(F.when(at < F.size("s"), kept).otherwise(raw), F.lit(""))
 
-    def raw(name: str) -> Column:
-        return F.get_json_object("o", f"$.{name}")
+            return let(F.try_element_at(fields, F.lit(name)), seen)
 
-    def value(name: str) -> Column:
-        at = raw(name).try_cast("int")
-        found = F.get("s", at)
-        inside = at < F.size("s")
-        seen = F.when(found.isNull() | found.isin("", "15", "21"), "").otherwise(found)
-        return F.coalesce(F.when(inside, seen).otherwise(raw(name)), F.lit(""))
+        there = reduce(lambda x, y: x & y, [~F.coalesce(F.try_element_at(fields, F.lit(k)), F.lit("")).isin(*falsy) for k in ("firstName", "lastName", "rosterPlayerId")])
+        return F.when(there, F.struct(*[value(k).alias(n) for n, k in names.items()]))
 
-    def either(first: str, second: str) -> Column:
-        return F.coalesce(F.nullif(value(first), F.lit("")), value(second))
+    objects = F.filter("s", lambda o: o.startswith("{"))
+    people = F.array_compact(F.transform(objects, lambda o: let(F.from_json(o, "map<string,string>"), person)))
+    rows = parsed.select("page_id", F.inline_outer(people)).where(F.col("first").isNotNull())
+
+    def either(one: str, other: str) -> Column:
+        return F.coalesce(F.nullif(F.col(one), F.lit("")), F.col(other))
 
-    for key in ("firstName", "lastName", "rosterPlayerId"):
-        rows = rows.where(raw(key).isNotNull() & ~raw(key).isin("0", "", "null", "false"))
-    feet, inches = value("heightFeet"), value("heightInches")
     table = rows.select(
         "page_id",
-        strip(F.concat_ws(" ", value("firstName"), value("lastName"))).alias("name"),
-        value("jerseyNumber").alias("jersey"),
-        either("positionShort", "positionLong").alias("position"),
-        either("academicYearLong", "academicYearShort").alias("academic_year"),
-        F.when((feet != "") & (inches != ""), F.concat(feet, F.lit("'"), inches, F.lit('"'))).otherwise("").alias("height"),
-        value("hometown").alias("hometown"),
-        value("highSchool").alias("high_school"),
-        value("previousSchool").alias("previous_school"),
+        strip(F.concat_ws(" ", "first", "last")).alias("name"),
+        "jersey",
+        either("short", "long").alias("position"),
+        either("year", "year_short").alias("academic_year"),
+        F.when((F.col("feet") != "") & (F.col("inches") != ""), F.concat("feet", F.lit("'"), "inches", F.lit('"'))).otherwise("").alias("height"),
+        "hometown",
+        "high_school",
+        "previous_school",
     )
     return table.where(F.length("name") > 2)
 
