@@ -61,14 +61,16 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def upsert_batch(table: str, keys: Sequence[str], order: str, buckets: int = BUCKETS, keep: int = 2) -> Callable[[DataFrame, int], None]:
+def upsert_batch(table: str, keys: Sequence[str], order: str, buckets: int = BUCKETS, keep: int = 2, by_batch: bool = True) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: the batch over the table before it, in the buckets it touches.
 
-    The last row of a key wins, by batch and then ``order``. The batch is reduced to one row a
+    The last row of a key wins, by batch and then ``order``; without ``by_batch`` by ``order`` and
+    then batch, so that rows may arrive in any order of batches. The batch is reduced to one row a
     key before it is dealt to its buckets, so a key that holds most of it is one row a task.
     ``keep`` versions stay readable, data that only older ones name is removed.
     """
     keys = list(keys)
+    newest = [F.col("_batch"), F.col(order)] if by_batch else [F.col(order), F.col("_batch")]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -85,7 +87,7 @@ def upsert_batch(table: str, keys: Sequence[str], order: str, buckets: int = BUC
             old = _read(spark, table, {b: before[b] for b in touched})
             if old is not None:
                 merged = old.unionByName(rows, allowMissingColumns=True)
-            merged = last_per_key(merged, keys, [F.col("_batch"), F.col(order)]).withColumn("bucket", bucket_of(keys, n))
+            merged = last_per_key(merged, keys, newest).withColumn("bucket", bucket_of(keys, n))
             # one file a bucket; a bucket is a bounded share of the keys
             merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/data/version={batch_id}")
         finally:
@@ -116,7 +118,7 @@ def clean(spark: SparkSession, table: str, keep: int) -> None:
         fs.delete(_folder(spark, f"{table}/manifest/version={version}")[0], True)
 
 
-def upsert_stream(stream: DataFrame, table: str, keys: Sequence[str], order: str, checkpoint: str) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, table: str, keys: Sequence[str], order: str, checkpoint: str, by_batch: bool = True) -> StreamingQuery:
     """Upsert everything that has arrived, then stop."""
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    return writer.foreachBatch(upsert_batch(table, keys, order)).start()
+    return writer.foreachBatch(upsert_batch(table, keys, order, by_batch=by_batch)).start()

@@ -133,3 +133,13 @@ def test_upsert_survives_a_batch_cut_short_and_new_columns(spark, tmp_path):
     before = _files(table)
     apply(spark.createDataFrame([], schema), 2)
     assert _files(table) <= before and upsert.current(spark, table).count() == 20
+
+
+def test_upsert_by_order_takes_batches_in_any_order(spark, tmp_path):
+    table = str(tmp_path / "t")
+    apply = upsert.upsert_batch(table, ["id"], "ord", by_batch=False)
+    schema = "id int, v string, ord int"
+    apply(spark.createDataFrame([(1, "late", 9), (2, "old", 1)], schema), 0)
+    apply(spark.createDataFrame([(1, "early", 3), (2, "new", 5), (3, "a", 1)], schema), 1)
+    apply(spark.createDataFrame([(3, "b", 1)], schema), 2)
+    assert {(r.id, r.v) for r in upsert.current(spark, table).collect()} == {(1, "late"), (2, "new"), (3, "b")}
