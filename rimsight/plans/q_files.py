@@ -102,15 +102,19 @@ def s5(spark, d):
     return readers.read_account_lines(spark, path, "id long")
 
 
-def game_tree(spark, d):
-    """Documents written under slug and season folders, then read back."""
+def write_tree(spark, d):
+    """Documents written under slug and season folders; their repeated names pack well, so files are compressed."""
     path = scratch_path(spark, "tree")
     year = F.substring("Game.Date", 1, 4).cast("int")
     season = F.concat(year.cast("string"), F.lit("-"), F.lpad(((year + 1) % 100).cast("string"), 2, "0"))
     slug = F.concat_ws("-", F.col("ncaa_id").cast("string"), F.lower("Game.HomeTeam.Name"))
     docs = game_docs(spark, d).withColumn("slug", slug).withColumn("season", season)
-    docs.write.partitionBy("slug", "season").json(path)
-    return readers.read_game_tree(spark, path, plays.GAME_SCHEMA)
+    docs.write.partitionBy("slug", "season").json(path, compression="gzip")
+    return path
+
+
+def game_tree(spark, d):
+    return readers.read_game_tree(spark, write_tree(spark, d), plays.GAME_SCHEMA)
 
 
 TREE_KEYS = """CAST(game_id AS VARCHAR) AS game_id, regexp_extract(home, '[0-9]+') || '-' || lower(home) AS slug,
@@ -125,12 +129,7 @@ def s6(spark, d):
 @query("s6_listed_tree", f"WITH {GAMES} SELECT {TREE_KEYS} FROM games")
 def s6_listed(spark, d):
     """The same tree by a source that plans its tasks from the listing."""
-    path = scratch_path(spark, "tree")
-    year = F.substring("Game.Date", 1, 4).cast("int")
-    season = F.concat(year.cast("string"), F.lit("-"), F.lpad(((year + 1) % 100).cast("string"), 2, "0"))
-    docs = game_docs(spark, d).withColumn("slug", F.concat_ws("-", F.col("ncaa_id").cast("string"), F.lower("Game.HomeTeam.Name"))).withColumn("season", season)
-    docs.write.partitionBy("slug", "season").json(path)
-    return units.game_units(spark, path, plays.GAME_SCHEMA).select("game_id", "slug", "season")
+    return units.game_units(spark, write_tree(spark, d), plays.GAME_SCHEMA).select("game_id", "slug", "season")
 
 
 @query(

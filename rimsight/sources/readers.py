@@ -97,17 +97,20 @@ def read_account_lines(spark: SparkSession, path: str, schema: str, skip: str =
 
 
 def read_game_tree(spark: SparkSession, root: str, schema: str, null_bytes: int = 4) -> DataFrame:
-    """Games under ``slug/season/``: JSON files only, null files skipped, keys from the path."""
+    """Games under ``slug/season/``: JSON files only, plain or compressed, null files skipped, keys from the path."""
     rows = (
-        spark.read.schema(schema)
+        spark.read.schema(f"{schema}, _bad string")
+        .option("columnNameOfCorruptRecord", "_bad")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", "*.{json,json.gz}")
         .json(root)
         .where(F.col("_metadata.file_size") > null_bytes)
+        # a compressed null file is larger than its text
+        .where(~F.col("_metadata.file_path").endswith(".gz") | (F.coalesce(F.trim("_bad"), F.lit("")) != "null"))
     )
     keys = r"/(?:slug=)?([^/]+)/(?:season=)?(\d{4}-\d{2})/[^/]+$"
     path = F.col("_metadata.file_path")
-    return rows.select("*", F.regexp_extract(path, keys, 1).alias("slug"), F.regexp_extract(path, keys, 2).alias("season"))
+    return rows.select("*", F.regexp_extract(path, keys, 1).alias("slug"), F.regexp_extract(path, keys, 2).alias("season")).drop("_bad")
 
 
 # fixed values: output column and place in the tournament feed

@@ -37,14 +37,15 @@ def _source():
             system, path = self._at()
             listed = system.get_file_info(fs.FileSelector(path, recursive=True))
             hidden = lambda p: any(part[:1] in "._" for part in p[len(path) :].split("/") if part)
-            kept = sorted((i.path, i.size) for i in listed if i.is_file and i.path.endswith(self.suffix) and i.size > self.least and not hidden(i.path))
+            kept = sorted((i.path, i.size) for i in listed if i.is_file and i.path.removesuffix(".gz").endswith(self.suffix) and i.size > self.least and not hidden(i.path))
             out, size = [[]], 0
             for name, n in kept:
-                if out[-1] and size + n > self.target:
+                weight = n * 8 if name.endswith(".gz") else n  # about what a compressed file holds
+                if out[-1] and size + weight > self.target:
                     out.append([])
                     size = 0
                 out[-1].append((name, n))
-                size += n
+                size += weight
             return [Files(files) for files in out if files]
 
         def read(self, partition):
@@ -53,13 +54,13 @@ def _source():
             names = ["path", "unit", "size", "line", "value"]
 
             def batch(path: str, size: int, first: int, values: list[str]) -> pa.RecordBatch:
-                unit, n = path.rsplit("/", 1)[-1].rsplit(".", 1)[0], len(values)
+                unit, n = path.rsplit("/", 1)[-1].removesuffix(".gz").rsplit(".", 1)[0], len(values)
                 lines = pa.array(range(first, first + n), pa.int64())
                 return pa.RecordBatch.from_arrays([pa.array([path] * n), pa.array([unit] * n), pa.array([size] * n, pa.int64()), lines, pa.array(values, pa.string())], names)
 
             system, _ = self._at()
             for path, size in partition.files if partition else []:
-                with system.open_input_stream(path, compression=None) as raw:
+                with system.open_input_stream(path, compression="gzip" if path.endswith(".gz") else None) as raw:
                     if self.whole:
                         yield batch(path, size, 0, [raw.read().decode("utf-8-sig", "replace")])
                         continue
@@ -91,7 +92,7 @@ def read_units(spark: SparkSession, root: str, suffix: str = "", least_bytes: in
 
     The listing decides what is read: files of other endings, hidden ones and those of at most
     ``least_bytes`` bytes are never opened, many small files share a task and a file's lines
-    keep their places. Empty folders give no rows.
+    keep their places. Files whose name goes on with ``.gz`` are unpacked as they are read. Empty folders give no rows.
     """
     spark.dataSource.register(_source())
     options = {"path": root, "suffix": suffix, "leastBytes": str(least_bytes), "whole": str(whole).lower(), "partitionBytes": str(partition_bytes)}
@@ -100,7 +101,7 @@ def read_units(spark: SparkSession, root: str, suffix: str = "", least_bytes: in
 
 def game_units(spark: SparkSession, root: str, schema: str, null_bytes: int = 4) -> DataFrame:
     """Games under ``slug/season/``: one document a line, null files skipped by their size, keys from the path."""
-    rows = read_units(spark, root, ".json", null_bytes).where(F.col("value") != "")
+    rows = read_units(spark, root, ".json", null_bytes).where(~F.col("value").isin("", "null"))
     keys = r"/(?:slug=)?([^/]+)/(?:season=)?(\d{4}-\d{2})/[^/]+$"
     named = rows.select(F.from_json("value", schema).alias("game"), F.regexp_extract("path", keys, 1).alias("slug"), F.regexp_extract("path", keys, 2).alias("season"))
     return named.select("game.*", "slug", "season")

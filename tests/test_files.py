@@ -1,5 +1,6 @@
 """Readers, writers and the streaming upsert on small files."""
 
+import gzip
 import json
 import os
 
@@ -7,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rimsight.operators import changes, plays
-from rimsight.sources import readers
+from rimsight.plans import q_files
+from rimsight.sources import readers, units
 from rimsight.streaming import upsert
 
 
@@ -21,6 +23,25 @@ def test_game_tree_skips_null_files_and_other_types(spark, tmp_path):
     assert [tuple(r) for r in got] == [("1", "12-ohio-st", "2024-25")]
 
 
+def test_game_tree_may_be_compressed(spark, tmp_path):
+    folder = tmp_path / "slug=12-ohio" / "season=2024-25"
+    folder.mkdir(parents=True)
+    for name, text in (("1.json.gz", '{"game_id": "1"}\n{"game_id": "2"}\n'), ("2.json.gz", "null"), ("3.txt.gz", '{"game_id": "9"}')):
+        (folder / name).write_bytes(gzip.compress(text.encode()))
+    (folder / "4.json").write_text('{"game_id": "4"}')
+    want = [(n, "12-ohio", "2024-25") for n in ("1", "2", "4")]
+    for games in (readers.read_game_tree(spark, str(tmp_path), plays.GAME_SCHEMA), units.game_units(spark, str(tmp_path), plays.GAME_SCHEMA)):
+        assert sorted(tuple(r) for r in games.select("game_id", "slug", "season").collect()) == want
+    assert {r["unit"] for r in units.read_units(spark, str(tmp_path), ".json").collect()} == {"1", "2", "4"}
+
+
+def test_game_documents_are_stored_small(spark, tmp_path):
+    path = q_files.write_tree(spark, "/root/testdata/sf0.001")
+    stored = sum(os.path.getsize(os.path.join(folder, n)) for folder, _, names in os.walk(path) for n in names if n.startswith("part-"))
+    plain = spark.read.text(path, recursiveFileLookup=True).agg(F.sum(F.length("value"))).first()[0]
+    assert 4 * stored < plain
+
+
 def test_seasons_skip_missing_and_fail_when_none(spark, tmp_path):
     path = tmp_path / "officials_202425.json"
     path.write_text(json.dumps([{"game_id": 1, "home_fouls": 3, "visitor_fouls": 4, "officials": ["A"]}], indent=1))
