@@ -100,44 +100,107 @@ def nearest(scaled_wins: DataFrame, centers: Sequence[Sequence[float]], features
     return scaled_wins.withColumn("archetype", F.array_position(listed, F.array_min(listed)).cast("int"))
 
 
-def _lloyd(vectors: DataFrame, centers: np.ndarray, iterations: int) -> tuple[np.ndarray, np.ndarray]:
-    """k-means from many starts (starts x k x features) at once: centers and costs.
+BLOCK_ROWS = 1024  # rows whose distances to all centers a task holds at once
+
+
+def _blocks(vectors: DataFrame, dims: int) -> DataFrame:
+    """Vectors as blocks of at most BLOCK_ROWS rows of doubles, so that a round reads few values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.ascontiguousarray(np.asarray(batch.column(0).flatten(), float).reshape(-1, dims))
+            parts = [rows[at : at + BLOCK_ROWS].tobytes() for at in range(0, len(rows), BLOCK_ROWS)]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["block"])
+
+    return vectors.mapInArrow(run, "block binary")
+
+
+def _round_sums(rows: np.ndarray, centers: Sequence[np.ndarray], total: list[np.ndarray], cost: list[np.ndarray]) -> None:
+    """Adds to each start's sums (k x starts x features and size) and cost the rows nearest to each of its centers."""
+    wide = np.column_stack([rows, np.ones(len(rows))])
+    length = (rows**2).sum(axis=1)[:, None]
+    for i, own in enumerate(centers):  # k x starts x features
+        best = at = None
+        for j, ends in enumerate(own):
+            far = rows @ (-2 * ends.T) + (ends**2).sum(axis=1)
+            if best is None:
+                best, at = far, np.zeros(far.shape, np.int8)
+            else:
+                np.copyto(at, j, where=far < best)
+                np.minimum(best, far, out=best)
+        cost[i] += (best + length).sum(axis=0)
+        for j in range(len(own)):
+            total[i][j] += (at == j).astype(float).T @ wide
+
+
+def _lloyd(blocks: DataFrame, groups: Sequence[np.ndarray], iterations: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """k-means from many starts at once, for each group (starts x k x features): centers and costs.
 
     Each round is one job: tasks add up, for every start and center, the rows nearest to it;
-    what comes back is starts x k x features numbers, whatever the rows.
+    what comes back is groups x starts x k x features numbers, whatever the rows. A start whose
+    centers no longer move takes no part in later rounds.
     """
-    starts, k, dims = centers.shape
+    dims = groups[0].shape[2]
 
-    def sums(centers: np.ndarray):
+    def sums(centers: list[np.ndarray]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, cost = np.zeros((starts, k, dims + 1)), np.zeros(starts)
+            total = [np.zeros((*c.shape[:2], dims + 1)) for c in centers]
+            cost = [np.zeros(c.shape[1]) for c in centers]
             for batch in batches:
-                rows = np.asarray(batch.column(0).flatten(), float).reshape(-1, dims)
-                wide = np.column_stack([rows, np.ones(len(rows))])
-                for s in range(starts):
-                    far = ((rows[:, None, :] - centers[s]) ** 2).sum(-1)
-                    own = far.argmin(1)
-                    cost[s] += far[np.arange(len(rows)), own].sum()
-                    total[s] += np.eye(k)[own].T @ wide
-            flat = np.concatenate([total.ravel(), cost])
+                for block in batch.column(0):
+                    _round_sums(np.frombuffer(block.as_buffer(), float).reshape(-1, dims), centers, total, cost)
+            flat = np.concatenate([x.ravel() for x in (*total, *cost)])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["at", "value"])
 
         return run
 
-    cost = np.full(starts, np.inf)
+    centers = [np.array(g, float) for g in groups]
+    costs = [np.full(len(g), np.inf) for g in groups]
+    moving = [np.arange(len(g)) for g in groups]
     for _ in range(iterations):
-        parts = vectors.mapInArrow(sums(centers), "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
-        flat = np.zeros(starts * k * (dims + 1) + starts)
+        live = [i for i, m in enumerate(moving) if len(m)]
+        if not live:
+            break
+        asked = [np.ascontiguousarray(centers[i][moving[i]].transpose(1, 0, 2)) for i in live]
+        parts = blocks.mapInArrow(sums(asked), "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
+        flat = np.zeros(sum(c.shape[0] * c.shape[1] * (dims + 1) + c.shape[1] for c in asked))
         for row in parts.collect():
             flat[row["at"]] = row["value"]
-        total, now = flat[:-starts].reshape(starts, k, dims + 1), flat[-starts:]
-        size = total[:, :, -1:]
-        moved = np.where(size > 0, total[:, :, :-1] / np.maximum(size, 1), centers)
-        done = np.all(np.abs(moved - centers) < 1e-9)
-        centers, cost = moved, now
-        if done:
-            break
-    return centers, cost
+        ends = np.cumsum([c.shape[0] * c.shape[1] * (dims + 1) for c in asked] + [c.shape[1] for c in asked])
+        pieces = np.split(flat, ends[:-1])
+        for at, (i, c) in enumerate(zip(live, asked)):
+            total, now = pieces[at].reshape(*c.shape[:2], dims + 1), pieces[len(live) + at]
+            size = total[:, :, -1:]
+            moved = np.where(size > 0, total[:, :, :-1] / np.maximum(size, 1), c).transpose(1, 0, 2)
+            own = moving[i]
+            still = np.abs(moved - centers[i][own]).reshape(len(own), -1).max(axis=1) < 1e-9
+            centers[i][own], costs[i][own] = moved, now
+            moving[i] = own[~still]
+    return list(zip(centers, costs))
+
+
+def fit_many(
+    scaled_wins: DataFrame, features: Sequence[str], ks: Sequence[int], starts: int = 50, iterations: int = 200, seed: int = 42
+) -> dict[int, list[list[float]]]:
+    """For each k the k-means centers of the start with the lowest cost, in a fixed order.
+
+    Starts are rows picked by a seeded hash, the same on every run; all starts of every k share a job in each round.
+    """
+    names = [f"z_{f}" for f in features]
+    vectors = hold(scaled_wins.select(F.array(*[F.col(c).cast("double") for c in names]).alias("v")))
+    # starts x k rows, a number fixed by the parameters
+    picked = [r["v"] for r in vectors.orderBy(F.xxhash64(F.lit(seed), "v"), "v").limit(starts * max(ks)).collect()]
+    if not picked:
+        raise ValueError("no rows to cluster")
+    groups = []
+    for k in ks:
+        own = picked[: starts * k]
+        first = np.array([own[i % len(own)] for i in range(starts * k)], float)
+        turned = np.random.default_rng(seed).permutation(len(first))
+        groups.append(first[turned].reshape(starts, k, len(names)))
+    ship_package(scaled_wins.sparkSession)
+    fitted = _lloyd(hold(_blocks(vectors, len(names))), groups, iterations)
+    return {k: sorted([float(x) for x in c] for c in centers[int(cost.argmin())]) for k, (centers, cost) in zip(ks, fitted)}
 
 
 def fit_centers(
@@ -148,20 +211,8 @@ def fit_centers(
     iterations: int = 200,
     seed: int = 42,
 ) -> list[list[float]]:
-    """k-means centers of the start with the lowest cost, in a fixed order.
-
-    Starts are rows picked by a seeded hash, the same on every run; all starts share a job in each round.
-    """
-    names = [f"z_{f}" for f in features]
-    vectors = hold(scaled_wins.select(F.array(*[F.col(c).cast("double") for c in names]).alias("v")))
-    # starts x k rows, a number fixed by the parameters
-    picked = [r["v"] for r in vectors.orderBy(F.xxhash64(F.lit(seed), "v"), "v").limit(starts * k).collect()]
-    if not picked:
-        raise ValueError("no rows to cluster")
-    first = np.array([picked[i % len(picked)] for i in range(starts * k)], float)
-    turned = np.random.default_rng(seed).permutation(len(first))
-    centers, cost = _lloyd(vectors, first[turned].reshape(starts, k, len(names)), iterations)
-    return sorted([float(x) for x in c] for c in centers[int(cost.argmin())])
+    """k-means centers of the start with the lowest cost, in a fixed order."""
+    return fit_many(scaled_wins, features, [k], starts, iterations, seed)[k]
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
@@ -224,7 +275,7 @@ def silhouette_sweep(
 def fitted_sweep(scaled_wins: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 42, starts: int = 10, iterations: int = 100) -> DataFrame:
     """The sweep over centers fitted for each k on all rows."""
     table = hold(scaled_wins)
-    return silhouette_sweep(table, features, {int(k): fit_centers(table, features, k, starts, iterations, seed) for k in ks}, seed=seed)
+    return silhouette_sweep(table, features, fit_many(table, features, [int(k) for k in ks], starts, iterations, seed), seed=seed)
 
 
 def center_detail(assigned: DataFrame, weights: DataFrame, features: Sequence[str] = RESIDUALS) -> DataFrame:

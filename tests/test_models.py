@@ -163,3 +163,20 @@ def test_closeness_scale_of_infinity_weighs_alike(spark):
     df = spark.createDataFrame([(5.0,), (50.0,)], "margin double")
     row = [tuple(r) for r in df.select(bx.closeness(F.col("margin"), 10), bx.closeness(F.col("margin"), float("inf"))).collect()]
     assert row == [(1 / 1.5, 1.0), (1 / 6, 1.0)]
+
+
+def test_kmeans_of_several_k_share_rounds_and_each_start_ends_alone(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    spots = np.concatenate([rng.normal(c, 0.3, (400, 2)) for c in ((0, 0), (4, 0), (0, 5), (6, 6))])
+    df = spark.createDataFrame(pd.DataFrame(spots, columns=["z_a", "z_b"]))
+    rounds = []
+    single = {k: arch.fit_centers(df, ["a", "b"], k=k, starts=6) for k in (2, 4)}
+    collected = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: rounds.append(1) or collected(self))
+    many = arch.fit_many(df, ["a", "b"], [2, 4], starts=6)
+    monkeypatch.undo()
+    assert len(rounds) < 60
+    for k in (2, 4):
+        assert np.allclose(many[k], single[k], atol=1e-9)
+        own = ((spots[:, None, :] - np.array(many[k])[None]) ** 2).sum(-1).argmin(1)
+        assert np.allclose([spots[own == j].mean(0) for j in range(k)], many[k], atol=1e-8)
