@@ -1,4 +1,4 @@
-"""Toxicity: a convolutional text classifier over hashed word embeddings, trained in numpy."""
+"""Toxicity: a convolutional text classifier over hashed word embeddings, trained in numpy within Spark tasks."""
 
 from __future__ import annotations
 
@@ -13,11 +13,11 @@ from pyspark.sql import types as T
 
 from rimsight.llm import words as W
 from rimsight.llm.columns import fresh
-from rimsight.llm.shared import ship_package
+from rimsight.llm.shared import held, ship_package
 
-# The only bounded sample: labelled rows that the classifier is fitted on.
-TRAIN_TOXIC = 2000
-TRAIN_OTHER = 4000
+TASK_DOCS = 3000  # labelled rows that a task learns from in a round, about
+PIECE = 512  # rows whose words a task holds at once
+CELL = 0.001  # calibration counts logits in steps of this
 
 BUCKETS = 1 << 22
 PREFIXES = (4, 5, 6)
@@ -28,7 +28,7 @@ EPOCHS = 4
 BATCH = 48
 RATE = 0.05
 DECAY = 1e-4
-LEAST_DOCS = 3  # word features of fewer documents of the sample stay at zero
+LEAST_DOCS = 3  # word features of fewer labelled documents stay at zero
 PSEUDO = 3.0
 CUT = 0.3  # the score at which a document counts as toxic
 LEAST_LANG = 20  # toxic calibration rows a language needs for a threshold of its own
@@ -113,14 +113,16 @@ class Model:
         return np.round(sigmoid(self.slope * np.concatenate(out) + self.move), 6)
 
 
-def _start(features: list[np.ndarray], toxic: np.ndarray, prior: float, rng: np.random.Generator) -> Model:
-    """Embeddings that start at each feature's smoothed log-odds, which one filter of each width reads."""
-    counted = np.zeros((2, BUCKETS), np.int32)  # documents of each kind that hold a bucket
+def _counted(features: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Documents of each kind that hold a bucket (2 x BUCKETS)."""
+    counted = np.zeros((2, BUCKETS), np.int32)
     for own, label in zip(features, toxic):
         counted[int(label), np.unique(own)] += 1
-    found = np.flatnonzero(counted.sum(axis=0) >= LEAST_DOCS)
-    n_other, n_toxic = counted[:, found].astype(np.float64)
-    del counted
+    return counted
+
+
+def _start(found: np.ndarray, n_other: np.ndarray, n_toxic: np.ndarray, prior: float, rng: np.random.Generator) -> Model:
+    """Embeddings of the buckets found, which start at each one's smoothed log-odds; one filter of each width reads them."""
     odds = np.log((n_toxic + PSEUDO * prior) / (n_other + PSEUDO) / max(prior, 1e-6))
     row_of = np.zeros(BUCKETS, np.int32)
     row_of[found] = np.arange(1, len(found) + 1)
@@ -190,9 +192,9 @@ def best_cut(logits: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> float
 
 
 def fit(texts: pa.Array, toxic: np.ndarray, langs: Sequence[str | None], prior: float, seed: int = 7) -> Model:
-    """Train on four fifths of the sample, calibrate on the rest.
+    """Train on four fifths of some rows in this process, calibrate on the rest; ``train`` is the form for tables.
 
-    ``prior`` is the share of toxic rows among all labelled ones, which the sample's weights
+    ``prior`` is the share of toxic rows among all labelled ones, which the rows' weights
     restore. The score's 0.3 is moved to the best cut over all languages; each language with
     enough toxic rows gets a threshold of its own, others the common one.
     """
@@ -208,7 +210,9 @@ def fit(texts: pa.Array, toxic: np.ndarray, langs: Sequence[str | None], prior:
     tuned, trained = turn[: len(turn) // 5], turn[len(turn) // 5 :]
     odds = prior / max(1 - prior, 1e-6)
     sample_odds = toxic[trained].sum() / max((1 - toxic[trained]).sum(), 1)
-    model = _start([docs[i] for i in trained], toxic[trained], max(sample_odds, 1e-6), rng)
+    counted = _counted([docs[i] for i in trained], toxic[trained])
+    found = np.flatnonzero(counted.sum(axis=0) >= LEAST_DOCS)
+    model = _start(found, *counted[:, found].astype(np.float64), max(sample_odds, 1e-6), rng)
     model.bias = float(np.log(max(odds, 1e-6)))
     if not toxic.any() or toxic.all():
         model.out[:] = 0
@@ -242,26 +246,150 @@ def _joined(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(docs), ends
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Pieces of batches whose first column is the text, with the features of each row's words."""
+    for batch in batches:
+        for at in range(0, len(batch), PIECE):
+            piece = batch.slice(at, PIECE)
+            features, ends = buckets(piece.column(0))
+            yield piece, [features[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _dense(model: Model) -> np.ndarray:
+    """All weights but the embeddings, in rows as wide as those."""
+    flat = np.concatenate([x.ravel().astype(float) for x in (*model.banks, *model.shifts, model.out)] + [[model.bias]])
+    return np.pad(flat, (0, -len(flat) % DIMS)).reshape(-1, DIMS)
+
+
+def _moved(model: Model, dense: np.ndarray) -> None:
+    """Adds changes of the form of ``_dense`` to the model."""
+    at, flat = 0, dense.ravel()
+    for x in (*model.banks, *model.shifts, model.out):
+        x += flat[at : at + x.size].reshape(x.shape).astype(x.dtype)
+        at += x.size
+    model.bias += float(flat[at])
+
+
+def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counted = np.zeros((2, BUCKETS), np.int32)
+    for piece, docs in _pieces(batches):
+        for own, label in zip(docs, piece.column(1).to_pylist()):
+            counted[label, np.unique(own)] += 1
+    some_of = np.flatnonzero(counted.any(axis=0))
+    for at in range(0, len(some_of), 1 << 16):
+        some = some_of[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *[pa.array(c[some], pa.int64()) for c in counted]], ["bucket", "other", "toxic"])
+
+
+def _learn(rows: DataFrame, model: Model, share: float, turn: int) -> None:
+    """One round: every task takes gradient steps through its rows from the same model; the changes are averaged.
+
+    A task's changes weigh by its rows, an embedding's are averaged over the tasks that moved it.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    names = [f"d{i}" for i in range(DIMS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = shared.value
+        own = Model(base.row_of, base.rows.copy(), [x.copy() for x in base.banks], [x.copy() for x in base.shifts], base.out.copy(), base.bias)
+        memory: dict = {}
+        rng, seen = np.random.default_rng(turn), 0
+        for piece, docs in _pieces(batches):
+            toxic = piece.column(1).to_numpy().astype(np.float64)
+            even = np.where(toxic == 1, 0.5 / share, 0.5 / (1 - share))
+            order = rng.permutation(len(docs))
+            for at in range(0, len(order), BATCH):
+                some = order[at : at + BATCH]
+                _step(own, [docs[i] for i in some], toxic[some], even[some], memory)
+            seen += len(docs)
+        if not seen:
+            return
+        touched = np.flatnonzero((own.rows != base.rows).any(axis=1))
+        dense = _dense(own) - _dense(base)
+        at = np.concatenate([-1 - np.arange(len(dense)), touched])
+        change = np.concatenate([dense, own.rows[touched].astype(float) - base.rows[touched]])
+        for k in range(0, len(at), 1 << 16):
+            part = slice(k, k + (1 << 16))
+            columns = [pa.array(at[part], pa.int64()), pa.array(np.full(len(at[part]), float(seen))), *[pa.array(change[part, i]) for i in range(DIMS)]]
+            yield pa.RecordBatch.from_arrays(columns, ["at", "n", *names])
+
+    made = rows.mapInArrow(run, "at long, n double, " + ", ".join(f"{x} double" for x in names))
+    mean = made.groupBy("at").agg(*[(F.sum(F.col(x) * F.col("n")) / F.sum("n")).alias(x) for x in names])
+    whole = mean.toArrow()
+    shared.destroy()
+    at = whole.column("at").to_numpy()
+    change = np.stack([whole.column(x).to_numpy() for x in names], axis=1)
+    dense = np.zeros_like(_dense(model))
+    dense[-1 - at[at < 0]] = change[at < 0]
+    _moved(model, dense)
+    model.rows[at[at >= 0]] += change[at >= 0].astype(np.float32)
+
+
+def _calibrate(rows: DataFrame, model: Model) -> None:
+    """Moves the score's 0.3 to the best cut over all rows given; languages with enough toxic rows get their own."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, docs in _pieces(batches):
+            found = np.concatenate([shared.value.logits(*_joined(docs[at : at + 64])) for at in range(0, len(docs), 64)])
+            cells = pa.array(np.round(found / CELL).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([piece.column(2), piece.column(1), cells], ["lang", "toxic", "cell"])
+
+    cells = rows.mapInArrow(run, "lang string, toxic int, cell long").groupBy("lang", "cell", "toxic").agg(F.count(F.lit(1)).alias("n"))
+    # a row a language, step and kind, whatever the rows
+    whole = cells.toArrow().sort_by([("lang", "ascending"), ("cell", "ascending"), ("toxic", "descending")])
+    shared.destroy()
+    logits, toxic, n = whole.column("cell").to_numpy() * CELL, whole.column("toxic").to_numpy().astype(float), whole.column("n").to_numpy().astype(float)
+    cut = best_cut(logits, toxic, n)
+    model.move = float(np.log(CUT / (1 - CUT)) - model.slope * cut)
+    named = np.array([x or "" for x in whole.column("lang").to_pylist()])
+    for lang in np.unique(named):
+        own = named == lang
+        if (toxic * n)[own].sum() >= LEAST_LANG:
+            cut = best_cut(logits[own], toxic[own], n[own])
+            model.thresholds[str(lang)] = float(sigmoid(np.array(model.slope * cut + model.move)))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on at most TRAIN_TOXIC + TRAIN_OTHER labelled documents, none of them held out.
+    """Fit on all labelled documents that are not held out: four fifths teach, the rest calibrate.
 
     Reads doc_id, text, lang of ``docs`` (lang for thresholds only) and doc_id, toxic of
     ``labels``. Labels that are null or without a document count for nothing; of several for
-    one document the larger counts. Without rows of both kinds every score is the prior.
+    one document the larger counts. Word counts, rounds of learning and calibration are Spark
+    jobs over all those rows; what comes back is bounded by the hash buckets. Without rows of
+    both kinds every score is the prior.
     """
-    known = labels.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    prior = counts.get(1, 0) / max(sum(counts.values()), 1)
-    some = [
-        known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        for kind, most in ((1, TRAIN_TOXIC), (0, TRAIN_OTHER))
-    ]
+    ship_package(docs.sparkSession)
+    known = labels.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     wanted = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), lang.alias("lang"))
-    rows = wanted.join(F.broadcast(some[0].union(some[1])), "doc_id").select("doc_id", "text", "lang", "toxic").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
-    texts = rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string())
-    return fit(texts, rows.column("toxic").to_numpy(), rows.column("lang").to_pylist(), prior)
+    tuned = F.pmod(F.xxhash64("doc_id", "text"), F.lit(5)) == 0
+    # texts are dealt by id at every size, those held out stay behind
+    found = wanted.filter(~held_out(F.col("doc_id"))).join(known.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "toxic", "lang", tuned.alias("tuned"))
+    rows = held(found.sortWithinPartitions("doc_id", "text").drop("doc_id"), "labelled")
+    sizes = {(r["tuned"], r["toxic"]): r["count"] for r in rows.groupBy("tuned", "toxic").count().collect()}
+    n_toxic, n_other = (sum(n for (_, kind), n in sizes.items() if kind == want) for want in (1, 0))
+    prior = n_toxic / max(n_toxic + n_other, 1)
+    # with hardly any rows kept apart, all calibrate; with none to learn from, all teach
+    taught = rows.filter(~F.col("tuned")) if min(sizes.get((False, 1), 0), sizes.get((False, 0), 0)) else rows
+    chosen = rows.filter("tuned") if sizes.get((True, 1), 0) >= 5 else rows
+    learned = sizes.get((False, 0), 0) + sizes.get((False, 1), 0)
+    taught = taught.select("text", "toxic").coalesce(max(1, learned // TASK_DOCS))
+    counts = taught.mapInArrow(_count_task, "bucket long, other long, toxic long").groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
+    counts = counts.filter(F.col("other") + F.col("toxic") >= LEAST_DOCS).toArrow().sort_by("bucket")
+    odds = max(sizes.get((False, 1), 0) / max(sizes.get((False, 0), 0), 1), 1e-6)
+    rng = np.random.default_rng(7)
+    model = _start(counts.column("bucket").to_numpy(), counts.column("other").to_numpy().astype(float), counts.column("toxic").to_numpy().astype(float), odds, rng)
+    model.bias = float(np.log(max(prior / max(1 - prior, 1e-6), 1e-6)))
+    if not n_toxic or not n_other:
+        model.out[:] = 0
+        return model
+    share = sizes.get((False, 1), 0) / max(learned, 1)
+    share = share if 0 < share < 1 else prior
+    for turn in range(min(max(EPOCHS, -(-30 * BATCH // max(learned, 1))), 40)):
+        _learn(taught, model, share, turn)
+    _calibrate(chosen.select("text", "toxic", "lang"), model)
+    return model
 
 
 def with_scores(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, score: str = "score") -> DataFrame:

@@ -132,6 +132,19 @@ def test_toxicity_held_out_accuracy():
     assert set(model.thresholds) <= {"en"}
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    rows = sample(900, 3)
+    docs = spark.createDataFrame([(i, t, "en") for i, (t, _) in enumerate(rows)], "doc_id long, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(i, int(y)) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "TASK_DOCS", 150)  # several tasks, whose changes are averaged
+    monkeypatch.setattr(toxicity, "TRAIN_TOXIC", 1, raising=False)
+    monkeypatch.setattr(toxicity, "TRAIN_OTHER", 1, raising=False)
+    scored = toxicity.with_scores(docs, toxicity.train(docs, labels), ["doc_id"])
+    got = scored.filter(toxicity.held_out(F.col("doc_id"))).collect()
+    assert len(got) > 150
+    assert sum((r["score"] >= toxicity.CUT) == (rows[r["doc_id"]][1] == 1) for r in got) / len(got) > 0.97
+
+
 def test_toxicity_awkward(spark, awkward, no_docs):
     labels = spark.createDataFrame([(i * 3, i % 2, None) for i in range(19)] + [(None, 1, None), (3, None, None), (999, 1, None)], "doc_id long, toxic int, quality int")
     model = toxicity.train(awkward, labels)
