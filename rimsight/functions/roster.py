@@ -33,11 +33,16 @@ LABEL_PATTERNS = [
     r"\bHigh school:\s*",
     r"\bHometown:\s*",
 ]
+_WORDS, _REST = [p for p in LABEL_PATTERNS if p.startswith(r"\b")], [p for p in LABEL_PATTERNS if not p.startswith(r"\b")]
+# any label; those that begin with a word are tried only where one with a fitting letter begins
+ANY_LABEL = rf"(?i)(?:\b(?=[hpcny])(?:{'|'.join(p.removeprefix(r'\b') for p in _WORDS)})|{'|'.join(_REST)})"
 JERSEY_PATTERNS = [r"Jersey Number (\d+)", r"#(\d{1,2})\b", r"\b(\d{1,2})\s+\w"]
 HEIGHT_PATTERNS = [r"(\d+'\s*\d+\")", r"(\d+[′']\s*\d+[″\"])", r"Height:\s*([^,\n]+)"]
 POSITION_PATTERN = r"\b([A-Z]{1,2}(?:/[A-Z]{1,2})?)\b"
 SOCIAL_TAIL = r"\s*(Instagram|Twitter|Opens in a new window).*$"
 BIO_WORDS = ["Full Bio", "Instagram", "Twitter", "Opens in a new window"]
+# up to three words with single blanks, no label and no caption: nothing to clean
+PLAIN_TEXT = r"(?s)^(?!.*(?:Full Bio|Instagram|Twitter|(?i:hometown)))(?:[^\s:/]+(?: [^\s:/]+){0,2})?\z"
 BIO_TAIL = rf"\s*({'|'.join(BIO_WORDS)}).*$"
 CITY_STATE = r"^(.+?),\s*([A-Z][a-z]+\.?|[A-Z]{2})\s+(.*)"
 COLLEGE_WORDS = ["University", "College", "State", "Tech"]
@@ -108,12 +113,18 @@ def without_labels(text: Column) -> Column:
 
 
 def _unlabelled(text: Column) -> Column:
+    """Labels removed one pattern after another.
+
+    Removing all in one pass gives the same unless what is left has a label again: a pattern that
+    begins inside another's match ends with it and stands later in the list.
+    """
     out = text
     for pattern in LABEL_PATTERNS:
         out = strip(F.regexp_replace(out, f"(?i){pattern}", ""))
-    # every label has a colon, a slash or is the word itself; only a text with a label goes through all of them
+    # every label has a colon, a slash or is the word itself
     possible = text.contains(":") | text.contains("/") | F.lower(text).contains("hometown")
-    return F.when(possible & text.rlike(f"(?i){'|'.join(LABEL_PATTERNS)}"), out).otherwise(strip(text))
+    at_once = strip(F.regexp_replace(text, ANY_LABEL, ""))
+    return F.when(possible, let(at_once, lambda t: F.when(t.rlike(ANY_LABEL), out).otherwise(t))).otherwise(strip(text))
 
 
 def _one_name(text: Column, blank: str) -> Column:
@@ -132,7 +143,8 @@ def clean(text: Column) -> Column:
         return F.when(captioned, F.regexp_replace(squeezed, BIO_TAIL, "")).otherwise(squeezed)
 
     squeezed = let(squish(F.coalesce(text, F.lit(""))), cut)
-    return let(let(squeezed, _unlabelled), lambda t: F.when(t.contains(" "), _one_name(t, " ")).otherwise(t))
+    whole = let(let(squeezed, _unlabelled), lambda t: F.when(t.contains(" "), _one_name(t, " ")).otherwise(t))
+    return F.when(text.rlike(PLAIN_TEXT), text).otherwise(whole)
 
 
 def jersey(text: Column) -> Column:

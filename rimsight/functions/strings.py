@@ -59,8 +59,12 @@ def join_key(value: Column | str, transliterate: bool = True) -> Column:
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once however often the body names it."""
-    return F.transform(F.array(value), body)[0]
+    """``body`` of a value that is computed once however often the body names it.
+
+    The finishing step of a fold over no elements: picking the element of a one-element
+    ``transform`` works out the type of the whole body again for each row.
+    """
+    return F.aggregate(F.array(), value, lambda kept, _: kept, body)
 
 
 def first_filled(*values: Column) -> Column:

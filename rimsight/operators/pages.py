@@ -87,6 +87,12 @@ def _shows(classes: str) -> bool:
 
 def _shape(page: m.Page, table: int) -> tuple[list[str], list[int]]:
     """Headers and body rows of one table; tables inside its cells are not its own."""
+    cells, inner = page.once(("shape", table), lambda: _heads_and_rows(page, table))
+    named = [t.strip() or "_empty_" for t in page.texts_of(cells)]
+    return [n for n in named if n not in roster.UNWANTED_HEADERS], inner
+
+
+def _heads_and_rows(page: m.Page, table: int) -> tuple[list[int], list[int]]:
     rows = page.rows(table)
     head, body = (page.first([k for k in page.tagged(tag, table) if page.scope[k] == table]) for tag in ("thead", "tbody"))
     if head is not None:
@@ -94,9 +100,7 @@ def _shape(page: m.Page, table: int) -> tuple[list[str], list[int]]:
         cells = [c for c in page.tagged("th", head) if not any(page.inside(c, t) for t in nested)]
     else:
         cells = page.cells(rows[0]) if rows else []
-    named = [(page.text_of(c) or "").strip() or "_empty_" for c in cells]
-    inner = rows[1:] if body is None else [r for r in rows if page.inside(r, body)]
-    return [n for n in named if n not in roster.UNWANTED_HEADERS], inner
+    return cells, rows[1:] if body is None else [r for r in rows if page.inside(r, body)]
 
 
 _TABLE = "struct<headers:array<string>,rows:array<struct<cells:array<string>,link:string>>>"
@@ -107,8 +111,9 @@ def _first_table(page: m.Page) -> dict | None:
     if table is None:
         return None
     headers, rows = _shape(page, table)
-    shown = lambda row: [page.text_of(c) for c in page.cells(row) if _shows(page.attrs[c].get("class", ""))]
-    return {"headers": headers, "rows": [{"cells": shown(r), "link": page.href(r)} for r in rows]}
+    shown = lambda row: [c for c in page.cells(row) if _shows(page.attrs[c].get("class", ""))]
+    cells = page.once(("shown", table), lambda: [shown(r) for r in rows])
+    return {"headers": headers, "rows": [{"cells": page.texts_of(own), "link": page.href(r)} for r, own in zip(rows, cells)]}
 
 
 def table_rows(pages: DataFrame) -> DataFrame:
@@ -118,7 +123,7 @@ def table_rows(pages: DataFrame) -> DataFrame:
     table's rows are no rows of the outer one. Quotes of both kinds and all entities are read.
     """
     found = m.parsed(pages, ["page_id", "url"], _TABLE, _first_table)
-    rows = let(F.transform("found.headers", roster.header_field), lambda fields: _kept_rows(fields, F.col("found.rows")))
+    rows = let(let(F.transform("found.headers", roster.header_field), _places), lambda at: _kept_rows(at, F.col("found.rows")))
     opened = _each(found, rows)
     split = F.col("_town.hometown") != ""
     previous = F.when(F.col("_town.previous_school") != "", F.col("_town.previous_school")).otherwise(F.col("previous_school"))
@@ -136,17 +141,25 @@ def table_rows(pages: DataFrame) -> DataFrame:
     )
 
 
-def _kept_rows(fields: Column, rows: Column) -> Column:
-    """Long enough rows as structs of cleaned fields; the last of equal headers wins."""
+_ROW_FIELDS = ["jersey", "name", "position", "height", "academic_year", "hometown", "high_school", "previous_school", "town"]
+
+
+def _places(fields: Column) -> Column:
+    """How many fields a table has and where each is, -1 if absent; the last of equal headers wins."""
 
-    def wanted(name: str) -> Column:
-        return F.size(fields) + 1 - F.array_position(F.reverse(fields), name)
+    def place(name: str) -> Column:
+        return F.when(F.array_contains(fields, name), (F.size(fields) - F.array_position(F.reverse(fields), name)).cast("int")).otherwise(-1)
+
+    return F.struct(F.size(fields).alias("size"), *[place(n).alias(n) for n in _ROW_FIELDS])
+
+
+def _kept_rows(at: Column, rows: Column) -> Column:
+    """Long enough rows as structs of cleaned fields."""
 
     def read(row: Column) -> Column:
         def build(texts: Column) -> Column:
             def field(name: str) -> Column:
-                cell = F.when(F.array_contains(fields, name), F.get(texts, wanted(name).cast("int") - 1))
-                return F.coalesce(cell, F.lit(""))
+                return F.coalesce(F.when(at[name] >= 0, F.get(texts, at[name])), F.lit(""))
 
             names = ["jersey", "name", "position", "height", "hometown", "high_school", "previous_school"]
             return F.struct(
@@ -156,7 +169,7 @@ def _kept_rows(fields: Column, rows: Column) -> Column:
                 row["link"].alias("link"),
             )
 
-        return F.when(F.size(row["cells"]) >= F.size(fields), let(F.transform(row["cells"], roster.clean), build))
+        return F.when(F.size(row["cells"]) >= at["size"], let(F.transform(row["cells"], roster.clean), build))
 
     return F.array_compact(F.transform(rows, read))
 
@@ -322,11 +335,11 @@ def _card_list(page: m.Page, panels: Sequence[str], container: str, classes: Seq
     within = page.by_id(*panels)
     if within is None:
         within = page.first(page.classed(container))
-    return next((found for c in classes if (found := page.classed(c, within))), [])
+    return page.once(("cards", container, within), lambda: next((found for c in classes if (found := page.classed(c, within))), []))
 
 
 def _class_texts(page: m.Page, card: int, classes: Sequence[str]) -> list[str | None]:
-    return [page.text_of(page.first(page.classed(c, card))) for c in classes]
+    return page.texts_of(page.once(("fields", card, len(classes)), lambda: [page.first(page.classed(c, card)) for c in classes]))
 
 
 def _player_names(page: m.Page, card: int) -> list[str | None]:
@@ -389,9 +402,14 @@ def _of_classes(texts: Column, every: Sequence[str], names: Sequence[str], test:
     return _first_of(F.array(*[F.get(texts, F.lit(every.index(n))) for n in names]), test)
 
 
+def _filled_of_classes(texts: Column, names: Sequence[str]) -> Column:
+    blank = F.lit("")
+    return F.coalesce(*[F.nullif(F.get(texts, F.lit(_PLAYER_CLASSES.index(n))), blank) for n in names], blank)
+
+
 def _player(card: Column) -> Column:
     def read(texts: Column) -> Column:
-        fields = {f: _of_classes(texts, _PLAYER_CLASSES, own, lambda t: t != "") for f, own in PLAYER_FIELDS.items()}
+        fields = {f: _filled_of_classes(texts, own) for f, own in PLAYER_FIELDS.items()}
         fields["academic_year"] = roster.class_name(fields["academic_year"])
         # a position and a height may share their element, then the position is the bold part
         bold = _filled(F.get(_cleaned(F.array(card["bold"])), F.lit(0)))

@@ -86,3 +86,47 @@ def test_cards_of_wrapped_text_and_shared_elements(spark):
     coach = html.replace("text-wrapper", "sidearm-roster-coach").replace("hometown", "title")
     staff = pages.coach_cards(made.withColumn("html", F.lit(coach))).first()
     assert (staff["name"], staff["title"]) == ("Bo Li", "")
+
+
+def test_pages_of_one_template_share_their_tree():
+    def source(name, link, css="k"):
+        return f"<table><tr><td class='{css}'>{name}</td><td><a href='{link}' title=\"a > b\">x</a></td></tr></table>"
+
+    one, two = m.Page(source("Zo&euml;", "/p/1")), m.Page(source("Ann", "/p/2"))
+    assert one.shape is two.shape
+    assert [(p.text_of(c), p.href(r)) for p in (one, two) for r in p.rows(0) for c in p.cells(r)[:1]] == [("Zoë", "/p/1"), ("Ann", "/p/2")]
+    assert one.attrs[p0 := one.tagged("a")[0]]["href"] == "/p/1" and two.attrs[p0]["href"] == "/p/2"
+    # another class, an empty text or a closing sign is another tree
+    assert len({id(m.Page(t).shape) for t in (source("a", "/"), source("", "/"), source("a", "/", "sr-only"), source("a", "/").replace("x</a>", "x<br/></a>"))}) == 4
+    assert m.Page(source("a", "/", "sr-only")).text_of(0) == "x"
+
+
+def test_trees_kept_are_bounded():
+    for i in range(300):
+        m.Page("<div>" * 300 + f"<p class='c{i}' id='{i}'>t</p>")
+    assert m._SHAPES.nodes <= m.Shapes.NODES + 400 and len(m._SHAPES.numbers) <= m.Shapes.MARKS + 400
+    assert m.Page("<p class='c1' id='7'>t</p>").by_id("7") == 0
+
+
+def test_labels_removed_at_once_as_one_by_one(spark):
+    """Every text of three label pieces, against the patterns one after another."""
+    import itertools
+    import re
+
+    from rimsight.functions import roster
+
+    pieces = ["Hometown / High School: ", "HIGH SCHOOL/", "Previous School: ", "Class: ", "Hometown", "No.: ", "Town, OH / HS", "school: a", "High ", "Hometown: ", " : ", "Hometown/High School (Former School):"]
+    texts = sorted({"".join(p) for n in (1, 2, 3) for p in itertools.product(pieces, repeat=n)})
+
+    def one_by_one(text):
+        for pattern in roster.LABEL_PATTERNS:
+            text = re.sub(f"(?i){pattern}", "", text).strip(" \t\n\x0b\f\r")
+        return text
+
+    made = spark.createDataFrame([(t,) for t in texts], "t string").repartition(8)
+    got = {r["t"]: r["u"] for r in made.select("t", roster._unlabelled(F.col("t")).alias("u")).collect()}
+    assert {t: u for t, u in got.items() if u != one_by_one(t)} == {}
+    plain = ["", "Ann", "Ann Lee", "Ann  Lee", " Ann", "Ann Lee Ann Lee", "a Full Bio x", "Instagram", "b\u0085Twitter", "hoMetown", "a\n", "a b c", "a:b"]
+    cleaned = spark.createDataFrame([(t,) for t in plain], "t string").select("t", roster.clean(F.col("t")).alias("u")).collect()
+    want = ["", "Ann", "Ann Lee", "Ann Lee", "Ann", "Ann Lee", "a", "", "b\u0085", "", "a", "a b c", "a:b"]
+    assert [r["u"] for r in cleaned] == want
