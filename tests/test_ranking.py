@@ -93,3 +93,25 @@ def test_average_rank_within_columns(spark):
     got = ranking.average_rank(spark.createDataFrame(pdf), "v", "r", within=["g"]).toPandas().sort_values(["g", "id"])
     want = pdf.assign(r=pdf.groupby("g").v.rank()).sort_values(["g", "id"])
     assert np.allclose(got.r.to_numpy(), want.r.to_numpy())
+
+
+def test_a_common_value_does_not_gather_its_rows_in_one_task(spark):
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {k: spark.conf.get(k) for k in plain}
+    n = 20_000
+    df = spark.range(n).select("id", F.when(F.col("id") % 10 == 0, F.col("id") + 2).when(F.col("id") % 10 < 9, F.lit(1)).alias("v")).repartition(8)
+    try:
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        ranked = ranking.average_rank(df, "v", "r").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    sizes = {}
+    for row in ranked:
+        sizes[row["task"]] = sizes.get(row["task"], 0) + (row["v"] == 1)
+    assert len(ranked) == n and max(sizes.values()) < n / 4
+    ones = sum(row["v"] == 1 for row in ranked)
+    rare = sorted(row["v"] for row in ranked if row["v"] not in (None, 1))
+    want = {1: (ones + 1) / 2, None: None, **{v: ones + k + 1 for k, v in enumerate(rare)}}
+    assert all(row["r"] == want[row["v"]] for row in ranked)
