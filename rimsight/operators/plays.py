@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rimsight.functions.strings import clock_seconds, made_attempted, name_list, percent
+from rimsight.functions.strings import clock_seconds, let, made_attempted, name_list, percent
 from rimsight.operators.keyed import last_per_key
 
 _SIDE = "struct<Name:string,Score:int,PeriodScores:array<int>,PeriodTimeouts:array<int>>"
@@ -138,8 +138,12 @@ def official_rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def _totals(side: str, prefix: str) -> list[Column]:
-    values = F.col(f"Stats.{side}.Totals.Values")
+def _totals(side: str, prefix: str) -> Column:
+    """All totals of a side from its values, which are worked out once and not for each total."""
+    return let(F.col(f"Stats.{side}.Totals.Values"), lambda values: F.struct(*_read_totals(values, prefix)))
+
+
+def _read_totals(values: Column, prefix: str) -> list[Column]:
     out = []
     for kind, key, names in TOTALS:
         cell, columns = values[key], [f"{prefix}_{n}" for n in names.split()]
@@ -153,7 +157,7 @@ def _totals(side: str, prefix: str) -> list[Column]:
 
 def game_facts(docs: DataFrame) -> DataFrame:
     """One typed row per game with every total of both sides."""
-    return docs.select(
+    facts = docs.select(
         "game_id",
         F.col("Game.HomeTeam.Name").alias("home_team"),
         F.col("Game.VisitingTeam.Name").alias("visiting_team"),
@@ -163,9 +167,9 @@ def game_facts(docs: DataFrame) -> DataFrame:
         F.col("Game.Attendance").alias("attendance"),
         F.col("Game.HomeTeam.Score").alias("home_team_score"),
         F.col("Game.VisitingTeam.Score").alias("visiting_team_score"),
-        *_totals("HomeTeam", "home_team"),
-        *_totals("VisitingTeam", "visiting_team"),
+        F.inline(F.array(F.struct(_totals("HomeTeam", "home_team").alias("_home"), _totals("VisitingTeam", "visiting_team").alias("_visiting")))),
     )
+    return facts.select(*facts.columns[:-2], "_home.*", "_visiting.*")
 
 
 def game_officials(docs: DataFrame) -> DataFrame:
