@@ -33,15 +33,20 @@ def visible_text(html: Column) -> Column:
     return squish(text_of(F.regexp_replace(html, HIDDEN_PARTS, " "), " "))
 
 
+def _up_to_end(tag: str) -> str:
+    """Pattern of all before a tag's first end, in runs without ``<`` and never tried again."""
+    return rf"(?:[^<]++|<(?!/{tag}>))*+"
+
+
 def blocks(html: Column, *tags: str) -> Column:
     """Whole elements of the given tags in document order."""
-    alternatives = "|".join(rf"<{t}(?:\s[^>]*)?>.*?</{t}>" for t in tags)
-    return F.regexp_extract_all(html, F.lit(f"(?is)({alternatives})"), F.lit(1))
+    alternatives = "|".join(rf"{t}(?:\s[^>]*)?>{_up_to_end(t)}</{t}>" for t in tags)
+    return F.regexp_extract_all(html, F.lit(f"(?is)(<(?:{alternatives}))"), F.lit(1))
 
 
 def inner(html: Column, tag: str) -> Column:
     """Contents of all elements of one tag."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>({_up_to_end(tag)})</{tag}>"), F.lit(1))
 
 
 def first_link(fragment: Column) -> Column:

@@ -246,17 +246,17 @@ def player_line(bold: Column, line: Column) -> Column:
     """One transfer entry: name, height, year, position, hometown, portal date, history."""
     name = strip(F.substring_index(strip(F.regexp_replace(strip(bold), "^•+", "")), ",", 1))
     text = F.regexp_replace(squish(line), r"^[•\s]+", "")
-    return let(name, lambda n: let(text, lambda t: let(_after_name(n, t), lambda rest: _player(n, t, rest))))
+    brace = lambda t: F.regexp_extract(t, r"\{([^}]+)\}", 1)
+    return let(name, lambda n: let(text, lambda t: let(brace(t), lambda b: let(_after_name(n, t), lambda rest: _player(n, b, rest)))))
 
 
 def _after_name(name: Column, text: Column) -> Column:
-    lead = strip(F.substring_index(text, "{", 1))
-    cut = strip(F.regexp_replace(F.substr(lead, F.length(name) + 1), "^,+", ""))
-    return strip(F.regexp_replace(F.when(lead.startswith(name), cut).otherwise(lead), r"\s*→.*$", ""))
+    cut = lambda lead: strip(F.regexp_replace(F.substr(lead, F.length(name) + 1), "^,+", ""))
+    after = let(strip(F.substring_index(text, "{", 1)), lambda lead: F.when(lead.startswith(name), cut(lead)).otherwise(lead))
+    return strip(F.regexp_replace(after, r"\s*→.*$", ""))
 
 
-def _player(name: Column, text: Column, rest: Column) -> Column:
-    brace = F.regexp_extract(text, r"\{([^}]+)\}", 1)
+def _player(name: Column, brace: Column, rest: Column) -> Column:
     hit = rest.rlike(PLAYER_LINE)
     matched = F.regexp_replace(F.regexp_extract(rest, PLAYER_LINE, 0), r"\s+$", "")
     tail = strip(F.regexp_replace(F.substr(rest, F.length(matched) + 1), "^,+", ""))
@@ -267,7 +267,7 @@ def _player(name: Column, text: Column, rest: Column) -> Column:
         F.when(hit, F.regexp_extract(rest, PLAYER_LINE, 1)).alias("height"),
         F.when(hit, squish(F.regexp_extract(rest, PLAYER_LINE, 2))).alias("year"),
         F.when(hit, strip(F.regexp_extract(rest, PLAYER_LINE, 3))).alias("position"),
-        F.when(hit, F.nullif(tail, F.lit(""))).alias("hometown"),
+        F.when(hit, let(tail, lambda t: F.nullif(t, F.lit("")))).alias("hometown"),
         portal_date(brace).alias("entered_portal"),
         transfer_history(brace).alias("transfer_history"),
     )

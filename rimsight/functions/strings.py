@@ -79,7 +79,8 @@ def strip(value: Column | str) -> Column:
 
 def squish(value: Column | str) -> Column:
     """Runs of whitespace to one blank, ends stripped."""
-    return strip(F.regexp_replace(_column(value), r"\s+", " "))
+    # single blanks, most of all runs, stay as they are; only blanks are left at the ends
+    return F.trim(F.regexp_replace(_column(value), r"[\t\n\x0B\f\r]\s*+| \s++", " "))
 
 
 def chain(value: Column | str, steps: list[tuple[str, str]]) -> Column:

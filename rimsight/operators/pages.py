@@ -571,19 +571,29 @@ def sectioned_list(pages: DataFrame, blog: str) -> DataFrame:
 def sectioned_lines(pages: DataFrame) -> DataFrame:
     """Transfers: team from h2, In or Out from underlined text, one row per bullet line."""
     parts = pages.select("page_id", F.posexplode(h.blocks(F.col("html"), "h2", "p")).alias("at", "b"))
-    parts = parts.withColumn("t", squish(h.text_of(F.col("b"))))
-    is_team = F.col("b").rlike("(?i)^<h2") & ~F.col("t").rlike(r"(?i)\bback\b|\bpage\b")
+    heading = F.substring("b", 2, 1).isin("h", "H")
+    # only a heading's text is wanted here; a paragraph's is taken line by line
+    parts = parts.withColumn("t", F.when(heading, squish(h.text_of(F.col("b")))))
+    is_team = F.col("t").isNotNull() & ~F.col("t").rlike(r"(?i)\bback\b|\bpage\b")
     teams = carry(parts, ["page_id"], "at", is_team, F.col("t"), "team")
-    paragraphs = teams.where(F.col("b").rlike(r"(?i)^<p[\s>]") & F.col("team").isNotNull())
+    paragraphs = teams.where(F.col("t").isNull() & F.col("team").isNotNull())
     lines = paragraphs.select("page_id", "at", "team", F.posexplode(F.split("b", r"(?i)<br\s*/?>")).alias("line", "g"))
-    under = F.upper(strip(h.text_of(F.regexp_extract("g", r'(?is)<span\s[^>]*style="[^"]*underline[^"]*"[^>]*>(.*?)</span>', 1))))
-    status = F.when(under == "IN", "In").when(under == "OUT", "Out")
-    lines = lines.withColumn("_s", status)
+    under = F.regexp_extract("g", r'(?is)<span\s[^>]*style="[^"]*underline[^"]*"[^>]*>(.*?)</span>', 1)
+    # most lines have no underlined text, and need no cleaning of it
+    lines = lines.withColumn("_s", F.when(under != "", let(strip(h.text_of(under)), _in_or_out)))
     lines = carry(lines, ["page_id", "at"], "line", F.col("_s").isNotNull(), F.col("_s"), "status")
+    players = lines.where(F.col("_s").isNull() & F.col("status").isNotNull())
     bold = h.text_of(F.get(h.inner(F.col("g"), "strong"), F.lit(0)))
-    players = lines.where(F.col("_s").isNull() & F.col("status").isNotNull()).withColumn("bold", bold).where(F.col("bold").contains("•"))
-    entry = roster.player_line(F.col("bold"), h.text_of(F.col("g")))
-    return players.select("page_id", "team", "status", entry.alias("p")).select("page_id", "team", "status", "p.*").where("name <> ''")
+    text = h.text_of(F.col("g"))
+    entry = let(bold, lambda b: F.when(b.contains("•"), roster.player_line(b, text)))
+    # a filter on the entry's name would work the entry out twice, below a generator it cannot go
+    made = players.select("page_id", "team", "status", F.inline_outer(F.array(entry)))
+    return made.where("name <> ''")
+
+
+def _in_or_out(text: Column) -> Column:
+    # by pattern, since upper-casing each text takes longer than all else here; a dotless i is an I in upper case
+    return F.when(text.rlike(r"\A[iIı][nN]\z"), "In").when(text.rlike(r"\A[oO][uU][tT]\z"), "Out")
 
 
 def extract_or_miss(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
