@@ -24,6 +24,9 @@ WMT_SCHEMA = (
     "actions:struct<data:array<struct<school_id:bigint,action:struct<play_action_sub_type:string,name_tabular:string,"
     "play_successful:boolean,period_number:int,play_time:string,id:bigint>>>>>"
 )
+# what layups need of a document
+LAYUP_SCHEMA = "Game struct<Date:string,HomeTeam:struct<Name:string>,VisitingTeam:struct<Name:string>>, " + GAME_SCHEMA[GAME_SCHEMA.index("Plays ") :]
+PLAY_FIELDS = ["date", "team", "opponent", "type", "action", "period", "seconds", "uniform", "play_id"]
 # fixed values: categories of a side's leaders and their columns
 LEADERS = {
     "Points": "points", "Rebounds": "rebounds", "Assists": "assists", "Blocks": "blocks", "Steals": "steals",
@@ -45,29 +48,27 @@ TOTALS = [
 ]
 
 
-def play_side() -> Column:
-    """Side of a play: the player's, or the play's own when it has no player."""
-    return F.when(F.col("play.Player").isNull(), F.col("play.Team")).otherwise(F.col("play.Player.Team"))
+def _play_fields(game: Column, play: Column) -> list[Column]:
+    """A play's date, team and opponent and its own values; its side is the player's, or the play's own when it has no player."""
+    visiting = F.when(play["Player"].isNull(), play["Team"]).otherwise(play["Player"]["Team"]) == "VisitingTeam"
+    home, away = game["HomeTeam"]["Name"], game["VisitingTeam"]["Name"]
+    return [
+        game["Date"].alias("date"),
+        F.when(visiting, away).otherwise(home).alias("team"),
+        F.when(visiting, home).otherwise(away).alias("opponent"),
+        play["Type"].alias("type"),
+        play["Action"].alias("action"),
+        play["Period"].alias("period"),
+        play["ClockSeconds"].alias("seconds"),
+        play["Player"]["UniformNumber"].alias("uniform"),
+        play["Id"].alias("play_id"),
+    ]
 
 
 def play_rows(docs: DataFrame) -> DataFrame:
     """Every play with its team, opponent and the side flip."""
-    rows = docs.select("ncaa_id", "game_id", "Game", F.explode("Plays").alias("play")).withColumn("_side", play_side())
-    visiting = F.col("_side") == "VisitingTeam"
-    home, away = F.col("Game.HomeTeam.Name"), F.col("Game.VisitingTeam.Name")
-    return rows.select(
-        "ncaa_id",
-        "game_id",
-        F.col("Game.Date").alias("date"),
-        F.when(visiting, away).otherwise(home).alias("team"),
-        F.when(visiting, home).otherwise(away).alias("opponent"),
-        F.col("play.Type").alias("type"),
-        F.col("play.Action").alias("action"),
-        F.col("play.Period").alias("period"),
-        F.col("play.ClockSeconds").alias("seconds"),
-        F.col("play.Player.UniformNumber").alias("uniform"),
-        F.col("play.Id").alias("play_id"),
-    )
+    rows = docs.select("ncaa_id", "game_id", "Game", F.explode("Plays").alias("play"))
+    return rows.select("ncaa_id", "game_id", *_play_fields(F.col("Game"), F.col("play")))
 
 
 def turnovers(docs: DataFrame) -> DataFrame:
@@ -81,44 +82,72 @@ def layups(docs: DataFrame, teams: DataFrame) -> DataFrame:
     return rows.join(tracked, ["ncaa_id", "team"]).select(*rows.columns)
 
 
-def second_layout_layups(docs: DataFrame, teams: DataFrame) -> DataFrame:
-    """Layups of the other feed: names matched with a fallback, success as GOOD or MISS."""
-    rows = docs.select(
-        "ncaa_id", "game_id", F.col("data.game_date").alias("date"), F.col("data.competitors").alias("sides"),
-        F.explode("data.actions.data").alias("a"),
-    ).where(F.col("a.action.play_action_sub_type").isin("layup", "drivinglayup"))
+def _other_is_layup(play: Column) -> Column:
+    return play["action"]["play_action_sub_type"].isin("layup", "drivinglayup")
+
+
+def _other_fields(date: Column, sides: Column, play: Column) -> list[Column]:
+    """The same of a play of the other feed, without its type: success as GOOD or MISS."""
     other = F.filter(
-        "sides", lambda s: s["schoolId"].isNotNull() & s["nameTabular"].isNotNull() & ~s["schoolId"].eqNullSafe(F.col("a.school_id"))
+        sides, lambda s: s["schoolId"].isNotNull() & s["nameTabular"].isNotNull() & ~s["schoolId"].eqNullSafe(play["school_id"])
     )
-    tracked = teams.select("ncaa_id", F.coalesce("stats_name", "team").alias("team"))
-    named = rows.withColumn("team", F.col("a.action.name_tabular")).join(tracked, ["ncaa_id", "team"])
-    return named.select(
-        "ncaa_id",
-        "game_id",
-        "date",
-        "team",
+    action = play["action"]
+    return [
+        date.alias("date"),
+        action["name_tabular"].alias("team"),
         F.coalesce(F.get(other, F.lit(0))["nameTabular"], F.lit("")).alias("opponent"),
-        F.when(F.coalesce("a.action.play_successful", F.lit(False)), "GOOD").otherwise("MISS").alias("action"),
-        F.col("a.action.period_number").alias("period"),
-        clock_seconds("a.action.play_time").alias("seconds"),
+        F.when(F.coalesce(action["play_successful"], F.lit(False)), "GOOD").otherwise("MISS").alias("action"),
+        action["period_number"].alias("period"),
+        clock_seconds(action["play_time"]).alias("seconds"),
         F.lit(None).cast("string").alias("uniform"),
-        F.col("a.action.id").alias("play_id"),
-    )
+        action["id"].alias("play_id"),
+    ]
+
+
+def second_layout_layups(docs: DataFrame, teams: DataFrame) -> DataFrame:
+    """Layups of the other feed: names matched with a fallback."""
+    plays = docs.select("ncaa_id", "game_id", "data", F.explode("data.actions.data").alias("a")).where(_other_is_layup(F.col("a")))
+    rows = plays.select("ncaa_id", "game_id", *_other_fields(F.col("data.game_date"), F.col("data.competitors"), F.col("a")))
+    tracked = teams.select("ncaa_id", F.coalesce("stats_name", "team").alias("team"))
+    return rows.join(tracked, ["ncaa_id", "team"]).select(*rows.columns)
 
 
 def routed_layups(texts: DataFrame, teams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Layups of mixed files (ncaa_id, game_id, body text) by layout, and the files of neither."""
-    has = lambda field: F.get_json_object("body", f"$.{field}").isNotNull()
-    routed = texts.withColumn("layout", F.when(has("Plays"), 1).when(has("data"), 2).otherwise(0))
-
-    def parsed(layout: int, schema: str) -> DataFrame:
-        inner = schema.split(", ", 2)[2]
-        return routed.where(F.col("layout") == layout).select("ncaa_id", "game_id", F.from_json("body", inner).alias("j")).select(
-            "ncaa_id", "game_id", "j.*"
+    """Layups of mixed files (ncaa_id, game_id, body text) by layout, and the files of neither.
+
+    Each text is made and read once: the layouts' rows meet as arrays, not as a union of two readings.
+    """
+    has = lambda body, field: F.get_json_object(body, f"$.{field}").isNotNull()
+    layout = lambda body: F.when(has(body, "Plays"), 1).when(has(body, "data"), 2).otherwise(0)
+
+    def first(doc: Column) -> Column:
+        layups = F.filter(doc["Plays"], lambda p: p["Type"] == "LAYUP")
+        fields = lambda p: [f for f, name in zip(_play_fields(doc["Game"], p), PLAY_FIELDS) if name != "type"]
+        return F.transform(layups, lambda p: F.struct(*fields(p)))
+
+    def second(doc: Column) -> Column:
+        data = doc["data"]
+        return F.transform(
+            F.filter(data["actions"]["data"], _other_is_layup),
+            lambda p: F.struct(*_other_fields(data["game_date"], data["competitors"], p)),
         )
 
-    rows = layups(parsed(1, GAME_SCHEMA), teams).unionByName(second_layout_layups(parsed(2, WMT_SCHEMA), teams))
-    return rows, routed.where(F.col("layout") == 0).select("ncaa_id", "game_id")
+    def read(body: Column) -> Column:
+        one = let(F.from_json(body, LAYUP_SCHEMA), first)
+        two = let(F.from_json(body, WMT_SCHEMA.split(", ", 2)[2]), second)
+        return let(layout(body), lambda k: F.struct(k.alias("layout"), F.when(k == 1, one).when(k == 2, two).alias("plays")))
+
+    # behind a generator, so that a filter below does not make and read the text again
+    found = texts.select("ncaa_id", "game_id", F.inline_outer(F.array(let(F.col("body"), read))))
+    rows = found.select("ncaa_id", "game_id", "layout", F.inline("plays"))
+    names = F.array(
+        F.struct(F.lit(1).alias("layout"), F.col("stats_name").alias("team")),
+        F.struct(F.lit(2).alias("layout"), F.coalesce("stats_name", "team").alias("team")),
+    )
+    tracked = teams.select("ncaa_id", F.inline(names)).where(F.col("team").isNotNull())
+    layups = rows.join(tracked, ["ncaa_id", "layout", "team"]).select(*[c for c in rows.columns if c != "layout"])
+    kinds = texts.select("ncaa_id", "game_id", F.inline_outer(F.array(F.struct(let(F.col("body"), layout).alias("layout")))))
+    return layups, kinds.where(F.col("layout") == 0).select("ncaa_id", "game_id")
 
 
 def official_rows(docs: DataFrame) -> DataFrame:

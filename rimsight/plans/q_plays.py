@@ -38,7 +38,17 @@ def g3(spark, d):
 
 def second_layout(spark, d):
     """The same games in the other feed's shape, layups only in its own vocabulary."""
-    docs = game_docs(spark, d)
+    docs = in_regions(spark, d, game_docs(spark, d))
+    return docs.select("ncaa_id", "game_id", second_data().alias("data"))
+
+
+def in_regions(spark, d, docs, how="inner"):
+    region = table(spark, d, "nation").select(F.col("n_nationkey").alias("ncaa_id"), F.col("n_regionkey").alias("_region"))
+    return docs.join(region, "ncaa_id", how)
+
+
+def second_data():
+    """A document's content in the other feed's shape."""
     home, away = F.col("Game.HomeTeam.Name"), F.col("Game.VisitingTeam.Name")
     sides = F.array(
         F.struct(F.lit(1).cast("long").alias("schoolId"), home.alias("nameTabular")),
@@ -59,13 +69,8 @@ def second_layout(spark, d):
             ).alias("action"),
         )
 
-    region = table(spark, d, "nation").select(F.col("n_nationkey").alias("ncaa_id"), F.col("n_regionkey").alias("_region"))
-    return docs.join(region, "ncaa_id").select(
-        "ncaa_id",
-        "game_id",
-        F.struct(
-            F.col("Game.Date").alias("game_date"), sides.alias("competitors"), F.struct(F.transform("Plays", action).alias("data")).alias("actions")
-        ).alias("data"),
+    return F.struct(
+        F.col("Game.Date").alias("game_date"), sides.alias("competitors"), F.struct(F.transform("Plays", action).alias("data")).alias("actions")
     )
 
 
@@ -92,15 +97,11 @@ MIXED = """mixed AS (SELECT * FROM (SELECT p.* EXCLUDE (type) FROM plays p JOIN
 
 
 def mixed_bodies(spark, d):
-    first = game_docs(spark, d).where(F.col("Game.Date") < "1998-01-01")
-    second = second_layout(spark, d).where((F.col("data.game_date") >= "1998-01-01") & (F.col("data.game_date") < "2001-01-01"))
-    neither = game_docs(spark, d).where(F.col("Game.Date") >= "2001-01-01")
-    keys = ["ncaa_id", "game_id"]
-    return (
-        first.select(*keys, F.to_json(F.struct("Game", "Stats", "Leaders", "Plays")).alias("body"))
-        .unionByName(second.select(*keys, F.to_json(F.struct("data")).alias("body")))
-        .unionByName(neither.select(*keys, F.lit("null").alias("body")))
-    )
+    """One body per game, in the first layout, the second or neither by the game's date: the games are made once for all three."""
+    docs, date = in_regions(spark, d, game_docs(spark, d), "left"), F.col("Game.Date")
+    first, second = F.to_json(F.struct("Game", "Stats", "Leaders", "Plays")), F.to_json(F.struct(second_data().alias("data")))
+    body = F.when(date < "1998-01-01", first).when(date < "2001-01-01", second).otherwise("null")
+    return docs.select("ncaa_id", "game_id", body.alias("body"))
 
 
 @query("g6_layout_routing", f"WITH {DOCS}, {WMT}, {MIXED} SELECT * FROM mixed")
