@@ -9,7 +9,7 @@ from rimsight.functions.urls import history_team_id, link_game_id
 from rimsight.operators import pages
 from rimsight.plans.registry import query
 from rimsight.plans.sqltext import pick, pick_sql, quoted, squish_sql, strip_sql
-from rimsight.plans.standins import table
+from rimsight.plans.standins import line_tasks, table
 
 
 def with_tail(spark, d, tails):
@@ -147,7 +147,9 @@ def line_pages(spark, d, row, head="", tail="", joiner=""):
     """One page per order with one fragment per line; an order has a handful of lines."""
     item = F.struct("l_linenumber", "l_partkey", row.alias("r"))
     body = F.transform(F.array_sort(F.collect_list(item)), lambda s: s["r"])
-    made = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(F.array_join(body, joiner).alias("b"))
+    # the narrow lines are dealt out, not lists of their long fragments
+    dealt = table(spark, d, "lineitem").repartition(line_tasks(spark, d), "l_orderkey")
+    made = dealt.groupBy(F.col("l_orderkey").alias("page_id")).agg(F.array_join(body, joiner).alias("b"))
     return made.select("page_id", F.lit("https://t.edu/sports/wbb/roster").alias("url"), F.concat(F.lit(head), "b", F.lit(tail)).alias("html"))
 
 
