@@ -116,6 +116,11 @@ def _first_table(page: m.Page) -> dict | None:
     return {"headers": headers, "rows": [{"cells": page.texts_of(own), "link": page.href(r)} for r, own in zip(rows, cells)]}
 
 
+def _first_link(page: m.Page, node: int) -> int | None:
+    links = page.tagged("a", node)
+    return links[0] - node if links else None
+
+
 def table_rows(pages: DataFrame) -> DataFrame:
     """Player rows of the first table: hidden cells dropped, short rows skipped.
 
@@ -342,19 +347,26 @@ def _class_texts(page: m.Page, card: int, classes: Sequence[str]) -> list[str |
     return page.texts_of(page.once(("fields", card, len(classes)), lambda: [page.first(page.classed(c, card)) for c in classes]))
 
 
-def _player_names(page: m.Page, card: int) -> list[str | None]:
-    """Texts a name is taken from: in the name's element the link inside a heading or to the roster, then the whole."""
+def _player_places(page: m.Page, card: int) -> tuple[list, list, list | None, int | None]:
+    """Where a card has the texts of names and fields, and its first link.
+
+    A name is taken from the name's element: the link inside a heading or to the roster, then the whole.
+    """
 
     def headed(a: int) -> bool:
         return any(page.inside(a, h3) for h3 in page.tagged("h3", card))
 
-    out = []
+    names = []
     for name in ("sidearm-roster-player-name", None, "sidearm-roster-player-name-link"):
         own = card if name is None else page.first(page.classed(name, card))
         if own is not None:
-            wanted = [a for a in page.tagged("a", own) if headed(a) or name and "/roster/" in page.attrs[a].get("href", "")]
-            out += [page.text_of(page.first(wanted)), page.text_of(own) if name else None]
-    return [t for t in out if t is not None]
+            links = [(a - card, headed(a), page.places(a, card)) for a in page.tagged("a", own)]
+            names.append(([x for x in links if x[1] or name], page.places(own, card) if name else None))
+    found = [(k, page.places(page.first(page.classed(c, card)), card)) for k, c in enumerate(_PLAYER_CLASSES)]
+    texts = [(k, at) for k, at in found if at is not None]
+    position = page.first(page.classed("sidearm-roster-player-position", card))
+    bold = page.first(page.classed("text-bold", position)) if position is not None else None
+    return names, texts, page.places(bold, card), _first_link(page, card)
 
 
 def _player_cards(page: m.Page) -> list[dict]:
@@ -364,12 +376,22 @@ def _player_cards(page: m.Page) -> list[dict]:
         cards = [k for k in parents if k >= 0 and page.tag[k] == "li"]
     out = []
     for card in cards:
-        position = page.first(page.classed("sidearm-roster-player-position", card))
-        bold = page.first(page.classed("text-bold", position)) if position is not None else None
-        links = page.tagged("a", card)
+        (named, texts, bold, link), first = page.part(card, _player_places)
+        attrs = {} if link is None else page.attrs[card + link]
+        names = []
+        for links, whole in named:
+            for a, headed, at in links:
+                if headed or "/roster/" in page.attrs[card + a].get("href", ""):
+                    names.append(page.said(at, first))
+                    break
+            if whole is not None:
+                names.append(page.said(whole, first))
+        said = [None] * len(_PLAYER_CLASSES)
+        for k, at in texts:
+            said[k] = page.said(at, first)
         out.append({
-            "names": _player_names(page, card), "texts": _class_texts(page, card, _PLAYER_CLASSES), "bold": page.text_of(bold),
-            "label": page.attrs[links[0]].get("aria-label") if links else None, "link": page.href(card),
+            "names": names, "texts": said, "bold": page.said(bold, first),
+            "label": attrs.get("aria-label"), "link": attrs.get("href", ""),
         })
     return out
 

@@ -130,3 +130,26 @@ def test_labels_removed_at_once_as_one_by_one(spark):
     cleaned = spark.createDataFrame([(t,) for t in plain], "t string").select("t", roster.clean(F.col("t")).alias("u")).collect()
     want = ["", "Ann", "Ann Lee", "Ann Lee", "Ann", "Ann Lee", "a", "", "b\u0085", "", "a", "a b c", "a:b"]
     assert [r["u"] for r in cleaned] == want
+
+
+def test_text_hidden_around_a_row_is_no_other_rows_text():
+    card = "<li class='player-card'><h3><a href='/roster/1'>Ann</a></h3></li>"
+    found = [pages._player_cards(m.Page(f"<div class='{css}'>{card}</div>"))[0]["names"] for css in ("k", "sr-only", "k")]
+    assert found == [["Ann"], [""], ["Ann"]]
+
+
+def test_plain_pages_are_cut_as_by_the_pattern():
+    import random
+
+    pieces = ["<", ">", '"', "'", "=", "/", " ", "a", "<a href=\"x\">", "<a href='1' b=\"&lt;\">", '<a"b c"d>', "</a>", "<!-- c -->", "<!x>", "<li class=\"k\">", "<li CLASS=\"k l\" id=\"3\"/>",
+              "<a\nhref = \"z\" HREF=\"y\">", "text", "<br/>", "<a x>", "<a x=\"1\"y=\"2\">", "<p title=\"a > b\">", "</p>"]
+    pick = random.Random(3)
+    for _ in range(4000):
+        source = "".join(pick.choices(pieces, k=pick.randint(0, 12)))
+        page = m.Page(source)
+        whole, own, words = m.Shapes(), [], []
+        head, *codes = whole._any(source, own, words)
+        kinds = [whole.kinds[c >> 1] for c in codes]
+        shape = m.Shape(kinds, [bool(head), *[bool(c & 1) for c in codes]], tuple(codes), "sr-only")
+        assert (page.tag, page.last, page.scope) == (shape.tag, shape.last, shape.scope), source
+        assert [page.attrs[k] for k in shape.own] == own and page.words == [m._decoded(w) for w in words], source
