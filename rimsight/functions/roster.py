@@ -39,10 +39,11 @@ ANY_LABEL = rf"(?i)(?:\b(?=[hpcny])(?:{'|'.join(p.removeprefix(r'\b') for p in _
 JERSEY_PATTERNS = [r"Jersey Number (\d+)", r"#(\d{1,2})\b", r"\b(\d{1,2})\s+\w"]
 HEIGHT_PATTERNS = [r"(\d+'\s*\d+\")", r"(\d+[′']\s*\d+[″\"])", r"Height:\s*([^,\n]+)"]
 POSITION_PATTERN = r"\b([A-Z]{1,2}(?:/[A-Z]{1,2})?)\b"
-SOCIAL_TAIL = r"\s*(Instagram|Twitter|Opens in a new window).*$"
+SOCIAL_WORDS = ["Instagram", "Twitter", "Opens in a new window"]
+SOCIAL_TAIL = rf"\s*({'|'.join(SOCIAL_WORDS)}).*$"
 BIO_WORDS = ["Full Bio", "Instagram", "Twitter", "Opens in a new window"]
-# up to three words with single blanks, no label and no caption: nothing to clean
-PLAIN_TEXT = r"(?s)^(?!.*(?:Full Bio|Instagram|Twitter|(?i:hometown)))(?:[^\s:/]+(?: [^\s:/]+){0,2})?\z"
+# up to three words with single blanks, no label and no caption: nothing to clean; the words first, since that fails soon
+PLAIN_TEXT = r"(?s)\A(?=(?:[^\s:/]++(?: [^\s:/]++){0,2}+)?\z)(?!.*(?:Full Bio|Instagram|Twitter|[hH](?i:ometown)))"
 BIO_TAIL = rf"\s*({'|'.join(BIO_WORDS)}).*$"
 CITY_STATE = r"^(.+?),\s*([A-Z][a-z]+\.?|[A-Z]{2})\s+(.*)"
 COLLEGE_WORDS = ["University", "College", "State", "Tech"]
@@ -121,18 +122,24 @@ def _unlabelled(text: Column) -> Column:
     out = text
     for pattern in LABEL_PATTERNS:
         out = strip(F.regexp_replace(out, f"(?i){pattern}", ""))
-    # every label has a colon, a slash or is the word itself
-    possible = text.contains(":") | text.contains("/") | F.lower(text).contains("hometown")
     at_once = strip(F.regexp_replace(text, ANY_LABEL, ""))
-    return F.when(possible, let(at_once, lambda t: F.when(t.rlike(ANY_LABEL), out).otherwise(t))).otherwise(strip(text))
+    again = let(at_once, lambda t: F.when(_may_have_label(t) & t.rlike(ANY_LABEL), out).otherwise(t))
+    return F.when(_may_have_label(text), again).otherwise(strip(text))
+
+
+def _may_have_label(text: Column) -> Column:
+    """Every label has a colon, a slash or is the word itself."""
+    return text.contains(":") | text.contains("/") | F.lower(text).contains("hometown")
 
 
 def _one_name(text: Column, blank: str) -> Column:
-    words = F.split(strip(text), blank)
-    half = F.floor(F.size(words) / 2).cast("int")
-    front = F.slice(words, 1, half)
-    twice = (F.size(words) >= 4) & (front == F.slice(words, half + 1, half))
-    return F.when(twice, F.array_join(front, " ")).otherwise(text)
+    def once(words: Column) -> Column:
+        half = F.floor(F.size(words) / 2).cast("int")
+        front = F.slice(words, 1, half)
+        twice = (F.size(words) >= 4) & (front == F.slice(words, half + 1, half))
+        return F.when(twice, F.array_join(front, " ")).otherwise(text)
+
+    return let(F.split(strip(text), blank), once)
 
 
 def clean(text: Column) -> Column:
@@ -142,9 +149,11 @@ def clean(text: Column) -> Column:
         captioned = reduce(lambda a, b: a | b, [squeezed.contains(word) for word in BIO_WORDS])
         return F.when(captioned, F.regexp_replace(squeezed, BIO_TAIL, "")).otherwise(squeezed)
 
-    squeezed = let(squish(F.coalesce(text, F.lit(""))), cut)
-    whole = let(let(squeezed, _unlabelled), lambda t: F.when(t.contains(" "), _one_name(t, " ")).otherwise(t))
-    return F.when(text.rlike(PLAIN_TEXT), text).otherwise(whole)
+    def whole(stripped: Column) -> Column:
+        squeezed = let(squish(stripped), cut)
+        return let(let(squeezed, _unlabelled), lambda t: F.when(t.contains(" "), _one_name(t, " ")).otherwise(t))
+
+    return let(strip(F.coalesce(text, F.lit(""))), lambda t: F.when(t.rlike(PLAIN_TEXT), t).otherwise(whole(t)))
 
 
 def jersey(text: Column) -> Column:
@@ -162,8 +171,7 @@ def position(text: Column) -> Column:
 def _position(text: Column) -> Column:
     upper = F.upper(text)
     word = F.when(upper.contains("GUARD"), "G").when(upper.contains("FORWARD"), "F").when(upper.contains("CENTER"), "C")
-    code = F.regexp_extract(text, POSITION_PATTERN, 1)
-    return F.when(code != "", code).otherwise(F.coalesce(word, F.lit("")))
+    return let(F.regexp_extract(text, POSITION_PATTERN, 1), lambda code: F.when(code != "", code).otherwise(F.coalesce(word, F.lit(""))))
 
 
 def class_name(text: Column) -> Column:
@@ -186,15 +194,21 @@ def header_field(header: Column) -> Column:
 
 def town_parts(text: Column) -> Column:
     """Hometown, high school and previous school from one combined cell."""
-    return let(squish(F.regexp_replace(F.coalesce(text, F.lit("")), SOCIAL_TAIL, "")), _town_parts)
+    def cut(whole: Column) -> Column:
+        captioned = reduce(lambda a, b: a | b, [whole.contains(word) for word in SOCIAL_WORDS])
+        return squish(F.when(captioned, F.regexp_replace(whole, SOCIAL_TAIL, "")).otherwise(whole))
+
+    return let(let(F.coalesce(text, F.lit("")), cut), _town_parts)
 
 
 def _town_parts(t: Column) -> Column:
-    parts = F.transform(F.split(t, " / "), strip)
     blank = F.lit("")
 
-    def part(i: int) -> Column:
-        return F.coalesce(F.get(parts, F.lit(i)), blank)
+    def made(hometown: Column, high_school: Column, previous_school: Column) -> Column:
+        return F.struct(hometown.alias("hometown"), high_school.alias("high_school"), previous_school.alias("previous_school"))
+
+    def slashed(parts: Column) -> Column:
+        return made(*[F.coalesce(strip(F.get(parts, F.lit(i))), blank) for i in range(3)])
 
     city, state, rest = (F.regexp_extract(t, CITY_STATE, i) for i in (1, 2, 3))
     school, previous = F.when(F.lit(False), blank), F.when(F.lit(False), blank)
@@ -202,12 +216,8 @@ def _town_parts(t: Column) -> Column:
         before = F.substring_index(rest, word, 1)
         school = school.when(rest.contains(word), strip(before))
         previous = previous.when(rest.contains(word), strip(_from(rest, before)))
-    slashed, placed = t.contains(" / "), t.rlike(CITY_STATE)
-    return F.struct(
-        F.when(slashed, part(0)).when(placed, F.concat_ws(", ", strip(city), strip(state))).otherwise(t).alias("hometown"),
-        F.when(slashed, part(1)).when(placed, school.otherwise(strip(rest))).otherwise(blank).alias("high_school"),
-        F.when(slashed, part(2)).when(placed, previous.otherwise(blank)).otherwise(blank).alias("previous_school"),
-    )
+    placed = made(F.concat_ws(", ", strip(city), strip(state)), school.otherwise(strip(rest)), previous.otherwise(blank))
+    return F.when(t.contains(" / "), let(F.split(t, " / "), slashed)).when(t.rlike(CITY_STATE), placed).otherwise(made(t, blank, blank))
 
 
 def _from(text: Column, before: Column) -> Column:

@@ -111,9 +111,17 @@ def _first_table(page: m.Page) -> dict | None:
     if table is None:
         return None
     headers, rows = _shape(page, table)
-    shown = lambda row: [c for c in page.cells(row) if _shows(page.attrs[c].get("class", ""))]
-    cells = page.once(("shown", table), lambda: [shown(r) for r in rows])
-    return {"headers": headers, "rows": [{"cells": page.texts_of(own), "link": page.href(r)} for r, own in zip(rows, cells)]}
+    out = []
+    for row in rows:
+        (cells, link), first = page.part(row, _shown)
+        out.append({"cells": [page.said(c, first) for c in cells], "link": "" if link is None else page.attrs[row + link].get("href", "")})
+    return {"headers": headers, "rows": out}
+
+
+def _shown(page: m.Page, row: int) -> tuple[list, int | None]:
+    """Where a row has the texts of its shown cells, and its first link."""
+    cells = [c for c in page.cells(row) if _shows(page.attrs[c].get("class", ""))]
+    return [page.places(c, row) for c in cells], _first_link(page, row)
 
 
 def _first_link(page: m.Page, node: int) -> int | None:

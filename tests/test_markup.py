@@ -132,6 +132,21 @@ def test_labels_removed_at_once_as_one_by_one(spark):
     assert [r["u"] for r in cleaned] == want
 
 
+def test_rows_of_one_kind_are_looked_up_once_whatever_the_page(monkeypatch):
+    """Pages of ever other numbers of rows share no tree, but their rows share what was found in them."""
+    m._SHAPES.clear()
+    asked = []
+    shows = pages._shows
+    monkeypatch.setattr(pages, "_shows", lambda classes: asked.append(classes) or shows(classes))
+    kinds = ["<tr><td>{0}</td><td class='d-none'>x</td><td><a href='/p/{0}'>n{0}</a> m</td></tr>", "<tr><td><b>b</b>{0}</td></tr>"]
+    for n in range(1, 40):
+        rows = [kinds[(k * n) % 3 % 2].format(k) for k in range(n)]
+        found = pages._first_table(m.Page("<table><tr><th>N</th></tr>" + "".join(rows) + "</table>"))
+        want = [{"cells": [str(k), f"n{k} m"], "link": f"/p/{k}"} if "n{0}" in kinds[(k * n) % 3 % 2] else {"cells": [f"b{k}"], "link": ""} for k in range(n)]
+        assert found == {"headers": ["N"], "rows": want}
+    assert len(asked) == 4
+
+
 def test_text_hidden_around_a_row_is_no_other_rows_text():
     card = "<li class='player-card'><h3><a href='/roster/1'>Ann</a></h3></li>"
     found = [pages._player_cards(m.Page(f"<div class='{css}'>{card}</div>"))[0]["names"] for css in ("k", "sr-only", "k")]
