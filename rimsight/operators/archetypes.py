@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from rimsight.functions.strings import let
 from rimsight.operators import ranking
 from rimsight.operators.boxscore import DEFENSE, FEATURES, OFFENSE, RESIDUALS, closeness, icc_table, to_long
-from rimsight.session import hold, ship_package
+from rimsight.session import Columns, hold, ship_package
 
 WEIGHT_FLOOR = 0.1
 SCALES = [5.0, 10.0, 20.0, 50.0, float("inf")]
@@ -185,9 +185,10 @@ def fit_many(
     """For each k the k-means centers of the start with the lowest cost, in a fixed order.
 
     Starts are rows picked by a seeded hash, the same on every run; all starts of every k share a job in each round.
+    The rows are read twice, for the starts and for the blocks that all rounds read.
     """
     names = [f"z_{f}" for f in features]
-    vectors = hold(scaled_wins.select(F.array(*[F.col(c).cast("double") for c in names]).alias("v")))
+    vectors = scaled_wins.select(F.array(*[F.col(c).cast("double") for c in names]).alias("v"))
     # starts x k rows, a number fixed by the parameters
     picked = [r["v"] for r in vectors.orderBy(F.xxhash64(F.lit(seed), "v"), "v").limit(starts * max(ks)).collect()]
     if not picked:
@@ -199,7 +200,8 @@ def fit_many(
         turned = np.random.default_rng(seed).permutation(len(first))
         groups.append(first[turned].reshape(starts, k, len(names)))
     ship_package(scaled_wins.sparkSession)
-    fitted = _lloyd(hold(_blocks(vectors, len(names))), groups, iterations)
+    with Columns(_blocks(vectors, len(names))) as blocks:
+        fitted = _lloyd(blocks, groups, iterations)
     return {k: sorted([float(x) for x in c] for c in centers[int(cost.argmin())]) for k, (centers, cost) in zip(ks, fitted)}
 
 
@@ -273,9 +275,8 @@ def silhouette_sweep(
 
 
 def fitted_sweep(scaled_wins: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 42, starts: int = 10, iterations: int = 100) -> DataFrame:
-    """The sweep over centers fitted for each k on all rows."""
-    table = hold(scaled_wins)
-    return silhouette_sweep(table, features, fit_many(table, features, [int(k) for k in ks], starts, iterations, seed), seed=seed)
+    """The sweep over centers fitted for each k on all rows, which are read three times."""
+    return silhouette_sweep(scaled_wins, features, fit_many(scaled_wins, features, [int(k) for k in ks], starts, iterations, seed), seed=seed)
 
 
 def center_detail(assigned: DataFrame, weights: DataFrame, features: Sequence[str] = RESIDUALS) -> DataFrame:

@@ -117,11 +117,11 @@ def residuals(joined: DataFrame) -> DataFrame:
     )
 
 
-def win_features(features: DataFrame, scale: float = 10.0) -> DataFrame:
-    """Wins only, with margin, closeness weight and residuals."""
+def win_features(features: DataFrame, scale: float = 10.0, averages: DataFrame | None = None) -> DataFrame:
+    """Wins only, with margin, closeness weight and residuals; season averages that are kept already can be given."""
     wins = features.where("team_winner").withColumn("margin", F.col("team_score") - F.col("opp_score"))
     wins = wins.withColumn("closeness_weight", closeness(F.col("margin"), scale))
-    return residuals(with_season_averages(wins, season_averages(features)))
+    return residuals(with_season_averages(wins, season_averages(features) if averages is None else averages))
 
 
 def enough_wins(wins: DataFrame, minimum: int = 20) -> DataFrame:
@@ -132,9 +132,10 @@ def enough_wins(wins: DataFrame, minimum: int = 20) -> DataFrame:
     )
 
 
-def eligible(wins: DataFrame, minimum: int = 20) -> DataFrame:
-    """Wins of teams with enough of them."""
-    return wins.join(enough_wins(wins, minimum).select("team_id"), "team_id", "left_semi")
+def eligible(wins: DataFrame, minimum: int = 20, teams: DataFrame | None = None) -> DataFrame:
+    """Wins of teams with enough of them; what ``enough_wins`` gives can be given if it is kept already."""
+    teams = enough_wins(wins, minimum) if teams is None else teams
+    return wins.join(teams.select("team_id"), "team_id", "left_semi")
 
 
 def to_long(wide: DataFrame, keys: Sequence[str], pieces: dict[str, Sequence[Column]], names: Sequence[str]) -> DataFrame:

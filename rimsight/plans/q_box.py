@@ -10,7 +10,7 @@ from rimsight.operators import ranking
 from rimsight.operators.keyed import first_per_key
 from rimsight.plans.registry import query
 from rimsight.plans.standins import BOX, team_box
-from rimsight.session import hold
+from rimsight.session import Columns, hold
 
 FEATS = (
     BOX.replace("box AS (", "box AS MATERIALIZED (")
@@ -284,6 +284,19 @@ def m7_embeddings(spark, d):
 
 
 Z = [f"z_{f}" for f in RES]
+# what residuals of wins are made from
+BASIC = ["game_id", "team_id", "team_short_display_name", "team_winner", "team_score", "team_id_opp", "opp_score", "opp_3pa", "opp_fga", *bx.FEATURES]
+
+
+def scaled_wins(spark, d, *keys):
+    """Keys and scaled residuals of eligible wins as columns; each table they are made from goes once the next is there."""
+    # team rows are files of a known size when wins meet them, so that wins are not dealt out again by team
+    with Columns(bx.game_features(bx.with_opponent(team_box(spark, d))).select(*BASIC)) as played, Columns(bx.season_averages(played)) as averages:
+        won = bx.win_features(played, averages=averages)
+        with Columns(bx.enough_wins(played.where("team_winner"))) as teams:
+            wins = Columns(bx.eligible(won, teams=teams).select(*keys, "team_id", *RES))
+    with wins as won:
+        return Columns(arch.scaled(won).select(*keys, *Z))
 
 
 @query("m8_weighted_z", f"WITH {ZED} SELECT game_id, team_id, {', '.join(Z)} FROM zed", " ".join(Z))
@@ -305,18 +318,18 @@ def m9(spark, d):
 )
 def m9_invariants(spark, d):
     """What any good clustering has: each center the mean of its rows, and no more cost than the fixed centers."""
-    z = hold(arch.scaled(elig(spark, d)))
-    centers = arch.fit_centers(z)
 
     def cost(points):
         return F.array_min(F.array(*[sum(F.pow(F.col(c) - F.lit(float(x)), 2) for c, x in zip(Z, p)) for p in points]))
 
-    ends = F.array(*[F.array(*[F.lit(x) for x in p]) for p in centers])
-    own = arch.nearest(z, centers).groupBy("archetype").agg(F.array(*[F.avg(c) for c in Z]).alias("mean"))
-    off = F.aggregate(F.zip_with("mean", F.element_at(ends, F.col("archetype")), lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: F.greatest(a, b))
-    means = own.agg(F.count(F.lit(1)).alias("n_centers"), (F.max(off) < 1e-6).alias("centers_are_means"))
-    costs = z.agg(F.count(F.lit(1)).alias("n_wins"), (F.sum(cost(centers)) <= F.sum(cost(CENTERS))).alias("cost_at_most_fixed"))
-    return costs.crossJoin(means).select("n_wins", "n_centers", "centers_are_means", "cost_at_most_fixed")
+    with scaled_wins(spark, d) as z:
+        centers = arch.fit_centers(z)
+        ends = F.array(*[F.array(*[F.lit(x) for x in p]) for p in centers])
+        own = arch.nearest(z, centers).groupBy("archetype").agg(F.array(*[F.avg(c) for c in Z]).alias("mean"))
+        off = F.aggregate(F.zip_with("mean", F.element_at(ends, F.col("archetype")), lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: F.greatest(a, b))
+        means = own.agg(F.count(F.lit(1)).alias("n_centers"), (F.max(off) < 1e-6).alias("centers_are_means"))
+        costs = z.agg(F.count(F.lit(1)).alias("n_wins"), (F.sum(cost(centers)) <= F.sum(cost(CENTERS))).alias("cost_at_most_fixed"))
+        return hold(costs.crossJoin(means).select("n_wins", "n_centers", "centers_are_means", "cost_at_most_fixed"))
 
 
 @query("m9_kmeans_unweighted")
@@ -328,8 +341,8 @@ def m9_unweighted(spark, d):
 
 @query("m10_silhouette_sweep")
 def m10(spark, d):
-    z = hold(arch.scaled(elig(spark, d)))
-    return arch.fitted_sweep(z, RES, range(3, 9))
+    with scaled_wins(spark, d, "game_id") as z:
+        return arch.fitted_sweep(z, RES, range(3, 9))
 
 
 # more fixed centers, of which each k takes the first k

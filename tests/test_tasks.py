@@ -1,10 +1,17 @@
 """Rows are dealt out to tasks by how many there are, not to a fixed number."""
 
+import os
+
+import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from rimsight.operators import archetypes as arch
+from rimsight.operators import boxscore as bx
 from rimsight.operators import crew
 from rimsight.plans import standins
-from rimsight.session import tasks_for
+from rimsight.session import Columns, shared_dir, tasks_for
 
 
 def test_tasks_follow_the_rows(spark):
@@ -26,3 +33,44 @@ def test_dealt_pairs_count_alike(spark):
     for tasks in (None, 1, 5):
         got = crew.pair_counts(games, tasks).orderBy(F.col("official_1"), F.col("official_2")).collect()
         assert [tuple(r) for r in got] == [("a", "b", 2), ("a", "c", 1), ("b", "c", 1)]
+
+
+def written(folder, known=()):
+    found = {os.path.join(at, f) for at, _, names in os.walk(folder) for f in names}
+    return {f: os.path.getsize(f) for f in found - set(known)}
+
+
+def test_what_clustering_holds_is_small_or_removed(spark):
+    """A fit and its sweep leave a few rows of results, not the table they read."""
+    folder = shared_dir(spark).removeprefix("file:")
+    rng = np.random.default_rng(3)
+    table = spark.createDataFrame(pd.DataFrame({"game_id": range(30_000), "z_a": rng.normal(size=30_000), "z_b": rng.normal(size=30_000)}))
+    before = written(folder)
+    arch.fit_centers(table, ["a", "b"], k=2, starts=2, iterations=3)
+    assert written(folder, before) == {}
+    assert [r.k for r in arch.fitted_sweep(table, ["a", "b"], range(2, 4), starts=2, iterations=3).orderBy("k").collect()] == [2, 3]
+    assert sum(written(folder, before).values()) < 500_000
+
+
+def test_columns_are_removed_also_after_an_error(spark):
+    folder = shared_dir(spark).removeprefix("file:")
+    before = written(folder)
+    with pytest.raises(ValueError, match="inside"), Columns(spark.range(9).repartition(2)) as kept:
+        assert sorted(r.id for r in kept.collect()) == list(range(9)) and written(folder, before)
+        raise ValueError("inside")
+    with pytest.raises(Exception, match="broken"):
+        Columns(spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("broken"))).otherwise("").alias("x")))
+    assert written(folder, before) == {}
+
+
+def test_box_scores_deal_lines_out_once(spark, tmp_path, capsys):
+    line = "l_orderkey long, l_linenumber int, l_suppkey long, l_extendedprice double, l_quantity double, l_tax double, l_discount double, l_returnflag string, l_linestatus string"
+    rows = [(o, n, (o or 0) + n, 1000.0 * n, 2.0, 0.1, 0.05, "RAN"[n % 3], "OF"[n % 2]) for o in (1, 2, 3, None) for n in (1, 2, 3, 3)]
+    spark.createDataFrame(rows, line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, k % 4) for k in range(9)], "s_suppkey long, s_nationkey int").selectExpr("*", "'s' AS s_name").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(k, f"N{k}") for k in range(25)], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    games = bx.with_opponent(standins.team_box(spark, str(tmp_path)))
+    games.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") <= 2  # one a side
+    assert sorted((r.game_id, r.team_id, r.team_id_opp, r.assists) for r in games.collect()) == [
+        (1, 2, 3, 3.0), (1, 3, 2, 1.0), (2, 0, 3, 1.0), (2, 3, 0, 3.0), (3, 0, 1, 3.0), (3, 1, 0, 1.0)]
