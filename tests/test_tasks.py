@@ -7,11 +7,12 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from rimsight import session
 from rimsight.operators import archetypes as arch
 from rimsight.operators import boxscore as bx
 from rimsight.operators import crew
 from rimsight.plans import standins
-from rimsight.session import Columns, shared_dir, tasks_for
+from rimsight.session import Columns, tasks_for
 
 
 def test_tasks_follow_the_rows(spark):
@@ -40,27 +41,33 @@ def written(folder, known=()):
     return {f: os.path.getsize(f) for f in found - set(known)}
 
 
-def test_what_clustering_holds_is_small_or_removed(spark):
+def own_folder(monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "scratch_path", lambda spark, label: f"{tmp_path}/{label}-{len(os.listdir(tmp_path))}")
+    return tmp_path
+
+
+def test_what_clustering_holds_is_small_or_removed(spark, monkeypatch, tmp_path):
     """A fit and its sweep leave a few rows of results, not the table they read."""
-    folder = shared_dir(spark).removeprefix("file:")
+    kept = own_folder(monkeypatch, tmp_path)
+    session.shared_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")  # this session's own
     rng = np.random.default_rng(3)
     table = spark.createDataFrame(pd.DataFrame({"game_id": range(30_000), "z_a": rng.normal(size=30_000), "z_b": rng.normal(size=30_000)}))
     before = written(folder)
     arch.fit_centers(table, ["a", "b"], k=2, starts=2, iterations=3)
-    assert written(folder, before) == {}
+    assert written(folder, before) == written(kept) == {}
     assert [r.k for r in arch.fitted_sweep(table, ["a", "b"], range(2, 4), starts=2, iterations=3).orderBy("k").collect()] == [2, 3]
-    assert sum(written(folder, before).values()) < 500_000
+    assert sum(written(folder, before).values()) < 500_000 and written(kept) == {}
 
 
-def test_columns_are_removed_also_after_an_error(spark):
-    folder = shared_dir(spark).removeprefix("file:")
-    before = written(folder)
+def test_columns_are_removed_also_after_an_error(spark, monkeypatch, tmp_path):
+    folder = own_folder(monkeypatch, tmp_path)
     with pytest.raises(ValueError, match="inside"), Columns(spark.range(9).repartition(2)) as kept:
-        assert sorted(r.id for r in kept.collect()) == list(range(9)) and written(folder, before)
+        assert sorted(r.id for r in kept.collect()) == list(range(9)) and written(folder)
         raise ValueError("inside")
     with pytest.raises(Exception, match="broken"):
         Columns(spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("broken"))).otherwise("").alias("x")))
-    assert written(folder, before) == {}
+    assert written(folder) == {}
 
 
 def test_box_scores_deal_lines_out_once(spark, tmp_path, capsys):
